@@ -13,6 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_FIELD = "_corrupt_record"
+# Fixed format: JSON timestamps carry all six fraction digits, so a
+# round trip through the JSON codec is lossless.
+JSON_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def to_json(record: Column) -> Column:
+    """Struct -> JSON text with lossless timestamps."""
+    return F.to_json(record, JSON_OPTIONS)
 
 
 def with_corrupt_field(schema: T.StructType) -> T.StructType:
@@ -34,7 +45,7 @@ def decode(payload: Column, schema: T.StructType | str, codec: str = "json") ->
         return F.from_json(
             F.when(F.length(payload) > 0, text),
             with_corrupt_field(schema),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD},
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD, **JSON_OPTIONS},
         )
     if codec == "avro":
         try:

@@ -23,7 +23,9 @@ def frame(schema_id: Column, payload: Column) -> Column:
 
 def encode_json_frame(record: Column, schema_id: Column) -> Column:
     """Struct -> framed JSON payload (the JSON codec of the topic)."""
-    return frame(schema_id, F.encode(F.to_json(record), "UTF-8"))
+    from attrlake.functions.codec import to_json
+
+    return frame(schema_id, F.encode(to_json(record), "UTF-8"))
 
 
 def payload(value: Column) -> Column:

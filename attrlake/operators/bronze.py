@@ -38,15 +38,27 @@ def _decoded(messages: DataFrame, schema: T.StructType, codec: str) -> DataFrame
     return messages.withColumn(DECODED, C.decode(framing.payload(F.col("value")), schema, codec))
 
 
+def _decoded_once(messages: DataFrame, schema: T.StructType, codec: str) -> DataFrame:
+    """Decode as the output of a one-element ``explode``.
+
+    The routing predicates test the decoded struct several times; a filter
+    on them would otherwise be pushed below the decode and inline the parse
+    into every test.  Predicates on a generator's output stay above it, so
+    each payload is parsed exactly once.
+    """
+    payload = C.decode(framing.payload(F.col("value")), schema, codec)
+    return messages.select("*", F.explode(F.array(payload)).alias(DECODED))
+
+
 def decode_messages(
     messages: DataFrame,
     schema: T.StructType | None = None,
     codec: str = "json",
 ) -> DataFrame:
     """Strip the header, decode with one fixed schema, flatten, add
-    ``event_date``.  Strict: tombstones are dropped, any other bad message is
-    kept as an all-NULL row only if it decodes to NULL fields; use
-    ``route_messages`` to set bad messages aside instead."""
+    ``event_date``.  Tombstones (NULL values) are dropped; for input that may
+    hold damaged messages use ``route_messages`` + ``good_records``, which
+    set them aside instead of letting them through as NULL rows."""
     schema = schema or bronze_schema()
     decoded = _decoded(messages.where(F.col("value").isNotNull()), schema, codec)
     flat = decoded.select(*[F.col(f"{DECODED}.{f.name}").alias(f.name) for f in schema.fields])
@@ -80,7 +92,7 @@ def route_messages(
         .when(d["id"].isNull(), "null_id")
         .when(d["created_at"].isNull(), "null_created_at")
     )
-    decoded = _decoded(messages, schema, codec)
+    decoded = _decoded_once(messages, schema, codec)
     out = decoded.select(
         "key", "topic", "partition", "offset",
         reason.alias("reason"),
@@ -132,3 +144,9 @@ def unwrap_changes(envelopes: DataFrame, row: T.StructType, key: str = "id", cod
     cols += [F.col(f"e.after.{f.name}").alias(f.name) for f in row.fields if f.name != key]
     cols.append(F.col("e.source.lsn").alias("lsn"))
     return e.select(*cols)
+
+
+def route_family(df: DataFrame, kind: str | list[str]) -> DataFrame:
+    """Rows of one event family (a plain comparison, pushed to the scan)."""
+    kinds = [kind] if isinstance(kind, str) else kind
+    return df.where(F.col("activity_kind").isin(*kinds))

@@ -80,12 +80,16 @@ BRONZE = f"bronze as (select\n  {_bronze_select()}\nfrom ({_ADAPTER}) a)"
 SILVER = f"silver as (select\n  {_silver_select()}\nfrom bronze)"
 
 
-def with_silver(query: str) -> str:
-    return f"with {BRONZE},\n{SILVER}\n{query}"
+def _with(ctes: list[str], query: str) -> str:
+    return "with " + ",\n".join(ctes) + "\n" + query
 
 
-def with_bronze(query: str) -> str:
-    return f"with {BRONZE}\n{query}"
+def with_silver(query: str, *extra: str) -> str:
+    return _with([BRONZE, SILVER, *extra], query)
+
+
+def with_bronze(query: str, *extra: str) -> str:
+    return _with([BRONZE, *extra], query)
 
 
 # Change log of FIXTURES §5 (inserts, updates, deletes, redeliveries).
@@ -142,6 +146,184 @@ from silver group by event_date, app_token, tracker, activity_kind, event_name""
 }
 
 
+from attrlake import schemas as M  # noqa: E402
+
+
+def _list(values) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+def _dim_sql(key: str, attributes: list[str]) -> str:
+    attrs = ", ".join(attributes)
+    return f"""select {key}, {attrs}, first_seen, last_seen, last_id from (
+  select {key}, {attrs},
+    min(created_at) over (partition by {key}) as first_seen,
+    created_at as last_seen, id as last_id,
+    row_number() over (partition by {key} order by created_at desc, id desc) as rn
+  from silver where {key} is not null) d where rn = 1"""
+
+
+DIM_APP = ["store_id", "app_name", "platform", "app_version", "sdk_version"]
+DIM_CAMPAIGN = ["tracker_name", "network_name", "campaign_name", "adgroup_name", "creative_name"]
+
+
+def _quality_rules() -> list[tuple[str, str, str]]:
+    per_platform = lambda col, m: " or ".join(
+        f"(platform = '{p}' and {col} in {_list(v)})" for p, v in m.items())
+    store_case = "case " + " ".join(f"when store_id = '{s}' then '{n}'" for s, n in M.APP_NAMES.items()) + " end"
+    rules = [
+        ("Q2_activity_kind_domain", "true", f"coalesce(activity_kind in {_list(M.ACTIVITY_KINDS)}, false)"),
+        ("Q3_os_name_is_platform", "platform is not null or os_name is not null", "os_name is not distinct from platform"),
+        ("Q3_os_version_of_platform", "os_version is not null", per_platform("os_version", M.OS_VERSIONS_BY_PLATFORM)),
+        ("Q3_device_model_of_platform", "device_model is not null",
+         per_platform("device_model", M.DEVICE_MODELS_BY_PLATFORM)),
+        ("Q4_app_name_of_store", "store_id is not null", f"app_name is not distinct from ({store_case})"),
+    ]
+    for col, values in M.DOMAINS.items():
+        if col != "activity_kind":
+            rules.append((f"Q5_domain_{col}", f"{col} is not null", f"{col} in {_list(values)}"))
+    kind = "activity_kind = '{}'".format
+    rules += [
+        ("Q6_gps_adid_is_adid", "adid is not null or gps_adid is not null", "gps_adid is not distinct from adid"),
+        ("Q6_tracker_is_tracker_name", "tracker is not null or tracker_name is not null",
+         "tracker is not distinct from tracker_name"),
+        ("Q6_tracker_prefix", "tracker_name is not null", "starts_with(tracker_name, 'trk_')"),
+        ("Q6_transaction_id_prefix", "subscription_transaction_id is not null",
+         "starts_with(subscription_transaction_id, 'txn_')"),
+        ("Q6_original_transaction_id_prefix", "subscription_original_transaction_id is not null",
+         "starts_with(subscription_original_transaction_id, 'otxn_')"),
+        ("Q7_install_has_installed_at", kind("install"), "installed_at is not null"),
+        ("Q7_click_within_lookback", kind("install") + " and click_time is not null",
+         "click_time <= installed_at and click_time >= installed_at - interval 7 day"),
+        ("Q7_impression_within_lookback", kind("install") + " and impression_time is not null",
+         "impression_time <= installed_at and impression_time >= installed_at - interval 7 day"),
+        ("Q7_device_ids_only_on_ios", "idfa is not null or idfv is not null", "platform = 'ios'"),
+        ("Q8_ad_revenue_range", kind("ad_revenue"), "reporting_revenue between 0.0001 and 0.1"),
+        ("Q8_ad_impressions_range", kind("ad_revenue"), "ad_impressions_count between 1 and 50"),
+        ("Q8_revenue_float_is_reporting", kind("ad_revenue"), "revenue_float is not distinct from reporting_revenue"),
+        ("Q9_expiration_after_purchase", kind("subscription"),
+         "subscription_expiration_time = subscription_purchased_at + interval 30 day"),
+        ("Q9_cancelled_at_iff_cancelled", kind("subscription"),
+         "(subscription_cancelled_at is not null) = coalesce(subscription_event_type = 'cancelled', false)"),
+        ("Q9_cost_ratio", kind("subscription"),
+         "reporting_cost between reporting_revenue * 0.1 and reporting_revenue * 0.3"),
+        ("Q10_text_within_bounds", "true",
+         "not (" + " or ".join(f"coalesce(length({c}) > {n}, false)" for c, n in M.TEXT_BOUNDS.items()) + ")"),
+    ]
+    return rules
+
+
+def _quality_sql() -> str:
+    rows = [
+        f"select '{name}' as rule, cast(count(*) filter (where {a}) as bigint) as checked, "
+        f"cast(count(*) filter (where ({a}) and not coalesce({ok}, false)) as bigint) as violations from silver"
+        for name, a, ok in _quality_rules()
+    ]
+    attrs = ", ".join(M.JOURNEY_ATTRIBUTES)
+    rows += [
+        "select 'Q1_id_not_null_unique', cast(count(*) as bigint), cast(count(*) - count(distinct id) as bigint) from silver",
+        """select 'Q4_one_app_name_per_store', cast(count(*) as bigint), cast(count(*) filter (where n > 1) as bigint)
+from (select store_id, count(*) as n from (select distinct store_id, app_name from silver where store_id is not null) s group by store_id) g""",
+        f"""select 'Q11_one_attribute_set_per_adid', cast(count(*) as bigint), cast(count(*) filter (where n > 1) as bigint)
+from (select adid, count(*) as n from (select distinct adid, {attrs} from silver where adid is not null) s group by adid) g""",
+    ]
+    return "\nunion all\n".join(rows)
+
+
+def _fact_cte(name: str) -> str:
+    return f"{name} as ({FACT_SQL[name]})"
+
+
+DAMAGE_REASON = """case id % 101 when 1 then 'tombstone' when 2 then 'short_value' when 3 then 'short_value'
+  when 4 then 'bad_magic' when 5 then 'short_value' when 6 then 'undecodable' when 7 then 'null_id'
+  when 8 then 'undecodable' when 9 then 'null_created_at' end"""
+MESSAGES = "messages as (select id, event_date, 0 as copy from bronze union all select id, event_date, 1 from bronze where id % 7 = 0)"
+CURRENT = """select id, op, ts, user_id, event_type, value, lsn from (
+  select *, row_number() over (partition by id order by lsn desc) as rn from changes) c
+where rn = 1 and op <> 'd'"""
+
+
 def oracle_sql() -> dict[str, str]:
-    out = {name: with_silver(sql) for name, sql in FACT_SQL.items()}
+    out: dict[str, str] = {
+        "bronze_event_date": with_bronze(
+            "select id, created_at, cast(make_timestamp(created_at) as date) as event_date from bronze"),
+        "bronze_family_filter": with_bronze(
+            "select id, activity_kind, event_date, reporting_revenue, ad_impressions_count from bronze "
+            "where activity_kind = 'ad_revenue'"),
+        "bronze_partition_range": with_bronze(
+            "select id, event_date, activity_kind from bronze "
+            "where event_date between date '2024-01-10' and date '2024-01-19'"),
+        "frame_decode_roundtrip": with_bronze("select * from bronze"),
+        "frame_schema_id": with_bronze(
+            "select cast(id as varchar) as key, cast(0 as integer) as magic_byte, "
+            "cast(case when created_at >= 1705363200000000 then 2 else 1 end as bigint) as schema_id from bronze"),
+        "cdc_unwrap": _with([CHANGE_LOG],
+            "select op, id, case when op <> 'd' then ts end as ts, case when op <> 'd' then user_id end as user_id, "
+            "case when op <> 'd' then event_type end as event_type, case when op <> 'd' then value end as value, "
+            "lsn from changes"),
+        "quarantine_split": with_bronze(
+            f"select cast(id as varchar) as key, cast(id * 2 + copy as bigint) as offset, {DAMAGE_REASON} as reason "
+            "from messages", MESSAGES),
+        "silver_conform": with_silver("select *, cast(0 as integer) as cast_errors from silver"),
+        "silver_dedupe": with_silver("select * from silver"),
+        "silver_current": _with([CHANGE_LOG], CURRENT),
+        "dim_app": with_silver(_dim_sql("app_token", DIM_APP)),
+        "dim_campaign": with_silver(_dim_sql("tracker", DIM_CAMPAIGN)),
+    }
+    for name, sql in FACT_SQL.items():
+        out[name] = with_silver(sql)
+    out["report_star_app"] = with_silver(
+        """select p.event_date, p.app_token, p.revenue, p.events, d.app_name, d.store_id, d.platform
+from (select event_date, app_token, cast(sum(revenue) as decimal(38,6)) as revenue, cast(sum(events) as bigint) as events
+      from fact_revenue_daily group by event_date, app_token) p
+left join dim on p.app_token = d.app_token""".replace("left join dim on", "left join dim d on"),
+        _fact_cte("fact_revenue_daily"), f"dim as ({_dim_sql('app_token', DIM_APP)})")
+    out["report_star_campaign"] = with_silver(
+        """select p.event_date, p.tracker, p.installs, p.organic_installs, d.network_name, d.campaign_name
+from (select event_date, tracker, cast(sum(installs) as bigint) as installs,
+        cast(sum(organic_installs) as bigint) as organic_installs
+      from fact_installs_daily group by event_date, tracker) p
+left join dim d on p.tracker = d.tracker""",
+        _fact_cte("fact_installs_daily"), f"dim as ({_dim_sql('tracker', DIM_CAMPAIGN)})")
+    out["report_campaign_performance"] = with_silver(
+        """select p.event_date, p.tracker, p.installs, p.revenue, p.cost,
+  round(cast(p.revenue as double) / cast(nullif(p.installs, 0) as double), 6) as revenue_per_install,
+  d.network_name, d.campaign_name
+from (select event_date, tracker, cast(coalesce(sum(installs), 0) as bigint) as installs,
+        cast(coalesce(sum(revenue), 0) as decimal(38,6)) as revenue,
+        cast(coalesce(sum(cost), 0) as decimal(38,6)) as cost
+      from (select event_date, tracker, installs, null as revenue, null as cost from fact_installs_daily
+            union all select event_date, tracker, null, revenue, null from fact_revenue_daily
+            union all select event_date, tracker, null, null, cost from fact_subscription_daily) u
+      group by event_date, tracker) p
+left join dim d on p.tracker = d.tracker""",
+        _fact_cte("fact_installs_daily"), _fact_cte("fact_revenue_daily"), _fact_cte("fact_subscription_daily"),
+        f"dim as ({_dim_sql('tracker', DIM_CAMPAIGN)})")
+    out["report_ecpm"] = with_silver(
+        """select event_date, ad_revenue_network, revenue, impressions,
+  round(1000.0 * cast(revenue as double) / cast(nullif(impressions, 0) as double), 6) as ecpm
+from (select event_date, ad_revenue_network, cast(sum(revenue) as decimal(38,6)) as revenue,
+        cast(sum(impressions) as decimal(38,6)) as impressions
+      from fact_ad_revenue_daily group by event_date, ad_revenue_network) p""",
+        _fact_cte("fact_ad_revenue_daily"))
+    out["latest_events"] = with_silver(
+        "select id, activity_kind, created_at, app_token, tracker, event_date from silver "
+        "order by created_at desc, id desc limit 20")
+    out["table_row_count"] = with_bronze("select cast(count(*) as bigint) as rows from bronze")
+    out["quality_report"] = with_silver(_quality_sql())
+    out["layer_reconcile"] = with_bronze(
+        """select event_date, source_rows, source_ids, bronze_rows, bronze_ids, silver_rows, silver_ids,
+  source_ids - silver_ids as missing_ids, bronze_rows - bronze_ids as extra_rows
+from (select coalesce(s.event_date, b.event_date, v.event_date) as event_date,
+        coalesce(s.n, 0) as source_rows, coalesce(s.ids, 0) as source_ids,
+        coalesce(b.n, 0) as bronze_rows, coalesce(b.ids, 0) as bronze_ids,
+        coalesce(v.n, 0) as silver_rows, coalesce(v.ids, 0) as silver_ids
+      from (select event_date, cast(count(*) as bigint) as n, cast(count(distinct id) as bigint) as ids
+            from bronze group by event_date) s
+      full outer join (select event_date, cast(count(*) as bigint) as n, cast(count(distinct id) as bigint) as ids
+            from good group by event_date) b on s.event_date = b.event_date
+      full outer join (select event_date, cast(count(*) as bigint) as n, cast(count(distinct id) as bigint) as ids
+            from (select distinct id, event_date from good) g group by event_date) v
+        on coalesce(s.event_date, b.event_date) = v.event_date) r""",
+        MESSAGES, "good as (select * from messages where id % 101 not between 1 and 9)")
     return out

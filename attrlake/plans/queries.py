@@ -2,7 +2,9 @@
 
 Each query reads the driver tables under ``sf_dir`` (through the lazy
 fixtures in ``attrlake.sources.fixtures``) and runs one operator of the
-pipeline over the whole input.
+pipeline over the whole input.  Streaming queries run to completion
+(``availableNow``) into a fresh folder under the shared checkpoint root and
+return the table they wrote.
 """
 
 from __future__ import annotations
@@ -10,14 +12,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from attrlake import schemas as M
 from attrlake.operators import bronze as B
+from attrlake.operators import dims as D
 from attrlake.operators import facts as A
+from attrlake.operators import quality as Q
+from attrlake.operators import reports as R
 from attrlake.operators import silver as S
+from attrlake.session import run_dir
 from attrlake.sources import fixtures as X
+from attrlake.store import LakeTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Row shape of the change-log fixture.
+CHANGE_ROW = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+# Partition range used by the P9 query (the feature under test).
+RANGE_FROM, RANGE_TO = "2024-01-10", "2024-01-19"
+REDELIVER_EVERY = 7
+
+
+# -- layers of the fixture pipeline --------------------------------------------
 
 def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows as the pipeline writes them: event + ``event_date``."""
@@ -29,13 +53,155 @@ def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.conform(bronze_rows(spark, sf_dir))
 
 
+def delivered_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows decoded from the topic fixture with redeliveries and
+    damaged messages (the damaged ones are routed away)."""
+    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, corrupt=True)
+    return B.good_records(B.route_messages(msgs))
+
+
+def unwrapped_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.unwrap_changes(X.change_envelopes(spark, sf_dir), CHANGE_ROW)
+
+
+# -- bronze ---------------------------------------------------------------------
+
+def bronze_event_date(spark, sf_dir):
+    return bronze_rows(spark, sf_dir).select("id", "created_at", "event_date")
+
+
+def bronze_family_filter(spark, sf_dir):
+    return B.route_family(bronze_rows(spark, sf_dir), "ad_revenue").select(
+        "id", "activity_kind", "event_date", "reporting_revenue", "ad_impressions_count"
+    )
+
+
+def bronze_partition_range(spark, sf_dir):
+    table = LakeTable(spark, run_dir(spark, "bronze"), ["event_date"])
+    table.append(bronze_rows(spark, sf_dir))
+    return (
+        table.read()
+        .where(F.col("event_date").between(F.lit(RANGE_FROM).cast("date"), F.lit(RANGE_TO).cast("date")))
+        .select("id", "event_date", "activity_kind")
+    )
+
+
+def frame_decode_roundtrip(spark, sf_dir):
+    return B.decode_messages(X.kafka_messages(spark, sf_dir))
+
+
+def frame_schema_id(spark, sf_dir):
+    return B.frame_header(X.kafka_messages(spark, sf_dir)).select("key", "magic_byte", "schema_id")
+
+
+def cdc_unwrap(spark, sf_dir):
+    return unwrapped_changes(spark, sf_dir)
+
+
+def quarantine_split(spark, sf_dir):
+    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, corrupt=True)
+    return B.route_messages(msgs).select("key", "offset", "reason")
+
+
+# -- silver ---------------------------------------------------------------------
+
+def silver_conform(spark, sf_dir):
+    decoded = B.decode_messages(X.kafka_messages(spark, sf_dir), M.registry_schema())
+    return S.conform(decoded, with_errors=True)
+
+
+def silver_dedupe(spark, sf_dir):
+    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY)
+    return S.conform(S.dedupe_first(B.decode_messages(msgs)))
+
+
+def silver_current(spark, sf_dir):
+    return S.current_state(unwrapped_changes(spark, sf_dir))
+
+
+# -- gold -----------------------------------------------------------------------
+
 def _fact(name: str) -> Query:
     fn = A.FACTS[name][0]
     return lambda spark, sf_dir: fn(silver_rows(spark, sf_dir))
 
 
+def dim_app(spark, sf_dir):
+    return D.dim_app(silver_rows(spark, sf_dir))
+
+
+def dim_campaign(spark, sf_dir):
+    return D.dim_campaign(silver_rows(spark, sf_dir))
+
+
+def report_star_app(spark, sf_dir):
+    silver = silver_rows(spark, sf_dir)
+    return R.report_star_app(A.fact_revenue_daily(silver), D.dim_app(silver))
+
+
+def report_star_campaign(spark, sf_dir):
+    silver = silver_rows(spark, sf_dir)
+    return R.report_star_campaign(A.fact_installs_daily(silver), D.dim_campaign(silver))
+
+
+def report_campaign_performance(spark, sf_dir):
+    silver = silver_rows(spark, sf_dir)
+    return R.report_campaign_performance(
+        A.fact_installs_daily(silver), A.fact_revenue_daily(silver),
+        A.fact_subscription_daily(silver), D.dim_campaign(silver),
+    )
+
+
+def report_ecpm(spark, sf_dir):
+    return R.report_ecpm(A.fact_ad_revenue_daily(silver_rows(spark, sf_dir)))
+
+
+def latest_events(spark, sf_dir):
+    return R.latest_events(silver_rows(spark, sf_dir)).select(
+        "id", "activity_kind", "created_at", "app_token", "tracker", "event_date"
+    )
+
+
+def table_row_count(spark, sf_dir):
+    return R.table_row_count(bronze_rows(spark, sf_dir))
+
+
+def quality_report(spark, sf_dir):
+    return Q.quality_report(silver_rows(spark, sf_dir))
+
+
+def layer_reconcile(spark, sf_dir):
+    source = bronze_rows(spark, sf_dir)
+    bronze = delivered_bronze(spark, sf_dir)
+    silver = S.dedupe_first(bronze)
+    return Q.layer_reconcile(source, bronze, silver)
+
+
 def queries() -> dict[str, Query]:
-    q: dict[str, Query] = {}
+    q: dict[str, Query] = {
+        "bronze_event_date": bronze_event_date,
+        "bronze_family_filter": bronze_family_filter,
+        "bronze_partition_range": bronze_partition_range,
+        "frame_decode_roundtrip": frame_decode_roundtrip,
+        "frame_schema_id": frame_schema_id,
+        "cdc_unwrap": cdc_unwrap,
+        "quarantine_split": quarantine_split,
+        "silver_conform": silver_conform,
+        "silver_dedupe": silver_dedupe,
+        "silver_current": silver_current,
+        "dim_app": dim_app,
+        "dim_campaign": dim_campaign,
+    }
     for name in A.FACTS:
         q[name] = _fact(name)
+    q.update({
+        "report_star_app": report_star_app,
+        "report_star_campaign": report_star_campaign,
+        "report_campaign_performance": report_campaign_performance,
+        "report_ecpm": report_ecpm,
+        "latest_events": latest_events,
+        "table_row_count": table_row_count,
+        "quality_report": quality_report,
+        "layer_reconcile": layer_reconcile,
+    })
     return q

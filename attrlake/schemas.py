@@ -181,3 +181,13 @@ DOMAINS: dict[str, list[str]] = {
     "subscription_product_id": SUBSCRIPTION_PRODUCT_IDS,
     "subscription_sales_region": SUBSCRIPTION_SALES_REGIONS,
 }
+
+
+def registry_schema() -> T.StructType:
+    """The payload schema as the schema registry states it: the four money
+    columns are doubles there (the table says NUMERIC(18,6)); silver's
+    ``conform`` turns them back into DECIMAL(18,6)."""
+    return T.StructType([
+        T.StructField(f.name, T.DoubleType() if f.name in DECIMAL_COLUMNS else f.dataType, f.nullable)
+        for f in bronze_schema().fields
+    ])

@@ -141,6 +141,13 @@ def change_log(spark: SparkSession, sf_dir: str, updates_and_deletes: bool = Tru
 TOPIC = "attribution.events"
 TOPIC_PARTITIONS = 4
 SCHEMA_ID = 1
+# The producer registered schema version 2 on this day (micros of
+# 2024-01-16 00:00); messages from then on carry the new id.
+SCHEMA_V2_FROM_US = 1_705_363_200_000_000
+
+
+def schema_id_of(created_at: Column) -> Column:
+    return F.when(created_at >= SCHEMA_V2_FROM_US, SCHEMA_ID + 1).otherwise(SCHEMA_ID)
 
 
 def kafka_messages(
@@ -160,7 +167,9 @@ def kafka_messages(
     msgs = events.select(
         F.col("id"),
         F.col("created_at"),
-        framing.encode_json_frame(F.struct(*[F.col(c) for c in COLUMN_NAMES]), F.lit(SCHEMA_ID)).alias("value"),
+        framing.encode_json_frame(
+            F.struct(*[F.col(c) for c in COLUMN_NAMES]), schema_id_of(F.col("created_at"))
+        ).alias("value"),
         F.lit(0).alias("copy"),
     )
     if redeliver_every:
@@ -197,6 +206,6 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return log.select(
         F.col("id").cast("string").alias("key"),
-        framing.frame(F.lit(SCHEMA_ID), F.encode(F.to_json(env), "UTF-8")).alias("value"),
+        framing.encode_json_frame(env, F.lit(SCHEMA_ID)).alias("value"),
         F.col("lsn").alias("offset"),
     )
