@@ -326,4 +326,20 @@ from (select coalesce(s.event_date, b.event_date, v.event_date) as event_date,
             from (select distinct id, event_date from good) g group by event_date) v
         on coalesce(s.event_date, b.event_date) = v.event_date) r""",
         MESSAGES, "good as (select * from messages where id % 101 not between 1 and 9)")
+    out.update(_stream_sql(out))
     return out
+
+
+def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
+    """Streaming queries equal their batch form over the same input."""
+    return {
+        "stream_bronze_append": with_bronze(
+            "select b.* from messages m join bronze b on m.id = b.id where m.id % 101 not between 1 and 9",
+            MESSAGES),
+        "stream_silver": batch["silver_dedupe"],
+        "stream_dim_app_upsert": batch["dim_app"],
+        "stream_dim_campaign_upsert": batch["dim_campaign"],
+        "stream_fact_revenue_upsert": batch["fact_revenue_daily"],
+        "stream_fact_events_refresh": batch["fact_events_daily"],
+        "stream_all_layers": batch["layer_reconcile"],
+    }

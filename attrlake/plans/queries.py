@@ -205,3 +205,107 @@ def queries() -> dict[str, Query]:
         "layer_reconcile": layer_reconcile,
     })
     return q
+
+
+# -- streaming (run to completion with availableNow) ------------------------------
+
+from attrlake.functions.time import ntz_to_micros  # noqa: E402
+from attrlake.streaming import pipeline as P  # noqa: E402
+from attrlake.streaming.runner import Lake, run_jobs  # noqa: E402
+
+SLICES = 4
+
+
+def _stream_run(spark: SparkSession, label: str):
+    root = run_dir(spark, label)
+    return root, Lake(spark, f"{root}/lake"), f"{root}/checkpoints"
+
+
+def _topic_files(spark, sf_dir, root, corrupt: bool) -> str:
+    """The topic as files, written oldest offsets first (``SLICES`` appends)."""
+    path = f"{root}/topic"
+    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, corrupt=corrupt)
+    X.write_in_slices(msgs, path, F.col("offset"), SLICES)
+    return path
+
+
+def _silver_files(spark, sf_dir, lake: Lake) -> None:
+    """Silver rows as an append-only table, written in event-time order."""
+    rows = silver_rows(spark, sf_dir)
+    X.write_in_slices(rows, lake.silver.location, ntz_to_micros(F.col("created_at")), SLICES)
+
+
+def _settings(checkpoints: str, files: int | None) -> P.StreamSettings:
+    return P.StreamSettings(checkpoints, {"availableNow": True}, files)
+
+
+def _await(queries) -> None:
+    for q in queries:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"{q.name}: {q.exception()}")
+
+
+def stream_bronze_append(spark, sf_dir):
+    root, lake, ckpt = _stream_run(spark, "stream-bronze")
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), 1)
+    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, 1), quarantine=lake.quarantine))
+    return lake.bronze.read().select(*M.COLUMN_NAMES, "event_date")
+
+
+def stream_silver(spark, sf_dir):
+    root, lake, ckpt = _stream_run(spark, "stream-silver")
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), 1)
+    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, 1)))
+    _await([P.start_silver(spark, lake.bronze, lake.silver, _settings(ckpt, 8))])
+    return lake.silver.read().select(*M.COLUMN_NAMES, "event_date")
+
+
+def _stream_dim(name: str) -> Query:
+    def run(spark, sf_dir):
+        _root, lake, ckpt = _stream_run(spark, f"stream-{name}")
+        _silver_files(spark, sf_dir, lake)
+        _await([P.start_dimension(spark, lake.silver, lake.dim(name), name, _settings(ckpt, 1))])
+        return lake.dim(name).read().drop("bucket")
+    return run
+
+
+def stream_fact_revenue_upsert(spark, sf_dir):
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-revenue")
+    _silver_files(spark, sf_dir, lake)
+    name = "fact_revenue_daily"
+    _await([P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(ckpt, 1))])
+    return lake.fact(name).read()
+
+
+def stream_fact_events_refresh(spark, sf_dir):
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
+    _silver_files(spark, sf_dir, lake)
+    name = "fact_events_daily"
+    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, 1))])
+    return lake.fact(name).read()
+
+
+def stream_all_layers(spark, sf_dir):
+    root, lake, ckpt = _stream_run(spark, "stream-all")
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), 1)
+    config = {"bronze.topic_to_bronze": {"max_files_per_trigger": 1},
+              "silver.bronze_to_silver": {"max_files_per_trigger": 16}}
+    run_jobs(spark, lake, ckpt, topic=topic, available_now=True, config=config)
+    bronze = lake.bronze.read()
+    return Q.layer_reconcile(bronze_rows(spark, sf_dir), bronze, lake.silver.read())
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    "stream_bronze_append": stream_bronze_append,
+    "stream_silver": stream_silver,
+    "stream_dim_app_upsert": _stream_dim("dim_app"),
+    "stream_dim_campaign_upsert": _stream_dim("dim_campaign"),
+    "stream_fact_revenue_upsert": stream_fact_revenue_upsert,
+    "stream_fact_events_refresh": stream_fact_events_refresh,
+    "stream_all_layers": stream_all_layers,
+}
+
+
+def all_queries() -> dict[str, Query]:
+    return {**queries(), **STREAM_QUERIES}

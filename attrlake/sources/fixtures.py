@@ -209,3 +209,21 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         framing.encode_json_frame(env, F.lit(SCHEMA_ID)).alias("value"),
         F.col("lsn").alias("offset"),
     )
+
+
+def write_in_slices(df: DataFrame, path: str, order: Column, slices: int) -> None:
+    """Write ``df`` as ``slices`` successive appends, each a range of the
+    integral ``order`` expression, so a file stream source (which takes the
+    oldest files first) sees the data in that order.  Only the two bounds of
+    ``order`` reach the driver."""
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    edges = [None] + [lo + (hi - lo) * i // slices for i in range(1, slices)] + [None]
+    if lo is None:
+        edges = [None, None]
+    for a, b in zip(edges[:-1], edges[1:]):
+        part = df
+        if a is not None:
+            part = part.where(order > F.lit(a))
+        if b is not None:
+            part = part.where(order <= F.lit(b))
+        part.write.mode("append").parquet(path)

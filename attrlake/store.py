@@ -70,10 +70,12 @@ class LakeTable:
 
     # -- writes ------------------------------------------------------------
     def _writer(self, df: DataFrame):
-        w = df.write
         if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        return w
+            # Rebalance on the partition columns: AQE merges small output
+            # partitions and splits a hot day, so neither tiny files nor one
+            # giant task come out of a write.
+            return df.hint("rebalance", *self.partition_by).write.partitionBy(*self.partition_by)
+        return df.write
 
     def append(self, df: DataFrame) -> None:
         if self.fmt == "iceberg":
@@ -114,18 +116,23 @@ class LakeTable:
             touched = batch.select(*self.partition_by).distinct()
             current = current.join(touched, self.partition_by, "left_semi")
         if merge is None:
-            kept = current.join(batch.select(*keys), keys, "left_anti")
+            # Null-safe key match: a grain column may legitimately be NULL.
+            k = batch.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+            on = [current[c].eqNullSafe(k[f"_k_{c}"]) for c in keys]
+            kept = current.join(k, on, "left_anti")
             new = kept.unionByName(batch.select(current.columns))
         else:
             new = merge(current, batch)
         staged = f"{shared_dir(self.spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
         self._writer(new).mode("overwrite").parquet(staged)
-        self.replace_partitions(self.spark.read.parquet(staged))
+        # Cut lineage at the staged copy: the overwrite below must not re-read
+        # the partitions it is replacing.
+        self.replace_partitions(self.spark.read.schema(new.schema).parquet(staged))
 
     def _merge_into(self, batch: DataFrame, keys: list[str]) -> None:
         view = f"upsert_src_{uuid.uuid4().hex[:8]}"
         batch.createOrReplaceTempView(view)
-        on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+        on = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
         self.spark.sql(
             f"MERGE INTO {self.location} t USING {view} s ON {on} "
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
