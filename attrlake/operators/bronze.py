@@ -135,7 +135,9 @@ def unwrap_changes(envelopes: DataFrame, row: T.StructType, key: str = "id", cod
     silver can order changes of one key.
     """
     env = C.decode(framing.payload(F.col("value")), envelope_schema(row), codec)
-    e = envelopes.where(F.col("value").isNotNull()).select(env.alias("e"))
+    # Decode once (see ``_decoded_once``); a NULL value decodes to NULL and
+    # is dropped with the envelopes that carry neither image.
+    e = envelopes.select(F.explode(F.array(env)).alias("e"))
     e = e.where(F.col("e.after").isNotNull() | F.col("e.before").isNotNull())
     cols = [
         F.col("e.op").alias("op"),

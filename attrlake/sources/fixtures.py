@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrlake.functions import framing
+from attrlake.functions.time import ntz_to_micros
 from attrlake.schemas import COLUMN_NAMES, MONEY
 
 HOUR_US = 3_600_000_000
@@ -45,7 +46,7 @@ def attribution_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "view", "ad_revenue")
         .when(F.col("event_type") == "purchase", "subscription")
         .otherwise(F.col("event_type")).alias("activity_kind"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("created_at"),
+        ntz_to_micros(F.col("ts")).alias("created_at"),
         F.col("value").alias("raw_value"),
         F.regexp_extract("props", "[0-9]+", 0).cast("bigint").alias("k"),
         F.concat(F.lit("adid_"), user).alias("adid"),
@@ -201,7 +202,7 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(op == "u", prev).when(op == "d", row).alias("before"),
         F.when(op.isin("c", "r", "u"), row).alias("after"),
         op.alias("op"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("bigint").alias("ts_ms"),
+        F.floor(ntz_to_micros(F.col("ts")) / 1000).alias("ts_ms"),
         F.struct(F.col("lsn").alias("lsn")).alias("source"),
     )
     return log.select(

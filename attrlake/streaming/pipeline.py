@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from attrlake.functions.time import event_time
+from attrlake.functions.time import event_date_from_micros, event_time
 from attrlake.operators import bronze as B
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
@@ -183,7 +183,8 @@ def windowed_fact(silver_stream: DataFrame, name: str, watermark: str) -> DataFr
             .withWatermark("event_ts", watermark))
     other = [k for k in keys if k != "event_date"]
     agg = rows.groupBy(F.window("event_ts", "1 day"), *other).agg(*measures())
-    return agg.select(F.to_date(F.col("window.start")).alias("event_date"), *other,
+    day = event_date_from_micros(F.unix_micros(F.col("window.start")))
+    return agg.select(day.alias("event_date"), *other,
                       *[c for c in agg.columns if c not in ("window", *other)])
 
 
