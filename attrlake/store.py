@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,10 @@ from pyspark.sql import types as T
 from attrlake.session import shared_dir
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
+# Most partition values a batch may touch before pruning falls back to a
+# semi-join over the whole table.  Only these values (days or buckets, never
+# rows) go through the driver.
+MAX_TOUCHED_PARTITIONS = 4096
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -97,6 +102,28 @@ class LakeTable:
         (self._writer(df).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.location))
 
+    def touched(self, batch: DataFrame) -> DataFrame:
+        """The table's rows in the partitions ``batch`` has rows for.
+
+        The batch's distinct partition values become a literal filter, which
+        Spark applies as ``PartitionFilters`` (files of other partitions are
+        never listed or read).  Above ``MAX_TOUCHED_PARTITIONS`` values a
+        semi-join is used instead.
+        """
+        current = self.read()
+        if not self.partition_by:
+            return current
+        values = batch.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+        if len(values) > MAX_TOUCHED_PARTITIONS:
+            return current.join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
+        if not values:
+            return current.limit(0)
+        cond = reduce(lambda a, b: a | b, [
+            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
+            for row in values
+        ])
+        return current.where(cond)
+
     def upsert(self, batch: DataFrame, keys: list[str], merge: Merge | None = None) -> None:
         """Make the table hold ``batch``'s rows for its keys.
 
@@ -111,10 +138,7 @@ class LakeTable:
             new = merge(batch.limit(0), batch) if merge else batch
             self.replace_partitions(new)
             return
-        current = self.read()
-        if self.partition_by:
-            touched = batch.select(*self.partition_by).distinct()
-            current = current.join(touched, self.partition_by, "left_semi")
+        current = self.touched(batch)
         if merge is None:
             # Null-safe key match: a grain column may legitimately be NULL.
             k = batch.select(*[F.col(c).alias(f"_k_{c}") for c in keys])

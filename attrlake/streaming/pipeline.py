@@ -119,12 +119,14 @@ def append_new_to_silver(batch: DataFrame, silver: LakeTable) -> None:
     """ST4a in one micro-batch: dedupe the batch, drop ids silver already
     holds in the days the batch touches (copies of an id share
     ``event_date``), append the rest."""
-    rows = S.conform(S.dedupe_first(batch))
-    if silver.exists():
-        touched = rows.select("event_date").distinct()
-        held = silver.read().join(touched, "event_date", "left_semi").select("event_date", "id")
-        rows = rows.join(held, ["event_date", "id"], "left_anti")
-    silver.append(rows)
+    rows = S.conform(S.dedupe_first(batch)).persist()
+    try:
+        if silver.exists():
+            held = silver.touched(rows).select("event_date", "id")
+            rows = rows.join(held, ["event_date", "id"], "left_anti")
+        silver.append(rows)
+    finally:
+        rows.unpersist()
 
 
 def start_silver(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
@@ -148,12 +150,15 @@ def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
     """K3/K4: fold the batch's newest attributes per key into the dimension;
     only the hash buckets holding the batch's keys are rewritten."""
     key, attributes = D.DIMENSIONS[name]
-    update = _bucketed(D.latest_attributes(batch, key, attributes), key)
+    update = _bucketed(D.latest_attributes(batch, key, attributes), key).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
         return _bucketed(D.merge_dimension(current.drop("bucket"), new.drop("bucket"), key, attributes), key)
 
-    table.upsert(update, [key], merge=merge)
+    try:
+        table.upsert(update, [key], merge=merge)
+    finally:
+        update.unpersist()
 
 
 def start_dimension(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
@@ -191,7 +196,11 @@ def windowed_fact(silver_stream: DataFrame, name: str, watermark: str) -> DataFr
 def upsert_fact(batch: DataFrame, table: LakeTable, name: str) -> None:
     """K5: replace the changed keys (update mode emits absolute values)."""
     _, keys, _ = STREAM_FACTS[name]
-    table.upsert(batch, keys)
+    batch.persist()  # read twice (touched days, then rows); no recompute of state
+    try:
+        table.upsert(batch, keys)
+    finally:
+        batch.unpersist()
 
 
 def start_fact_upsert(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
@@ -207,8 +216,7 @@ def refresh_touched_days(batch: DataFrame, silver: LakeTable, table: LakeTable,
     and replace those partitions.  The semi-join on the (few) touched days
     lets dynamic partition pruning skip every other day of silver."""
     fn, _ = A.FACTS[name]
-    touched = batch.select("event_date").distinct()
-    table.replace_partitions(fn(silver.read().join(touched, "event_date", "left_semi")))
+    table.replace_partitions(fn(silver.touched(batch)))
 
 
 def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
