@@ -102,7 +102,13 @@ class LakeTable:
         (self._writer(df).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.location))
 
-    def touched(self, batch: DataFrame) -> DataFrame:
+    def _touched_values(self, batch: DataFrame) -> list | None:
+        """Distinct partition values of ``batch``; None when there are more
+        than ``MAX_TOUCHED_PARTITIONS``."""
+        values = batch.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+        return None if len(values) > MAX_TOUCHED_PARTITIONS else values
+
+    def touched(self, batch: DataFrame, values: list | None = None) -> DataFrame:
         """The table's rows in the partitions ``batch`` has rows for.
 
         The batch's distinct partition values become a literal filter, which
@@ -113,8 +119,9 @@ class LakeTable:
         current = self.read()
         if not self.partition_by:
             return current
-        values = batch.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-        if len(values) > MAX_TOUCHED_PARTITIONS:
+        if values is None:
+            values = self._touched_values(batch)
+        if values is None:
             return current.join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
         if not values:
             return current.limit(0)
@@ -127,31 +134,52 @@ class LakeTable:
     def upsert(self, batch: DataFrame, keys: list[str], merge: Merge | None = None) -> None:
         """Make the table hold ``batch``'s rows for its keys.
 
-        ``merge(current, batch)`` computes the new rows of the touched keys
-        (default: the batch row replaces the stored one).  Idempotent: the
-        same batch applied twice leaves the same table.
+        ``batch`` holds one row per key.  ``merge(current, batch)`` computes
+        the new rows of keys the table already holds (default: the batch row
+        replaces the stored one).  Keys the table does not hold yet are
+        appended as new files; only partitions holding an updated key are
+        rewritten.  Idempotent: the same batch applied twice leaves the same
+        table, also when a run stopped between the rewrite and the append.
         """
         if self.fmt == "iceberg":
             self._merge_into(batch, keys)
             return
         if not self.exists():
-            new = merge(batch.limit(0), batch) if merge else batch
-            self.replace_partitions(new)
+            self.append(merge(batch.limit(0), batch) if merge else batch)
+            return
+        # 1. Classify the batch against the keys held in the touched
+        #    partitions, staged so that later steps do not depend on files
+        #    the rewrite below replaces.
+        held = (self.touched(batch).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+                .distinct().withColumn("_held", F.lit(True)))
+        on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
+        classified = batch.join(held, on, "left").select(
+            *batch.columns, F.coalesce(F.col("_held"), F.lit(False)).alias("_held"))
+        staged = self._stage(classified)
+        updates = staged.where(F.col("_held")).drop("_held")
+        fresh = staged.where(~F.col("_held")).drop("_held")
+        # 2. Rewrite only the partitions that hold an updated key.
+        values = self._touched_values(updates) if self.partition_by else [()]
+        if values == []:  # every key is new: nothing to rewrite
+            self.append(fresh)
             return
-        current = self.touched(batch)
+        current = self.touched(updates, values)
         if merge is None:
-            # Null-safe key match: a grain column may legitimately be NULL.
-            k = batch.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
-            on = [current[c].eqNullSafe(k[f"_k_{c}"]) for c in keys]
-            kept = current.join(k, on, "left_anti")
-            new = kept.unionByName(batch.select(current.columns))
+            k = updates.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+            kept = current.join(k, [current[c].eqNullSafe(k[f"_k_{c}"]) for c in keys], "left_anti")
+            rewritten = kept.unionByName(updates.select(current.columns))
         else:
-            new = merge(current, batch)
-        staged = f"{shared_dir(self.spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
-        self._writer(new).mode("overwrite").parquet(staged)
-        # Cut lineage at the staged copy: the overwrite below must not re-read
-        # the partitions it is replacing.
-        self.replace_partitions(self.spark.read.schema(new.schema).parquet(staged))
+            rewritten = merge(current, updates)
+        self.replace_partitions(self._stage(rewritten))
+        # 3. Keys the table did not hold: plain append, nothing rewritten.
+        self.append(fresh.select(*rewritten.columns))
+
+    def _stage(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` under the shared folder and read it back: a lineage
+        cut that survives executor loss (unlike a local checkpoint)."""
+        path = f"{shared_dir(self.spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
+        self._writer(df).mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def _merge_into(self, batch: DataFrame, keys: list[str]) -> None:
         view = f"upsert_src_{uuid.uuid4().hex[:8]}"
