@@ -34,10 +34,6 @@ def frame_header(messages: DataFrame) -> DataFrame:
     )
 
 
-def _decoded(messages: DataFrame, schema: T.StructType, codec: str) -> DataFrame:
-    return messages.withColumn(DECODED, C.decode(framing.payload(F.col("value")), schema, codec))
-
-
 def _decoded_once(messages: DataFrame, schema: T.StructType, codec: str) -> DataFrame:
     """Decode as the output of a one-element ``explode``.
 
@@ -56,11 +52,13 @@ def decode_messages(
     codec: str = "json",
 ) -> DataFrame:
     """Strip the header, decode with one fixed schema, flatten, add
-    ``event_date``.  Tombstones (NULL values) are dropped; for input that may
+    ``event_date``.  Tombstones (NULL or empty values) are dropped; for input that may
     hold damaged messages use ``route_messages`` + ``good_records``, which
     set them aside instead of letting them through as NULL rows."""
     schema = schema or bronze_schema()
-    decoded = _decoded(messages.where(F.col("value").isNotNull()), schema, codec)
+    # A NULL or empty value decodes to NULL; filtering on the decoded struct
+    # (above the decode barrier) drops it without re-running the decode.
+    decoded = _decoded_once(messages, schema, codec).where(F.col(DECODED).isNotNull())
     flat = decoded.select(*[F.col(f"{DECODED}.{f.name}").alias(f.name) for f in schema.fields])
     return with_event_date(flat)
 
