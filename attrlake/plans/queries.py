@@ -214,6 +214,9 @@ from attrlake.streaming import pipeline as P  # noqa: E402
 from attrlake.streaming.runner import Lake, run_jobs  # noqa: E402
 
 SLICES = 4
+# Files per micro-batch when streaming from silver (one file per day and
+# slice): several batches per run, each a later range of days.
+SILVER_FILES = 8
 
 
 def _stream_run(spark: SparkSession, label: str):
@@ -232,7 +235,8 @@ def _topic_files(spark, sf_dir, root, corrupt: bool) -> str:
 def _silver_files(spark, sf_dir, lake: Lake) -> None:
     """Silver rows as an append-only table, written in event-time order."""
     rows = silver_rows(spark, sf_dir)
-    X.write_in_slices(rows, lake.silver.location, ntz_to_micros(F.col("created_at")), SLICES)
+    X.write_in_slices(rows, lake.silver.location, ntz_to_micros(F.col("created_at")), SLICES,
+                      partition_by=["event_date"])
 
 
 def _settings(checkpoints: str, files: int | None) -> P.StreamSettings:
@@ -265,7 +269,7 @@ def _stream_dim(name: str) -> Query:
     def run(spark, sf_dir):
         _root, lake, ckpt = _stream_run(spark, f"stream-{name}")
         _silver_files(spark, sf_dir, lake)
-        _await([P.start_dimension(spark, lake.silver, lake.dim(name), name, _settings(ckpt, 1))])
+        _await([P.start_dimension(spark, lake.silver, lake.dim(name), name, _settings(ckpt, SILVER_FILES))])
         return lake.dim(name).read().drop("bucket")
     return run
 
@@ -274,7 +278,7 @@ def stream_fact_revenue_upsert(spark, sf_dir):
     _root, lake, ckpt = _stream_run(spark, "stream-fact-revenue")
     _silver_files(spark, sf_dir, lake)
     name = "fact_revenue_daily"
-    _await([P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(ckpt, 1))])
+    _await([P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(ckpt, SILVER_FILES))])
     return lake.fact(name).read()
 
 
@@ -282,7 +286,7 @@ def stream_fact_events_refresh(spark, sf_dir):
     _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
     _silver_files(spark, sf_dir, lake)
     name = "fact_events_daily"
-    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, 1))])
+    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, SILVER_FILES))])
     return lake.fact(name).read()
 
 

@@ -212,7 +212,8 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_in_slices(df: DataFrame, path: str, order: Column, slices: int) -> None:
+def write_in_slices(df: DataFrame, path: str, order: Column, slices: int,
+                    partition_by: list[str] | None = None) -> None:
     """Write ``df`` as ``slices`` successive appends, each a range of the
     integral ``order`` expression, so a file stream source (which takes the
     oldest files first) sees the data in that order.  Only the two bounds of
@@ -227,4 +228,7 @@ def write_in_slices(df: DataFrame, path: str, order: Column, slices: int) -> Non
             part = part.where(order > F.lit(a))
         if b is not None:
             part = part.where(order <= F.lit(b))
-        part.write.mode("append").parquet(path)
+        writer = part.write.mode("append")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)

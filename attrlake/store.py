@@ -15,6 +15,7 @@ Two back ends behind one small class:
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -108,28 +109,47 @@ class LakeTable:
         values = batch.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
         return None if len(values) > MAX_TOUCHED_PARTITIONS else values
 
-    def touched(self, batch: DataFrame, values: list | None = None) -> DataFrame:
-        """The table's rows in the partitions ``batch`` has rows for.
+    def _partition_dir(self, row) -> str | None:
+        """``col=value/...`` folder of one partition; None for value types
+        whose folder name needs escaping (then a filter is used)."""
+        parts = []
+        for c, v in zip(self.partition_by, row):
+            if v is None:
+                parts.append(f"{c}=__HIVE_DEFAULT_PARTITION__")
+            elif isinstance(v, (dt.date, int)) and not isinstance(v, bool):
+                parts.append(f"{c}={v.isoformat() if isinstance(v, dt.date) else v}")
+            else:
+                return None
+        return "/".join(parts)
 
-        The batch's distinct partition values become a literal filter, which
-        Spark applies as ``PartitionFilters`` (files of other partitions are
-        never listed or read).  Above ``MAX_TOUCHED_PARTITIONS`` values a
-        semi-join is used instead.
+    def touched(self, batch: DataFrame, values: list | None = None) -> DataFrame:
+        """The table's rows in the partitions ``batch`` has rows for
+        (``batch`` carries the table's columns).
+
+        Only the touched partition folders are listed and read (``basePath``
+        keeps the partition columns), so the cost follows the batch, not the
+        table.  Partition values that need escaping fall back to a literal
+        filter (``PartitionFilters``); above ``MAX_TOUCHED_PARTITIONS``
+        values, to a semi-join.
         """
-        current = self.read()
-        if not self.partition_by:
-            return current
+        if not self.partition_by or self.fmt != "parquet":
+            return self.read()
         if values is None:
             values = self._touched_values(batch)
         if values is None:
-            return current.join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
-        if not values:
-            return current.limit(0)
+            return self.read().join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
+        dirs = [self._partition_dir(r) for r in values]
+        if all(d is not None for d in dirs):
+            paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs]
+            paths = [p for p in paths if _exists(self.spark, p)]
+            if not paths:
+                return self.spark.createDataFrame([], batch.schema)
+            return self.spark.read.option("basePath", self.location).parquet(*paths).select(*batch.columns)
         cond = reduce(lambda a, b: a | b, [
             reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
             for row in values
         ])
-        return current.where(cond)
+        return self.read().where(cond)
 
     def upsert(self, batch: DataFrame, keys: list[str], merge: Merge | None = None) -> None:
         """Make the table hold ``batch``'s rows for its keys.
