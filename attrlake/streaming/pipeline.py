@@ -20,6 +20,7 @@ from the same ``DataFrame -> DataFrame`` functions as the batch form:
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,16 +52,48 @@ DIM_BUCKETS = 16
 
 @dataclass
 class StreamSettings:
-    """Where a query keeps its progress and how often it runs."""
+    """Where a query keeps its progress, how often it runs, how wide it is.
+
+    ``shuffle_partitions`` is the state width of a stateful query: it is
+    fixed in the checkpoint at the first start, so it is set per query,
+    never session-wide (a query takes a copy of the session conf when it
+    starts, see ``_started``).
+    """
 
     checkpoint: str
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
     max_files_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None
+    shuffle_partitions: int | None = None
 
     def available_now(self) -> StreamSettings:
-        return StreamSettings(self.checkpoint, {"availableNow": True},
-                              self.max_files_per_trigger, self.max_offsets_per_trigger)
+        return StreamSettings(self.checkpoint, {"availableNow": True}, self.max_files_per_trigger,
+                              self.max_offsets_per_trigger, self.shuffle_partitions)
+
+
+@contextmanager
+def _started(spark: SparkSession, settings: StreamSettings):
+    """Apply per-query conf while a query starts, then restore the session."""
+    key = "spark.sql.shuffle.partitions"
+    if settings.shuffle_partitions is None:
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(settings.shuffle_partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def rows_dropped_by_watermark(query: StreamingQuery) -> int:
+    """Late rows a stateful query has dropped so far (from its progress
+    reports); silent data loss made visible."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.stateOperators or []:
+            total += op.numRowsDroppedByWatermark or 0
+    return total
 
 
 # -- sources ----------------------------------------------------------------------
@@ -206,9 +239,10 @@ def upsert_fact(batch: DataFrame, table: LakeTable, name: str) -> None:
 def start_fact_upsert(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
                       settings: StreamSettings, watermark: str = "2 days") -> StreamingQuery:
     src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
-    return (_writer(windowed_fact(src, name, watermark), name, settings)
-            .outputMode("update")
-            .foreachBatch(lambda df, _bid: upsert_fact(df, table, name)).start())
+    with _started(spark, settings):
+        return (_writer(windowed_fact(src, name, watermark), name, settings)
+                .outputMode("update")
+                .foreachBatch(lambda df, _bid: upsert_fact(df, table, name)).start())
 
 
 def refresh_touched_days(batch: DataFrame, silver: LakeTable, table: LakeTable, name: str) -> None:

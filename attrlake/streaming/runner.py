@@ -124,6 +124,8 @@ def run_jobs(
                 checkpoint=f"{checkpoint_root.rstrip('/')}/{name.replace('.', '/')}",
                 trigger={"processingTime": cfg.get("trigger_interval", "1 minute")},
                 max_files_per_trigger=cfg.get("max_files_per_trigger"),
+                max_offsets_per_trigger=cfg.get("max_offsets_per_trigger"),
+                shuffle_partitions=cfg.get("shuffle_partitions"),
             )
             if available_now:
                 settings = settings.available_now()
@@ -134,3 +136,38 @@ def run_jobs(
     if not available_now and started:
         spark.streams.awaitAnyTermination()
     return started
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m attrlake.streaming.runner --lake ROOT (--topic-path P | --kafka-servers S --kafka-topic T)``"""
+    import argparse
+
+    from attrlake.session import create_session, shared_dir
+
+    ap = argparse.ArgumentParser(prog="python -m attrlake.streaming.runner")
+    ap.add_argument("--lake", required=True, help="root folder of the lake tables")
+    ap.add_argument("--checkpoints", help="checkpoint root (default: <spark.checkpoint.dir>/streams)")
+    ap.add_argument("--topic-path", help="file form of the topic (parquet of topic rows)")
+    ap.add_argument("--kafka-servers")
+    ap.add_argument("--kafka-topic")
+    ap.add_argument("--config", help="YAML: {job: {trigger_interval, max_files_per_trigger, ...}}")
+    ap.add_argument("--jobs", nargs="*", help=f"subset of {sorted(JOBS)}")
+    ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    args = ap.parse_args(argv)
+
+    spark = create_session("attrlake-jobs")
+    config = load_config(args.config) if args.config else {}
+    bronze_cfg = config.get("bronze.topic_to_bronze", {})
+    topic = None
+    if args.kafka_servers and args.kafka_topic:
+        topic = P.kafka_topic(spark, args.kafka_servers, args.kafka_topic,
+                              bronze_cfg.get("max_offsets_per_trigger"))
+    elif args.topic_path:
+        topic = P.file_topic(spark, args.topic_path, bronze_cfg.get("max_files_per_trigger"))
+    checkpoints = args.checkpoints or f"{shared_dir(spark).rstrip('/')}/streams"
+    run_jobs(spark, Lake(spark, args.lake), checkpoints, names=args.jobs, topic=topic,
+             available_now=args.available_now, config=config)
+
+
+if __name__ == "__main__":
+    main()

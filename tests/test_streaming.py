@@ -77,8 +77,12 @@ def test_short_watermark_drops_late_rows_on_shuffled_input(spark):
     # newest slice first: everything after it is late for a 1-hour watermark
     X.write_in_slices(rows, lake.silver.location, -ntz_to_micros(F.col("created_at")), 3)
     name = "fact_revenue_daily"
-    q = P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(f"{root}/ck"), watermark="1 hour")
+    settings = P.StreamSettings(f"{root}/ck", {"availableNow": True}, 1, shuffle_partitions=3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, watermark="1 hour")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # per query, not session-wide
     _wait([q])
     streamed = lake.fact(name).read().agg(F.sum("events")).first()[0]
     batch = A.fact_revenue_daily(rows).agg(F.sum("events")).first()[0]
     assert 0 < streamed < batch
+    assert P.rows_dropped_by_watermark(q) > 0
