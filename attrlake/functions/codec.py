@@ -30,13 +30,16 @@ def with_corrupt_field(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT_FIELD, T.StringType(), True)])
 
 
-def decode(payload: Column, schema: T.StructType | str, codec: str = "json") -> Column:
+def decode(payload: Column, schema: T.StructType | str, codec: str = "json",
+           mode: str = "PERMISSIVE") -> Column:
     """Decode a binary payload into a struct.
 
     ``json``: permissive parse; malformed or wrongly typed input keeps the raw
     text in ``_corrupt_record`` (an extra field), an empty payload gives NULL.
-    ``avro``: ``from_avro`` in permissive mode with ``schema`` as an Avro
-    schema string; a bad record gives NULL.
+    ``avro``: ``from_avro`` with ``schema`` as an Avro schema string; a bad
+    record gives NULL.  ``mode="FAILFAST"`` makes a bad record fail the query
+    instead (``from_avro``'s own default) -- the pipeline routes bad records
+    to quarantine, so it decodes permissively.
     """
     if codec == "json":
         if not isinstance(schema, T.StructType):
@@ -45,14 +48,14 @@ def decode(payload: Column, schema: T.StructType | str, codec: str = "json") ->
         return F.from_json(
             F.when(F.length(payload) > 0, text),
             with_corrupt_field(schema),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_FIELD, **JSON_OPTIONS},
+            {"mode": mode, "columnNameOfCorruptRecord": CORRUPT_FIELD, **JSON_OPTIONS},
         )
     if codec == "avro":
         try:
             from pyspark.sql.avro.functions import from_avro
         except ImportError as exc:  # pragma: no cover - depends on the install
             raise RuntimeError("the avro codec needs pyspark's avro functions") from exc
-        return from_avro(payload, schema, {"mode": "PERMISSIVE"})
+        return from_avro(payload, schema, {"mode": mode})
     raise ValueError(f"unknown codec {codec!r}")
 
 

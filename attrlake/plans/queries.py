@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrlake import schemas as M
+from attrlake.functions.time import ntz_to_micros
 from attrlake.operators import bronze as B
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
@@ -25,6 +26,8 @@ from attrlake.operators import silver as S
 from attrlake.session import run_dir
 from attrlake.sources import fixtures as X
 from attrlake.store import LakeTable
+from attrlake.streaming import pipeline as P
+from attrlake.streaming.runner import Lake, run_jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,10 +212,6 @@ def queries() -> dict[str, Query]:
 
 # -- streaming (run to completion with availableNow) ------------------------------
 
-from attrlake.functions.time import ntz_to_micros  # noqa: E402
-from attrlake.streaming import pipeline as P  # noqa: E402
-from attrlake.streaming.runner import Lake, run_jobs  # noqa: E402
-
 SLICES = 4
 # Files per micro-batch when streaming from silver (one file per day and
 # slice): several batches per run, each a later range of days.

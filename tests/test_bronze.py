@@ -77,3 +77,14 @@ def test_unwrap_handles_delete_and_empty_envelopes(spark):
     rows = B.unwrap_changes(msgs, CHANGE_ROW).orderBy("lsn").collect()
     assert [(r.op, r.id, r.value, r.lsn) for r in rows] == [
         ("c", 1, 2.0, 10), ("u", 1, 3.0, 11), ("d", 1, None, 12)]
+
+
+def test_failfast_decode_rejects_a_bad_record(spark):
+    import pytest
+
+    from attrlake.functions import codec as C
+
+    msgs = _msgs(spark, [_frame(b'{"id": "seven"}')])
+    df = msgs.select(C.decode(framing.payload(F.col("value")), bronze_schema(), mode="FAILFAST").alias("d"))
+    with pytest.raises(Exception):
+        df.select("d.id").collect()
