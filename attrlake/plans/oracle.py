@@ -341,5 +341,6 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_dim_campaign_upsert": batch["dim_campaign"],
         "stream_fact_revenue_upsert": batch["fact_revenue_daily"],
         "stream_fact_events_refresh": batch["fact_events_daily"],
+        "stream_fact_events_incremental": batch["fact_events_daily"],
         "stream_all_layers": batch["layer_reconcile"],
     }

@@ -289,6 +289,15 @@ def stream_fact_events_refresh(spark, sf_dir):
     return lake.fact(name).read()
 
 
+def stream_fact_events_incremental(spark, sf_dir):
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-events-inc")
+    _silver_files(spark, sf_dir, lake)
+    q = P.start_events_fact(spark, lake.silver, lake.helper("events_partials"), lake.helper("event_devices"),
+                            lake.fact("fact_events_daily"), _settings(ckpt, SILVER_FILES))
+    _await([q])
+    return lake.fact("fact_events_daily").read()
+
+
 def stream_all_layers(spark, sf_dir):
     root, lake, ckpt = _stream_run(spark, "stream-all")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), 1)
@@ -306,6 +315,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_dim_campaign_upsert": _stream_dim("dim_campaign"),
     "stream_fact_revenue_upsert": stream_fact_revenue_upsert,
     "stream_fact_events_refresh": stream_fact_events_refresh,
+    "stream_fact_events_incremental": stream_fact_events_incremental,
     "stream_all_layers": stream_all_layers,
 }
 

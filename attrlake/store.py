@@ -123,8 +123,7 @@ class LakeTable:
         return "/".join(parts)
 
     def touched(self, batch: DataFrame, values: list | None = None) -> DataFrame:
-        """The table's rows in the partitions ``batch`` has rows for
-        (``batch`` carries the table's columns).
+        """The table's rows in the partitions ``batch`` has rows for.
 
         Only the touched partition folders are listed and read (``basePath``
         keeps the partition columns), so the cost follows the batch, not the
@@ -143,14 +142,27 @@ class LakeTable:
             paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs]
             paths = [p for p in paths if _exists(self.spark, p)]
             if not paths:
-                return self.spark.createDataFrame([], batch.schema)
-            return self.spark.read.option("basePath", self.location).parquet(*paths).select(*batch.columns)
+                return self.read().limit(0)
+            return self.spark.read.option("basePath", self.location).parquet(*paths)
         cond = reduce(lambda a, b: a | b, [
             reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
             for row in values
         ])
         return self.read().where(cond)
 
+    def insert_new(self, batch: DataFrame, keys: list[str]) -> None:
+        """Append the rows of ``batch`` whose key the table does not hold yet
+        (one row per key in ``batch``).  Only the touched partitions' key
+        columns are read; replaying a batch appends nothing."""
+        if self.fmt == "iceberg":
+            self._merge_into(batch, keys, insert_only=True)
+            return
+        if self.exists():
+            held = self.touched(batch).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+            on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
+            batch = batch.join(held, on, "left_anti")
+        self.append(batch)
+
     def upsert(self, batch: DataFrame, keys: list[str], merge: Merge | None = None) -> None:
         """Make the table hold ``batch``'s rows for its keys.
 
@@ -201,11 +213,9 @@ class LakeTable:
         self._writer(df).mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def _merge_into(self, batch: DataFrame, keys: list[str]) -> None:
+    def _merge_into(self, batch: DataFrame, keys: list[str], insert_only: bool = False) -> None:
         view = f"upsert_src_{uuid.uuid4().hex[:8]}"
         batch.createOrReplaceTempView(view)
         on = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
-        self.spark.sql(
-            f"MERGE INTO {self.location} t USING {view} s ON {on} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-        )
+        matched = "" if insert_only else "WHEN MATCHED THEN UPDATE SET * "
+        self.spark.sql(f"MERGE INTO {self.location} t USING {view} s ON {on} {matched}WHEN NOT MATCHED THEN INSERT *")

@@ -48,6 +48,10 @@ class Lake:
     def fact(self, name: str) -> LakeTable:
         return self._t("gold", name, ["event_date"])
 
+    def helper(self, name: str) -> LakeTable:
+        """Working tables of incremental gold jobs (not for reporting)."""
+        return self._t("gold/_work", name, ["event_date"])
+
 
 Start = Callable[[SparkSession, Lake, P.StreamSettings, "DataFrame | None"], list[StreamingQuery]]
 
@@ -77,13 +81,18 @@ def _fact_refresh(name: str) -> Start:
         P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, settings)]
 
 
+def _events_fact(spark, lake, settings, _topic):
+    return [P.start_events_fact(spark, lake.silver, lake.helper("events_partials"),
+                                lake.helper("event_devices"), lake.fact("fact_events_daily"), settings)]
+
+
 JOBS: dict[str, Start] = {
     "bronze.topic_to_bronze": _bronze,
     "silver.bronze_to_silver": _silver,
     "gold.dim_app": _dim("dim_app"),
     "gold.dim_campaign": _dim("dim_campaign"),
     **{f"gold.{n}": _fact_upsert(n) for n in P.STREAM_FACTS},
-    "gold.fact_events_daily": _fact_refresh("fact_events_daily"),
+    "gold.fact_events_daily": _events_fact,
 }
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
