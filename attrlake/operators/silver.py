@@ -87,6 +87,17 @@ def current_state(changes: DataFrame, key: str = "id", order: str = "lsn", op_co
     )
 
 
+def latest_changes(changes: DataFrame, key: str = "id", order: str = "lsn") -> DataFrame:
+    """Newest change per key, delete markers kept (the fold of ST4b that a
+    stream applies batch by batch: an older change arriving later cannot
+    bring a deleted key back)."""
+    value_cols = [c for c in changes.columns if c != key]
+    latest = changes.groupBy(key).agg(
+        F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(order)).alias("_last")
+    )
+    return latest.select(key, *[F.col(f"_last.{c}").alias(c) for c in value_cols])
+
+
 def silver_from_bronze(bronze: DataFrame) -> DataFrame:
     """Bronze rows -> silver rows (dedupe by id, then conform)."""
     return conform(dedupe_first(bronze.select(*COLUMN_NAMES, "event_date")))

@@ -337,6 +337,7 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
             "select b.* from messages m join bronze b on m.id = b.id where m.id % 101 not between 1 and 9",
             MESSAGES),
         "stream_silver": batch["silver_dedupe"],
+        "stream_silver_current": batch["silver_current"],
         "stream_dim_app_upsert": batch["dim_app"],
         "stream_dim_campaign_upsert": batch["dim_campaign"],
         "stream_fact_revenue_upsert": batch["fact_revenue_daily"],

@@ -298,6 +298,15 @@ def stream_fact_events_incremental(spark, sf_dir):
     return lake.fact("fact_events_daily").read()
 
 
+def stream_silver_current(spark, sf_dir):
+    root, lake, ckpt = _stream_run(spark, "stream-current")
+    path = f"{root}/changes"
+    X.write_in_slices(X.change_envelopes(spark, sf_dir), path, F.col("offset"), SLICES)
+    table = P.dim_table(spark, f"{root}/lake/silver/current")
+    _await([P.start_current_state(spark, P.file_topic(spark, path, 4), CHANGE_ROW, table, _settings(ckpt, 4))])
+    return P.current_rows(table)
+
+
 def stream_all_layers(spark, sf_dir):
     root, lake, ckpt = _stream_run(spark, "stream-all")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), 1)
@@ -311,6 +320,7 @@ def stream_all_layers(spark, sf_dir):
 STREAM_QUERIES: dict[str, Query] = {
     "stream_bronze_append": stream_bronze_append,
     "stream_silver": stream_silver,
+    "stream_silver_current": stream_silver_current,
     "stream_dim_app_upsert": _stream_dim("dim_app"),
     "stream_dim_campaign_upsert": _stream_dim("dim_campaign"),
     "stream_fact_revenue_upsert": stream_fact_revenue_upsert,

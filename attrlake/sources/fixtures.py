@@ -208,7 +208,10 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select(
         F.col("id").cast("string").alias("key"),
         framing.encode_json_frame(env, F.lit(SCHEMA_ID)).alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
         F.col("lsn").alias("offset"),
+        F.timestamp_micros(ntz_to_micros(F.col("ts"))).alias("timestamp"),
     )
 
 

@@ -293,3 +293,37 @@ def start_events_fact(spark: SparkSession, silver: LakeTable, partials: LakeTabl
     src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
     return (_writer(src, "fact_events_daily", settings)
             .foreachBatch(lambda df, bid: update_events_fact(df, bid, partials, devices, fact)).start())
+
+
+# -- silver: current state per id (ST4b, streaming) --------------------------------
+
+def upsert_current_state(batch: DataFrame, table: LakeTable, key: str = "id", order: str = "lsn") -> None:
+    """Fold a batch of unwrapped changes into the current-state table.
+
+    Latest change per key wins by log position; delete markers stay in the
+    table (read through ``current_rows``) so that an older change arriving
+    after a delete is ignored.  Bucketed by key: a batch rewrites only the
+    buckets holding keys it changes; new keys are appended.
+    """
+    update = _bucketed(S.latest_changes(batch, key, order), key).persist()
+
+    def merge(current: DataFrame, new: DataFrame) -> DataFrame:
+        both = current.select(new.columns).unionByName(new).drop("bucket")
+        return _bucketed(S.latest_changes(both, key, order), key)
+
+    try:
+        table.upsert(update, [key], merge=merge)
+    finally:
+        update.unpersist()
+
+
+def current_rows(table: LakeTable, op_col: str = "op") -> DataFrame:
+    """The current-state table without delete markers."""
+    return table.read().where(F.col(op_col) != "d").drop("bucket")
+
+
+def start_current_state(spark: SparkSession, topic: DataFrame, row: T.StructType, table: LakeTable,
+                        settings: StreamSettings) -> StreamingQuery:
+    changes = B.unwrap_changes(topic, row)
+    return (_writer(changes, "silver_current", settings)
+            .foreachBatch(lambda df, _bid: upsert_current_state(df, table)).start())

@@ -104,3 +104,16 @@ def test_incremental_events_fact_is_exact_under_replay_and_late_rows(spark):
     keys = A.EVENTS_KEYS
     diff = got.select(*keys, "events", "devices").exceptAll(want.select(*keys, "events", "devices"))
     assert got.count() == want.count() and diff.count() == 0
+
+
+def test_current_state_ignores_changes_older_than_a_delete(spark):
+    root = run_dir(spark, "t-current")
+    table = P.dim_table(spark, f"{root}/current")
+    schema = "op string, id bigint, value double, lsn bigint"
+    mk = lambda rows: spark.createDataFrame(rows, schema)
+    P.upsert_current_state(mk([("c", 1, 1.0, 10), ("c", 2, 5.0, 20)]), table)
+    P.upsert_current_state(mk([("d", 1, None, 12)]), table)
+    P.upsert_current_state(mk([("u", 1, 2.0, 11), ("u", 2, 6.0, 21)]), table)  # 11 is older than the delete
+    P.upsert_current_state(mk([("u", 2, 6.0, 21)]), table)  # replay
+    got = sorted((r.id, r.value, r.lsn) for r in P.current_rows(table).collect())
+    assert got == [(2, 6.0, 21)]
