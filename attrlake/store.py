@@ -34,6 +34,16 @@ Merge = Callable[[DataFrame, DataFrame], DataFrame]
 MAX_TOUCHED_PARTITIONS = 4096
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (one level, no recursion)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem via the JVM gateway
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -122,6 +132,14 @@ class LakeTable:
                 return None
         return "/".join(parts)
 
+    def _empty(self) -> DataFrame:
+        """No rows, the table's schema, read from one partition folder only."""
+        first = next((c for c in _children(self.spark, self.location) if "=" in c), None)
+        if first is None:
+            return self.read().limit(0)
+        one = f"{self.location.rstrip('/')}/{first}"
+        return self.spark.read.option("basePath", self.location).parquet(one).limit(0)
+
     def touched(self, batch: DataFrame, values: list | None = None) -> DataFrame:
         """The table's rows in the partitions ``batch`` has rows for.
 
@@ -142,7 +160,7 @@ class LakeTable:
             paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs]
             paths = [p for p in paths if _exists(self.spark, p)]
             if not paths:
-                return self.read().limit(0)
+                return self._empty()
             return self.spark.read.option("basePath", self.location).parquet(*paths)
         cond = reduce(lambda a, b: a | b, [
             reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
