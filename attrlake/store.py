@@ -149,19 +149,23 @@ class LakeTable:
         filter (``PartitionFilters``); above ``MAX_TOUCHED_PARTITIONS``
         values, to a semi-join.
         """
-        if not self.partition_by or self.fmt != "parquet":
+        if not self.partition_by:
             return self.read()
         if values is None:
             values = self._touched_values(batch)
         if values is None:
             return self.read().join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
-        dirs = [self._partition_dir(r) for r in values]
-        if all(d is not None for d in dirs):
+        dirs = [self._partition_dir(r) for r in values] if self.fmt == "parquet" else [None]
+        if values and all(d is not None for d in dirs):
             paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs]
             paths = [p for p in paths if _exists(self.spark, p)]
             if not paths:
                 return self._empty()
             return self.spark.read.option("basePath", self.location).parquet(*paths)
+        if not values:
+            return self._empty() if self.fmt == "parquet" else self.read().limit(0)
+        # Iceberg (or values needing escaping): a literal filter, pruned from
+        # the table's partition metadata.
         cond = reduce(lambda a, b: a | b, [
             reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
             for row in values

@@ -132,20 +132,21 @@ def start_bronze(topic: DataFrame, bronze: LakeTable, settings: StreamSettings,
                  quarantine: LakeTable | None = None, codec: str = "json") -> list[StreamingQuery]:
     """K1: decoded records appended to ``bronze`` (file sink, exactly once)."""
     routed = B.route_messages(topic, codec=codec)
-    good = B.good_records(routed)
-    queries = [
-        _writer(good, "bronze", settings).format("parquet").outputMode("append")
-        .partitionBy("event_date").start(bronze.location)
-    ]
+    queries = [_append_sink(B.good_records(routed), "bronze", bronze, settings)]
     if quarantine is not None:
-        bad = B.quarantined(routed)
-        queries.append(
-            _writer(bad, "bronze_quarantine", settings).format("parquet").outputMode("append")
-            .start(quarantine.location)
-        )
+        queries.append(_append_sink(B.quarantined(routed), "bronze_quarantine", quarantine, settings))
     return queries
 
 
+def _append_sink(df: DataFrame, name: str, table: LakeTable, settings: StreamSettings) -> StreamingQuery:
+    """Append-mode sink into ``table``: the file sink for a folder, the
+    catalog table (``toTable``) for Iceberg; both exactly once."""
+    w = _writer(df, name, settings).format(table.fmt).outputMode("append")
+    if table.partition_by:
+        w = w.partitionBy(*table.partition_by)
+    return w.toTable(table.location) if table.fmt == "iceberg" else w.start(table.location)
+
+
 # -- silver -----------------------------------------------------------------------
 
 def append_new_to_silver(batch: DataFrame, silver: LakeTable) -> None:
@@ -169,6 +170,8 @@ def start_silver(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
 # -- gold: dimensions -------------------------------------------------------------
 
 def dim_table(spark: SparkSession, location: str) -> LakeTable:
+    """A keyed table bucketed by ``pmod(xxhash64(key), DIM_BUCKETS)``.  The
+    bucket count is a property of the table: change it only by rebuilding."""
     return LakeTable(spark, location, ["bucket"])
 
 

@@ -22,12 +22,18 @@ from attrlake.streaming import pipeline as P
 
 @dataclass
 class Lake:
-    """Where each table of the pipeline lives (one root folder or catalog)."""
+    """Where each table of the pipeline lives: folders below ``root``
+    (parquet) or ``<root>.<layer>.<table>`` in a catalog (iceberg)."""
 
     spark: SparkSession
     root: str
+    fmt: str = "parquet"
 
     def _t(self, layer: str, name: str, partition_by: list[str]) -> LakeTable:
+        if self.fmt == "iceberg":
+            layer, _, sub = layer.partition("/")
+            table = f"{sub.strip('_')}_{name}" if sub else name
+            return LakeTable(self.spark, f"{self.root}.{layer}.{table}", partition_by, fmt="iceberg")
         return LakeTable(self.spark, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by)
 
     @property
@@ -43,7 +49,7 @@ class Lake:
         return self._t("silver", "events", ["event_date"])
 
     def dim(self, name: str) -> LakeTable:
-        return P.dim_table(self.spark, f"{self.root.rstrip('/')}/gold/{name}")
+        return self._t("gold", name, ["bucket"])
 
     def fact(self, name: str) -> LakeTable:
         return self._t("gold", name, ["event_date"])
@@ -154,7 +160,9 @@ def main(argv: list[str] | None = None) -> None:
     from attrlake.session import create_session, shared_dir
 
     ap = argparse.ArgumentParser(prog="python -m attrlake.streaming.runner")
-    ap.add_argument("--lake", required=True, help="root folder of the lake tables")
+    ap.add_argument("--lake", required=True, help="root folder of the lake tables, or the catalog name")
+    ap.add_argument("--format", default="parquet", choices=["parquet", "iceberg"])
+    ap.add_argument("--catalog-uri", help="Iceberg REST catalog URI (with --format iceberg)")
     ap.add_argument("--checkpoints", help="checkpoint root (default: <spark.checkpoint.dir>/streams)")
     ap.add_argument("--topic-path", help="file form of the topic (parquet of topic rows)")
     ap.add_argument("--kafka-servers")
@@ -164,7 +172,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     args = ap.parse_args(argv)
 
-    spark = create_session("attrlake-jobs")
+    if args.format == "iceberg":
+        spark = create_session("attrlake-jobs", catalog=args.lake, catalog_uri=args.catalog_uri)
+    else:
+        spark = create_session("attrlake-jobs")
     config = load_config(args.config) if args.config else {}
     bronze_cfg = config.get("bronze.topic_to_bronze", {})
     topic = None
@@ -174,7 +185,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.topic_path:
         topic = P.file_topic(spark, args.topic_path, bronze_cfg.get("max_files_per_trigger"))
     checkpoints = args.checkpoints or f"{shared_dir(spark).rstrip('/')}/streams"
-    run_jobs(spark, Lake(spark, args.lake), checkpoints, names=args.jobs, topic=topic,
+    run_jobs(spark, Lake(spark, args.lake, args.format), checkpoints, names=args.jobs, topic=topic,
              available_now=args.available_now, config=config)
 
 
