@@ -64,3 +64,16 @@ def is_corrupt(decoded: Column, codec: str = "json") -> Column:
     if codec == "json":
         return decoded.isNull() | decoded[CORRUPT_FIELD].isNotNull()
     return decoded.isNull()
+
+
+def registry_schema_string(registry_url: str, subject: str, timeout: float = 30.0) -> str:
+    """The latest schema registered under ``subject`` (e.g.
+    ``<topic>-value``), fetched once on the driver when a job starts.  An
+    HTTP error raises.  Old messages are then decoded with this newest
+    schema, so a breaking schema change needs a restart."""
+    import json
+    import urllib.request
+
+    url = f"{registry_url.rstrip('/')}/subjects/{subject}/versions/latest"
+    with urllib.request.urlopen(url, timeout=timeout) as resp:  # noqa: S310 - configured URL
+        return json.loads(resp.read().decode("utf-8"))["schema"]

@@ -273,12 +273,16 @@ def _stream_dim(name: str) -> Query:
     return run
 
 
-def stream_fact_revenue_upsert(spark, sf_dir):
-    _root, lake, ckpt = _stream_run(spark, "stream-fact-revenue")
-    _silver_files(spark, sf_dir, lake)
-    name = "fact_revenue_daily"
-    _await([P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(ckpt, SILVER_FILES))])
-    return lake.fact(name).read()
+def _stream_fact_upsert(name: str) -> Query:
+    def run(spark, sf_dir):
+        _root, lake, ckpt = _stream_run(spark, f"stream-{name}")
+        _silver_files(spark, sf_dir, lake)
+        _await([P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(ckpt, SILVER_FILES))])
+        return lake.fact(name).read()
+    return run
+
+
+stream_fact_revenue_upsert = _stream_fact_upsert("fact_revenue_daily")
 
 
 def stream_fact_events_refresh(spark, sf_dir):
@@ -324,6 +328,9 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_dim_app_upsert": _stream_dim("dim_app"),
     "stream_dim_campaign_upsert": _stream_dim("dim_campaign"),
     "stream_fact_revenue_upsert": stream_fact_revenue_upsert,
+    "stream_fact_installs_upsert": _stream_fact_upsert("fact_installs_daily"),
+    "stream_fact_ad_revenue_upsert": _stream_fact_upsert("fact_ad_revenue_daily"),
+    "stream_fact_subscription_upsert": _stream_fact_upsert("fact_subscription_daily"),
     "stream_fact_events_refresh": stream_fact_events_refresh,
     "stream_fact_events_incremental": stream_fact_events_incremental,
     "stream_all_layers": stream_all_layers,
