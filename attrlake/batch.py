@@ -33,7 +33,7 @@ def rebuild_dimensions(lake: Lake) -> None:
     """Recompute both dimensions from the whole of silver (latest wins)."""
     silver = lake.silver.read()
     for name, (key, attributes) in D.DIMENSIONS.items():
-        dim = P._bucketed(D.latest_attributes(silver, key, attributes), key)  # noqa: SLF001
+        dim = P.bucketed(D.latest_attributes(silver, key, attributes), key)
         lake.dim(name).replace_partitions(dim)
 
 

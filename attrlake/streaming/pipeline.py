@@ -175,7 +175,7 @@ def dim_table(spark: SparkSession, location: str) -> LakeTable:
     return LakeTable(spark, location, ["bucket"])
 
 
-def _bucketed(dim: DataFrame, key: str) -> DataFrame:
+def bucketed(dim: DataFrame, key: str) -> DataFrame:
     return dim.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(DIM_BUCKETS)).cast("int"))
 
 
@@ -183,10 +183,10 @@ def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
     """K3/K4: fold the batch's newest attributes per key into the dimension;
     only the hash buckets holding the batch's keys are rewritten."""
     key, attributes = D.DIMENSIONS[name]
-    update = _bucketed(D.latest_attributes(batch, key, attributes), key).persist()
+    update = bucketed(D.latest_attributes(batch, key, attributes), key).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
-        return _bucketed(D.merge_dimension(current.drop("bucket"), new.drop("bucket"), key, attributes), key)
+        return bucketed(D.merge_dimension(current.drop("bucket"), new.drop("bucket"), key, attributes), key)
 
     try:
         table.upsert(update, [key], merge=merge)
@@ -308,11 +308,11 @@ def upsert_current_state(batch: DataFrame, table: LakeTable, key: str = "id", or
     after a delete is ignored.  Bucketed by key: a batch rewrites only the
     buckets holding keys it changes; new keys are appended.
     """
-    update = _bucketed(S.latest_changes(batch, key, order), key).persist()
+    update = bucketed(S.latest_changes(batch, key, order), key).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
         both = current.select(new.columns).unionByName(new).drop("bucket")
-        return _bucketed(S.latest_changes(both, key, order), key)
+        return bucketed(S.latest_changes(both, key, order), key)
 
     try:
         table.upsert(update, [key], merge=merge)
