@@ -65,10 +65,11 @@ class StreamSettings:
     max_files_per_trigger: int | None = None
     max_offsets_per_trigger: int | None = None
     shuffle_partitions: int | None = None
+    watermark: str = "2 days"
 
     def available_now(self) -> StreamSettings:
         return StreamSettings(self.checkpoint, {"availableNow": True}, self.max_files_per_trigger,
-                              self.max_offsets_per_trigger, self.shuffle_partitions)
+                              self.max_offsets_per_trigger, self.shuffle_partitions, self.watermark)
 
 
 @contextmanager
@@ -99,9 +100,13 @@ def rows_dropped_by_watermark(query: StreamingQuery) -> int:
 # -- sources ----------------------------------------------------------------------
 
 def kafka_topic(spark: SparkSession, servers: str, topic: str,
-                max_offsets_per_trigger: int | None = None) -> DataFrame:
+                max_offsets_per_trigger: int | None = None,
+                min_partitions: int | None = None) -> DataFrame:
     """The change topic from the earliest offset; lost offsets stop the
-    query.  Needs the Kafka source package on the class path."""
+    query.  ``max_offsets_per_trigger`` bounds a micro-batch (the first one
+    would otherwise take the whole topic); ``min_partitions`` splits the
+    offset ranges of few, large topic partitions over more tasks.  Needs the
+    Kafka source package on the class path."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
@@ -109,6 +114,8 @@ def kafka_topic(spark: SparkSession, servers: str, topic: str,
               .option("failOnDataLoss", "true"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return reader.load().withColumn("key", F.col("key").cast("string"))
 
 

@@ -79,7 +79,7 @@ def _dim(name: str) -> Start:
 
 def _fact_upsert(name: str) -> Start:
     return lambda spark, lake, settings, _t: [
-        P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings)]
+        P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, settings.watermark)]
 
 
 def _fact_refresh(name: str) -> Start:
@@ -141,6 +141,7 @@ def run_jobs(
                 max_files_per_trigger=cfg.get("max_files_per_trigger"),
                 max_offsets_per_trigger=cfg.get("max_offsets_per_trigger"),
                 shuffle_partitions=cfg.get("shuffle_partitions"),
+                watermark=cfg.get("watermark", "2 days"),
             )
             if available_now:
                 settings = settings.available_now()
@@ -181,7 +182,7 @@ def main(argv: list[str] | None = None) -> None:
     topic = None
     if args.kafka_servers and args.kafka_topic:
         topic = P.kafka_topic(spark, args.kafka_servers, args.kafka_topic,
-                              bronze_cfg.get("max_offsets_per_trigger"))
+                              bronze_cfg.get("max_offsets_per_trigger"), bronze_cfg.get("min_partitions"))
     elif args.topic_path:
         topic = P.file_topic(spark, args.topic_path, bronze_cfg.get("max_files_per_trigger"))
     checkpoints = args.checkpoints or f"{shared_dir(spark).rstrip('/')}/streams"
