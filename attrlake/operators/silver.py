@@ -75,16 +75,10 @@ def dedupe_first(df: DataFrame, key: str = "id") -> DataFrame:
 def current_state(changes: DataFrame, key: str = "id", order: str = "lsn", op_col: str = "op") -> DataFrame:
     """ST4b: last state per key by log position; deleted keys removed.
 
-    One partial aggregation: ``max_by(row, order)`` per key, then drop
-    rows whose last change is a delete.
+    One partial aggregation (``latest_changes``), then drop keys whose last
+    change is a delete.
     """
-    value_cols = [c for c in changes.columns if c != key]
-    latest = changes.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(order)).alias("_last")
-    )
-    return latest.where(F.col(f"_last.{op_col}") != "d").select(
-        key, *[F.col(f"_last.{c}").alias(c) for c in value_cols]
-    )
+    return latest_changes(changes, key, order).where(F.col(op_col) != "d")
 
 
 def latest_changes(changes: DataFrame, key: str = "id", order: str = "lsn") -> DataFrame:
