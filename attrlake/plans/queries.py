@@ -213,6 +213,8 @@ def queries() -> dict[str, Query]:
 # -- streaming (run to completion with availableNow) ------------------------------
 
 SLICES = 4
+# Topic files per micro-batch (each slice of the topic is a few files).
+TOPIC_FILES = 2
 # Files per micro-batch when streaming from silver (one file per day and
 # slice): several batches per run, each a later range of days.
 SILVER_FILES = 8
@@ -251,16 +253,16 @@ def _await(queries) -> None:
 
 def stream_bronze_append(spark, sf_dir):
     root, lake, ckpt = _stream_run(spark, "stream-bronze")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), 1)
-    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, 1), quarantine=lake.quarantine))
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
+    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES), quarantine=lake.quarantine))
     return lake.bronze.read().select(*M.COLUMN_NAMES, "event_date")
 
 
 def stream_silver(spark, sf_dir):
     root, lake, ckpt = _stream_run(spark, "stream-silver")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), 1)
-    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, 1)))
-    _await([P.start_silver(spark, lake.bronze, lake.silver, _settings(ckpt, 8))])
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
+    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
+    _await([P.start_silver(spark, lake.bronze, lake.silver, _settings(ckpt, 16))])
     return lake.silver.read().select(*M.COLUMN_NAMES, "event_date")
 
 
@@ -313,8 +315,8 @@ def stream_silver_current(spark, sf_dir):
 
 def stream_all_layers(spark, sf_dir):
     root, lake, ckpt = _stream_run(spark, "stream-all")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), 1)
-    config = {"bronze.topic_to_bronze": {"max_files_per_trigger": 1},
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
+    config = {"bronze.topic_to_bronze": {"max_files_per_trigger": TOPIC_FILES},
               "silver.bronze_to_silver": {"max_files_per_trigger": 16}}
     run_jobs(spark, lake, ckpt, topic=topic, available_now=True, config=config)
     bronze = lake.bronze.read()
