@@ -43,3 +43,24 @@ def compact_gold(lake: Lake, name: str, days: list[str]) -> None:
     bronze are: compact those only into a new location)."""
     table = lake.fact(name)
     table.upsert(_days(table.read(), days), keys=A.FACTS[name][1])
+
+
+def compact_event_partials(lake: Lake, days: list[str]) -> None:
+    """Fold the per-batch partial counts of ``days`` into one row per key
+    (``batch_id = -1``).
+
+    The newest batch id in the table is left unfolded: it is the only batch
+    a restarting stream can replay, and a replay replaces its own rows, so
+    folding it could count it twice.
+    """
+    partials = lake.helper("events_partials")
+    if not partials.exists():
+        return
+    newest = partials.read().agg(F.max("batch_id")).first()[0]
+    rows = _days(partials.read(), days)
+    keys = A.EVENTS_KEYS
+    folded = (rows.where(F.col("batch_id") < newest)
+              .groupBy(*keys).agg(F.sum("events").cast("bigint").alias("events"))
+              .withColumn("batch_id", F.lit(-1).cast("long")))
+    kept = rows.where(F.col("batch_id") >= newest)
+    partials.replace_partitions(partials.stage(folded.unionByName(kept.select(folded.columns))))

@@ -209,7 +209,7 @@ class LakeTable:
         on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
         classified = batch.join(held, on, "left").select(
             *batch.columns, F.coalesce(F.col("_held"), F.lit(False)).alias("_held"))
-        staged = self._stage(classified)
+        staged = self.stage(classified)
         updates = staged.where(F.col("_held")).drop("_held")
         fresh = staged.where(~F.col("_held")).drop("_held")
         # 2. Rewrite only the partitions that hold an updated key.
@@ -224,11 +224,11 @@ class LakeTable:
             rewritten = kept.unionByName(updates.select(current.columns))
         else:
             rewritten = merge(current, updates)
-        self.replace_partitions(self._stage(rewritten))
+        self.replace_partitions(self.stage(rewritten))
         # 3. Keys the table did not hold: plain append, nothing rewritten.
         self.append(fresh.select(*rewritten.columns))
 
-    def _stage(self, df: DataFrame) -> DataFrame:
+    def stage(self, df: DataFrame) -> DataFrame:
         """Write ``df`` under the shared folder and read it back: a lineage
         cut that survives executor loss (unlike a local checkpoint)."""
         path = f"{shared_dir(self.spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
