@@ -187,8 +187,10 @@ def bucketed(dim: DataFrame, key: str) -> DataFrame:
 
 
 def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
-    """K3/K4: fold the batch's newest attributes per key into the dimension;
-    only the hash buckets holding the batch's keys are rewritten."""
+    """K3/K4: fold the batch's newest attributes per key into the dimension.
+    Keys the dimension does not hold yet are appended; only hash buckets
+    holding a key it already has are rewritten (newest ``(last_seen,
+    last_id)`` wins, so an out-of-order batch cannot roll a key back)."""
     key, attributes = D.DIMENSIONS[name]
     update = bucketed(D.latest_attributes(batch, key, attributes), key).persist()
 
@@ -253,9 +255,11 @@ def start_fact_upsert(spark: SparkSession, silver: LakeTable, table: LakeTable,
 
 
 def refresh_touched_days(batch: DataFrame, silver: LakeTable, table: LakeTable, name: str) -> None:
-    """ST9: recompute the days this batch touched from the whole of silver
-    and replace those partitions.  The semi-join on the (few) touched days
-    lets dynamic partition pruning skip every other day of silver."""
+    """ST9: recompute the days this batch touched from silver and replace
+    those partitions.  Only the touched day folders of silver are listed and
+    read (``LakeTable.touched``).  Exact and late-safe, at the cost of
+    re-reading each touched day; ``update_events_fact`` is the incremental
+    form for ``fact_events_daily``."""
     fn, _ = A.FACTS[name]
     table.replace_partitions(fn(silver.touched(batch)))
 
