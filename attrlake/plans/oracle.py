@@ -344,6 +344,7 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_fact_installs_upsert": batch["fact_installs_daily"],
         "stream_fact_ad_revenue_upsert": batch["fact_ad_revenue_daily"],
         "stream_fact_subscription_upsert": batch["fact_subscription_daily"],
+        "stream_fact_revenue_incremental": batch["fact_revenue_daily"],
         "stream_fact_events_refresh": batch["fact_events_daily"],
         "stream_fact_events_incremental": batch["fact_events_daily"],
         "stream_all_layers": batch["layer_reconcile"],

@@ -287,6 +287,16 @@ def _stream_fact_upsert(name: str) -> Query:
 stream_fact_revenue_upsert = _stream_fact_upsert("fact_revenue_daily")
 
 
+def _stream_fact_incremental(name: str) -> Query:
+    def run(spark, sf_dir):
+        _root, lake, ckpt = _stream_run(spark, f"stream-{name}-inc")
+        _silver_files(spark, sf_dir, lake)
+        _await([P.start_fact_incremental(spark, lake.silver, lake.helper(f"{name}_partials"), lake.fact(name),
+                                         name, _settings(ckpt, SILVER_FILES))])
+        return lake.fact(name).read()
+    return run
+
+
 def stream_fact_events_refresh(spark, sf_dir):
     _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
     _silver_files(spark, sf_dir, lake)
@@ -333,6 +343,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_fact_installs_upsert": _stream_fact_upsert("fact_installs_daily"),
     "stream_fact_ad_revenue_upsert": _stream_fact_upsert("fact_ad_revenue_daily"),
     "stream_fact_subscription_upsert": _stream_fact_upsert("fact_subscription_daily"),
+    "stream_fact_revenue_incremental": _stream_fact_incremental("fact_revenue_daily"),
     "stream_fact_events_refresh": stream_fact_events_refresh,
     "stream_fact_events_incremental": stream_fact_events_incremental,
     "stream_all_layers": stream_all_layers,

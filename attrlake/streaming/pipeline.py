@@ -66,10 +66,12 @@ class StreamSettings:
     max_offsets_per_trigger: int | None = None
     shuffle_partitions: int | None = None
     watermark: str = "2 days"
+    fact_mode: str = "window"  # gold facts: "window" (state + watermark) or "incremental"
 
     def available_now(self) -> StreamSettings:
         return StreamSettings(self.checkpoint, {"availableNow": True}, self.max_files_per_trigger,
-                              self.max_offsets_per_trigger, self.shuffle_partitions, self.watermark)
+                              self.max_offsets_per_trigger, self.shuffle_partitions, self.watermark,
+                              self.fact_mode)
 
 
 @contextmanager
@@ -271,42 +273,68 @@ def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable,
             .foreachBatch(lambda df, _bid: refresh_touched_days(df, silver, table, name)).start())
 
 
-# -- gold: exact distinct fact, incrementally --------------------------------------
+# -- gold: facts incrementally (exact, no watermark) ------------------------------
 
-def update_events_fact(batch: DataFrame, batch_id: int, partials: LakeTable, devices: LakeTable,
-                       fact: LakeTable) -> None:
-    """``fact_events_daily`` without re-reading silver.
-
-    Two helper tables, both partitioned by day: per-batch partial event
-    counts keyed by ``(keys, batch_id)`` (replaced when a batch is replayed)
-    and the distinct ``(keys, adid)`` pairs (insert-new-only).  The touched
-    days of the fact are then recomputed from those two, which are far
-    smaller than silver; late rows simply touch an older day.  Exact and
-    idempotent, like ``refresh_touched_days``.
+# name -> (activity kinds or None for all, grain, additive measures, distinct-device measure?)
+INCREMENTAL_FACTS = {
+    **{n: (kinds, keys, measures, False) for n, (kinds, keys, measures) in STREAM_FACTS.items()},
+    "fact_events_daily": (None, A.EVENTS_KEYS, lambda: [A.count_rows().alias("events")], True),
+}
+
+
+def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials: LakeTable,
+                            fact: LakeTable, devices: LakeTable | None = None) -> None:
+    """A daily fact kept exact without streaming state or a watermark.
+
+    Helper tables, partitioned by day: the batch's partial measures keyed by
+    ``(grain, batch_id)`` (replaced when a batch is replayed) and, for the
+    distinct-device count, the distinct ``(grain, adid)`` pairs
+    (insert-new-only).  The touched days of the fact are recomputed from
+    those, which are far smaller than silver; late rows just touch an older
+    day.  Every measure is additive (counts, DECIMAL sums), so summing the
+    partials equals the batch aggregate.
     """
-    keys = A.EVENTS_KEYS
-    rows = batch.select(*keys, "adid").persist()
+    kinds, keys, measures, distinct_devices = INCREMENTAL_FACTS[name]
+    rows = batch if kinds is None else batch.where(
+        F.col("activity_kind").isin(*([kinds] if isinstance(kinds, str) else kinds)))
+    rows = rows.persist()
     try:
-        part = rows.groupBy(*keys).agg(A.count_rows().alias("events")).withColumn("batch_id", F.lit(batch_id))
+        part = rows.groupBy(*keys).agg(*measures()).withColumn("batch_id", F.lit(batch_id).cast("long"))
         partials.upsert(part, keys + ["batch_id"])
-        devices.insert_new(rows.where(F.col("adid").isNotNull()).select(*keys, "adid").distinct(), keys + ["adid"])
-        counted = partials.touched(rows).select(*keys, "events", F.lit(0).alias("_device"))
-        seen = devices.touched(rows).select(*keys, F.lit(0).cast("bigint").alias("events"), F.lit(1).alias("_device"))
-        fact.replace_partitions(
-            counted.unionByName(seen).groupBy(*keys).agg(
-                F.sum("events").cast("bigint").alias("events"),
-                F.sum("_device").cast("bigint").alias("devices"),
-            )
-        )
+        names = [c for c in part.columns if c not in keys and c != "batch_id"]
+        types = {f.name: f.dataType for f in part.schema.fields}
+        total = [F.sum(c).cast(A.SUM_TYPE if types[c].typeName() == "decimal" else "bigint").alias(c) for c in names]
+        counted = partials.touched(rows).select(*keys, *names)
+        if distinct_devices:
+            devices.insert_new(rows.where(F.col("adid").isNotNull()).select(*keys, "adid").distinct(),
+                               keys + ["adid"])
+            seen = devices.touched(rows).select(
+                *keys, *[F.lit(None).cast(types[c]).alias(c) for c in names], F.lit(1).alias("_device"))
+            counted = counted.withColumn("_device", F.lit(0)).unionByName(seen)
+            total.append(F.sum("_device").cast("bigint").alias("devices"))
+        fact.replace_partitions(counted.groupBy(*keys).agg(*total))
     finally:
         rows.unpersist()
 
 
+def update_events_fact(batch: DataFrame, batch_id: int, partials: LakeTable, devices: LakeTable,
+                       fact: LakeTable) -> None:
+    """``fact_events_daily`` incrementally (events + exact distinct devices)."""
+    update_fact_incremental(batch, batch_id, "fact_events_daily", partials, fact, devices)
+
+
+def start_fact_incremental(spark: SparkSession, silver: LakeTable, partials: LakeTable, fact: LakeTable,
+                           name: str, settings: StreamSettings,
+                           devices: LakeTable | None = None) -> StreamingQuery:
+    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
+    return (_writer(src, name, settings)
+            .foreachBatch(lambda df, bid: update_fact_incremental(df, bid, name, partials, fact, devices))
+            .start())
+
+
 def start_events_fact(spark: SparkSession, silver: LakeTable, partials: LakeTable, devices: LakeTable,
                       fact: LakeTable, settings: StreamSettings) -> StreamingQuery:
-    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
-    return (_writer(src, "fact_events_daily", settings)
-            .foreachBatch(lambda df, bid: update_events_fact(df, bid, partials, devices, fact)).start())
+    return start_fact_incremental(spark, silver, partials, fact, "fact_events_daily", settings, devices)
 
 
 # -- silver: current state per id (ST4b, streaming) --------------------------------

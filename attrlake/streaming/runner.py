@@ -78,8 +78,12 @@ def _dim(name: str) -> Start:
 
 
 def _fact_upsert(name: str) -> Start:
-    return lambda spark, lake, settings, _t: [
-        P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, settings.watermark)]
+    def start(spark, lake, settings, _t):
+        if settings.fact_mode == "incremental":
+            return [P.start_fact_incremental(spark, lake.silver, lake.helper(f"{name}_partials"),
+                                             lake.fact(name), name, settings)]
+        return [P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, settings.watermark)]
+    return start
 
 
 def _fact_refresh(name: str) -> Start:
@@ -142,6 +146,7 @@ def run_jobs(
                 max_offsets_per_trigger=cfg.get("max_offsets_per_trigger"),
                 shuffle_partitions=cfg.get("shuffle_partitions"),
                 watermark=cfg.get("watermark", "2 days"),
+                fact_mode=cfg.get("mode", "window"),
             )
             if available_now:
                 settings = settings.available_now()
