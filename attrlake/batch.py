@@ -45,22 +45,27 @@ def compact_gold(lake: Lake, name: str, days: list[str]) -> None:
     table.upsert(_days(table.read(), days), keys=A.FACTS[name][1])
 
 
-def compact_event_partials(lake: Lake, days: list[str]) -> None:
-    """Fold the per-batch partial counts of ``days`` into one row per key
-    (``batch_id = -1``).
+def compact_partials(lake: Lake, name: str, days: list[str]) -> None:
+    """Fold the per-batch partial measures of an incremental fact for
+    ``days`` into one row per key (``batch_id = -1``).
 
     The newest batch id in the table is left unfolded: it is the only batch
     a restarting stream can replay, and a replay replaces its own rows, so
     folding it could count it twice.
     """
-    partials = lake.helper("events_partials")
+    partials = lake.helper("events_partials" if name == "fact_events_daily" else f"{name}_partials")
     if not partials.exists():
         return
+    _kinds, keys, _measures, _distinct = P.INCREMENTAL_FACTS[name]
     newest = partials.read().agg(F.max("batch_id")).first()[0]
     rows = _days(partials.read(), days)
-    keys = A.EVENTS_KEYS
+    measures = [f for f in rows.schema.fields if f.name not in keys and f.name != "batch_id"]
     folded = (rows.where(F.col("batch_id") < newest)
-              .groupBy(*keys).agg(F.sum("events").cast("bigint").alias("events"))
+              .groupBy(*keys).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in measures])
               .withColumn("batch_id", F.lit(-1).cast("long")))
     kept = rows.where(F.col("batch_id") >= newest)
     partials.replace_partitions(partials.stage(folded.unionByName(kept.select(folded.columns))))
+
+
+def compact_event_partials(lake: Lake, days: list[str]) -> None:
+    compact_partials(lake, "fact_events_daily", days)
