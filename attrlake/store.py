@@ -180,7 +180,10 @@ class LakeTable:
             self._merge_into(batch, keys, insert_only=True)
             return
         if self.exists():
-            held = self.touched(batch).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+            values = self._touched_values(batch) if self.partition_by else None
+            if values == []:  # empty batch
+                return
+            held = self.touched(batch, values).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
             on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
             batch = batch.join(held, on, "left_anti")
         self.append(batch)
@@ -204,7 +207,10 @@ class LakeTable:
         # 1. Classify the batch against the keys held in the touched
         #    partitions, staged so that later steps do not depend on files
         #    the rewrite below replaces.
-        held = (self.touched(batch).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+        touched_values = self._touched_values(batch) if self.partition_by else None
+        if touched_values == []:  # empty batch: nothing to do
+            return
+        held = (self.touched(batch, touched_values).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
                 .distinct().withColumn("_held", F.lit(True)))
         on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
         classified = batch.join(held, on, "left").select(
