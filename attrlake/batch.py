@@ -47,24 +47,31 @@ def compact_gold(lake: Lake, name: str, days: list[str]) -> None:
 
 def compact_partials(lake: Lake, name: str, days: list[str]) -> None:
     """Fold the per-batch partial measures of an incremental fact for
-    ``days`` into one row per key (``batch_id = -1``).
+    ``days`` into one folder per day (``batch_id = -1``).
 
     The newest batch id in the table is left unfolded: it is the only batch
-    a restarting stream can replay, and a replay replaces its own rows, so
-    folding it could count it twice.
+    a restarting stream can replay, and a replay overwrites its own folder,
+    so folding it could count it twice.  Each day is staged, then its folder
+    is replaced as a whole (the folded batch folders disappear with it).
     """
     partials = lake.helper("events_partials" if name == "fact_events_daily" else f"{name}_partials")
     if not partials.exists():
         return
     _kinds, keys, _measures, _distinct = P.INCREMENTAL_FACTS[name]
+    grain = [k for k in keys if k != "event_date"]
     newest = partials.read().agg(F.max("batch_id")).first()[0]
-    rows = _days(partials.read(), days)
-    measures = [f for f in rows.schema.fields if f.name not in keys and f.name != "batch_id"]
-    folded = (rows.where(F.col("batch_id") < newest)
-              .groupBy(*keys).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in measures])
-              .withColumn("batch_id", F.lit(-1).cast("long")))
-    kept = rows.where(F.col("batch_id") >= newest)
-    partials.replace_partitions(partials.stage(folded.unionByName(kept.select(folded.columns))))
+    for day in days:
+        rows = partials.touched(partials.spark.createDataFrame([(day,)], "event_date string")
+                                .select(F.col("event_date").cast("date")))
+        measures = [f for f in rows.schema.fields if f.name not in keys and f.name != "batch_id"]
+        folded = (rows.where(F.col("batch_id") < newest)
+                  .groupBy(*keys).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in measures])
+                  .withColumn("batch_id", F.lit(-1).cast("long")))
+        kept = rows.where(F.col("batch_id") >= newest).select(folded.columns)
+        staged = partials.stage(folded.unionByName(kept))
+        (staged.select(*grain, *[f.name for f in measures], "batch_id").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static")  # the whole day folder, folded batches included
+         .partitionBy("batch_id").parquet(f"{partials.location.rstrip('/')}/event_date={day}"))
 
 
 def compact_event_partials(lake: Lake, days: list[str]) -> None:

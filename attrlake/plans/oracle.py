@@ -347,5 +347,6 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_fact_revenue_incremental": batch["fact_revenue_daily"],
         "stream_fact_events_refresh": batch["fact_events_daily"],
         "stream_fact_events_incremental": batch["fact_events_daily"],
+        "stream_bronze_to_gold": batch["fact_events_daily"],
         "stream_all_layers": batch["layer_reconcile"],
     }

@@ -323,6 +323,16 @@ def stream_silver_current(spark, sf_dir):
     return P.current_rows(table)
 
 
+def stream_bronze_to_gold(spark, sf_dir):
+    root, lake, ckpt = _stream_run(spark, "stream-bronze-gold")
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
+    run_jobs(spark, lake, ckpt, names=["bronze.topic_to_bronze", "silver.bronze_to_silver_and_gold"],
+             topic=topic, available_now=True,
+             config={"bronze.topic_to_bronze": {"max_files_per_trigger": TOPIC_FILES},
+                     "silver.bronze_to_silver_and_gold": {"max_files_per_trigger": 48}})
+    return lake.fact("fact_events_daily").read()
+
+
 def stream_all_layers(spark, sf_dir):
     root, lake, ckpt = _stream_run(spark, "stream-all")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
@@ -346,6 +356,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_fact_revenue_incremental": _stream_fact_incremental("fact_revenue_daily"),
     "stream_fact_events_refresh": stream_fact_events_refresh,
     "stream_fact_events_incremental": stream_fact_events_incremental,
+    "stream_bronze_to_gold": stream_bronze_to_gold,
     "stream_all_layers": stream_all_layers,
 }
 

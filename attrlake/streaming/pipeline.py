@@ -286,8 +286,8 @@ def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials
                             fact: LakeTable, devices: LakeTable | None = None) -> None:
     """A daily fact kept exact without streaming state or a watermark.
 
-    Helper tables, partitioned by day: the batch's partial measures keyed by
-    ``(grain, batch_id)`` (replaced when a batch is replayed) and, for the
+    Helper tables, partitioned by day: the batch's partial measures, one
+    folder per ``(day, batch_id)`` (overwritten when a batch is replayed) and, for the
     distinct-device count, the distinct ``(grain, adid)`` pairs
     (insert-new-only).  The touched days of the fact are recomputed from
     those, which are far smaller than silver; late rows just touch an older
@@ -300,7 +300,10 @@ def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials
     rows = rows.persist()
     try:
         part = rows.groupBy(*keys).agg(*measures()).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        partials.upsert(part, keys + ["batch_id"])
+        # One folder per (day, batch): writing a batch's partials is a plain
+        # partition overwrite, which a replay repeats harmlessly.
+        by_batch = LakeTable(partials.spark, partials.location, ["event_date", "batch_id"], partials.fmt)
+        by_batch.replace_partitions(part)
         names = [c for c in part.columns if c not in keys and c != "batch_id"]
         types = {f.name: f.dataType for f in part.schema.fields}
         total = [F.sum(c).cast(A.SUM_TYPE if types[c].typeName() == "decimal" else "bigint").alias(c) for c in names]
@@ -337,6 +340,54 @@ def start_events_fact(spark: SparkSession, silver: LakeTable, partials: LakeTabl
     return start_fact_incremental(spark, silver, partials, fact, "fact_events_daily", settings, devices)
 
 
+# -- silver and gold in one micro-batch ------------------------------------------------
+
+INGEST_BATCH = "ingest_batch"
+
+
+def silver_and_gold(batch: DataFrame, batch_id: int, silver: LakeTable, dims: dict[str, LakeTable],
+                    facts: dict[str, tuple[LakeTable, LakeTable, LakeTable | None]]) -> None:
+    """Silver append plus every dimension and incremental fact, from one
+    micro-batch of bronze.
+
+    Reads bronze through its sink log and never uses silver as a streaming
+    source, so no folder is listed per trigger.  Silver rows carry the batch
+    that inserted them (``ingest_batch``): the rows new in this batch are
+    those silver did not hold *before* it, the same set when the batch is
+    replayed after a partial run, and every gold step applied to them is
+    idempotent.  ``facts`` maps a fact name to (partials, fact, devices).
+    """
+    rows = S.conform(S.dedupe_first(batch)).withColumn(INGEST_BATCH, F.lit(batch_id).cast("long")).persist()
+    try:
+        new = rows
+        if silver.exists():
+            values = silver._touched_values(rows)  # noqa: SLF001
+            if values == []:
+                return
+            earlier = (silver.touched(rows, values).where(F.col(INGEST_BATCH) < batch_id)
+                       .select(F.col("event_date").alias("_d"), F.col("id").alias("_i")))
+            on = [rows["event_date"].eqNullSafe(earlier["_d"]), rows["id"].eqNullSafe(earlier["_i"])]
+            new = rows.join(earlier, on, "left_anti")
+        new = new.persist()
+        silver.insert_new(new, ["event_date", "id"])
+        for name, table in dims.items():
+            upsert_dimension(new, table, name)
+        for name, (partials, fact, devices) in facts.items():
+            update_fact_incremental(new, batch_id, name, partials, fact, devices)
+        new.unpersist()
+    finally:
+        rows.unpersist()
+
+
+def start_silver_and_gold(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
+                          dims: dict[str, LakeTable],
+                          facts: dict[str, tuple[LakeTable, LakeTable, LakeTable | None]],
+                          settings: StreamSettings) -> StreamingQuery:
+    src = bronze.read_stream(BRONZE_TABLE_SCHEMA, settings.max_files_per_trigger)
+    return (_writer(src, "silver_and_gold", settings)
+            .foreachBatch(lambda df, bid: silver_and_gold(df, bid, silver, dims, facts)).start())
+
+
 # -- silver: current state per id (ST4b, streaming) --------------------------------
 
 def upsert_current_state(batch: DataFrame, table: LakeTable, key: str = "id", order: str = "lsn") -> None:
