@@ -85,11 +85,14 @@ def shared_dir(spark: SparkSession) -> str:
     is created and registered, so every later ``checkpoint()`` and staging
     table lands in the same place.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        return configured or tempfile.mkdtemp(prefix="attrlake-")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="attrlake-"))
     return sc.getCheckpointDir()
 

@@ -16,6 +16,7 @@ Two back ends behind one small class:
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -34,8 +35,25 @@ Merge = Callable[[DataFrame, DataFrame], DataFrame]
 MAX_TOUCHED_PARTITIONS = 4096
 
 
+def _local(path: str) -> str | None:
+    """The local path of a ``file:`` URI (or a bare path), else None."""
+    if path.startswith("file:"):
+        return "/" + path[len("file:"):].lstrip("/")
+    return path if "://" not in path else None
+
+
+def _has_jvm(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext._jvm is not None  # noqa: SLF001
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM gateway in this process
+        return False
+
+
 def _children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries directly under ``path`` (one level, no recursion)."""
+    if not _has_jvm(spark) and _local(path) is not None:
+        local = _local(path)
+        return os.listdir(local) if os.path.isdir(local) else []
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
@@ -45,6 +63,10 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds data (ignoring ``_``/``.`` entries)."""
+    if not _has_jvm(spark) and _local(path) is not None:
+        local = _local(path)
+        return os.path.isdir(local) and any(not n.startswith(("_", ".")) for n in os.listdir(local))
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem via the JVM gateway
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
