@@ -48,6 +48,11 @@ class Lake:
     def silver(self) -> LakeTable:
         return self._t("silver", "events", ["event_date"])
 
+    @property
+    def current(self) -> LakeTable:
+        """Current state per id (ST4b), bucketed by id, delete markers kept."""
+        return self._t("silver", "current", ["bucket"])
+
     def dim(self, name: str) -> LakeTable:
         return self._t("gold", name, ["bucket"])
 
@@ -96,6 +101,14 @@ def _events_fact(spark, lake, settings, _topic):
                                 lake.helper("event_devices"), lake.fact("fact_events_daily"), settings)]
 
 
+def _current(spark, lake, settings, topic):
+    if topic is None:
+        raise ValueError("the current-state job needs a topic of change envelopes")
+    from attrlake.schemas import bronze_schema
+
+    return [P.start_current_state(spark, topic, bronze_schema(), lake.current, settings)]
+
+
 def gold_targets(lake: Lake):
     """Dimension tables and (partials, fact, devices) of every incremental fact."""
     dims = {name: lake.dim(name) for name in ("dim_app", "dim_campaign")}
@@ -120,8 +133,11 @@ JOBS: dict[str, Start] = {
     # Alternative to the silver job plus every gold job: one micro-batch job
     # from bronze (no silver folder listed per trigger).  Not in the default set.
     "silver.bronze_to_silver_and_gold": _silver_and_gold,
+    # For a topic that carries change envelopes (no unwrap in the connector):
+    # last state per id, deletes applied.  Not in the default set.
+    "silver.changes_to_current": _current,
 }
-DEFAULT_JOBS = [n for n in JOBS if n != "silver.bronze_to_silver_and_gold"]
+DEFAULT_JOBS = [n for n in JOBS if n not in ("silver.bronze_to_silver_and_gold", "silver.changes_to_current")]
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
 

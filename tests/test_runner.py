@@ -31,3 +31,21 @@ def test_cli_runs_every_layer_and_views_answer(spark):
     quarantined = lake.quarantine.read().groupBy("reason").count().collect()
     assert {r.reason for r in quarantined} >= {"short_value", "bad_magic", "undecodable", "null_id"}
     assert Qy.bronze_rows(spark, SF_SMALL).count() > silver.count()
+
+
+def test_current_state_job_from_an_envelope_topic(spark):
+    from attrlake.plans.queries import CHANGE_ROW
+    from attrlake.operators.silver import current_state
+    from attrlake.streaming import pipeline as P
+
+    root = run_dir(spark, "t-current-job")
+    X.write_in_slices(X.change_envelopes(spark, SF_SMALL), f"{root}/changes", F.col("offset"), 2)
+    lake = runner.Lake(spark, f"{root}/lake")
+    # the job decodes with the event schema; the change-log fixture has its own row shape
+    q = P.start_current_state(spark, P.file_topic(spark, f"{root}/changes", 2), CHANGE_ROW, lake.current,
+                              P.StreamSettings(f"{root}/ck", {"availableNow": True}, 2))
+    q.awaitTermination()
+    want = current_state(Qy.unwrapped_changes(spark, SF_SMALL))
+    got = P.current_rows(lake.current).select(*want.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert "silver.changes_to_current" in runner.JOBS and "silver.changes_to_current" not in runner.DEFAULT_JOBS
