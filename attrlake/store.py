@@ -81,6 +81,11 @@ class LakeTable:
     location: str  # directory (parquet) or catalog identifier (iceberg)
     partition_by: list[str] = field(default_factory=list)
     fmt: str = "parquet"
+    # Files per partition and write when AQE is off (streaming micro-batches):
+    # rows are grouped by the partition columns plus a deterministic salt, so
+    # a day gets about this many files per batch and a hot day is still
+    # written by this many tasks.  None: write map-side (one file per task).
+    files_per_partition: int | None = None
 
     # -- reads -------------------------------------------------------------
     def exists(self) -> bool:
@@ -108,12 +113,18 @@ class LakeTable:
 
     # -- writes ------------------------------------------------------------
     def _writer(self, df: DataFrame):
-        if self.partition_by:
+        if not self.partition_by:
+            return df.write
+        aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+        if aqe:
             # Rebalance on the partition columns: AQE merges small output
             # partitions and splits a hot day, so neither tiny files nor one
             # giant task come out of a write.
-            return df.hint("rebalance", *self.partition_by).write.partitionBy(*self.partition_by)
-        return df.write
+            df = df.hint("rebalance", *self.partition_by)
+        elif self.files_per_partition:
+            salt = F.pmod(F.spark_partition_id(), F.lit(self.files_per_partition))
+            df = df.repartition(*[F.col(c) for c in self.partition_by], salt)
+        return df.write.partitionBy(*self.partition_by)
 
     def append(self, df: DataFrame) -> None:
         if self.fmt == "iceberg":

@@ -150,6 +150,10 @@ def start_bronze(topic: DataFrame, bronze: LakeTable, settings: StreamSettings,
 def _append_sink(df: DataFrame, name: str, table: LakeTable, settings: StreamSettings) -> StreamingQuery:
     """Append-mode sink into ``table``: the file sink for a folder, the
     catalog table (``toTable``) for Iceberg; both exactly once."""
+    if table.partition_by and table.files_per_partition:
+        # Streams run without AQE: bound the files per day and batch.
+        salt = F.pmod(F.spark_partition_id(), F.lit(table.files_per_partition))
+        df = df.repartition(*[F.col(c) for c in table.partition_by], salt)
     w = _writer(df, name, settings).format(table.fmt).outputMode("append")
     if table.partition_by:
         w = w.partitionBy(*table.partition_by)

@@ -28,13 +28,16 @@ class Lake:
     spark: SparkSession
     root: str
     fmt: str = "parquet"
+    files_per_partition: int | None = None  # see LakeTable.files_per_partition
 
     def _t(self, layer: str, name: str, partition_by: list[str]) -> LakeTable:
         if self.fmt == "iceberg":
             layer, _, sub = layer.partition("/")
             table = f"{sub.strip('_')}_{name}" if sub else name
-            return LakeTable(self.spark, f"{self.root}.{layer}.{table}", partition_by, fmt="iceberg")
-        return LakeTable(self.spark, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by)
+            return LakeTable(self.spark, f"{self.root}.{layer}.{table}", partition_by, fmt="iceberg",
+                             files_per_partition=self.files_per_partition)
+        return LakeTable(self.spark, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by,
+                         files_per_partition=self.files_per_partition)
 
     @property
     def bronze(self) -> LakeTable:
@@ -210,6 +213,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--config", help="YAML: {job: {trigger_interval, max_files_per_trigger, ...}}")
     ap.add_argument("--jobs", nargs="*", help=f"subset of {sorted(JOBS)}")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    ap.add_argument("--files-per-partition", type=int,
+                    help="files per day and micro-batch in streaming writes (default: one per task)")
     args = ap.parse_args(argv)
 
     if args.format == "iceberg":
@@ -225,7 +230,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.topic_path:
         topic = P.file_topic(spark, args.topic_path, bronze_cfg.get("max_files_per_trigger"))
     checkpoints = args.checkpoints or f"{shared_dir(spark).rstrip('/')}/streams"
-    run_jobs(spark, Lake(spark, args.lake, args.format), checkpoints, names=args.jobs, topic=topic,
+    run_jobs(spark, Lake(spark, args.lake, args.format, args.files_per_partition), checkpoints,
+             names=args.jobs, topic=topic,
              available_now=args.available_now, config=config)
 
 

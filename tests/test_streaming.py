@@ -143,3 +143,19 @@ def test_silver_and_gold_in_one_batch_is_exact_after_a_partial_run(spark):
         assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0, name
     want = D.dim_campaign(silver)
     assert lake.dim("dim_campaign").read().select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_files_per_partition_bounds_stream_output_files(spark):
+    root = run_dir(spark, "t-files")
+    msgs = X.kafka_messages(spark, SF_SMALL, redeliver_every=7).repartition(6)
+    msgs.write.parquet(f"{root}/topic")  # 6 files
+    counts = {}
+    for n in (None, 2):
+        lake = Lake(spark, f"{root}/lake-{n}", files_per_partition=n)
+        _wait(P.start_bronze(P.file_topic(spark, f"{root}/topic"), lake.bronze, _settings(f"{root}/ck-{n}", None)))
+        files = lake.bronze.read().inputFiles()
+        days = lake.bronze.read().select("event_date").distinct().count()
+        counts[n] = (len(files), days)
+        assert lake.bronze.read().count() == msgs.count()
+    (map_side, days), (salted, _) = counts[None], counts[2]
+    assert salted <= 2 * days < map_side
