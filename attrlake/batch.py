@@ -33,8 +33,8 @@ def rebuild_dimensions(lake: Lake) -> None:
     """Recompute both dimensions from the whole of silver (latest wins)."""
     silver = lake.silver.read()
     for name, (key, attributes) in D.DIMENSIONS.items():
-        dim = P.bucketed(D.latest_attributes(silver, key, attributes), key)
-        lake.dim(name).replace_partitions(dim)
+        table = lake.dim(name)
+        table.replace_partitions(P.bucketed(D.latest_attributes(silver, key, attributes), key, table.buckets))
 
 
 def compact_gold(lake: Lake, name: str, days: list[str]) -> None:

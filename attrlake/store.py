@@ -86,6 +86,9 @@ class LakeTable:
     # a day gets about this many files per batch and a hot day is still
     # written by this many tasks.  None: write map-side (one file per task).
     files_per_partition: int | None = None
+    # Hash buckets of a keyed table partitioned by ``bucket`` (dimensions,
+    # current state).  A property of the table: change it only by rebuilding.
+    buckets: int | None = None
 
     # -- reads -------------------------------------------------------------
     def exists(self) -> bool:

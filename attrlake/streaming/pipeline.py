@@ -182,14 +182,15 @@ def start_silver(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
 
 # -- gold: dimensions -------------------------------------------------------------
 
-def dim_table(spark: SparkSession, location: str) -> LakeTable:
-    """A keyed table bucketed by ``pmod(xxhash64(key), DIM_BUCKETS)``.  The
+def dim_table(spark: SparkSession, location: str, buckets: int = DIM_BUCKETS) -> LakeTable:
+    """A keyed table bucketed by ``pmod(xxhash64(key), buckets)``.  The
     bucket count is a property of the table: change it only by rebuilding."""
-    return LakeTable(spark, location, ["bucket"])
+    return LakeTable(spark, location, ["bucket"], buckets=buckets)
 
 
-def bucketed(dim: DataFrame, key: str) -> DataFrame:
-    return dim.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(DIM_BUCKETS)).cast("int"))
+def bucketed(dim: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    n = buckets or DIM_BUCKETS
+    return dim.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int"))
 
 
 def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
@@ -198,10 +199,11 @@ def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
     holding a key it already has are rewritten (newest ``(last_seen,
     last_id)`` wins, so an out-of-order batch cannot roll a key back)."""
     key, attributes = D.DIMENSIONS[name]
-    update = bucketed(D.latest_attributes(batch, key, attributes), key).persist()
+    update = bucketed(D.latest_attributes(batch, key, attributes), key, table.buckets).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
-        return bucketed(D.merge_dimension(current.drop("bucket"), new.drop("bucket"), key, attributes), key)
+        merged = D.merge_dimension(current.drop("bucket"), new.drop("bucket"), key, attributes)
+        return bucketed(merged, key, table.buckets)
 
     try:
         table.upsert(update, [key], merge=merge)
@@ -402,11 +404,11 @@ def upsert_current_state(batch: DataFrame, table: LakeTable, key: str = "id", or
     after a delete is ignored.  Bucketed by key: a batch rewrites only the
     buckets holding keys it changes; new keys are appended.
     """
-    update = bucketed(S.latest_changes(batch, key, order), key).persist()
+    update = bucketed(S.latest_changes(batch, key, order), key, table.buckets).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
         both = current.select(new.columns).unionByName(new).drop("bucket")
-        return bucketed(S.latest_changes(both, key, order), key)
+        return bucketed(S.latest_changes(both, key, order), key, table.buckets)
 
     try:
         table.upsert(update, [key], merge=merge)

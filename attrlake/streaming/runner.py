@@ -11,7 +11,7 @@ getting its own checkpoint folder below one root.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +29,7 @@ class Lake:
     root: str
     fmt: str = "parquet"
     files_per_partition: int | None = None  # see LakeTable.files_per_partition
+    dim_buckets: int = P.DIM_BUCKETS        # hash buckets of dimensions and current state
 
     def _t(self, layer: str, name: str, partition_by: list[str]) -> LakeTable:
         if self.fmt == "iceberg":
@@ -54,10 +55,10 @@ class Lake:
     @property
     def current(self) -> LakeTable:
         """Current state per id (ST4b), bucketed by id, delete markers kept."""
-        return self._t("silver", "current", ["bucket"])
+        return replace(self._t("silver", "current", ["bucket"]), buckets=self.dim_buckets)
 
     def dim(self, name: str) -> LakeTable:
-        return self._t("gold", name, ["bucket"])
+        return replace(self._t("gold", name, ["bucket"]), buckets=self.dim_buckets)
 
     def fact(self, name: str) -> LakeTable:
         return self._t("gold", name, ["event_date"])
