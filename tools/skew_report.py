@@ -52,7 +52,7 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
-    base = Qy.silver_rows(spark, args.sf).repartition(args.map_tasks)
+    base = Qy.bronze_rows(spark, args.sf).repartition(args.map_tasks)
     hot = F.col("id") % 3 == 0
     skewed = base.select(*[
         F.when(hot, F.lit(v)).otherwise(F.col(c)).alias(c) if c in ("adid", "app_token", "tracker") else F.col(c)
@@ -60,6 +60,10 @@ def main() -> None:
     ])
     storm = skewed.unionByName(skewed.where(hot).withColumn("id", F.lit(-1)))
 
+    from attrlake.operators.silver import conform
+
+    bronze_storm = storm
+    skewed, storm = conform(skewed), conform(storm)
     jobs = {
         "fact_events_daily (count distinct adid)": A.fact_events_daily(skewed),
         "fact_revenue_daily": A.fact_revenue_daily(skewed),
@@ -70,6 +74,22 @@ def main() -> None:
     for label, df in jobs.items():
         spark.sparkContext.setJobGroup(label, label)
         df.write.format("noop").mode("overwrite").save()
+
+    # The streaming silver step on a hot day: a third of the rows moved to one
+    # day, plus the redelivery storm; appended twice (the second time the
+    # anti-join against stored silver has everything to match).
+    from attrlake.store import LakeTable
+    from attrlake.streaming.pipeline import append_new_to_silver
+
+    from attrlake.operators.bronze import with_event_date
+
+    hot_day = bronze_storm.withColumn(
+        "created_at", F.when(F.col("id") % 3 == 0, F.lit(1704103200000000)).otherwise(F.col("created_at")))
+    bronze_like = with_event_date(hot_day.drop("event_date"))
+    silver_table = LakeTable(spark, tempfile.mkdtemp(prefix="run-skew-silver-"), ["event_date"])
+    for round_ in ("silver append (hot day, storm)", "silver re-append (all held)"):
+        spark.sparkContext.setJobGroup(round_, round_)
+        append_new_to_silver(bronze_like, silver_table)
     total_rows = skewed.count()
     spark.stop()
 
