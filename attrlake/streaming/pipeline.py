@@ -20,6 +20,7 @@ from the same ``DataFrame -> DataFrame`` functions as the batch form:
 
 from __future__ import annotations
 
+import hashlib
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -130,7 +131,10 @@ def file_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def _writer(df: DataFrame, name: str, settings: StreamSettings):
-    return (df.writeStream.queryName(name)
+    # The name carries a hash of the checkpoint root: stable across restarts
+    # of one job, distinct between runs sharing a session.
+    tag = hashlib.sha1(settings.checkpoint.encode()).hexdigest()[:6]
+    return (df.writeStream.queryName(f"{name}-{tag}")
             .option("checkpointLocation", f"{settings.checkpoint.rstrip('/')}/{name}")
             .trigger(**settings.trigger))
 
