@@ -99,10 +99,20 @@ def route_messages(
     return with_event_date(out)
 
 
+# Where a bronze row was read from: its topic partition and offset.  Copies
+# of one key share a partition (the topic is keyed by id), so the lowest
+# offset is the first arrival.
+LINEAGE = ["source_partition", "source_offset"]
+
+
 def good_records(routed: DataFrame, schema: T.StructType | None = None) -> DataFrame:
-    """The bronze rows of a routed frame: 55 columns + ``event_date``."""
+    """The bronze rows of a routed frame: 55 columns, ``event_date`` and the
+    topic position (``LINEAGE``)."""
     schema = schema or bronze_schema()
-    return routed.where(F.col("reason").isNull()).select(*[f.name for f in schema.fields], "event_date")
+    return routed.where(F.col("reason").isNull()).select(
+        *[f.name for f in schema.fields], "event_date",
+        F.col("partition").cast("int").alias("source_partition"), F.col("offset").cast("bigint").alias("source_offset"),
+    )
 
 
 def quarantined(routed: DataFrame) -> DataFrame:

@@ -62,14 +62,26 @@ def conform(bronze: DataFrame, with_errors: bool = False) -> DataFrame:
     return bronze.select(*cols)
 
 
-def dedupe_first(df: DataFrame, key: str = "id") -> DataFrame:
-    """ST4a, batch form: one row per ``key``, the copies being redeliveries.
+ARRIVAL = ["source_partition", "source_offset"]
+
 
-    Copies of one id are identical in the pipeline's own workload, so
-    any copy is the first arrival; the streaming form keeps the first micro-
-    batch's copy (anti-join against silver, ``streaming.silver``).
+def dedupe_first(df: DataFrame, key: str = "id") -> DataFrame:
+    """ST4a: one row per ``key``, the first arrival.
+
+    With the topic position of bronze rows, the copy with the lowest
+    ``(source_partition, source_offset)`` wins: a deterministic first
+    arrival even if copies differ.  Without it (a source that kept no
+    position), any copy is kept, which is right for redeliveries of one
+    record.  Either way one partial aggregation; the streaming form also
+    drops ids an earlier micro-batch already put in silver.
     """
-    return df.dropDuplicates([key])
+    if not all(c in df.columns for c in ARRIVAL):
+        return df.dropDuplicates([key])
+    values = [c for c in df.columns if c != key]
+    first = df.groupBy(key).agg(
+        F.min_by(F.struct(*[F.col(c) for c in values]), F.struct(*[F.col(c) for c in ARRIVAL])).alias("_first")
+    )
+    return first.select(key, *[F.col(f"_first.{c}").alias(c) for c in values])
 
 
 def current_state(changes: DataFrame, key: str = "id", order: str = "lsn", op_col: str = "op") -> DataFrame:

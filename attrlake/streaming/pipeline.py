@@ -47,7 +47,11 @@ TOPIC_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
-BRONZE_TABLE_SCHEMA = T.StructType(bronze_schema().fields + [T.StructField("event_date", T.DateType())])
+BRONZE_TABLE_SCHEMA = T.StructType(bronze_schema().fields + [
+    T.StructField("event_date", T.DateType()),
+    T.StructField("source_partition", T.IntegerType()),
+    T.StructField("source_offset", T.LongType()),
+])
 DIM_BUCKETS = 16
 
 

@@ -88,3 +88,14 @@ def test_failfast_decode_rejects_a_bad_record(spark):
     df = msgs.select(C.decode(framing.payload(F.col("value")), bronze_schema(), mode="FAILFAST").alias("d"))
     with pytest.raises(Exception):
         df.select("d.id").collect()
+
+
+def test_first_arrival_wins_when_copies_differ(spark):
+    from attrlake.operators.silver import dedupe_first
+
+    rows = [  # id 5 arrived at offset 3 first, then a changed copy at offset 10
+        (5, "install", 10, 0), (5, "ad_revenue", 3, 0), (6, "install", 4, 1), (6, "install", 4, 1),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, activity_kind string, source_offset bigint, source_partition int")
+    got = {r.id: (r.activity_kind, r.source_offset) for r in dedupe_first(df).collect()}
+    assert got == {5: ("ad_revenue", 3), 6: ("install", 4)}
