@@ -208,15 +208,17 @@ class LakeTable:
         ])
         return self.read().where(cond)
 
-    def insert_new(self, batch: DataFrame, keys: list[str]) -> None:
+    def insert_new(self, batch: DataFrame, keys: list[str], values: list | None = None) -> None:
         """Append the rows of ``batch`` whose key the table does not hold yet
         (one row per key in ``batch``).  Only the touched partitions' key
-        columns are read; replaying a batch appends nothing."""
+        columns are read; replaying a batch appends nothing.  ``values``: the
+        batch's partition values, when the caller has them already."""
         if self.fmt == "iceberg":
             self._merge_into(batch, keys, insert_only=True)
             return
         if self.exists():
-            values = self._touched_values(batch) if self.partition_by else None
+            if values is None and self.partition_by:
+                values = self._touched_values(batch)
             if values == []:  # empty batch
                 return
             held = self.touched(batch, values).select(*[F.col(c).alias(f"_k_{c}") for c in keys])

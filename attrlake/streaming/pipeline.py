@@ -321,11 +321,14 @@ def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials
         names = [c for c in part.columns if c not in keys and c != "batch_id"]
         types = {f.name: f.dataType for f in part.schema.fields}
         total = [F.sum(c).cast(A.SUM_TYPE if types[c].typeName() == "decimal" else "bigint").alias(c) for c in names]
-        counted = partials.touched(rows).select(*keys, *names)
+        days = partials._touched_values(rows)  # noqa: SLF001 - once for every helper table
+        if days == []:
+            return
+        counted = partials.touched(rows, days).select(*keys, *names)
         if distinct_devices:
             devices.insert_new(rows.where(F.col("adid").isNotNull()).select(*keys, "adid").distinct(),
-                               keys + ["adid"])
-            seen = devices.touched(rows).select(
+                               keys + ["adid"], days)
+            seen = devices.touched(rows, days).select(
                 *keys, *[F.lit(None).cast(types[c]).alias(c) for c in names], F.lit(1).alias("_device"))
             counted = counted.withColumn("_device", F.lit(0)).unionByName(seen)
             total.append(F.sum("_device").cast("bigint").alias("devices"))
