@@ -1,16 +1,18 @@
-"""Lake tables: append, read, stream-read, partition replace and keyed upsert.
+"""Lake tables: append, read, stream-read, partition replace, keyed upsert
+and insert-new-only.
 
 Two back ends behind one small class:
 
 * **iceberg** -- a catalog table; upsert is ``MERGE INTO`` (needs the Iceberg
   runtime and a configured catalog, not available in the test container);
-* **parquet** -- a partitioned directory.  Upsert rewrites only the
-  partitions a batch touches: the touched partition values are a semi-join
-  (dynamic partition pruning skips the rest of the table), keys of the batch
-  replace old rows (anti-join + union, or a keyed re-aggregation for
-  dimensions), the result is staged under the shared folder, then the
-  touched partitions are overwritten from the staged copy.  Single writer;
-  not atomic across partitions (that is what Iceberg is for).
+* **parquet** -- a partitioned folder.  A write touches only what a batch
+  needs: the batch's distinct partition values (days or hash buckets, never
+  rows) choose the partition folders that are listed and read; keys the
+  table does not hold are appended as new files; partitions holding an
+  updated key are rewritten from a staged copy under the shared folder, then
+  replaced with a dynamic partition overwrite.  Every step is idempotent, so
+  a replayed micro-batch leaves the same table.  Single writer; not atomic
+  across partitions (that is what Iceberg is for).
 """
 
 from __future__ import annotations
