@@ -92,7 +92,7 @@ def route_messages(
     )
     decoded = _decoded_once(messages, schema, codec)
     out = decoded.select(
-        "key", "topic", "partition", "offset",
+        "key", "value", "topic", "partition", "offset",
         reason.alias("reason"),
         *[d[f.name].alias(f.name) for f in schema.fields],
     )
@@ -116,9 +116,10 @@ def good_records(routed: DataFrame, schema: T.StructType | None = None) -> DataF
 
 
 def quarantined(routed: DataFrame) -> DataFrame:
-    """Messages set aside, with where they came from and why."""
+    """Messages set aside: the raw value (to repair and replay), where it came
+    from and why."""
     return routed.where(F.col("reason").isNotNull() & (F.col("reason") != "tombstone")).select(
-        "key", "topic", "partition", "offset", "reason"
+        "key", "value", "topic", "partition", "offset", "reason"
     )
 
 

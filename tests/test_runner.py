@@ -28,6 +28,7 @@ def test_cli_runs_every_layer_and_views_answer(spark):
         want, got = fn(silver), spark.table(name)
         assert got.count() == want.count(), name
         assert got.select(*want.columns).exceptAll(want).count() == 0, name
+    assert lake.quarantine.read().where("value is null").count() == 0  # raw bytes kept for replay
     quarantined = lake.quarantine.read().groupBy("reason").count().collect()
     assert {r.reason for r in quarantined} >= {"short_value", "bad_magic", "undecodable", "null_id"}
     assert Qy.bronze_rows(spark, SF_SMALL).count() > silver.count()
