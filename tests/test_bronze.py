@@ -99,3 +99,16 @@ def test_first_arrival_wins_when_copies_differ(spark):
     df = spark.createDataFrame(rows, "id bigint, activity_kind string, source_offset bigint, source_partition int")
     got = {r.id: (r.activity_kind, r.source_offset) for r in dedupe_first(df).collect()}
     assert got == {5: ("ad_revenue", 3), 6: ("install", 4)}
+
+
+def test_registry_lookup_reads_the_latest_schema(tmp_path):
+    import json
+
+    from attrlake.functions.codec import registry_schema_string
+
+    latest = tmp_path / "subjects" / "events-value" / "versions"
+    latest.mkdir(parents=True)
+    (latest / "latest").write_text(json.dumps({"subject": "events-value", "version": 3,
+                                               "schema": '{"type": "record", "name": "E", "fields": []}'}))
+    schema = registry_schema_string(tmp_path.as_uri(), "events-value")
+    assert json.loads(schema)["name"] == "E"
