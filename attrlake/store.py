@@ -170,15 +170,19 @@ class LakeTable:
                 return None
         return "/".join(parts)
 
-    def _empty(self) -> DataFrame:
-        """No rows, the table's schema, read from one partition folder only."""
+    def _empty(self, fallback: T.StructType | None = None) -> DataFrame:
+        """No rows, the table's schema, read from one partition folder only
+        (``fallback`` when the table holds no partition yet)."""
         first = next((c for c in _children(self.spark, self.location) if "=" in c), None)
         if first is None:
+            if fallback is not None:
+                return self.spark.createDataFrame([], fallback)
             return self.read().limit(0)
         one = f"{self.location.rstrip('/')}/{first}"
         return self.spark.read.option("basePath", self.location).parquet(one).limit(0)
 
-    def touched(self, batch: DataFrame, values: list | None = None) -> DataFrame:
+    def touched(self, batch: DataFrame, values: list | None = None,
+                fallback: T.StructType | None = None) -> DataFrame:
         """The table's rows in the partitions ``batch`` has rows for.
 
         Only the touched partition folders are listed and read (``basePath``
@@ -198,10 +202,10 @@ class LakeTable:
             paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs]
             paths = [p for p in paths if _exists(self.spark, p)]
             if not paths:
-                return self._empty()
+                return self._empty(fallback)
             return self.spark.read.option("basePath", self.location).parquet(*paths)
         if not values:
-            return self._empty() if self.fmt == "parquet" else self.read().limit(0)
+            return self._empty(fallback) if self.fmt == "parquet" else self.read().limit(0)
         # Iceberg (or values needing escaping): a literal filter, pruned from
         # the table's partition metadata.
         cond = reduce(lambda a, b: a | b, [
@@ -223,7 +227,7 @@ class LakeTable:
                 values = self._touched_values(batch)
             if values == []:  # empty batch
                 return
-            held = self.touched(batch, values).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+            held = self.touched(batch, values, batch.schema).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
             on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
             batch = batch.join(held, on, "left_anti")
         self.append(batch)
@@ -250,7 +254,8 @@ class LakeTable:
         touched_values = self._touched_values(batch) if self.partition_by else None
         if touched_values == []:  # empty batch: nothing to do
             return
-        held = (self.touched(batch, touched_values).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+        held = (self.touched(batch, touched_values, batch.schema)
+                .select(*[F.col(c).alias(f"_k_{c}") for c in keys])
                 .distinct().withColumn("_held", F.lit(True)))
         on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
         classified = batch.join(held, on, "left").select(

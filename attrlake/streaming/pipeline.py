@@ -324,11 +324,11 @@ def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials
         days = partials._touched_values(rows)  # noqa: SLF001 - once for every helper table
         if days == []:
             return
-        counted = partials.touched(rows, days).select(*keys, *names)
+        counted = partials.touched(rows, days, part.schema).select(*keys, *names)
         if distinct_devices:
-            devices.insert_new(rows.where(F.col("adid").isNotNull()).select(*keys, "adid").distinct(),
-                               keys + ["adid"], days)
-            seen = devices.touched(rows, days).select(
+            pairs = rows.where(F.col("adid").isNotNull()).select(*keys, "adid").distinct()
+            devices.insert_new(pairs, keys + ["adid"], days)
+            seen = devices.touched(rows, days, pairs.schema).select(
                 *keys, *[F.lit(None).cast(types[c]).alias(c) for c in names], F.lit(1).alias("_device"))
             counted = counted.withColumn("_device", F.lit(0)).unionByName(seen)
             total.append(F.sum("_device").cast("bigint").alias("devices"))

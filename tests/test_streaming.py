@@ -159,3 +159,15 @@ def test_files_per_partition_bounds_stream_output_files(spark):
         assert lake.bronze.read().count() == msgs.count()
     (map_side, days), (salted, _) = counts[None], counts[2]
     assert salted <= 2 * days < map_side
+
+
+def test_incremental_fact_with_a_batch_without_devices(spark):
+    root = run_dir(spark, "t-no-adid")
+    lake = Lake(spark, f"{root}/lake")
+    silver = Qy.silver_rows(spark, SF_SMALL)
+    no_adid = silver.withColumn("adid", F.lit(None).cast("string"))
+    tables = (lake.helper("events_partials"), lake.helper("event_devices"), lake.fact("fact_events_daily"))
+    P.update_events_fact(no_adid, 0, *tables)  # the device table gets no row at all
+    got = lake.fact("fact_events_daily").read()
+    assert got.agg(F.sum("devices")).first()[0] == 0
+    assert got.agg(F.sum("events")).first()[0] == silver.count()
