@@ -151,7 +151,7 @@ class LakeTable:
         (self._writer(df).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.location))
 
-    def _touched_values(self, batch: DataFrame) -> list | None:
+    def touched_values(self, batch: DataFrame) -> list | None:
         """Distinct partition values of ``batch``; None when there are more
         than ``MAX_TOUCHED_PARTITIONS``."""
         values = batch.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
@@ -194,7 +194,7 @@ class LakeTable:
         if not self.partition_by:
             return self.read()
         if values is None:
-            values = self._touched_values(batch)
+            values = self.touched_values(batch)
         if values is None:
             return self.read().join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
         dirs = [self._partition_dir(r) for r in values] if self.fmt == "parquet" else [None]
@@ -224,7 +224,7 @@ class LakeTable:
             return
         if self.exists():
             if values is None and self.partition_by:
-                values = self._touched_values(batch)
+                values = self.touched_values(batch)
             if values == []:  # empty batch
                 return
             held = self.touched(batch, values, batch.schema).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
@@ -251,7 +251,7 @@ class LakeTable:
         # 1. Classify the batch against the keys held in the touched
         #    partitions, staged so that later steps do not depend on files
         #    the rewrite below replaces.
-        touched_values = self._touched_values(batch) if self.partition_by else None
+        touched_values = self.touched_values(batch) if self.partition_by else None
         if touched_values == []:  # empty batch: nothing to do
             return
         held = (self.touched(batch, touched_values, batch.schema)
@@ -264,7 +264,7 @@ class LakeTable:
         updates = staged.where(F.col("_held")).drop("_held")
         fresh = staged.where(~F.col("_held")).drop("_held")
         # 2. Rewrite only the partitions that hold an updated key.
-        values = self._touched_values(updates) if self.partition_by else [()]
+        values = self.touched_values(updates) if self.partition_by else [()]
         if values == []:  # every key is new: nothing to rewrite
             self.append(fresh)
             return

@@ -321,7 +321,7 @@ def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials
         names = [c for c in part.columns if c not in keys and c != "batch_id"]
         types = {f.name: f.dataType for f in part.schema.fields}
         total = [F.sum(c).cast(A.SUM_TYPE if types[c].typeName() == "decimal" else "bigint").alias(c) for c in names]
-        days = partials._touched_values(rows)  # noqa: SLF001 - once for every helper table
+        days = partials.touched_values(rows)  # once for every helper table
         if days == []:
             return
         counted = partials.touched(rows, days, part.schema).select(*keys, *names)
@@ -378,7 +378,7 @@ def silver_and_gold(batch: DataFrame, batch_id: int, silver: LakeTable, dims: di
     try:
         new = rows
         if silver.exists():
-            values = silver._touched_values(rows)  # noqa: SLF001
+            values = silver.touched_values(rows)
             if values == []:
                 return
             earlier = (silver.touched(rows, values).where(F.col(INGEST_BATCH) < batch_id)
