@@ -251,10 +251,10 @@ class LakeTable:
         # 1. Classify the batch against the keys held in the touched
         #    partitions, staged so that later steps do not depend on files
         #    the rewrite below replaces.
-        touched_values = self.touched_values(batch) if self.partition_by else None
-        if touched_values == []:  # empty batch: nothing to do
+        batch_values = self.touched_values(batch) if self.partition_by else None
+        if batch_values == []:  # empty batch: nothing to do
             return
-        held = (self.touched(batch, touched_values, batch.schema)
+        held = (self.touched(batch, batch_values, batch.schema)
                 .select(*[F.col(c).alias(f"_k_{c}") for c in keys])
                 .distinct().withColumn("_held", F.lit(True)))
         on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
