@@ -61,6 +61,11 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
         if table.exists():
             table.read().createOrReplaceTempView(name)
             names.append(name)
+    if lake.silver.exists():
+        from attrlake.operators.quality import quality_report
+
+        quality_report(spark.table("silver_events")).createOrReplaceTempView("quality_report")
+        names.append("quality_report")
     for name, sql in REPORT_VIEWS.items():
         try:
             spark.sql(sql).createOrReplaceTempView(name)

@@ -57,7 +57,8 @@ def test_upsert_lists_and_reads_only_touched_partitions(spark, lake):
 
 def test_reporting_views_and_small_dims_broadcast_after_measuring(spark, lake):
     names = register_views(spark, lake)
-    assert {"silver_events", "dim_campaign", "report_campaign_performance"} <= set(names)
+    assert {"silver_events", "dim_campaign", "report_campaign_performance", "quality_report"} <= set(names)
+    assert spark.table("quality_report").where("rule = 'Q1_id_not_null_unique'").first().violations == 0
     df = spark.table("report_campaign_performance")
     assert df.count() > 0
     final = df._jdf.queryExecution().executedPlan().toString()
