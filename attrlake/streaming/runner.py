@@ -140,8 +140,18 @@ JOBS: dict[str, Start] = {
     # For a topic that carries change envelopes (no unwrap in the connector):
     # last state per id, deletes applied.  Not in the default set.
     "silver.changes_to_current": _current,
+    # ST9 as a job: recompute the touched days of the fact from silver
+    # (instead of the incremental form).  Not in the default set.
+    "gold.fact_events_daily_refresh": _fact_refresh("fact_events_daily"),
 }
-DEFAULT_JOBS = [n for n in JOBS if n not in ("silver.bronze_to_silver_and_gold", "silver.changes_to_current")]
+OPT_IN_JOBS = ("silver.bronze_to_silver_and_gold", "silver.changes_to_current", "gold.fact_events_daily_refresh")
+DEFAULT_JOBS = [n for n in JOBS if n not in OPT_IN_JOBS]
+# Jobs that write the same table must not run together.
+EXCLUSIVE = [
+    ({"silver.bronze_to_silver_and_gold"}, {"silver.bronze_to_silver", "gold.dim_app", "gold.dim_campaign",
+                                           *[f"gold.{n}" for n in P.STREAM_FACTS], "gold.fact_events_daily"}),
+    ({"gold.fact_events_daily_refresh"}, {"gold.fact_events_daily"}),
+]
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
 
@@ -171,6 +181,9 @@ def run_jobs(
 ) -> list[StreamingQuery]:
     """Start the named jobs (all by default); see the module doc for waiting."""
     names = names or DEFAULT_JOBS
+    for left, right in EXCLUSIVE:
+        if left & set(names) and right & set(names):
+            raise ValueError(f"jobs {sorted(left & set(names))} and {sorted(right & set(names))} write the same tables")
     config = config or {}
     started: list[StreamingQuery] = []
     for layer in LAYER_ORDER:
