@@ -50,3 +50,11 @@ def test_current_state_job_from_an_envelope_topic(spark):
     got = P.current_rows(lake.current).select(*want.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
     assert "silver.changes_to_current" in runner.JOBS and "silver.changes_to_current" not in runner.DEFAULT_JOBS
+
+
+def test_jobs_writing_the_same_tables_are_refused():
+    import pytest
+
+    with pytest.raises(ValueError, match="write the same tables"):
+        runner.run_jobs(None, None, "/unused", names=["silver.bronze_to_silver", "silver.bronze_to_silver_and_gold"])
+    assert "gold.fact_events_daily_refresh" not in runner.DEFAULT_JOBS
