@@ -64,11 +64,14 @@ def main() -> None:
 
     bronze_storm = storm
     skewed, storm = conform(skewed), conform(storm)
+    with_position = storm.withColumn("source_partition", F.pmod(F.abs(F.col("id")), F.lit(4)).cast("int")) \
+        .withColumn("source_offset", F.monotonically_increasing_id())
     jobs = {
         "fact_events_daily (count distinct adid)": A.fact_events_daily(skewed),
         "fact_revenue_daily": A.fact_revenue_daily(skewed),
         "dim_app (max_by)": D.dim_app(skewed),
         "silver dedupe (hot id)": S.dedupe_first(storm),
+        "first-arrival dedupe (hot id, min_by)": S.dedupe_first(with_position),
         "quality_report": Q.quality_report(storm),
     }
     for label, df in jobs.items():
