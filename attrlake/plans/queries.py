@@ -70,16 +70,19 @@ def unwrapped_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- bronze ---------------------------------------------------------------------
 
 def bronze_event_date(spark, sf_dir):
+    """Partition day of every bronze row."""
     return bronze_rows(spark, sf_dir).select("id", "created_at", "event_date")
 
 
 def bronze_family_filter(spark, sf_dir):
+    """The ad-revenue family of bronze."""
     return B.route_family(bronze_rows(spark, sf_dir), "ad_revenue").select(
         "id", "activity_kind", "event_date", "reporting_revenue", "ad_impressions_count"
     )
 
 
 def bronze_partition_range(spark, sf_dir):
+    """Bronze written partitioned by day, read back for a day range (PartitionFilters)."""
     table = LakeTable(spark, run_dir(spark, "bronze"), ["event_date"])
     table.append(bronze_rows(spark, sf_dir))
     return (
@@ -90,18 +93,22 @@ def bronze_partition_range(spark, sf_dir):
 
 
 def frame_decode_roundtrip(spark, sf_dir):
+    """Frame every event, strip the header, decode, flatten; equals the source."""
     return B.decode_messages(X.kafka_messages(spark, sf_dir))
 
 
 def frame_schema_id(spark, sf_dir):
+    """Magic byte and schema id of every message."""
     return B.frame_header(X.kafka_messages(spark, sf_dir)).select("key", "magic_byte", "schema_id")
 
 
 def cdc_unwrap(spark, sf_dir):
+    """P5: unwrap every change envelope of the change log."""
     return unwrapped_changes(spark, sf_dir)
 
 
 def quarantine_split(spark, sf_dir):
+    """P10: route every message (with redeliveries and damage) to bronze or quarantine."""
     msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, corrupt=True)
     return B.route_messages(msgs).select("key", "offset", "reason")
 
@@ -109,16 +116,19 @@ def quarantine_split(spark, sf_dir):
 # -- silver ---------------------------------------------------------------------
 
 def silver_conform(spark, sf_dir):
+    """Decode with the registry's types, conform to silver types, count cast errors."""
     decoded = B.decode_messages(X.kafka_messages(spark, sf_dir), M.registry_schema())
     return S.conform(decoded, with_errors=True)
 
 
 def silver_dedupe(spark, sf_dir):
+    """ST4a (batch): dedupe redelivered messages, conform."""
     msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY)
     return S.conform(S.dedupe_first(B.decode_messages(msgs)))
 
 
 def silver_current(spark, sf_dir):
+    """ST4b (batch): last state per id of the change log, deletes applied."""
     return S.current_state(unwrapped_changes(spark, sf_dir))
 
 
@@ -130,24 +140,29 @@ def _fact(name: str) -> Query:
 
 
 def dim_app(spark, sf_dir):
+    """W1/K3 source: latest app attributes per app_token."""
     return D.dim_app(silver_rows(spark, sf_dir))
 
 
 def dim_campaign(spark, sf_dir):
+    """W1/K4 source: latest campaign attributes per tracker."""
     return D.dim_campaign(silver_rows(spark, sf_dir))
 
 
 def report_star_app(spark, sf_dir):
+    """Revenue per day and app joined to dim_app."""
     silver = silver_rows(spark, sf_dir)
     return R.report_star_app(A.fact_revenue_daily(silver), D.dim_app(silver))
 
 
 def report_star_campaign(spark, sf_dir):
+    """Installs per day and tracker joined to dim_campaign."""
     silver = silver_rows(spark, sf_dir)
     return R.report_star_campaign(A.fact_installs_daily(silver), D.dim_campaign(silver))
 
 
 def report_campaign_performance(spark, sf_dir):
+    """Installs, revenue, cost and revenue per install per day and tracker."""
     silver = silver_rows(spark, sf_dir)
     return R.report_campaign_performance(
         A.fact_installs_daily(silver), A.fact_revenue_daily(silver),
@@ -156,24 +171,29 @@ def report_campaign_performance(spark, sf_dir):
 
 
 def report_ecpm(spark, sf_dir):
+    """eCPM per day and ad network from additive sums."""
     return R.report_ecpm(A.fact_ad_revenue_daily(silver_rows(spark, sf_dir)))
 
 
 def latest_events(spark, sf_dir):
+    """The 20 newest silver rows."""
     return R.latest_events(silver_rows(spark, sf_dir)).select(
         "id", "activity_kind", "created_at", "app_token", "tracker", "event_date"
     )
 
 
 def table_row_count(spark, sf_dir):
+    """Row count of bronze."""
     return R.table_row_count(bronze_rows(spark, sf_dir))
 
 
 def quality_report(spark, sf_dir):
+    """Q1-Q11 over silver."""
     return Q.quality_report(silver_rows(spark, sf_dir))
 
 
 def layer_reconcile(spark, sf_dir):
+    """Rows and ids per day in source, bronze and silver."""
     source = bronze_rows(spark, sf_dir)
     bronze = delivered_bronze(spark, sf_dir)
     # Only ids and days are counted: dedupe just those (and the arrival order),
@@ -254,6 +274,7 @@ def _await(queries) -> None:
 
 
 def stream_bronze_append(spark, sf_dir):
+    """Topic files -> bronze stream (file sink) with quarantine; equals the batch form."""
     root, lake, ckpt = _stream_run(spark, "stream-bronze")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
     _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES), quarantine=lake.quarantine))
@@ -261,6 +282,7 @@ def stream_bronze_append(spark, sf_dir):
 
 
 def stream_silver(spark, sf_dir):
+    """S3/ST4a/K2: bronze stream -> silver (dedupe + anti-join per batch)."""
     root, lake, ckpt = _stream_run(spark, "stream-silver")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
     _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
@@ -300,6 +322,7 @@ def _stream_fact_incremental(name: str) -> Query:
 
 
 def stream_fact_events_refresh(spark, sf_dir):
+    """ST9: touched-day recompute of fact_events_daily from silver."""
     _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
     _silver_files(spark, sf_dir, lake)
     name = "fact_events_daily"
@@ -308,6 +331,7 @@ def stream_fact_events_refresh(spark, sf_dir):
 
 
 def stream_fact_events_incremental(spark, sf_dir):
+    """ST9 (incremental): fact_events_daily from per-batch partials and device pairs."""
     _root, lake, ckpt = _stream_run(spark, "stream-fact-events-inc")
     _silver_files(spark, sf_dir, lake)
     q = P.start_events_fact(spark, lake.silver, lake.helper("events_partials"), lake.helper("event_devices"),
@@ -317,6 +341,7 @@ def stream_fact_events_incremental(spark, sf_dir):
 
 
 def stream_silver_current(spark, sf_dir):
+    """ST4b (stream): change-envelope topic -> current state per id."""
     root, lake, ckpt = _stream_run(spark, "stream-current")
     path = f"{root}/changes"
     X.write_in_slices(X.change_envelopes(spark, sf_dir), path, F.col("offset"), SLICES)
@@ -326,6 +351,7 @@ def stream_silver_current(spark, sf_dir):
 
 
 def stream_bronze_to_gold(spark, sf_dir):
+    """Combined job: bronze -> silver + dims + incremental facts in one micro-batch."""
     root, lake, ckpt = _stream_run(spark, "stream-bronze-gold")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
     run_jobs(spark, lake, ckpt, names=["bronze.topic_to_bronze", "silver.bronze_to_silver_and_gold"],
@@ -336,6 +362,7 @@ def stream_bronze_to_gold(spark, sf_dir):
 
 
 def stream_all_layers(spark, sf_dir):
+    """ST10: every default job, layer by layer; the stored layers reconciled."""
     root, lake, ckpt = _stream_run(spark, "stream-all")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
     config = {"bronze.topic_to_bronze": {"max_files_per_trigger": TOPIC_FILES},
