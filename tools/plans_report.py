@@ -31,8 +31,8 @@ def summarize(plan: str) -> list[str]:
         body = re.sub(r"#\d+L?", "", body)
         if body.startswith(("FileScan", "Scan ")):
             cols = re.search(r"\[([^\]]*)\]", body)
-            pushed = re.search(r"PushedFilters: \[([^\]]*)\]", body)
-            parts = re.search(r"PartitionFilters: \[([^\]]*)\]", body)
+            pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", body)
+            parts = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", body)
             body = (f"Scan parquet cols=[{cols.group(1) if cols else ''}]"
                     + (f" PushedFilters=[{pushed.group(1)[:120]}]" if pushed and pushed.group(1) else "")
                     + (f" PartitionFilters=[{parts.group(1)[:120]}]" if parts and parts.group(1) else ""))
