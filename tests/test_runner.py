@@ -58,3 +58,12 @@ def test_jobs_writing_the_same_tables_are_refused():
     with pytest.raises(ValueError, match="write the same tables"):
         runner.run_jobs(None, None, "/unused", names=["silver.bronze_to_silver", "silver.bronze_to_silver_and_gold"])
     assert "gold.fact_events_daily_refresh" not in runner.DEFAULT_JOBS
+
+
+def test_config_names_only_real_jobs_and_known_keys():
+    cfg = runner.load_config(f"{ROOT}/conf/jobs.yaml")
+    known = {"trigger_interval", "max_files_per_trigger", "max_offsets_per_trigger", "min_partitions",
+             "shuffle_partitions", "watermark", "mode"}
+    assert set(cfg) <= set(runner.JOBS)
+    for job, settings in cfg.items():
+        assert set(settings) <= known, (job, set(settings) - known)
