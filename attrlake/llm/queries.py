@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrlake.llm import decontam, quality, simhash, toxicity
-from attrlake.llm.common import table
+from attrlake.llm import decontam, mixing, quality, sharding, simhash, topk, toxicity
+from attrlake.llm.common import stored, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = stored(topk.integer_vectors(table(spark, sf_dir, "embeddings")), "integer-vectors")
+    return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kept copy's document, source and copy number."""
+    return mixing.mix(table(spark, sf_dir, "documents"), copy_column="copy").select("doc_id", "source", "copy")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_manifest(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,7 +42,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_simhash, op9_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op6_mixing, op7_sharding, op9_toxicity,
+                                   op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,7 +9,8 @@ is denied or only reported weighs less.
 
 The insult lexicon starts from the fixed words below and gains word stems
 from labelled rows: a stem (first 3 to 10 letters, or a whole word) is taken
-when its documents are toxic far beyond the base rate.  A logistic step on
+when its documents, or those that hold it at least twice, are toxic far beyond
+the base rate.  A logistic step on
 the document's strongest clause and sum of clauses yields the score.
 
 Only the labelled sample (at most ``SAMPLE`` rows, copies and near copies
@@ -39,6 +40,13 @@ from attrlake.llm.common import Sent, doc_rows, held_out, id_and_text, labelled_
 
 SAMPLE = 20_000
 MAX_STEMS = 50_000
+#: Least share of toxic documents among those that hold a stem: for stems that
+#: are learned first, and for those learned where the first find nothing.
+SHARES = (0.9, 0.6)
+#: Tasks that read the sample.
+TASKS = 32
+#: Ends the name of a stem that counts only in documents that hold it twice.
+TWICE = "+"
 THRESHOLD = 0.3
 STEM = range(3, 11)
 #: Weight of a fixed insult or threat before any label is seen, and the most a
@@ -129,24 +137,32 @@ class Model:
         self.machine = compose(INSULT, THREAT, TARGET, NEGATION, REPORT)
         self.fixed = ({w: ("I", FIXED_WEIGHT) for w in INSULTS} | {w: ("W", FIXED_WEIGHT) for w in THREATS}
                       | {w: ("T", 0.0) for w in TARGETS} | {w: ("N", 0.0) for w in NEGATIONS} | {w: ("R", 0.0) for w in REPORTS})
-        self.known: dict[str, tuple[str, float]] = {}
+        self.known: dict[str, tuple[str, float, tuple[tuple[str, float], ...]]] = {}
         return self
 
-    def symbol(self, word: str) -> tuple[str, float]:
+    def symbol(self, word: str) -> tuple[str, float, tuple[tuple[str, float], ...]]:
+        """Symbol and weight, and the stems that may add weight if the
+        document holds them twice."""
         got = self.known.get(word)
         if got is None:
             if len(self.known) > 500_000:
                 self.known.clear()
             kind, weight = self.fixed.get(word, ("O", 0.0))
-            stem = max((self.stems.get(f, 0.0) for f in _features(word)), default=0.0)
-            got = ("I", max(stem, weight)) if stem > 0 and kind in "IO" else (kind, weight)
+            stem, twice = 0.0, ()
+            if kind in "IO":
+                features = _features(word)
+                stem = max((self.stems.get(f, 0.0) for f in features), default=0.0)
+                twice = tuple((f, w) for f in features if (w := self.stems.get(f + TWICE, 0.0)) > max(stem, weight))
+            got = ("I", max(stem, weight), twice) if stem > 0 else (kind, weight, twice)
             self.known[word] = got
         return got
 
-    def clause(self, words: list[str]) -> float:
+    def clause(self, words: list[str], twice: set[str]) -> float:
         state, total = (0,) * 5, 0.0
         for word in words:
-            symbol, weight = self.symbol(word)
+            symbol, weight, more = self.symbol(word)
+            if more and (found := max((w for f, w in more if f in twice), default=0.0)) > weight:
+                symbol, weight = "I", found
             state, own, flat = self.machine[state, symbol]
             total += own * weight + flat
         return max(total, 0.0)
@@ -154,9 +170,18 @@ class Model:
     def evidence(self, text: bytes) -> tuple[float, float]:
         """Strongest clause, and log of one plus the sum of all."""
         lower = text.decode("utf-8", "replace").lower()
-        if not any(self.symbol(w)[0] in "IW" for w in set(_WORD.findall(lower))):
+        words = Counter(_WORD.findall(lower))
+        held: Counter[str] = Counter()
+        hit = False
+        for word, n in words.items():
+            kind, _, more = self.symbol(word)
+            hit = hit or kind in "IW"
+            for f, _ in more:
+                held[f] += n
+        twice = {f for f, n in held.items() if n > 1}
+        if not hit and not twice:
             return 0.0, 0.0  # no arc with a weight can be taken
-        scores = [self.clause(_WORD.findall(c)) for c in _CLAUSE.split(lower)]
+        scores = [self.clause(_WORD.findall(c), twice) for c in _CLAUSE.split(lower)]
         return max(scores), math.log1p(sum(scores))
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
@@ -178,7 +203,7 @@ def _training(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> Da
 
     rows = labelled_sample(docs, labels, label, sample).where("y in (0, 1)").select("y", "text")
     rows = rows.mapInArrow(each, "signature bigint, y int, text string")
-    return stored(rows.groupBy("signature", "y").agg(F.min("text").alias("text")), "toxicity-sample")
+    return stored(rows.groupBy("signature", "y").agg(F.min("text").alias("text")).repartition(TASKS, "signature"), "toxicity-sample")
 
 
 def _stem_counts(rows: DataFrame, wanted: Callable[[], set[str] | None], name: str) -> DataFrame:
@@ -190,15 +215,33 @@ def _stem_counts(rows: DataFrame, wanted: Callable[[], set[str] | None], name: s
             for k in range(0, batch.num_rows, 256):
                 counts: Counter[str] = Counter()
                 for t in texts(batch.slice(k, 256), "text"):
-                    found = {f for w in set(_WORD.findall(t.decode("utf-8", "replace").lower())) for f in _features(w)}
-                    counts.update(found if only is None else found & only)
+                    held: Counter[str] = Counter()
+                    for w, n in Counter(_WORD.findall(t.decode("utf-8", "replace").lower())).items():
+                        for f in _features(w):
+                            if only is None or f in only:
+                                held[f] += n
+                    counts.update(held.keys())
+                    counts.update([f + TWICE for f, n in held.items() if n > 1])
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
                                                  names=["stem", "n"])
 
     return rows.select("text").mapInArrow(each, "stem string, n bigint").groupBy("stem").agg(F.sum("n").alias(name))
 
 
-def learn_stems(rows: DataFrame) -> dict[str, float]:
+def _unexplained(rows: DataFrame, model: Model) -> DataFrame:
+    """The sample rows in which ``model`` finds nothing."""
+    sent = Sent(rows.sparkSession, model)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = sent.value.ready()
+        for batch in batches:
+            none = [ready.evidence(t)[0] == 0 for t in texts(batch, "text")]
+            yield batch.filter(pa.array(none, pa.bool_()))
+
+    return stored(rows.select("y", "text").mapInArrow(each, "y int, text string"), "unexplained")
+
+
+def learn_stems(rows: DataFrame, least_share: float) -> dict[str, float]:
     """Stems whose share of toxic documents can't be chance, with their log
     odds.  The sample bounds every count and list here."""
     n = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -212,13 +255,13 @@ def learn_stems(rows: DataFrame) -> dict[str, float]:
     # What can't pass even without a clean document is not counted further.
     often = often.where(F.col("pos") * math.log(1 / base) >= bound)
     listed = {r.stem: r.pos for r in often.orderBy(F.desc("pos"), "stem").limit(4 * MAX_STEMS).collect()}
-    sent = Sent(rows.sparkSession, frozenset(listed))
+    sent = Sent(rows.sparkSession, frozenset(s.removesuffix(TWICE) for s in listed))
     clean = {r.stem: r.neg for r in _stem_counts(rows.where("y = 0"), lambda: sent.value, "neg").collect()}
     found = {}
     for stem, pos in listed.items():
         neg = clean.get(stem, 0)
         share = pos / (pos + neg)
-        if share <= max(base, 0.6):
+        if share <= max(base, least_share):
             continue
         far = share * math.log(share / base) + ((1 - share) * math.log((1 - share) / (1 - base)) if neg else 0)
         if (pos + neg) * far >= bound:
@@ -241,7 +284,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> Model:
     rows = _training(docs, labels, label, sample)
-    model = Model(learn_stems(rows))
+    model = Model()
+    rest = rows
+    for share in SHARES:
+        model.stems = learn_stems(rest, share) | model.stems
+        rest = _unexplained(rest, model) if share != SHARES[-1] else rest
     sent = Sent(rows.sparkSession, model)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
