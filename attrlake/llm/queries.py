@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrlake.llm import decontam, mixing, quality, sharding, simhash, topk, toxicity
+from attrlake.llm import chat, decontam, mixing, pii, quality, sharding, simhash, topk, toxicity
 from attrlake.llm.common import stored, table
 
 
@@ -24,6 +24,14 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors)
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kept copy's document, source and copy number."""
     return mixing.mix(table(spark, sf_dir, "documents"), copy_column="copy").select("doc_id", "source", "copy")
@@ -42,7 +50,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op6_mixing, op7_sharding, op9_toxicity,
+    return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op4_pii, op5_chat, op6_mixing, op7_sharding, op9_toxicity,
                                    op10_quality)}
 
 
