@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrlake.llm import chat, decontam, mixing, pii, quality, sharding, simhash, topk, toxicity
+from attrlake.llm import chat, decontam, mixing, pii, quality, sharding, simhash, topk, toxicity, warc
 from attrlake.llm.common import stored, table
 
 
@@ -41,6 +41,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,9 +54,41 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op4_pii, op5_chat, op6_mixing, op7_sharding, op9_toxicity,
-                                   op10_quality)}
+    return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op4_pii, op5_chat, op6_mixing, op7_sharding,
+                                   op8_warc, op9_toxicity, op10_quality)}
+
+
+#: DuckDB twins where SQL can express the operator on whole tables.
+ORACLES = {
+    "op3_topk": """
+with v as (
+  select vec_id, min(w) as w from (
+    select cast(vec_id as bigint) as vec_id,
+           list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as w
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0) group by vec_id),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum(list_transform(list_zip(q.w, c.w), p -> coalesce(p[1] * p[2], 0))) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20""",
+    "op5_chat": """
+with d as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
+g as (select conv_id, list({'turn': turn, 'role': role, 'text': text} order by turn nulls first, role, text) as turns
+      from d group by conv_id),
+p as (select distinct turns[1:k] as head from (
+        select turns, unnest(range(1, len(turns))) as k from g)
+      where turns[k].turn is distinct from turns[k + 1].turn),
+w as (select turns, min(conv_id) as conv_id, count(*) as n_equal from g group by turns),
+m as (select w.conv_id, w.n_equal, w.turns from w anti join p on w.turns = p.head),
+t as (select conv_id, n_equal, len(turns) as n_turns, unnest(turns) as x, unnest(range(len(turns))) as k from m)
+select conv_id, cast(floor(coalesce(x.turn, -1) / 256.0) as bigint) as chunk, cast(n_turns as bigint) as n_turns, n_equal,
+       string_agg('<|im_start|>' || coalesce(x.role, '') || chr(10) || coalesce(x.text, '') || '<|im_end|>' || chr(10), '' order by k) as text
+from t group by conv_id, chunk, n_turns, n_equal""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
