@@ -8,11 +8,13 @@ from tools.check_oracle import digest
 
 from conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+from attrlake.plans import queries as Q
+
+NAMES = sorted(Q.all_queries())
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
