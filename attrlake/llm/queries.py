@@ -60,17 +60,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 #: DuckDB twins where SQL can express the operator on whole tables.
 ORACLES = {
+    "op1_decontamination": r"""
+with words as (
+  select 'd' as kind, row_number() over () as k, doc_id as id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+  union all
+  select 'b', 0, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark where item_id is not null and text is not null),
+windows as (
+  select distinct id as item_id, least(len(w), 13) as n, array_to_string(w[i:i + 12], ' ') as x
+  from (select id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as i from words where kind = 'b' and len(w) > 0)),
+lengths as (select distinct n from windows),
+runs as (
+  select k, i, n, array_to_string(w[i:i + n - 1], ' ') as x
+  from (select k, w, n, unnest(range(1, len(w) - n + 2)) as i from words, lengths where kind = 'd' and len(w) >= n)),
+hits as (select r.k, r.i, r.n, v.item_id from runs r join windows v on r.n = v.n and r.x = v.x),
+covered as (select k, count(distinct p) as n_hit from (select k, unnest(range(i, i + n)) as p from hits) group by k),
+named as (select k, count(*) as n_items, string_agg(item, ',' order by item) as items
+          from (select distinct k, cast(item_id as varchar) as item from hits) group by k)
+select d.id as doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * n_hit >= len(w) as contaminated
+from words d left join covered using (k) left join named using (k) where kind = 'd'""",
     "op3_topk": """
 with v as (
   select vec_id, min(w) as w from (
     select cast(vec_id as bigint) as vec_id,
-           list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as w
+           list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as w
     from embeddings
     where vec_id is not null and embedding is not null
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0) group by vec_id),
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0) group by vec_id),
 s as (
   select q.vec_id as query_id, c.vec_id,
-         cast(list_sum(list_transform(list_zip(q.w, c.w), p -> coalesce(p[1] * p[2], 0))) as bigint) as score
+         cast(list_sum(list_transform(list_zip(q.w, c.w), lambda p: coalesce(p[1] * p[2], 0))) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20""",
