@@ -103,6 +103,13 @@ def test_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return items.mapInArrow(cut, "words binary, item_id bigint").distinct()
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time, so that only one shard is held as Python objects."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 class _Windows:
     """A block of test windows, ready to be looked up in a shard."""
 
@@ -217,22 +224,21 @@ def _matches(index: DataFrame, items: DataFrame, find, window: int, block_window
 
         def look(batches, sent=sent):
             windows = sent.value
-            for batch in batches:
-                for row in batch.to_pylist():
-                    shard = _Shard(row, windows)
-                    w, s = find(shard, windows)
-                    n = np.diff(windows.item_starts)[w]
-                    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    doc = shard.documents(s)
-                    first = s - shard.doc_starts[doc] if len(s) else s
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([row["shard"]] * int(n.sum()), pa.string()),
-                        pa.array(np.repeat(doc, n), pa.int32()),
-                        pa.array([shard.doc_ids[d] for d in np.repeat(doc, n).tolist()], pa.int64()),
-                        pa.array(windows.items[np.repeat(windows.item_starts[w], n) + k], pa.int64()),
-                        pa.array(np.repeat(first, n), pa.int64()),
-                        pa.array(np.repeat(windows.length[w], n), pa.int32())],
-                        names=["shard", "ordinal", "doc_id", "item_id", "start", "words"])
+            for row in _each(batches):
+                shard = _Shard(row, windows)
+                w, s = find(shard, windows)
+                n = np.diff(windows.item_starts)[w]
+                k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                doc = shard.documents(s)
+                first = s - shard.doc_starts[doc] if len(s) else s
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["shard"]] * int(n.sum()), pa.string()),
+                    pa.array(np.repeat(doc, n), pa.int32()),
+                    pa.array([shard.doc_ids[d] for d in np.repeat(doc, n).tolist()], pa.int64()),
+                    pa.array(windows.items[np.repeat(windows.item_starts[w], n) + k], pa.int64()),
+                    pa.array(np.repeat(first, n), pa.int64()),
+                    pa.array(np.repeat(windows.length[w], n), pa.int32())],
+                    names=["shard", "ordinal", "doc_id", "item_id", "start", "words"])
 
         part = index.mapInArrow(look, "shard string, ordinal int, doc_id bigint, item_id bigint, start bigint, words int")
         out = part if out is None else out.unionByName(part)
@@ -273,27 +279,26 @@ def document_hits(index: DataFrame, items: DataFrame, window: int = WINDOW,
 
         def look(batches, sent=sent):
             windows = sent.value
-            for batch in batches:
-                for row in batch.to_pylist():
-                    shard = _Shard(row, windows)
-                    w, s = shard.phrases(windows)
-                    change = np.zeros(len(shard.postings) + 1, np.int64)
-                    np.add.at(change, s, 1)
-                    np.add.at(change, s + windows.length[w], -1)
-                    marks = np.cumsum(change)[:-1] > 0
-                    n = np.diff(windows.item_starts)[w]
-                    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    pairs = np.unique(np.stack([np.repeat(shard.documents(s), n),
-                                                windows.items[np.repeat(windows.item_starts[w], n) + k]], 1), axis=0)
-                    cut = np.searchsorted(pairs[:, 0], np.arange(len(shard.doc_ids) + 1))
-                    rows = []
-                    for i, doc_id in enumerate(shard.doc_ids):
-                        a, b = shard.doc_starts[i], shard.doc_starts[i + 1]
-                        lo, hi = _runs(marks[a:b]) if cut[i + 1] > cut[i] else ((), ())
-                        rows.append({"shard": row["shard"], "ordinal": i, "doc_id": doc_id, "n_words": int(b - a),
-                                     "hit_starts": list(lo), "hit_ends": list(hi),
-                                     "items": pairs[cut[i]:cut[i + 1], 1].tolist()})
-                    yield _arrow(rows, _HITS_ARROW)
+            for row in _each(batches):
+                shard = _Shard(row, windows)
+                w, s = shard.phrases(windows)
+                change = np.zeros(len(shard.postings) + 1, np.int64)
+                np.add.at(change, s, 1)
+                np.add.at(change, s + windows.length[w], -1)
+                marks = np.cumsum(change)[:-1] > 0
+                n = np.diff(windows.item_starts)[w]
+                k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                pairs = np.unique(np.stack([np.repeat(shard.documents(s), n),
+                                            windows.items[np.repeat(windows.item_starts[w], n) + k]], 1), axis=0)
+                cut = np.searchsorted(pairs[:, 0], np.arange(len(shard.doc_ids) + 1))
+                rows = []
+                for i, doc_id in enumerate(shard.doc_ids):
+                    a, b = shard.doc_starts[i], shard.doc_starts[i + 1]
+                    lo, hi = _runs(marks[a:b]) if cut[i + 1] > cut[i] else ((), ())
+                    rows.append({"shard": row["shard"], "ordinal": i, "doc_id": doc_id, "n_words": int(b - a),
+                                 "hit_starts": list(lo), "hit_ends": list(hi),
+                                 "items": pairs[cut[i]:cut[i + 1], 1].tolist()})
+                yield _arrow(rows, _HITS_ARROW)
 
         parts.append(index.mapInArrow(look, HITS_SCHEMA))
     if len(parts) == 1:
