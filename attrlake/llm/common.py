@@ -38,6 +38,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Ids that may be broadcast; a longer list joins by a shuffle.
+BROADCAST_IDS = 1 << 21
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id (as long, nulls equal) is not in the one
+    column ``gone`` of ``ids``.  The list is stored and counted first: a short
+    one is broadcast, so texts are not shuffled for it."""
+    ids = stored(ids, "gone-ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("gone")), "left_anti")
+
+
 class Sent:
     """A broadcast object, pickled by value and loaded once per task."""
 

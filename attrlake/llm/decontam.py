@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import Sent, alnum_words, doc_rows, id_and_text, stored
+from attrlake.llm.common import Sent, alnum_words, doc_rows, id_and_text, stored, without_ids
 
 WINDOW = 13
 SHARD_TOKENS = 1 << 18
@@ -334,5 +334,5 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """``docs`` without the documents that ``contamination`` finds; a document
     id goes if any row that bears it does (null ids compare as equal)."""
-    bad = contamination(docs, items, window, share).where("contaminated").select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("bad")), "left_anti")
+    bad = contamination(docs, items, window, share).where("contaminated").select(F.col("doc_id").alias("gone")).distinct()
+    return without_ids(docs, bad)

@@ -61,7 +61,8 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, range_ro
     ranked = (ranked.withColumn("fraction", (F.col("rank") - start) / F.col("n"))
               .select("row", "stratum", "draw", "fraction",
                       F.least(F.floor(F.col("fraction") * spans), F.lit(spans - 1)).cast("long").alias("span")))
-    ranked = stored(ranked, "ranked")
+    # Counted without the rows themselves; repeated rows may swap ranks, which
+    # leaves the fractions as they are.
     whole = stored(ranked.groupBy("span").agg(F.count("*").alias("m")), "spans")
     offsets = _spread(whole, spans)
     place = Window.partitionBy("span").orderBy("fraction", "stratum", "draw")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import doc_rows, id_and_text, stored
+from attrlake.llm.common import doc_rows, id_and_text, stored, without_ids
 from attrlake.llm.components import connected_components
 
 SHINGLE = 4
@@ -183,13 +183,12 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     is the component's (a group of null ids keeps a null id).  Rows that
     repeat a doc_id are reduced to one."""
     found = near_duplicates(docs, shingle, max_bits)
-    keep = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("keep")).count())
-    keep = stored(keep, "kept")
-    kept = docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col("keep")), "left_semi")
-    if keep.where("count > 1").isEmpty():
+    ids = stored(found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keep"),
+                                             F.count("*").alias("n")), "kept")
+    kept = without_ids(docs, ids.where("not keep").select(F.col("doc_id").alias("gone")))
+    again = ids.where("keep and n > 1").select(F.col("doc_id").alias("again"))
+    if again.isEmpty():
         return kept
-    again = keep.where("count > 1").select("keep")
-    match = docs["doc_id"].cast("long").eqNullSafe(F.col("keep"))
-    once = kept.join(again, match, "left_anti")
-    return once.unionByName(kept.join(again, match, "left_semi").dropDuplicates(["doc_id"]))
+    match = kept["doc_id"].cast("long").eqNullSafe(F.col("again"))
+    return (kept.join(again, match, "left_anti")
+            .unionByName(kept.join(again, match, "left_semi").dropDuplicates(["doc_id"])))
