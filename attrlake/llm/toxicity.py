@@ -103,7 +103,7 @@ INSULT = Transducer({(0, "I"): (0, 1.0, 0.0)}, {0: 0})
 THREAT = _on(4, "W", "T", 0.0, 2.0)
 TARGET = _on(4, "T", "I", 0.25, 0.5)
 NEGATION = _on(3, "N", "I", -0.6, 0.0)
-REPORT = _on(8, "R", "IW", -0.4, 0.0)
+REPORT = _on(8, "R", "IW", -0.5, 0.0)
 
 
 def compose(*parts: Transducer, symbols: str = "IWTNRO") -> dict[tuple[tuple[State, ...], str], tuple[tuple[State, ...], float, float]]:

@@ -1,0 +1,15 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from attrlake.session import local_session
+
+    s = local_session(cores="*", shuffle_partitions=4)
+    yield s
