@@ -27,9 +27,8 @@ K = 20
 SCALE = 64
 ROW_BLOCK = 8192
 QUERY_BLOCK = 1024
-#: Cells of a dense score array.
-CELLS = 1 << 20
-
+#: Queries and rows of a dense score array: one that stays in a core's cache.
+TILE = (64, 2048)
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
     """(vec_id, w): one row per id whose vector is whole and finite."""
@@ -42,7 +41,11 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE, id_column: str = "ve
 
 
 class _Postings:
-    """Sparse block: for each term, the rows that hold it and their weights."""
+    """Sparse block: for each term, the rows that hold it and their weights.
+
+    A list that holds a quarter of the rows or more is kept as the block's
+    whole column, zeros included, which is scattered without an index.
+    """
 
     def __init__(self, vectors: list):
         length = np.fromiter(map(len, vectors), np.int64, len(vectors))
@@ -51,39 +54,48 @@ class _Postings:
         term = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
         order = np.argsort(term, kind="stable")
         order = order[flat[order] != 0]
-        self.row, self.weight = row[order], flat[order]
-        self.start = np.searchsorted(term[order], np.arange(int(length.max(initial=0)) + 1))
-
-    def term(self, t: int) -> tuple[np.ndarray, np.ndarray]:
-        a, b = self.start[t:t + 2]
-        return self.row[a:b], self.weight[a:b]
-
-    @property
-    def terms(self) -> int:
-        return len(self.start) - 1
+        start = np.searchsorted(term[order], np.arange(int(length.max(initial=0)) + 1))
+        self.most = int(np.abs(flat).max(initial=0))
+        self.lists: list[tuple[slice | np.ndarray, np.ndarray]] = []
+        for a, b in zip(start, start[1:]):
+            at, weight = row[order[a:b]], flat[order[a:b]]
+            if len(at) * 4 >= len(vectors):
+                column = np.zeros(len(vectors), np.int64)
+                column[at] = weight
+                at, weight = slice(None), column
+            self.lists.append((at, weight))
+
+
+def _scores(queries: _Postings, rows: _Postings, shape: tuple[int, int]) -> np.ndarray:
+    """Term by term, the products of a query list and a posting list."""
+    terms = min(len(queries.lists), len(rows.lists))
+    kind = np.int32 if queries.most * rows.most * max(terms, 1) < 2 ** 31 else np.int64
+    score, product = np.zeros(shape, kind), np.empty(shape, kind)
+    for (q, wq), (r, wr) in zip(queries.lists, rows.lists):
+        if isinstance(q, slice) and isinstance(r, slice):
+            np.multiply(wq.astype(kind)[:, None], wr.astype(kind), out=product)
+            score += product
+        elif len(wq) and len(wr):
+            at = np.arange(shape[0])[q], np.arange(shape[1])[r]
+            score[np.ix_(*at)] += wq.astype(kind)[:, None] * wr.astype(kind)
+    return score
 
 
 def _best(query_ids: np.ndarray, queries: list, row_ids: np.ndarray, rows: list, k: int) -> Iterator[pd.DataFrame]:
-    postings = _Postings(rows)
-    step = max(1, CELLS // max(len(rows), 1))
-    for a in range(0, len(queries), step):
-        ids, own = query_ids[a:a + step], _Postings(queries[a:a + step])
-        score = np.zeros((len(ids), len(rows)), np.int64)
-        for t in range(min(own.terms, postings.terms)):
-            q, wq = own.term(t)
-            r, wr = postings.term(t)
-            if len(q) and len(r) == len(rows):
-                score[q] += wq[:, None] * wr
-            elif len(q) and len(r):
-                score[np.ix_(q, r)] += wq[:, None] * wr
-        same = ids[:, None] == row_ids
-        take = min(k + 1, len(rows))  # one more: the query itself may be among them
-        # The take-th best score of a query, and all that reach it, so ties go on whole to the order by id.
-        masked = np.where(same, np.iinfo(np.int64).min, score)
-        floor = np.partition(masked, len(rows) - take, axis=1)[:, len(rows) - take]
-        qi, ri = np.nonzero((masked >= floor[:, None]) & ~same)
-        found = pd.DataFrame({"query_id": ids[qi], "vec_id": row_ids[ri], "score": score[qi, ri]})
-        found = found.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    tiles = [(row_ids[b:b + TILE[1]], _Postings(rows[b:b + TILE[1]])) for b in range(0, len(rows), TILE[1])]
+    for a in range(0, len(queries), TILE[0]):
+        ids, own = query_ids[a:a + TILE[0]], _Postings(queries[a:a + TILE[0]])
+        parts = []
+        for others, postings in tiles:
+            score = _scores(own, postings, (len(ids), len(others)))
+            # A query's own row must not win; one more is taken in its place.
+            take = min(k + 1, len(others))
+            # The take-th best score of a query, and all that reach it, so ties go on whole to the order by id.
+            floor = np.partition(score, len(others) - take, axis=1)[:, len(others) - take]
+            qi, ri = np.nonzero(score >= floor[:, None])
+            parts.append(pd.DataFrame({"query_id": ids[qi], "vec_id": others[ri], "score": score[qi, ri].astype(np.int64)}))
+        found = pd.concat(parts)
+        found = found[found.query_id != found.vec_id].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
         yield found.groupby("query_id", sort=False).head(k)
 
 
