@@ -6,6 +6,8 @@ late bulk load, touching only the requested days.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,17 +18,24 @@ from attrlake.streaming.runner import Lake
 
 
 def _days(df: DataFrame, days: list[str] | None) -> DataFrame:
-    if not days:
+    if days is None:
         return df
     return df.where(F.col("event_date").isin(*[F.lit(d).cast("date") for d in days]))
 
 
 def rebuild_facts(lake: Lake, days: list[str] | None = None) -> None:
     """Recompute every daily fact for ``days`` (all days if None) from silver
-    and replace exactly those partitions."""
+    and replace exactly those partitions, also the ones left without a row."""
     silver = _days(lake.silver.read(), days)
+    values = [(dt.date.fromisoformat(str(d)),) for d in days] if days is not None else None
+    if values == []:
+        return
     for name, (fn, _keys) in A.FACTS.items():
-        lake.fact(name).replace_partitions(fn(silver))
+        table = lake.fact(name)
+        every = values
+        if every is None and table.exists():
+            every = table.touched_values(table.read())
+        table.replace_partitions(fn(silver), every)
 
 
 def rebuild_dimensions(lake: Lake) -> None:

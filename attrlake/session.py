@@ -89,14 +89,21 @@ def shared_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-        return configured or tempfile.mkdtemp(prefix="attrlake-")
+        return configured or _own_folder(spark.conf.get("spark.master", "local"))
     current = sc.getCheckpointDir()
     if current:
         return current
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="attrlake-"))
+    sc.setCheckpointDir(configured or _own_folder(sc.master))
     return sc.getCheckpointDir()
 
 
+def _own_folder(master: str) -> str:
+    """A fresh local folder, where driver and executors share one machine."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="attrlake-")
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared root for one run."""
     root = shared_dir(spark).rstrip("/")

@@ -31,10 +31,6 @@ from pyspark.sql import types as T
 from attrlake.session import shared_dir
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
-# Most partition values a batch may touch before pruning falls back to a
-# semi-join over the whole table.  Only these values (days or buckets, never
-# rows) go through the driver.
-MAX_TOUCHED_PARTITIONS = 4096
 
 
 def _local(path: str) -> str | None:
@@ -77,6 +73,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     )
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove one folder that this module wrote (no-op without a JVM)."""
+    if _has_jvm(spark):
+        jvm = spark.sparkContext._jvm  # noqa: SLF001
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+
+
 @dataclass
 class LakeTable:
     spark: SparkSession
@@ -143,19 +147,38 @@ class LakeTable:
             w = w.partitionedBy(*[F.col(c) for c in self.partition_by])
         w.create()
 
-    def replace_partitions(self, df: DataFrame) -> None:
-        """Overwrite exactly the partitions present in ``df``."""
+    def replace_partitions(self, df: DataFrame, values: list | None = None) -> None:
+        """Overwrite the partitions present in ``df``, and also those of
+        ``values`` (partition-value rows) that ``df`` has no row for: they
+        end up empty."""
         if self.fmt == "iceberg":
-            df.writeTo(self.location).overwritePartitions() if self.exists() else self._create(df)
+            if not self.exists():
+                self._create(df)
+            elif values:
+                df.writeTo(self.location).overwrite(self._among(values))
+            else:
+                df.writeTo(self.location).overwritePartitions()
             return
+        gone = []
+        if values:
+            # Read before the write: ``df`` may come from the folders it replaces.
+            kept = {tuple(r) for r in df.select(*self.partition_by).distinct().collect()}
+            gone = [d for v in values if tuple(v) not in kept and (d := self._partition_dir(v)) is not None]
         (self._writer(df).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(self.location))
+        for d in gone:
+            _delete(self.spark, f"{self.location.rstrip('/')}/{d}")
+
+    def _among(self, values: list):
+        """Null-safe condition: the row lies in a partition of ``values``."""
+        return reduce(lambda a, b: a | b, [
+            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
+            for row in values
+        ])
 
-    def touched_values(self, batch: DataFrame) -> list | None:
-        """Distinct partition values of ``batch``; None when there are more
-        than ``MAX_TOUCHED_PARTITIONS``."""
-        values = batch.select(*self.partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-        return None if len(values) > MAX_TOUCHED_PARTITIONS else values
+    def touched_values(self, batch: DataFrame) -> list:
+        """Distinct partition values of ``batch`` (days or buckets, never rows)."""
+        return batch.select(*self.partition_by).distinct().collect()
 
     def _partition_dir(self, row) -> str | None:
         """``col=value/...`` folder of one partition; None for value types
@@ -185,34 +208,27 @@ class LakeTable:
                 fallback: T.StructType | None = None) -> DataFrame:
         """The table's rows in the partitions ``batch`` has rows for.
 
-        Only the touched partition folders are listed and read (``basePath``
-        keeps the partition columns), so the cost follows the batch, not the
-        table.  Partition values that need escaping fall back to a literal
-        filter (``PartitionFilters``); above ``MAX_TOUCHED_PARTITIONS``
-        values, to a semi-join.
+        Only the touched partition folders are read (``basePath`` keeps the
+        partition columns), whatever their number and with null values; which
+        of them exist comes from one listing.  Partition values that need
+        escaping, deeper partitioning and Iceberg use a null-safe filter,
+        pruned from the table's partition metadata.
         """
         if not self.partition_by:
             return self.read()
         if values is None:
             values = self.touched_values(batch)
-        if values is None:
-            return self.read().join(batch.select(*self.partition_by).distinct(), self.partition_by, "left_semi")
-        dirs = [self._partition_dir(r) for r in values] if self.fmt == "parquet" else [None]
-        if values and all(d is not None for d in dirs):
-            paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs]
-            paths = [p for p in paths if _exists(self.spark, p)]
-            if not paths:
-                return self._empty(fallback)
-            return self.spark.read.option("basePath", self.location).parquet(*paths)
         if not values:
             return self._empty(fallback) if self.fmt == "parquet" else self.read().limit(0)
-        # Iceberg (or values needing escaping): a literal filter, pruned from
-        # the table's partition metadata.
-        cond = reduce(lambda a, b: a | b, [
-            reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(self.partition_by, row)])
-            for row in values
-        ])
-        return self.read().where(cond)
+        flat = self.fmt == "parquet" and len(self.partition_by) == 1
+        dirs = [self._partition_dir(r) for r in values] if flat else [None]
+        if any(d is None for d in dirs):
+            return self.read().where(self._among(values))
+        held = set(_children(self.spark, self.location))
+        paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs if d in held]
+        if not paths:
+            return self._empty(fallback)
+        return self.spark.read.option("basePath", self.location).parquet(*paths)
 
     def insert_new(self, batch: DataFrame, keys: list[str], values: list | None = None) -> None:
         """Append the rows of ``batch`` whose key the table does not hold yet
@@ -243,6 +259,15 @@ class LakeTable:
         table, also when a run stopped between the rewrite and the append.
         """
         if self.fmt == "iceberg":
+            if merge and self.exists():
+                # The stored side decides first, so an older batch can't undo
+                # a newer row: the source holds the merged rows of its keys.
+                on = [F.col(c).alias(f"_k_{c}") for c in keys]
+                mine = batch.select(*on).distinct()
+                merged = merge(self.touched(batch), batch)
+                batch = merged.join(mine, [merged[c].eqNullSafe(mine[f"_k_{c}"]) for c in keys], "left_semi")
+            elif merge:
+                batch = merge(batch.limit(0), batch)
             self._merge_into(batch, keys)
             return
         if not self.exists():
@@ -260,13 +285,14 @@ class LakeTable:
         on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
         classified = batch.join(held, on, "left").select(
             *batch.columns, F.coalesce(F.col("_held"), F.lit(False)).alias("_held"))
-        staged = self.stage(classified)
+        staged, split = self._staged(classified)
         updates = staged.where(F.col("_held")).drop("_held")
         fresh = staged.where(~F.col("_held")).drop("_held")
         # 2. Rewrite only the partitions that hold an updated key.
         values = self.touched_values(updates) if self.partition_by else [()]
         if values == []:  # every key is new: nothing to rewrite
             self.append(fresh)
+            _delete(self.spark, split)
             return
         current = self.touched(updates, values)
         if merge is None:
@@ -275,20 +301,38 @@ class LakeTable:
             rewritten = kept.unionByName(updates.select(current.columns))
         else:
             rewritten = merge(current, updates)
-        self.replace_partitions(self.stage(rewritten))
+        columns = rewritten.columns
+        rewritten, copy = self._staged(rewritten)
+        self.replace_partitions(rewritten)
         # 3. Keys the table did not hold: plain append, nothing rewritten.
-        self.append(fresh.select(*rewritten.columns))
+        self.append(fresh.select(*columns))
+        # 4. Both staged copies have done their work.
+        _delete(self.spark, copy)
+        _delete(self.spark, split)
 
     def stage(self, df: DataFrame) -> DataFrame:
         """Write ``df`` under the shared folder and read it back: a lineage
         cut that survives executor loss (unlike a local checkpoint)."""
+        return self._staged(df)[0]
+
+    def _staged(self, df: DataFrame) -> tuple[DataFrame, str]:
         path = f"{shared_dir(self.spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
         self._writer(df).mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def merge_statement(self, view: str, keys: list[str], insert_only: bool = False) -> str:
+        on = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
+        matched = "" if insert_only else "WHEN MATCHED THEN UPDATE SET * "
+        return f"MERGE INTO {self.location} t USING {view} s ON {on} {matched}WHEN NOT MATCHED THEN INSERT *"
 
     def _merge_into(self, batch: DataFrame, keys: list[str], insert_only: bool = False) -> None:
+        if not self.exists():
+            self._create(batch)
+            return
+        spark = batch.sparkSession  # in foreachBatch, the micro-batch's own session holds the view
         view = f"upsert_src_{uuid.uuid4().hex[:8]}"
         batch.createOrReplaceTempView(view)
-        on = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
-        matched = "" if insert_only else "WHEN MATCHED THEN UPDATE SET * "
-        self.spark.sql(f"MERGE INTO {self.location} t USING {view} s ON {on} {matched}WHEN NOT MATCHED THEN INSERT *")
+        try:
+            spark.sql(self.merge_statement(view, keys, insert_only))
+        finally:
+            spark.catalog.dropTempView(view)

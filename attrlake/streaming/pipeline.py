@@ -277,7 +277,9 @@ def refresh_touched_days(batch: DataFrame, silver: LakeTable, table: LakeTable,
     re-reading each touched day; ``update_events_fact`` is the incremental
     form for ``fact_events_daily``."""
     fn, _ = A.FACTS[name]
-    table.replace_partitions(fn(silver.touched(batch)))
+    days = silver.touched_values(batch)
+    if days:
+        table.replace_partitions(fn(silver.touched(batch, days)), days)
 
 
 def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
