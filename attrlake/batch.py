@@ -17,6 +17,11 @@ from attrlake.streaming import pipeline as P
 from attrlake.streaming.runner import Lake
 
 
+def _values(days: list[str]) -> list[tuple]:
+    """Partition values of a fact's days."""
+    return [(dt.date.fromisoformat(str(d)),) for d in days]
+
+
 def _days(df: DataFrame, days: list[str] | None) -> DataFrame:
     if days is None:
         return df
@@ -27,7 +32,7 @@ def rebuild_facts(lake: Lake, days: list[str] | None = None) -> None:
     """Recompute every daily fact for ``days`` (all days if None) from silver
     and replace exactly those partitions, also the ones left without a row."""
     silver = _days(lake.silver.read(), days)
-    values = [(dt.date.fromisoformat(str(d)),) for d in days] if days is not None else None
+    values = _values(days) if days is not None else None
     if values == []:
         return
     for name, (fn, _keys) in A.FACTS.items():
@@ -47,41 +52,7 @@ def rebuild_dimensions(lake: Lake) -> None:
 
 
 def compact_gold(lake: Lake, name: str, days: list[str]) -> None:
-    """Rewrite the given days of a gold fact into few, large files.  Gold is
-    never a streaming source, so rewriting it in place is safe (silver and
-    bronze are: compact those only into a new location)."""
-    table = lake.fact(name)
-    table.upsert(_days(table.read(), days), keys=A.FACTS[name][1])
-
-
-def compact_partials(lake: Lake, name: str, days: list[str]) -> None:
-    """Fold the per-batch partial measures of an incremental fact for
-    ``days`` into one folder per day (``batch_id = -1``).
-
-    The newest batch id in the table is left unfolded: it is the only batch
-    a restarting stream can replay, and a replay overwrites its own folder,
-    so folding it could count it twice.  Each day is staged, then its folder
-    is replaced as a whole (the folded batch folders disappear with it).
-    """
-    partials = lake.helper("events_partials" if name == "fact_events_daily" else f"{name}_partials")
-    if not partials.exists():
-        return
-    _kinds, keys, _measures, _distinct = P.INCREMENTAL_FACTS[name]
-    grain = [k for k in keys if k != "event_date"]
-    newest = partials.read().agg(F.max("batch_id")).first()[0]
-    for day in days:
-        rows = partials.touched(partials.spark.createDataFrame([(day,)], "event_date string")
-                                .select(F.col("event_date").cast("date")))
-        measures = [f for f in rows.schema.fields if f.name not in keys and f.name != "batch_id"]
-        folded = (rows.where(F.col("batch_id") < newest)
-                  .groupBy(*keys).agg(*[F.sum(f.name).cast(f.dataType).alias(f.name) for f in measures])
-                  .withColumn("batch_id", F.lit(-1).cast("long")))
-        kept = rows.where(F.col("batch_id") >= newest).select(folded.columns)
-        staged = partials.stage(folded.unionByName(kept))
-        (staged.select(*grain, *[f.name for f in measures], "batch_id").write.mode("overwrite")
-         .option("partitionOverwriteMode", "static")  # the whole day folder, folded batches included
-         .partitionBy("batch_id").parquet(f"{partials.location.rstrip('/')}/event_date={day}"))
-
-
-def compact_event_partials(lake: Lake, days: list[str]) -> None:
-    compact_partials(lake, "fact_events_daily", days)
+    """Rewrite the given days of a gold fact into few, large files (no days,
+    nothing done).  Gold is never a streaming source, so rewriting it in place
+    is safe (silver and bronze are: compact those only into a new location)."""
+    lake.fact(name).compact(_values(days))

@@ -347,6 +347,11 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_fact_revenue_incremental": batch["fact_revenue_daily"],
         "stream_fact_events_refresh": batch["fact_events_daily"],
         "stream_fact_events_incremental": batch["fact_events_daily"],
+        "stream_fact_events_fresh_checkpoint": batch["fact_events_daily"],
+        "stream_gold_after_backfill": batch["fact_events_daily"],
+        "stream_fact_day_emptied": f"with f as ({batch['fact_installs_daily']}) "
+                                   "select * from f where event_date > (select min(event_date) from f)",
+        "stream_fact_revenue_late": batch["fact_revenue_daily"],
         "stream_bronze_to_gold": batch["fact_events_daily"],
         "stream_all_layers": batch["layer_reconcile"],
     }

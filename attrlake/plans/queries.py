@@ -311,33 +311,82 @@ def _stream_fact_upsert(name: str) -> Query:
 stream_fact_revenue_upsert = _stream_fact_upsert("fact_revenue_daily")
 
 
+def _refreshed(spark, lake: Lake, name: str, ckpt: str, files: int = SILVER_FILES):
+    """Run the default fact job over what silver holds; the stored fact."""
+    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, files))])
+    return lake.fact(name).read()
+
+
+def _halves(spark, sf_dir):
+    """Silver rows in two parts that share days (by a hash of the id)."""
+    rows = silver_rows(spark, sf_dir)
+    late = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+    return rows.where(~late), rows.where(late)
+
+
 def _stream_fact_incremental(name: str) -> Query:
     def run(spark, sf_dir):
+        """The fact job run, then run again on the same checkpoint after silver grew in the same days."""
         _root, lake, ckpt = _stream_run(spark, f"stream-{name}-inc")
-        _silver_files(spark, sf_dir, lake)
-        _await([P.start_fact_incremental(spark, lake.silver, lake.helper(f"{name}_partials"), lake.fact(name),
-                                         name, _settings(ckpt, SILVER_FILES))])
-        return lake.fact(name).read()
+        for part in _halves(spark, sf_dir):
+            lake.silver.append(part)
+            fact = _refreshed(spark, lake, name, ckpt)
+        return fact
     return run
 
 
-def stream_fact_events_refresh(spark, sf_dir):
-    """ST9: touched-day recompute of fact_events_daily from silver."""
-    _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
+def stream_fact_events_fresh_checkpoint(spark, sf_dir):
+    """K5: the fact job run twice on one lake, with another checkpoint and batch size: nothing counts twice."""
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-events-fresh")
     _silver_files(spark, sf_dir, lake)
-    name = "fact_events_daily"
-    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, SILVER_FILES))])
-    return lake.fact(name).read()
+    _refreshed(spark, lake, "fact_events_daily", f"{ckpt}/first")
+    return _refreshed(spark, lake, "fact_events_daily", f"{ckpt}/second", 2 * SILVER_FILES)
 
 
-def stream_fact_events_incremental(spark, sf_dir):
-    """ST9 (incremental): fact_events_daily from per-batch partials and device pairs."""
-    _root, lake, ckpt = _stream_run(spark, "stream-fact-events-inc")
+def stream_gold_after_backfill(spark, sf_dir):
+    """K5/ST9: half of silver streamed, all days rebuilt, the other half streamed into the same days."""
+    from attrlake.batch import rebuild_facts
+
+    _root, lake, ckpt = _stream_run(spark, "stream-gold-backfill")
+    early, late = _halves(spark, sf_dir)
+    lake.silver.append(early)
+    _refreshed(spark, lake, "fact_events_daily", ckpt)
+    rebuild_facts(lake)
+    lake.silver.append(late)
+    return _refreshed(spark, lake, "fact_events_daily", ckpt)
+
+
+def stream_fact_day_emptied(spark, sf_dir):
+    """ST9: installs of the first install day leave silver and that day is rebuilt; it leaves the fact."""
+    from attrlake.batch import rebuild_facts
+
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-emptied")
     _silver_files(spark, sf_dir, lake)
-    q = P.start_events_fact(spark, lake.silver, lake.helper("events_partials"), lake.helper("event_devices"),
-                            lake.fact("fact_events_daily"), _settings(ckpt, SILVER_FILES))
-    _await([q])
-    return lake.fact("fact_events_daily").read()
+    first = _refreshed(spark, lake, "fact_installs_daily", ckpt).agg(F.min("event_date")).first()[0]
+    day = lake.silver.read().where(F.col("event_date") == F.lit(first))
+    kept = day.where("activity_kind is distinct from 'install'")
+    path = run_dir(spark, "emptied-day")
+    kept.write.parquet(path)
+    lake.silver.replace_partitions(spark.read.schema(kept.schema).parquet(path), [(first,)])
+    rebuild_facts(lake, [str(first)])
+    return lake.fact("fact_installs_daily").read()
+
+
+def stream_fact_revenue_late(spark, sf_dir):
+    """ST6: the newest rows come first and all others late; with default settings none is lost."""
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-late")
+    X.write_in_slices(silver_rows(spark, sf_dir), lake.silver.location, -ntz_to_micros(F.col("created_at")), SLICES,
+                      partition_by=["event_date"])
+    run_jobs(spark, lake, ckpt, names=["gold.fact_revenue_daily"], available_now=True,
+             config={"gold.fact_revenue_daily": {"max_files_per_trigger": SILVER_FILES}})
+    return lake.fact("fact_revenue_daily").read()
+
+
+def stream_fact_events_refresh(spark, sf_dir):
+    """ST9: touched-day recompute of fact_events_daily from silver."""
+    _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
+    _silver_files(spark, sf_dir, lake)
+    return _refreshed(spark, lake, "fact_events_daily", ckpt)
 
 
 def stream_silver_current(spark, sf_dir):
@@ -351,7 +400,7 @@ def stream_silver_current(spark, sf_dir):
 
 
 def stream_bronze_to_gold(spark, sf_dir):
-    """Combined job: bronze -> silver + dims + incremental facts in one micro-batch."""
+    """Combined job: bronze -> silver + dims + facts in one micro-batch."""
     root, lake, ckpt = _stream_run(spark, "stream-bronze-gold")
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
     run_jobs(spark, lake, ckpt, names=["bronze.topic_to_bronze", "silver.bronze_to_silver_and_gold"],
@@ -384,7 +433,11 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_fact_subscription_upsert": _stream_fact_upsert("fact_subscription_daily"),
     "stream_fact_revenue_incremental": _stream_fact_incremental("fact_revenue_daily"),
     "stream_fact_events_refresh": stream_fact_events_refresh,
-    "stream_fact_events_incremental": stream_fact_events_incremental,
+    "stream_fact_events_incremental": _stream_fact_incremental("fact_events_daily"),
+    "stream_fact_events_fresh_checkpoint": stream_fact_events_fresh_checkpoint,
+    "stream_gold_after_backfill": stream_gold_after_backfill,
+    "stream_fact_day_emptied": stream_fact_day_emptied,
+    "stream_fact_revenue_late": stream_fact_revenue_late,
     "stream_bronze_to_gold": stream_bronze_to_gold,
     "stream_all_layers": stream_all_layers,
 }

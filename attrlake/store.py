@@ -193,20 +193,21 @@ class LakeTable:
                 return None
         return "/".join(parts)
 
-    def _empty(self, fallback: T.StructType | None = None) -> DataFrame:
-        """No rows, the table's schema, read from one partition folder only
-        (``fallback`` when the table holds no partition yet)."""
+    def _empty(self, schema: T.StructType | None = None) -> DataFrame:
+        """No rows, with ``schema`` or else the table's, read from one
+        partition folder only."""
+        if schema is not None:
+            return self.spark.createDataFrame([], schema)
         first = next((c for c in _children(self.spark, self.location) if "=" in c), None)
         if first is None:
-            if fallback is not None:
-                return self.spark.createDataFrame([], fallback)
             return self.read().limit(0)
         one = f"{self.location.rstrip('/')}/{first}"
         return self.spark.read.option("basePath", self.location).parquet(one).limit(0)
 
     def touched(self, batch: DataFrame, values: list | None = None,
-                fallback: T.StructType | None = None) -> DataFrame:
-        """The table's rows in the partitions ``batch`` has rows for.
+                schema: T.StructType | None = None) -> DataFrame:
+        """The table's rows in the partitions ``batch`` has rows for, with the
+        columns of ``schema`` where it is given (no inference job then).
 
         Only the touched partition folders are read (``basePath`` keeps the
         partition columns), whatever their number and with null values; which
@@ -219,7 +220,7 @@ class LakeTable:
         if values is None:
             values = self.touched_values(batch)
         if not values:
-            return self._empty(fallback) if self.fmt == "parquet" else self.read().limit(0)
+            return self._empty(schema) if self.fmt == "parquet" else self.read().limit(0)
         flat = self.fmt == "parquet" and len(self.partition_by) == 1
         dirs = [self._partition_dir(r) for r in values] if flat else [None]
         if any(d is None for d in dirs):
@@ -227,8 +228,13 @@ class LakeTable:
         held = set(_children(self.spark, self.location))
         paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs if d in held]
         if not paths:
-            return self._empty(fallback)
-        return self.spark.read.option("basePath", self.location).parquet(*paths)
+            return self._empty(schema)
+        reader = self.spark.read.option("basePath", self.location)
+        return (reader.schema(schema) if schema is not None else reader).parquet(*paths)
+
+    def _only(self, batch: DataFrame, keys: list[str]) -> T.StructType:
+        """The schema of the keys and partition columns."""
+        return batch.select(*dict.fromkeys([*keys, *self.partition_by])).schema
 
     def insert_new(self, batch: DataFrame, keys: list[str], values: list | None = None) -> None:
         """Append the rows of ``batch`` whose key the table does not hold yet
@@ -243,7 +249,7 @@ class LakeTable:
                 values = self.touched_values(batch)
             if values == []:  # empty batch
                 return
-            held = self.touched(batch, values, batch.schema).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+            held = self.touched(batch, values, self._only(batch, keys)).select(*[F.col(c).alias(f"_k_{c}") for c in keys])
             on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
             batch = batch.join(held, on, "left_anti")
         self.append(batch)
@@ -279,7 +285,7 @@ class LakeTable:
         batch_values = self.touched_values(batch) if self.partition_by else None
         if batch_values == []:  # empty batch: nothing to do
             return
-        held = (self.touched(batch, batch_values, batch.schema)
+        held = (self.touched(batch, batch_values, self._only(batch, keys))
                 .select(*[F.col(c).alias(f"_k_{c}") for c in keys])
                 .distinct().withColumn("_held", F.lit(True)))
         on = [batch[c].eqNullSafe(held[f"_k_{c}"]) for c in keys]
@@ -294,7 +300,7 @@ class LakeTable:
             self.append(fresh)
             _delete(self.spark, split)
             return
-        current = self.touched(updates, values)
+        current = self.touched(updates, values, batch.schema)
         if merge is None:
             k = updates.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
             kept = current.join(k, [current[c].eqNullSafe(k[f"_k_{c}"]) for c in keys], "left_anti")
@@ -310,12 +316,18 @@ class LakeTable:
         _delete(self.spark, copy)
         _delete(self.spark, split)
 
-    def stage(self, df: DataFrame) -> DataFrame:
-        """Write ``df`` under the shared folder and read it back: a lineage
-        cut that survives executor loss (unlike a local checkpoint)."""
-        return self._staged(df)[0]
+    def compact(self, values: list) -> None:
+        """Rewrite the partitions ``values`` into few, large files."""
+        if not values:
+            return
+        held = self.read().limit(0)
+        staged, copy = self._staged(self.touched(held, values, held.schema))
+        self.replace_partitions(staged)
+        _delete(self.spark, copy)
 
     def _staged(self, df: DataFrame) -> tuple[DataFrame, str]:
+        """Write ``df`` under the shared folder and read it back: a lineage
+        cut that survives executor loss (unlike a local checkpoint)."""
         path = f"{shared_dir(self.spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
         self._writer(df).mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), path

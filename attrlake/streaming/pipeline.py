@@ -11,11 +11,12 @@ from the same ``DataFrame -> DataFrame`` functions as the batch form:
   no late-data loss, harmless when a batch is replayed;
 * dims    (W1 K3 K4 ST8): ``foreachBatch`` keyed upsert that folds the
   batch's latest attributes into the touched buckets of the dimension;
-* facts   (ST5-ST8 K5): event-time daily window + watermark, update mode,
-  ``foreachBatch`` upsert that *replaces* the changed keys (values are
-  absolute, so a replayed batch id is idempotent);
-* refresh (ST9): ``foreachBatch`` recomputes the touched days of a fact from
-  silver (exact distinct counts, which streaming aggregation rejects).
+* facts   (ST9 K5, the default): ``foreachBatch`` recomputes the touched days
+  of a fact from silver -- exact under late rows, replays, checkpoint resets
+  and backfills, distinct counts included;
+* facts, window mode (ST5-ST8 K5): event-time daily window + watermark, update
+  mode, ``foreachBatch`` upsert that *replaces* the changed keys; rows later
+  than the watermark are dropped.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ class StreamSettings:
     max_offsets_per_trigger: int | None = None
     shuffle_partitions: int | None = None
     watermark: str = "2 days"
-    fact_mode: str = "window"  # gold facts: "window" (state + watermark) or "incremental"
+    fact_mode: str = "refresh"  # gold facts: "refresh" (touched days, exact) or "window" (state + watermark)
 
     def available_now(self) -> StreamSettings:
         return StreamSettings(self.checkpoint, {"availableNow": True}, self.max_files_per_trigger,
@@ -270,16 +271,32 @@ def start_fact_upsert(spark: SparkSession, silver: LakeTable, table: LakeTable,
                 .foreachBatch(lambda df, _bid: upsert_fact(df, table, name)).start())
 
 
+def _of_family(rows: DataFrame, name: str) -> DataFrame:
+    """The rows a fact counts (``fact_events_daily`` counts all)."""
+    return B.route_family(rows, STREAM_FACTS[name][0]) if name in STREAM_FACTS else rows
+
+
+def replace_days(silver_rows: DataFrame, table: LakeTable, name: str, days: list) -> None:
+    """Replace the fact's ``days`` by what ``silver_rows`` (all of silver's rows
+    of those days) say; a day without a row for the fact ends up empty."""
+    if not days:
+        return
+    fact = A.FACTS[name][0](silver_rows).persist()  # an aggregate: its days, then its rows
+    try:
+        table.replace_partitions(fact, days)
+    finally:
+        fact.unpersist()
+
+
 def refresh_touched_days(batch: DataFrame, silver: LakeTable, table: LakeTable, name: str) -> None:
     """ST9: recompute the days this batch touched from silver and replace
-    those partitions.  Only the touched day folders of silver are listed and
-    read (``LakeTable.touched``).  Exact and late-safe, at the cost of
-    re-reading each touched day; ``update_events_fact`` is the incremental
-    form for ``fact_events_daily``."""
-    fn, _ = A.FACTS[name]
-    days = silver.touched_values(batch)
+    those partitions.  Only the touched day folders of silver are listed, and
+    only the fact's columns read (``LakeTable.touched``).  Values are absolute:
+    late rows, replayed batches, a fresh checkpoint or a backfill in between
+    all end at the same fact."""
+    days = silver.touched_values(_of_family(batch, name))
     if days:
-        table.replace_partitions(fn(silver.touched(batch, days)), days)
+        replace_days(silver.touched(batch, days, silver_schema()), table, name, days)
 
 
 def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
@@ -289,122 +306,44 @@ def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable,
             .foreachBatch(lambda df, _bid: refresh_touched_days(df, silver, table, name)).start())
 
 
-# -- gold: facts incrementally (exact, no watermark) ------------------------------
-
-# name -> (activity kinds or None for all, grain, additive measures, distinct-device measure?)
-INCREMENTAL_FACTS = {
-    **{n: (kinds, keys, measures, False) for n, (kinds, keys, measures) in STREAM_FACTS.items()},
-    "fact_events_daily": (None, A.EVENTS_KEYS, lambda: [A.count_rows().alias("events")], True),
-}
-
-
-def update_fact_incremental(batch: DataFrame, batch_id: int, name: str, partials: LakeTable,
-                            fact: LakeTable, devices: LakeTable | None = None) -> None:
-    """A daily fact kept exact without streaming state or a watermark.
-
-    Helper tables, partitioned by day: the batch's partial measures, one
-    folder per ``(day, batch_id)`` (overwritten when a batch is replayed) and, for the
-    distinct-device count, the distinct ``(grain, adid)`` pairs
-    (insert-new-only).  The touched days of the fact are recomputed from
-    those, which are far smaller than silver; late rows just touch an older
-    day.  Every measure is additive (counts, DECIMAL sums), so summing the
-    partials equals the batch aggregate.
-    """
-    kinds, keys, measures, distinct_devices = INCREMENTAL_FACTS[name]
-    rows = batch if kinds is None else batch.where(
-        F.col("activity_kind").isin(*([kinds] if isinstance(kinds, str) else kinds)))
-    rows = rows.persist()
-    try:
-        part = rows.groupBy(*keys).agg(*measures()).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        # One folder per (day, batch): writing a batch's partials is a plain
-        # partition overwrite, which a replay repeats harmlessly.
-        by_batch = LakeTable(partials.spark, partials.location, ["event_date", "batch_id"], partials.fmt)
-        by_batch.replace_partitions(part)
-        names = [c for c in part.columns if c not in keys and c != "batch_id"]
-        types = {f.name: f.dataType for f in part.schema.fields}
-        total = [F.sum(c).cast(A.SUM_TYPE if types[c].typeName() == "decimal" else "bigint").alias(c) for c in names]
-        days = partials.touched_values(rows)  # once for every helper table
-        if days == []:
-            return
-        counted = partials.touched(rows, days, part.schema).select(*keys, *names)
-        if distinct_devices:
-            pairs = rows.where(F.col("adid").isNotNull()).select(*keys, "adid").distinct()
-            devices.insert_new(pairs, keys + ["adid"], days)
-            seen = devices.touched(rows, days, pairs.schema).select(
-                *keys, *[F.lit(None).cast(types[c]).alias(c) for c in names], F.lit(1).alias("_device"))
-            counted = counted.withColumn("_device", F.lit(0)).unionByName(seen)
-            total.append(F.sum("_device").cast("bigint").alias("devices"))
-        fact.replace_partitions(counted.groupBy(*keys).agg(*total))
-    finally:
-        rows.unpersist()
-
-
-def update_events_fact(batch: DataFrame, batch_id: int, partials: LakeTable, devices: LakeTable,
-                       fact: LakeTable) -> None:
-    """``fact_events_daily`` incrementally (events + exact distinct devices)."""
-    update_fact_incremental(batch, batch_id, "fact_events_daily", partials, fact, devices)
-
-
-def start_fact_incremental(spark: SparkSession, silver: LakeTable, partials: LakeTable, fact: LakeTable,
-                           name: str, settings: StreamSettings,
-                           devices: LakeTable | None = None) -> StreamingQuery:
-    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
-    return (_writer(src, name, settings)
-            .foreachBatch(lambda df, bid: update_fact_incremental(df, bid, name, partials, fact, devices))
-            .start())
-
-
-def start_events_fact(spark: SparkSession, silver: LakeTable, partials: LakeTable, devices: LakeTable,
-                      fact: LakeTable, settings: StreamSettings) -> StreamingQuery:
-    return start_fact_incremental(spark, silver, partials, fact, "fact_events_daily", settings, devices)
-
-
 # -- silver and gold in one micro-batch ------------------------------------------------
 
-INGEST_BATCH = "ingest_batch"
-
-
-def silver_and_gold(batch: DataFrame, batch_id: int, silver: LakeTable, dims: dict[str, LakeTable],
-                    facts: dict[str, tuple[LakeTable, LakeTable, LakeTable | None]]) -> None:
-    """Silver append plus every dimension and incremental fact, from one
-    micro-batch of bronze.
+def silver_and_gold(batch: DataFrame, silver: LakeTable, dims: dict[str, LakeTable],
+                    facts: dict[str, LakeTable]) -> None:
+    """Silver append plus every dimension and fact, from one micro-batch of
+    bronze.
 
     Reads bronze through its sink log and never uses silver as a streaming
-    source, so no folder is listed per trigger.  Silver rows carry the batch
-    that inserted them (``ingest_batch``): the rows new in this batch are
-    those silver did not hold *before* it, the same set when the batch is
-    replayed after a partial run, and every gold step applied to them is
-    idempotent.  ``facts`` maps a fact name to (partials, fact, devices).
+    source, so no folder is listed per trigger.  Gold follows from what silver
+    holds after the append: the touched days for the facts, the stored rows of
+    the batch's ids for the dimensions.  A replay after a partial run, or a
+    fresh checkpoint, therefore ends at the same tables.
     """
-    rows = S.conform(S.dedupe_first(batch)).withColumn(INGEST_BATCH, F.lit(batch_id).cast("long")).persist()
+    rows = S.conform(S.dedupe_first(batch)).persist()
     try:
-        new = rows
-        if silver.exists():
-            values = silver.touched_values(rows)
-            if values == []:
-                return
-            earlier = (silver.touched(rows, values).where(F.col(INGEST_BATCH) < batch_id)
-                       .select(F.col("event_date").alias("_d"), F.col("id").alias("_i")))
-            on = [rows["event_date"].eqNullSafe(earlier["_d"]), rows["id"].eqNullSafe(earlier["_i"])]
-            new = rows.join(earlier, on, "left_anti")
-        new = new.persist()
-        silver.insert_new(new, ["event_date", "id"])
+        days = silver.touched_values(rows)
+        if not days:
+            return
+        silver.insert_new(rows, ["event_date", "id"], days)
+        stored = silver.touched(rows, days, silver_schema())
+        mine = rows.select(F.col("event_date").alias("_d"), F.col("id").alias("_i"))
+        on = [stored["event_date"].eqNullSafe(mine["_d"]), stored["id"].eqNullSafe(mine["_i"])]
+        held = stored.join(mine, on, "left_semi").persist()
         for name, table in dims.items():
-            upsert_dimension(new, table, name)
-        for name, (partials, fact, devices) in facts.items():
-            update_fact_incremental(new, batch_id, name, partials, fact, devices)
-        new.unpersist()
+            upsert_dimension(held, table, name)
+        held.unpersist()
+        for name, table in facts.items():
+            replace_days(stored, table, name, days)
     finally:
         rows.unpersist()
 
 
 def start_silver_and_gold(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
-                          dims: dict[str, LakeTable],
-                          facts: dict[str, tuple[LakeTable, LakeTable, LakeTable | None]],
+                          dims: dict[str, LakeTable], facts: dict[str, LakeTable],
                           settings: StreamSettings) -> StreamingQuery:
     src = bronze.read_stream(BRONZE_TABLE_SCHEMA, settings.max_files_per_trigger)
     return (_writer(src, "silver_and_gold", settings)
-            .foreachBatch(lambda df, bid: silver_and_gold(df, bid, silver, dims, facts)).start())
+            .foreachBatch(lambda df, _bid: silver_and_gold(df, silver, dims, facts)).start())
 
 
 # -- silver: current state per id (ST4b, streaming) --------------------------------

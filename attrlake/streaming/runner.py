@@ -16,6 +16,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from attrlake.operators import dims as D
+from attrlake.operators import facts as A
 from attrlake.store import LakeTable
 from attrlake.streaming import pipeline as P
 
@@ -33,9 +35,7 @@ class Lake:
 
     def _t(self, layer: str, name: str, partition_by: list[str]) -> LakeTable:
         if self.fmt == "iceberg":
-            layer, _, sub = layer.partition("/")
-            table = f"{sub.strip('_')}_{name}" if sub else name
-            return LakeTable(self.spark, f"{self.root}.{layer}.{table}", partition_by, fmt="iceberg",
+            return LakeTable(self.spark, f"{self.root}.{layer}.{name}", partition_by, fmt="iceberg",
                              files_per_partition=self.files_per_partition)
         return LakeTable(self.spark, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by,
                          files_per_partition=self.files_per_partition)
@@ -63,10 +63,6 @@ class Lake:
     def fact(self, name: str) -> LakeTable:
         return self._t("gold", name, ["event_date"])
 
-    def helper(self, name: str) -> LakeTable:
-        """Working tables of incremental gold jobs (not for reporting)."""
-        return self._t("gold/_work", name, ["event_date"])
-
 
 Start = Callable[[SparkSession, Lake, P.StreamSettings, "DataFrame | None"], list[StreamingQuery]]
 
@@ -86,25 +82,16 @@ def _dim(name: str) -> Start:
         P.start_dimension(spark, lake.silver, lake.dim(name), name, settings)]
 
 
-def _fact_upsert(name: str) -> Start:
+def _fact(name: str) -> Start:
     def start(spark, lake, settings, _t):
-        if settings.fact_mode == "incremental":
-            return [P.start_fact_incremental(spark, lake.silver, lake.helper(f"{name}_partials"),
-                                             lake.fact(name), name, settings)]
-        return [P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, settings.watermark)]
+        if settings.fact_mode == "refresh":
+            return [P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, settings)]
+        if settings.fact_mode == "window" and name in P.STREAM_FACTS:
+            return [P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, settings.watermark)]
+        raise ValueError(f"gold.{name} has no mode {settings.fact_mode!r}")
     return start
 
 
-def _fact_refresh(name: str) -> Start:
-    return lambda spark, lake, settings, _t: [
-        P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, settings)]
-
-
-def _events_fact(spark, lake, settings, _topic):
-    return [P.start_events_fact(spark, lake.silver, lake.helper("events_partials"),
-                                lake.helper("event_devices"), lake.fact("fact_events_daily"), settings)]
-
-
 def _current(spark, lake, settings, topic):
     if topic is None:
         raise ValueError("the current-state job needs a topic of change envelopes")
@@ -114,12 +101,8 @@ def _current(spark, lake, settings, topic):
 
 
 def gold_targets(lake: Lake):
-    """Dimension tables and (partials, fact, devices) of every incremental fact."""
-    dims = {name: lake.dim(name) for name in ("dim_app", "dim_campaign")}
-    facts = {name: (lake.helper(f"{name}_partials"), lake.fact(name), None) for name in P.STREAM_FACTS}
-    facts["fact_events_daily"] = (lake.helper("events_partials"), lake.fact("fact_events_daily"),
-                                  lake.helper("event_devices"))
-    return dims, facts
+    """Every dimension and fact table by name."""
+    return {name: lake.dim(name) for name in D.DIMENSIONS}, {name: lake.fact(name) for name in A.FACTS}
 
 
 def _silver_and_gold(spark, lake, settings, _topic):
@@ -132,25 +115,20 @@ JOBS: dict[str, Start] = {
     "silver.bronze_to_silver": _silver,
     "gold.dim_app": _dim("dim_app"),
     "gold.dim_campaign": _dim("dim_campaign"),
-    **{f"gold.{n}": _fact_upsert(n) for n in P.STREAM_FACTS},
-    "gold.fact_events_daily": _events_fact,
+    **{f"gold.{n}": _fact(n) for n in A.FACTS},
     # Alternative to the silver job plus every gold job: one micro-batch job
     # from bronze (no silver folder listed per trigger).  Not in the default set.
     "silver.bronze_to_silver_and_gold": _silver_and_gold,
     # For a topic that carries change envelopes (no unwrap in the connector):
     # last state per id, deletes applied.  Not in the default set.
     "silver.changes_to_current": _current,
-    # ST9 as a job: recompute the touched days of the fact from silver
-    # (instead of the incremental form).  Not in the default set.
-    "gold.fact_events_daily_refresh": _fact_refresh("fact_events_daily"),
 }
-OPT_IN_JOBS = ("silver.bronze_to_silver_and_gold", "silver.changes_to_current", "gold.fact_events_daily_refresh")
+OPT_IN_JOBS = ("silver.bronze_to_silver_and_gold", "silver.changes_to_current")
 DEFAULT_JOBS = [n for n in JOBS if n not in OPT_IN_JOBS]
 # Jobs that write the same table must not run together.
 EXCLUSIVE = [
     ({"silver.bronze_to_silver_and_gold"}, {"silver.bronze_to_silver", "gold.dim_app", "gold.dim_campaign",
-                                           *[f"gold.{n}" for n in P.STREAM_FACTS], "gold.fact_events_daily"}),
-    ({"gold.fact_events_daily_refresh"}, {"gold.fact_events_daily"}),
+                                           *[f"gold.{n}" for n in A.FACTS]}),
 ]
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
@@ -197,7 +175,7 @@ def run_jobs(
                 max_offsets_per_trigger=cfg.get("max_offsets_per_trigger"),
                 shuffle_partitions=cfg.get("shuffle_partitions"),
                 watermark=cfg.get("watermark", "2 days"),
-                fact_mode=cfg.get("mode", "window"),
+                fact_mode=cfg.get("mode", "refresh"),
             )
             if available_now:
                 settings = settings.available_now()

@@ -36,6 +36,8 @@ def test_backfill_days_then_compact(spark):
     compact_gold(lake, "fact_revenue_daily", ["2024-01-05"])
     after = [f for f in table.read().inputFiles() if "event_date=2024-01-05" in f]
     assert len(after) <= len(before)
+    compact_gold(lake, "fact_revenue_daily", [])  # no days, nothing done
+    assert sorted(table.read().inputFiles()) == sorted(lake.fact("fact_revenue_daily").read().inputFiles())
     assert _same(table.read(), A.fact_revenue_daily(silver), cols)
 
 
@@ -46,25 +48,3 @@ def test_dimension_rebuild_equals_batch_dimension(spark):
     rebuild_dimensions(lake)
     cols = ["app_token", "app_name", "platform", "first_seen", "last_seen", "last_id"]
     assert _same(lake.dim("dim_app").read(), D.dim_app(silver), cols)
-
-
-def test_compacting_event_partials_keeps_the_fact_and_replays_safe(spark):
-    from attrlake.batch import compact_event_partials
-    from attrlake.functions.time import ntz_to_micros
-    from attrlake.streaming import pipeline as P
-
-    lake = Lake(spark, run_dir(spark, "t-partials"))
-    silver = Qy.silver_rows(spark, SF_SMALL)
-    micros = ntz_to_micros(F.col("created_at"))
-    cut = silver.agg(F.percentile_approx(micros, 0.5)).first()[0]
-    first, second = silver.where(micros <= cut), silver.where(micros > cut)
-    tables = (lake.helper("events_partials"), lake.helper("event_devices"), lake.fact("fact_events_daily"))
-    P.update_events_fact(first, 0, *tables)
-    P.update_events_fact(second, 1, *tables)
-    days = [str(r.event_date) for r in silver.select("event_date").distinct().collect()]
-    compact_event_partials(lake, days)
-    P.update_events_fact(second, 1, *tables)  # the newest batch is replayed after compaction
-    cols = A.EVENTS_KEYS + ["events", "devices"]
-    assert _same(lake.fact("fact_events_daily").read(), A.fact_events_daily(silver), cols)
-    ids = {r.batch_id for r in lake.helper("events_partials").read().select("batch_id").distinct().collect()}
-    assert ids <= {-1, 1}

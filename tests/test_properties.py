@@ -1,5 +1,5 @@
 """Property: however silver is cut into micro-batches, whatever their order,
-and whichever batches are replayed, the incremental facts and the
+and whichever batches are replayed, the refreshed facts and the
 dimensions end equal to their batch form."""
 
 from hypothesis import HealthCheck, given, settings
@@ -30,8 +30,9 @@ def test_any_batching_order_and_replay_gives_the_batch_result(spark, parts, seed
     batches = [silver.where(piece == i) for i in range(parts)]
     sequence = [i for i in order if i < parts] + [i for i in replay if i < parts]
     name = "fact_events_daily"
-    for bid in sequence:  # a batch id names its rows, replays reuse it
-        P.update_fact_incremental(batches[bid], bid, name, lake.helper("p"), lake.fact(name), lake.helper("d"))
+    for bid in sequence:
+        lake.silver.insert_new(batches[bid], ["event_date", "id"])
+        P.refresh_touched_days(batches[bid], lake.silver, lake.fact(name), name)
         P.upsert_dimension(batches[bid], lake.dim("dim_app"), "dim_app")
     want = A.fact_events_daily(silver)
     got = lake.fact(name).read().select(*want.columns)

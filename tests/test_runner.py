@@ -24,7 +24,7 @@ def test_cli_runs_every_layer_and_views_answer(spark):
     # silver holds every good id once; gold equals the batch fact over silver
     silver = lake.silver.read()
     assert silver.count() == silver.select("id").distinct().count()
-    for name, (fn, keys) in A.FACTS.items():  # window, incremental and exact-distinct jobs alike
+    for name, (fn, keys) in A.FACTS.items():  # window and refresh jobs alike
         want, got = fn(silver), spark.table(name)
         assert got.count() == want.count(), name
         assert got.select(*want.columns).exceptAll(want).count() == 0, name
@@ -57,7 +57,8 @@ def test_jobs_writing_the_same_tables_are_refused():
 
     with pytest.raises(ValueError, match="write the same tables"):
         runner.run_jobs(None, None, "/unused", names=["silver.bronze_to_silver", "silver.bronze_to_silver_and_gold"])
-    assert "gold.fact_events_daily_refresh" not in runner.DEFAULT_JOBS
+    with pytest.raises(ValueError, match="no mode 'window'"):  # a distinct count has no windowed form
+        runner.JOBS["gold.fact_events_daily"](None, runner.Lake(None, "/unused"), runner.P.StreamSettings("/unused", fact_mode="window"), None)
 
 
 def test_config_names_only_real_jobs_and_known_keys():
