@@ -8,6 +8,8 @@ whole micro-batch.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +39,7 @@ def decode(payload: Column, schema: T.StructType | str, codec: str = "json",
     ``json``: permissive parse; malformed or wrongly typed input keeps the raw
     text in ``_corrupt_record`` (an extra field), an empty payload gives NULL.
     ``avro``: ``from_avro`` with ``schema`` as an Avro schema string; a bad
-    record gives NULL.  ``mode="FAILFAST"`` makes a bad record fail the query
+    record gives a row of NULLs.  ``mode="FAILFAST"`` makes a bad record fail the query
     instead (``from_avro``'s own default) -- the pipeline routes bad records
     to quarantine, so it decodes permissively.
     """
@@ -59,11 +61,41 @@ def decode(payload: Column, schema: T.StructType | str, codec: str = "json",
     raise ValueError(f"unknown codec {codec!r}")
 
 
-def is_corrupt(decoded: Column, codec: str = "json") -> Column:
-    """True where the payload did not decode into a record."""
+def is_corrupt(decoded: Column, codec: str = "json", fields: list[str] | None = None) -> Column:
+    """True where the payload did not decode into a record.
+
+    A damaged Avro record comes back as NULL or, permissively, as a row whose
+    ``fields`` are all NULL; no event has neither id nor any other value.
+    """
     if codec == "json":
         return decoded.isNull() | decoded[CORRUPT_FIELD].isNotNull()
-    return decoded.isNull()
+    empty = reduce(lambda a, b: a & b, [decoded[f].isNull() for f in fields or []], F.lit(bool(fields)))
+    return decoded.isNull() | empty
+
+
+# Avro type names and the column types they decode to (fixed by the format).
+AVRO_PRIMITIVES = {
+    "null": T.NullType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "long": T.LongType(),
+    "float": T.FloatType(), "double": T.DoubleType(), "bytes": T.BinaryType(), "string": T.StringType(),
+}
+
+
+def avro_columns(schema: str) -> T.StructType:
+    """The flat columns that an Avro record schema (JSON text) decodes to:
+    primitive fields, alone or in a union with null.  Logical types and nested
+    fields are refused, so a registry change can't alter a column unnoticed."""
+    import json
+
+    columns = []
+    for field in json.loads(schema)["fields"]:
+        union = field["type"] if isinstance(field["type"], list) else [field["type"]]
+        kinds = [k["type"] if isinstance(k, dict) and set(k) <= {"type", "avro.java.string", "connect.type", "connect.default"}
+                 else k for k in union]
+        named = [k for k in kinds if k != "null"]
+        if len(named) != 1 or not isinstance(named[0], str) or named[0] not in AVRO_PRIMITIVES:
+            raise ValueError(f"field {field['name']!r} has no flat column type: {field['type']!r}")
+        columns.append(T.StructField(field["name"], AVRO_PRIMITIVES[named[0]], "null" in kinds))
+    return T.StructType(columns)
 
 
 def registry_schema_string(registry_url: str, subject: str, timeout: float = 30.0) -> str:

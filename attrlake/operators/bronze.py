@@ -34,7 +34,17 @@ def frame_header(messages: DataFrame) -> DataFrame:
     )
 
 
-def _decoded_once(messages: DataFrame, schema: T.StructType, codec: str) -> DataFrame:
+def _reader(schema: T.StructType | str | None, codec: str) -> tuple[T.StructType | str, T.StructType]:
+    """What the codec decodes with and the flat columns that come out: for
+    ``avro`` an Avro schema string and the columns derived from it."""
+    if codec != "avro":
+        return schema or bronze_schema(), schema or bronze_schema()
+    if not isinstance(schema, str):
+        raise TypeError("the avro codec takes an Avro schema string (see codec.registry_schema_string)")
+    return schema, C.avro_columns(schema)
+
+
+def _decoded_once(messages: DataFrame, schema: T.StructType | str, codec: str) -> DataFrame:
     """Decode as the output of a one-element ``explode``.
 
     The routing predicates test the decoded struct several times; a filter
@@ -48,18 +58,18 @@ def _decoded_once(messages: DataFrame, schema: T.StructType, codec: str) -> Data
 
 def decode_messages(
     messages: DataFrame,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     codec: str = "json",
 ) -> DataFrame:
     """Strip the header, decode with one fixed schema, flatten, add
     ``event_date``.  Tombstones (NULL or empty values) are dropped; for input that may
     hold damaged messages use ``route_messages`` + ``good_records``, which
     set them aside instead of letting them through as NULL rows."""
-    schema = schema or bronze_schema()
+    reader, columns = _reader(schema, codec)
     # A NULL or empty value decodes to NULL; filtering on the decoded struct
     # (above the decode barrier) drops it without re-running the decode.
-    decoded = _decoded_once(messages, schema, codec).where(F.col(DECODED).isNotNull())
-    flat = decoded.select(*[F.col(f"{DECODED}.{f.name}").alias(f.name) for f in schema.fields])
+    decoded = _decoded_once(messages, reader, codec).where(F.col(DECODED).isNotNull())
+    flat = decoded.select(*[F.col(f"{DECODED}.{f.name}").alias(f.name) for f in columns.fields])
     return with_event_date(flat)
 
 
@@ -69,32 +79,31 @@ REASONS = ["tombstone", "short_value", "bad_magic", "undecodable", "null_id", "n
 
 def route_messages(
     messages: DataFrame,
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     codec: str = "json",
 ) -> DataFrame:
     """P10: one decode, every message labelled.
 
     Adds ``reason`` (NULL for a good record, else one of ``REASONS``) next to
-    the flattened record and ``event_date``.  Callers write
-    ``reason IS NULL`` to the table and the rest to quarantine in the same
-    micro-batch; tombstones are only counted.
+    the flattened record and ``event_date``.  ``stored_messages`` is the form
+    that one sink writes, good, damaged and tombstones alike.
     """
-    schema = schema or bronze_schema()
+    reader, columns = _reader(schema, codec)
     v = F.col("value")
     d = F.col(DECODED)
     reason: Column = (
         F.when(v.isNull(), "tombstone")
         .when(F.length(v) <= framing.HEADER_BYTES, "short_value")
         .when(framing.magic_byte(v) != framing.MAGIC, "bad_magic")
-        .when(C.is_corrupt(d, codec), "undecodable")
+        .when(C.is_corrupt(d, codec, columns.names), "undecodable")
         .when(d["id"].isNull(), "null_id")
         .when(d["created_at"].isNull(), "null_created_at")
     )
-    decoded = _decoded_once(messages, schema, codec)
+    decoded = _decoded_once(messages, reader, codec)
     out = decoded.select(
         "key", "value", "topic", "partition", "offset",
         reason.alias("reason"),
-        *[d[f.name].alias(f.name) for f in schema.fields],
+        *[d[f.name].alias(f.name) for f in columns.fields],
     )
     return with_event_date(out)
 
@@ -115,6 +124,27 @@ def good_records(routed: DataFrame, schema: T.StructType | None = None) -> DataF
     )
 
 
+# ``reason`` of a good row in the stored message table.
+GOOD = "good"
+# What a stored message adds to a bronze row: kept only where it is not good.
+RAW = ["key", "value", "topic"]
+
+
+def stored_messages(routed: DataFrame) -> DataFrame:
+    """Every message as one table stores it, so that the topic is read and
+    decoded once: the bronze columns, ``reason`` (``GOOD`` for a good record)
+    and, where it is not good, the raw message.  Bronze, quarantine and the
+    count of tombstones are reads of its ``reason`` partitions."""
+    good = F.col("reason").isNull()
+    columns = [c for c in routed.columns if c not in (*RAW, "partition", "offset", "reason")]
+    return routed.select(
+        *columns,
+        F.col("partition").cast("int").alias("source_partition"), F.col("offset").cast("bigint").alias("source_offset"),
+        *[F.when(~good, F.col(c)).alias(f"raw_{c}") for c in RAW],
+        F.coalesce("reason", F.lit(GOOD)).alias("reason"),
+    )
+
+
 def quarantined(routed: DataFrame) -> DataFrame:
     """Messages set aside: the raw value (to repair and replay), where it came
     from and why."""

@@ -336,6 +336,10 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_bronze_append": with_bronze(
             "select b.* from messages m join bronze b on m.id = b.id where m.id % 101 not between 1 and 9",
             MESSAGES),
+        "stream_quarantine": f"with r as ({batch['quarantine_split']}) "
+                             "select * from r where reason is not null and reason <> 'tombstone'",
+        "stream_message_counts": f"with r as ({batch['quarantine_split']}) "
+                                 "select coalesce(reason, 'good') as reason, count(*) as messages from r group by 1",
         "stream_silver": batch["silver_dedupe"],
         "stream_silver_current": batch["silver_current"],
         "stream_dim_app_upsert": batch["dim_app"],

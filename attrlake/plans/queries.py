@@ -273,12 +273,27 @@ def _await(queries) -> None:
             raise RuntimeError(f"{q.name}: {q.exception()}")
 
 
+def _bronze_run(spark, sf_dir, label: str) -> Lake:
+    root, lake, ckpt = _stream_run(spark, label)
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
+    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
+    return lake
+
+
 def stream_bronze_append(spark, sf_dir):
     """Topic files -> bronze stream (file sink) with quarantine; equals the batch form."""
-    root, lake, ckpt = _stream_run(spark, "stream-bronze")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
-    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES), quarantine=lake.quarantine))
-    return lake.bronze.read().select(*M.COLUMN_NAMES, "event_date")
+    return _bronze_run(spark, sf_dir, "stream-bronze").bronze.read().select(*M.COLUMN_NAMES, "event_date")
+
+
+def stream_quarantine(spark, sf_dir):
+    """P10: the messages that the same query set aside, and why."""
+    return _bronze_run(spark, sf_dir, "stream-quarantine").quarantine.read().select("key", "offset", "reason")
+
+
+def stream_message_counts(spark, sf_dir):
+    """P10: stored messages by outcome (good, tombstone, kinds of damage): none is lost unseen."""
+    messages = _bronze_run(spark, sf_dir, "stream-counts").messages.read()
+    return messages.groupBy("reason").agg(F.count("*").alias("messages"))
 
 
 def stream_silver(spark, sf_dir):
@@ -423,6 +438,8 @@ def stream_all_layers(spark, sf_dir):
 
 STREAM_QUERIES: dict[str, Query] = {
     "stream_bronze_append": stream_bronze_append,
+    "stream_quarantine": stream_quarantine,
+    "stream_message_counts": stream_message_counts,
     "stream_silver": stream_silver,
     "stream_silver_current": stream_silver_current,
     "stream_dim_app_upsert": _stream_dim("dim_app"),

@@ -95,6 +95,10 @@ class LakeTable:
     # Hash buckets of a keyed table partitioned by ``bucket`` (dimensions,
     # current state).  A property of the table: change it only by rebuilding.
     buckets: int | None = None
+    # A table that is part of a larger one: the condition on its rows (on
+    # partition columns, so reads are pruned) and its columns (None: all).
+    rows: str | None = None
+    columns: list[str] | None = None
 
     # -- reads -------------------------------------------------------------
     def exists(self) -> bool:
@@ -104,21 +108,26 @@ class LakeTable:
 
     def read(self, schema: T.StructType | None = None) -> DataFrame:
         if self.fmt == "iceberg":
-            return self.spark.table(self.location)
+            return self._part(self.spark.table(self.location))
         if not self.exists():
             if schema is None:
                 raise FileNotFoundError(self.location)
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self.location)
+        return self._part(self.spark.read.parquet(self.location))
+
+    def _part(self, df: DataFrame) -> DataFrame:
+        if self.rows:
+            df = df.where(self.rows)
+        return df.selectExpr(*self.columns) if self.columns else df
 
     def read_stream(self, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
         """S3: the table as a streaming source (append-only tables only)."""
         if self.fmt == "iceberg":
-            return self.spark.readStream.format("iceberg").load(self.location)
+            return self._part(self.spark.readStream.format("iceberg").load(self.location))
         reader = self.spark.readStream.schema(schema)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(self.location)
+        return self._part(reader.parquet(self.location))
 
     # -- writes ------------------------------------------------------------
     def _writer(self, df: DataFrame):

@@ -4,8 +4,9 @@ Each layer is its own ``StreamingQuery`` with its own checkpoint, built
 from the same ``DataFrame -> DataFrame`` functions as the batch form:
 
 * bronze  (S1 K1 P1-P5 P10): route + decode, append with the file sink,
-  partitioned by ``event_date`` -- exactly once through the sink's commit
-  log; damaged messages go to a quarantine table from the same source;
+  partitioned by ``reason`` and ``event_date`` -- exactly once through the
+  sink's commit log; one query reads and decodes the topic once, bronze and
+  quarantine are reads of the sink's ``reason`` partitions;
 * silver  (S3 ST4a K2): ``foreachBatch``: dedupe inside the batch, then an
   anti-join against the silver partitions the batch touches -- no state,
   no late-data loss, harmless when a batch is replayed;
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,7 @@ BRONZE_TABLE_SCHEMA = T.StructType(bronze_schema().fields + [
     T.StructField("event_date", T.DateType()),
     T.StructField("source_partition", T.IntegerType()),
     T.StructField("source_offset", T.LongType()),
+    T.StructField("reason", T.StringType()),
 ])
 DIM_BUCKETS = 16
 
@@ -73,11 +75,11 @@ class StreamSettings:
     shuffle_partitions: int | None = None
     watermark: str = "2 days"
     fact_mode: str = "refresh"  # gold facts: "refresh" (touched days, exact) or "window" (state + watermark)
+    codec: str = "json"                # bronze: "json" or "avro"
+    reader_schema: str | None = None   # bronze: Avro schema text (codec "avro")
 
     def available_now(self) -> StreamSettings:
-        return StreamSettings(self.checkpoint, {"availableNow": True}, self.max_files_per_trigger,
-                              self.max_offsets_per_trigger, self.shuffle_partitions, self.watermark,
-                              self.fact_mode)
+        return replace(self, trigger={"availableNow": True})
 
 
 @contextmanager
@@ -146,14 +148,12 @@ def _writer(df: DataFrame, name: str, settings: StreamSettings):
 
 # -- bronze -----------------------------------------------------------------------
 
-def start_bronze(topic: DataFrame, bronze: LakeTable, settings: StreamSettings,
-                 quarantine: LakeTable | None = None, codec: str = "json") -> list[StreamingQuery]:
-    """K1: decoded records appended to ``bronze`` (file sink, exactly once)."""
-    routed = B.route_messages(topic, codec=codec)
-    queries = [_append_sink(B.good_records(routed), "bronze", bronze, settings)]
-    if quarantine is not None:
-        queries.append(_append_sink(B.quarantined(routed), "bronze_quarantine", quarantine, settings))
-    return queries
+def start_bronze(topic: DataFrame, bronze: LakeTable, settings: StreamSettings) -> list[StreamingQuery]:
+    """K1/P10: every message appended under its ``reason`` (file sink, exactly
+    once); ``bronze`` reads the good ones.  ``settings`` name the codec and,
+    for Avro, the reader schema."""
+    routed = B.route_messages(topic, settings.reader_schema, settings.codec)
+    return [_append_sink(B.stored_messages(routed), "bronze", bronze, settings)]
 
 
 def _append_sink(df: DataFrame, name: str, table: LakeTable, settings: StreamSettings) -> StreamingQuery:

@@ -16,8 +16,11 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from attrlake.functions.codec import registry_schema_string
+from attrlake.operators import bronze as B
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
+from attrlake.schemas import COLUMN_NAMES
 from attrlake.store import LakeTable
 from attrlake.streaming import pipeline as P
 
@@ -40,13 +43,21 @@ class Lake:
         return LakeTable(self.spark, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by,
                          files_per_partition=self.files_per_partition)
 
+    @property
+    def messages(self) -> LakeTable:
+        """Every message of the topic by ``reason`` and day."""
+        return self._t("bronze", "messages", ["reason", "event_date"])
+
     @property
     def bronze(self) -> LakeTable:
-        return self._t("bronze", "events", ["event_date"])
+        """The good messages."""
+        return replace(self.messages, rows=f"reason = '{B.GOOD}'", columns=[*COLUMN_NAMES, "event_date", *B.LINEAGE])
 
     @property
     def quarantine(self) -> LakeTable:
-        return self._t("bronze", "quarantine", [])
+        """The damaged ones: raw bytes, topic position and reason."""
+        return replace(self.messages, rows=f"reason not in ('{B.GOOD}', 'tombstone')", columns=[
+            *[f"raw_{c} as {c}" for c in B.RAW], "source_partition as partition", "source_offset as offset", "reason"])
 
     @property
     def silver(self) -> LakeTable:
@@ -70,7 +81,7 @@ Start = Callable[[SparkSession, Lake, P.StreamSettings, "DataFrame | None"], lis
 def _bronze(spark, lake, settings, topic):
     if topic is None:
         raise ValueError("the bronze job needs a topic source")
-    return P.start_bronze(topic, lake.bronze, settings, quarantine=lake.quarantine)
+    return P.start_bronze(topic, lake.bronze, settings)
 
 
 def _silver(spark, lake, settings, _topic):
@@ -133,6 +144,20 @@ EXCLUSIVE = [
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
 
+CONFIG_KEYS = {"trigger_interval", "max_files_per_trigger", "max_offsets_per_trigger", "min_partitions",
+               "shuffle_partitions", "watermark", "mode", "codec", "schema_registry_url", "schema_subject"}
+
+
+def _reader_schema(cfg: dict) -> str | None:
+    """The Avro reader schema, fetched once when the job starts."""
+    if cfg.get("codec", "json") != "avro":
+        return None
+    missing = {"schema_registry_url", "schema_subject"} - set(cfg)
+    if missing:
+        raise ValueError(f"the avro codec needs {sorted(missing)}")
+    return registry_schema_string(cfg["schema_registry_url"], cfg["schema_subject"])
+
+
 def load_config(path: str) -> dict:
     """``{job: {trigger_interval, max_files_per_trigger, ...}}`` from YAML."""
     import yaml
@@ -167,7 +192,9 @@ def run_jobs(
     for layer in LAYER_ORDER:
         layer_queries: list[StreamingQuery] = []
         for name in [n for n in names if n.split(".", 1)[0] == layer]:
-            cfg = config.get(name, {})
+            cfg = config.get(name) or {}
+            if unknown := set(cfg) - CONFIG_KEYS:
+                raise ValueError(f"{name}: unknown settings {sorted(unknown)}")
             settings = P.StreamSettings(
                 checkpoint=f"{checkpoint_root.rstrip('/')}/{name.replace('.', '/')}",
                 trigger={"processingTime": cfg.get("trigger_interval", "1 minute")},
@@ -176,6 +203,8 @@ def run_jobs(
                 shuffle_partitions=cfg.get("shuffle_partitions"),
                 watermark=cfg.get("watermark", "2 days"),
                 fact_mode=cfg.get("mode", "refresh"),
+                codec=cfg.get("codec", "json"),
+                reader_schema=_reader_schema(cfg),
             )
             if available_now:
                 settings = settings.available_now()
@@ -202,6 +231,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--topic-path", help="file form of the topic (parquet of topic rows)")
     ap.add_argument("--kafka-servers")
     ap.add_argument("--kafka-topic")
+    ap.add_argument("--codec", choices=["json", "avro"], help="payload codec of the topic")
+    ap.add_argument("--schema-registry-url", help="registry that holds the topic's Avro schema")
+    ap.add_argument("--schema-subject", help="default: <kafka topic>-value")
     ap.add_argument("--config", help="YAML: {job: {trigger_interval, max_files_per_trigger, ...}}")
     ap.add_argument("--jobs", nargs="*", help=f"subset of {sorted(JOBS)}")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
@@ -214,7 +246,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         spark = create_session("attrlake-jobs")
     config = load_config(args.config) if args.config else {}
-    bronze_cfg = config.get("bronze.topic_to_bronze", {})
+    bronze_cfg = dict(config.get("bronze.topic_to_bronze") or {})
+    subject = args.schema_subject or (f"{args.kafka_topic}-value" if args.kafka_topic else None)
+    for key, given in (("codec", args.codec), ("schema_registry_url", args.schema_registry_url), ("schema_subject", subject)):
+        if given and not (key == "schema_subject" and key in bronze_cfg and not args.schema_subject):
+            bronze_cfg[key] = given
+    config["bronze.topic_to_bronze"] = bronze_cfg
     topic = None
     if args.kafka_servers and args.kafka_topic:
         topic = P.kafka_topic(spark, args.kafka_servers, args.kafka_topic,

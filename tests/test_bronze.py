@@ -112,3 +112,49 @@ def test_registry_lookup_reads_the_latest_schema(tmp_path):
                                                "schema": '{"type": "record", "name": "E", "fields": []}'}))
     schema = registry_schema_string(tmp_path.as_uri(), "events-value")
     assert json.loads(schema)["name"] == "E"
+
+
+def _avro_schema(columns):
+    """An Avro record schema with the given columns, each nullable."""
+    import json
+
+    from attrlake.functions.codec import AVRO_PRIMITIVES
+
+    names = {type(t): n for n, t in AVRO_PRIMITIVES.items()}
+    return json.dumps({"type": "record", "name": "Event", "fields": [
+        {"name": f.name, "type": ["null", names[type(f.dataType)]], "default": None} for f in columns.fields]})
+
+
+def test_avro_schema_gives_the_event_columns():
+    import pytest
+
+    from attrlake.functions.codec import avro_columns
+    from attrlake.schemas import registry_schema
+
+    got = avro_columns(_avro_schema(registry_schema()))
+    assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in registry_schema().fields]
+    assert len(got) == 55
+    with pytest.raises(ValueError, match="no flat column type"):
+        avro_columns('{"fields": [{"name": "at", "type": {"type": "long", "logicalType": "timestamp-micros"}}]}')
+
+
+def test_avro_topic_without_the_package_says_so(spark):
+    import pytest
+
+    from attrlake.operators import bronze as B
+    from attrlake.schemas import registry_schema
+
+    messages = spark.createDataFrame([], "key string, value binary, topic string, partition int, offset bigint")
+    with pytest.raises(Exception, match="AVRO_NOT_LOADED|[Aa]vro"):
+        B.route_messages(messages, _avro_schema(registry_schema()), codec="avro").collect()
+    with pytest.raises(TypeError, match="Avro schema string"):
+        B.route_messages(messages, codec="avro")
+
+
+def test_a_row_of_nulls_counts_as_undecodable(spark):
+    from pyspark.sql import functions as F
+
+    from attrlake.functions.codec import is_corrupt
+
+    rows = spark.sql("select * from values (named_struct('a', 1, 'b', null)), (named_struct('a', null, 'b', null)), (null) as t(d)")
+    assert [r[0] for r in rows.select(is_corrupt(F.col("d"), "avro", ["a", "b"])).collect()] == [False, True, True]

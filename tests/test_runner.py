@@ -63,8 +63,17 @@ def test_jobs_writing_the_same_tables_are_refused():
 
 def test_config_names_only_real_jobs_and_known_keys():
     cfg = runner.load_config(f"{ROOT}/conf/jobs.yaml")
-    known = {"trigger_interval", "max_files_per_trigger", "max_offsets_per_trigger", "min_partitions",
-             "shuffle_partitions", "watermark", "mode"}
+    known = runner.CONFIG_KEYS
     assert set(cfg) <= set(runner.JOBS)
     for job, settings in cfg.items():
         assert set(settings) <= known, (job, set(settings) - known)
+
+
+def test_unknown_settings_and_an_avro_job_without_a_registry_are_refused():
+    import pytest
+
+    lake, name = runner.Lake(None, "/unused"), "bronze.topic_to_bronze"
+    with pytest.raises(ValueError, match="unknown settings"):
+        runner.run_jobs(None, lake, "/unused", names=[name], config={name: {"trigger": "1 minute"}})
+    with pytest.raises(ValueError, match="schema_registry_url"):
+        runner.run_jobs(None, lake, "/unused", names=[name], config={name: {"codec": "avro"}})
