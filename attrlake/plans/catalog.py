@@ -8,6 +8,7 @@ broadcast only when its measured size allows it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from attrlake.streaming.pipeline import STREAM_FACTS
@@ -70,6 +71,7 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
         try:
             spark.sql(sql).createOrReplaceTempView(name)
             names.append(name)
-        except Exception:  # noqa: BLE001 - an input table is missing
-            continue
+        except AnalysisException as error:
+            if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":  # an input table is not there yet
+                raise
     return names
