@@ -65,9 +65,12 @@ class Sent:
         return self.thing
 
 
-def texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    """A string column as UTF-8 bytes, null as empty."""
-    return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
+def texts(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
+    """A string column as UTF-8 bytes, null as empty; few at a time are Python
+    objects."""
+    column = batch.column(name).cast(pa.binary())
+    for k in range(0, len(column), 256):
+        yield from (t or b"" for t in column.slice(k, 256).to_pylist())
 
 
 def doc_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:

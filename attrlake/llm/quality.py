@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-from attrlake.llm.common import Sent, doc_rows, held_out, id_and_text, labelled_sample, packed, stored, texts
+from attrlake.llm.common import Sent, doc_rows, held_out, id_and_text, labelled_sample, stored, texts
 
 SAMPLE = 20_000
 FOURIER = 256
@@ -220,13 +219,10 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches ``threshold``."""
     sent = Sent(docs.sparkSession, fit(docs, labels))
-    whole = packed(docs).withColumn("text", F.col("row").getField("text").cast("string"))
-    row = whole.schema["row"]
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([statistics(t) for t in texts(batch, "text")]).reshape(-1, DIM)
-            good = sent.value.score(x) >= threshold
-            yield pa.RecordBatch.from_arrays([batch.column("row")], names=["row"]).filter(pa.array(good))
+    def good(column: pa.Array) -> pa.Array:
+        x = np.array([statistics(t) for t in texts(pa.record_batch([column], ["text"]), "text")]).reshape(-1, DIM)
+        return pa.array(sent.value.score(x) >= threshold)
 
-    return whole.mapInArrow(each, StructType([StructField("row", row.dataType, False)])).select("row.*")
+    # Only the text goes to Python; the rows stay where they are.
+    return docs.where(F.arrow_udf(good, "boolean")(F.col("text").cast("string")))
