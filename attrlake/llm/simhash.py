@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import doc_rows, id_and_text, stored, without_ids
+from attrlake.llm.common import doc_rows, id_and_text, packed, stored, texts, unpacked, without_ids
 from attrlake.llm.components import connected_components
 
 SHINGLE = 4
@@ -34,6 +34,8 @@ MAX_BITS = 4
 REFINE = 4096
 #: Links that a task holds before it passes on their spanning forest.
 HELD_LINKS = 1 << 19
+#: Tasks that a component's members are spread over.
+SALTS = 32
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -164,25 +166,39 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(meet, "a bigint, b bigint")
 
 
+def classes(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component, component_id) of each distinct fingerprint of ``rows``
+    (doc_id, fp): its component's smallest fingerprint and smallest doc_id.
+
+    Only linked fingerprints go through the components; the way from a
+    component back to its members is salted, since one may hold very many.
+    """
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    linked = connected_components(links(nodes.select("fp"), max_bits))
+    least = linked.join(nodes, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("least").alias("component_id"))
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    members = (linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+               .join(salted, ["component", "salt"]).select("node", "component", "component_id"))
+    return (nodes.join(members, nodes["fp"] == members["node"], "left")
+            .select("fp", F.coalesce("component", "fp").alias("component"),
+                    F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) per document row; the component is
     the smallest doc_id that links of at most ``max_bits`` bits reach."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    component = connected_components(links(nodes.select("fp"), max_bits))
-    classes = (nodes.join(component, nodes["fp"] == component["node"], "left")
-               .select("fp", "least", F.coalesce("component", "fp").alias("component")))
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "component").select("fp", "component_id")
-    return (rows.join(named, "fp")
+    return (rows.join(classes(rows, max_bits), "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each near-duplicate group stays: the one whose doc_id
-    is the component's (a group of null ids keeps a null id).  Rows that
-    repeat a doc_id are reduced to one."""
-    found = near_duplicates(docs, shingle, max_bits)
+    """One document row of each near-duplicate group stays: one whose doc_id
+    is the component's, or any if all ids of the group are null.  Rows that
+    repeat a doc_id, or have none, stay one for each group they stand for."""
+    rows = stored(fingerprints(docs, shingle), "fingerprints")
+    named = stored(classes(rows, max_bits), "classes")
+    found = rows.join(named, "fp")
     ids = stored(found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keep"),
                                              F.count("*").alias("n")), "kept")
     kept = without_ids(docs, ids.where("not keep").select(F.col("doc_id").alias("gone")))
@@ -190,5 +206,13 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     if again.isEmpty():
         return kept
     match = kept["doc_id"].cast("long").eqNullSafe(F.col("again"))
-    return (kept.join(again, match, "left_anti")
-            .unionByName(kept.join(again, match, "left_semi").dropDuplicates(["doc_id"])))
+
+    def each(column: pa.Array) -> pa.Array:
+        batch = pa.record_batch([column], ["text"])
+        return pa.array(np.array([fingerprint(t, shingle) for t in texts(batch, "text")], np.uint64).view(np.int64))
+
+    several = packed(kept.join(again, match, "left_semi"))
+    several = several.withColumn("fp", F.arrow_udf(each, "bigint")(F.col("row.text").cast("string")))
+    one = (several.join(named, "fp").where(F.col("row.doc_id").cast("long").eqNullSafe(F.col("component_id")))
+           .dropDuplicates(["component"]))
+    return kept.join(again, match, "left_anti").unionByName(unpacked(one, docs.columns))

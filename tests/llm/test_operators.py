@@ -140,6 +140,18 @@ def test_fingerprints_and_components(docs, none):
     assert simhash.deduplicate(none).columns == none.columns
 
 
+def test_rows_without_their_own_id_stay_once_per_group(spark):
+    one, two, three = prose(501, 60), prose(502, 60), prose(503, 60)
+    rows = [(None, one), (None, two), (None, one), (5, two), (6, three), (6, three), (6, one), (7, three)]
+    table = spark.createDataFrame([(d, t, "en", "s", k) for k, (d, t) in enumerate(rows)], DOCS).withColumn("fp", mixing.F.lit("mine"))
+    kept = simhash.deduplicate(table)
+    assert kept.columns == table.columns
+    # two belongs to 5, three and one to 6 (the null copies of one go).
+    assert counted(kept.select("doc_id", "text")) == collections.Counter([(5, two), (6, three), (6, one)])
+    alone = simhash.deduplicate(table.where("doc_id is null"))
+    assert counted(alone.select("doc_id", "text")) == collections.Counter([(None, one), (None, two)])
+
+
 def test_links_lose_no_component():
     """All fingerprints within reach of each other, random ones, and one
     tight cluster beyond the refinement bound."""
