@@ -52,6 +52,18 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("gone")), "left_anti")
 
 
+def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id and text are not in ``rows`` (gone,
+    digest: the id as long and the SHA-256 of the text), joined like the ids
+    of ``without_ids``."""
+    rows = stored(rows, "gone-rows")
+    if rows.count() <= BROADCAST_IDS // 4:  # a row takes about four times an id's memory
+        rows = F.broadcast(rows)
+    digest = F.unhex(F.sha2(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary"), 256))
+    same = docs["doc_id"].cast("long").eqNullSafe(rows["gone"]) & (digest == rows["digest"])
+    return docs.join(rows, same, "left_anti")
+
+
 class Sent:
     """A broadcast object, pickled by value and loaded once per task."""
 

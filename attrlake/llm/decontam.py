@@ -20,6 +20,7 @@ ignored.  A document longer than ``shard_tokens`` is a shard of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import Sent, alnum_words, doc_rows, id_and_text, stored, without_ids
+from attrlake.llm.common import Sent, alnum_words, doc_rows, id_and_text, stored, without_rows
 
 WINDOW = 13
 SHARD_TOKENS = 1 << 18
@@ -35,20 +36,20 @@ BLOCK_WINDOWS = 200_000
 #: Candidate starts that are intersected at once.
 CHUNK = 1 << 20
 
-INDEX_SCHEMA = ("shard string, doc_ids array<bigint>, doc_starts binary, terms array<binary>, "
+INDEX_SCHEMA = ("shard string, doc_ids array<bigint>, digests array<binary>, doc_starts binary, terms array<binary>, "
                 "term_starts binary, postings binary")
-HITS_SCHEMA = ("shard string, ordinal int, doc_id bigint, n_words bigint, "
+HITS_SCHEMA = ("shard string, ordinal int, doc_id bigint, digest binary, n_words bigint, "
                "hit_starts array<int>, hit_ends array<int>, items array<bigint>")
 
 
-def _shard(name: str, ids: list, starts: list[int], tokens: list[bytes]) -> dict:
+def _shard(name: str, ids: list, digests: list[bytes], starts: list[int], tokens: list[bytes]) -> dict:
     codes_of = dict.fromkeys(tokens)
     for code, term in enumerate(codes_of):
         codes_of[term] = code
     codes = np.fromiter(map(codes_of.__getitem__, tokens), np.int32, len(tokens))
     order = np.argsort(codes, kind="stable").astype(np.int32)
     ends = np.cumsum(np.bincount(codes, minlength=len(codes_of)), dtype=np.int32)
-    return {"shard": name, "doc_ids": ids, "doc_starts": np.array(starts, np.int32).tobytes(),
+    return {"shard": name, "doc_ids": ids, "digests": digests, "doc_starts": np.array(starts, np.int32).tobytes(),
             "terms": list(codes_of), "term_starts": np.concatenate([[0], ends]).astype(np.int32).tobytes(),
             "postings": order.tobytes()}
 
@@ -57,28 +58,32 @@ def _arrow(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-_INDEX_ARROW = pa.schema([("shard", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("doc_starts", pa.binary()),
-                          ("terms", pa.list_(pa.binary())), ("term_starts", pa.binary()), ("postings", pa.binary())])
+_INDEX_ARROW = pa.schema([("shard", pa.string()), ("doc_ids", pa.list_(pa.int64())), ("digests", pa.list_(pa.binary())),
+                          ("doc_starts", pa.binary()), ("terms", pa.list_(pa.binary())), ("term_starts", pa.binary()),
+                          ("postings", pa.binary())])
 
 
-def build_index(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def build_index(docs: DataFrame, shard_tokens: int = SHARD_TOKENS, digests: bool = False) -> DataFrame:
     """Positional postings of every word of every document, stored in the
-    shared folder, one row per shard."""
+    shared folder, one row per shard; with ``digests``, also the SHA-256 of
+    each document's text, which tells rows of one id apart."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
-        ids, starts, tokens = [], [0], []
+        ids, marks, starts, tokens = [], [], [0], []
         for doc_id, text in doc_rows(batches):
             words = alnum_words(text)
             if ids and len(tokens) + len(words) > shard_tokens:
-                yield _arrow([_shard(f"{part}-{n}", ids, starts, tokens)], _INDEX_ARROW)
+                yield _arrow([_shard(f"{part}-{n}", ids, marks, starts, tokens)], _INDEX_ARROW)
                 n += 1
-                ids, starts, tokens = [], [0], []
+                ids, marks, starts, tokens = [], [], [0], []
             ids.append(doc_id)
+            if digests:
+                marks.append(sha256(text).digest())
             tokens.extend(words)
             starts.append(len(tokens))
         if ids:
-            yield _arrow([_shard(f"{part}-{n}", ids, starts, tokens)], _INDEX_ARROW)
+            yield _arrow([_shard(f"{part}-{n}", ids, marks, starts, tokens)], _INDEX_ARROW)
 
     return stored(id_and_text(docs).mapInArrow(shards, INDEX_SCHEMA), "postings")
 
@@ -132,6 +137,7 @@ class _Shard:
 
     def __init__(self, row: dict, windows: _Windows):
         self.doc_ids = row["doc_ids"]
+        self.digests = row["digests"] or [None] * len(self.doc_ids)
         self.doc_starts = np.frombuffer(row["doc_starts"], np.int32).astype(np.int64)
         starts = np.frombuffer(row["term_starts"], np.int32).astype(np.int64)
         self.postings = np.frombuffer(row["postings"], np.int32).astype(np.int64)
@@ -260,7 +266,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 2, window:
 
 
 _HITS_ARROW = pa.schema([("shard", pa.string()), ("ordinal", pa.int32()), ("doc_id", pa.int64()),
-                         ("n_words", pa.int64()), ("hit_starts", pa.list_(pa.int32())),
+                         ("digest", pa.binary()), ("n_words", pa.int64()), ("hit_starts", pa.list_(pa.int32())),
                          ("hit_ends", pa.list_(pa.int32())), ("items", pa.list_(pa.int64()))])
 
 
@@ -295,8 +301,8 @@ def document_hits(index: DataFrame, items: DataFrame, window: int = WINDOW,
                 for i, doc_id in enumerate(shard.doc_ids):
                     a, b = shard.doc_starts[i], shard.doc_starts[i + 1]
                     lo, hi = _runs(marks[a:b]) if cut[i + 1] > cut[i] else ((), ())
-                    rows.append({"shard": row["shard"], "ordinal": i, "doc_id": doc_id, "n_words": int(b - a),
-                                 "hit_starts": list(lo), "hit_ends": list(hi),
+                    rows.append({"shard": row["shard"], "ordinal": i, "doc_id": doc_id, "digest": shard.digests[i],
+                                 "n_words": int(b - a), "hit_starts": list(lo), "hit_ends": list(hi),
                                  "items": pairs[cut[i]:cut[i + 1], 1].tolist()})
                 yield _arrow(rows, _HITS_ARROW)
 
@@ -319,20 +325,25 @@ def document_hits(index: DataFrame, items: DataFrame, window: int = WINDOW,
     return whole.groupBy("shard", "ordinal").applyInPandas(merged, HITS_SCHEMA).drop("shard", "ordinal")
 
 
+def _judged(hits: DataFrame, share: int) -> DataFrame:
+    """``hits`` with n_hit and the verdict."""
+    n_hit = F.aggregate(F.zip_with("hit_ends", "hit_starts", lambda b, a: (b - a).cast("long")),
+                        F.lit(0).cast("long"), lambda s, x: s + x)
+    return hits.withColumn("n_hit", n_hit).withColumn("contaminated", F.expr(f"n_hit > 0 and {int(share)} * n_hit >= n_words"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """Per document row: words, hit words, items and the verdict: contaminated
     if any word is hit and at least one in ``share`` is."""
-    hits = document_hits(build_index(docs), items, window)
-    n_hit = F.aggregate(F.zip_with("hit_ends", "hit_starts", lambda b, a: (b - a).cast("long")),
-                        F.lit(0).cast("long"), lambda s, x: s + x)
+    hits = _judged(document_hits(build_index(docs), items, window), share)
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
-    return (hits.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"))
-            .withColumn("contaminated", F.expr(f"n_hit > 0 and {int(share)} * n_hit >= n_words")))
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), "contaminated")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
-    """``docs`` without the documents that ``contamination`` finds; a document
-    id goes if any row that bears it does (null ids compare as equal)."""
-    bad = contamination(docs, items, window, share).where("contaminated").select(F.col("doc_id").alias("gone")).distinct()
-    return without_ids(docs, bad)
+    """``docs`` without the rows that ``contamination`` finds.  A row is known
+    by its doc_id and its text's digest, so clean rows that share the id of a
+    contaminated one, or have none, stay; equal texts have equal verdicts."""
+    hits = _judged(document_hits(build_index(docs, digests=True), items, window), share)
+    return without_rows(docs, hits.where("contaminated").select(F.col("doc_id").alias("gone"), "digest").distinct())

@@ -92,6 +92,16 @@ def test_decontamination_is_brute_force(spark, docs, none):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(r[0]) for r in rows if r[0] not in bad)
 
 
+def test_clean_rows_that_share_an_id_stay(spark):
+    rows = [(None, prose(700, 30)), (None, prose(701, 30)), (None, None), (None, ""), (1, prose(702, 30)), (1, prose(700, 30)),
+            (1, prose(703, 30)), (2, prose(700, 30)), (2, prose(700, 30)), (3, prose(704, 30))]
+    items = [(1, prose(700, 30))]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("digest", decontam.F.lit("own")).repartition(3)
+    left = decontam.decontaminate(table, spark.createDataFrame(items, "item_id bigint, text string"))
+    assert left.columns == ["doc_id", "text", "digest"]
+    assert counted(left.drop("digest")) == collections.Counter(r for r in rows if not max(expected_contamination([r], items))[-1])
+
+
 def test_many_blocks_and_small_shards_change_nothing(spark, docs):
     table = spark.createDataFrame(items_of(documents()), "item_id bigint, text string")
     one = decontam.document_hits(decontam.build_index(docs), table)
