@@ -10,8 +10,9 @@ best of each block, and the blocks' winners are merged.
 Edge cases: vectors that are null or hold a null or non-finite component take
 no part, nor do null ids; an id that repeats takes part once, with its
 smallest vector; vectors of unequal length share the terms they both have; an
-empty vector scores 0 with all.  Integers are clipped to 31 bits so that sums
-of products stay exact.  Extra columns are ignored.
+empty vector scores 0 with all.  Sums of products that could pass 63 bits are
+taken in Python integers; an integer or a winner's score beyond 63 bits is
+refused.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE, id_column: str = "ve
     """(vec_id, w): one row per id whose vector is whole and finite."""
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("x"))
     whole = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    most = float(2 ** 31 - 1)
-    ints = F.transform("x", lambda v: F.floor(F.least(F.greatest(v * scale, F.lit(-most)), F.lit(most))).cast("int"))
+    refused = F.raise_error(F.lit("a vector's component does not fit into 63 bits")).cast("long")
+    ints = F.transform("x", lambda v: F.when(F.abs(v * scale) < float(2 ** 63), F.floor(v * scale)).otherwise(refused))
     return (rows.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull()).where(whole)
             .groupBy("vec_id").agg(F.min(ints).alias("w")))
 
@@ -49,7 +50,7 @@ class _Postings:
 
     def __init__(self, vectors: list):
         length = np.fromiter(map(len, vectors), np.int64, len(vectors))
-        flat = np.concatenate([*vectors, np.zeros(0)]).astype(np.int64)
+        flat = np.concatenate([*vectors, np.zeros(0, np.int64)]).astype(np.int64)
         row = np.repeat(np.arange(len(vectors)), length)
         term = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
         order = np.argsort(term, kind="stable")
@@ -69,7 +70,8 @@ class _Postings:
 def _scores(queries: _Postings, rows: _Postings, shape: tuple[int, int]) -> np.ndarray:
     """Term by term, the products of a query list and a posting list."""
     terms = min(len(queries.lists), len(rows.lists))
-    kind = np.int32 if queries.most * rows.most * max(terms, 1) < 2 ** 31 else np.int64
+    most = queries.most * rows.most * max(terms, 1)
+    kind = np.int32 if most < 2 ** 31 else np.int64 if most < 2 ** 63 else object
     score, product = np.zeros(shape, kind), np.empty(shape, kind)
     for (q, wq), (r, wr) in zip(queries.lists, rows.lists):
         if isinstance(q, slice) and isinstance(r, slice):
@@ -92,10 +94,9 @@ def _best(query_ids: np.ndarray, queries: list, row_ids: np.ndarray, rows: list,
             take = min(k + 1, len(others))
             # The take-th best score of a query, and all that reach it, so ties go on whole to the order by id.
             floor = np.partition(score, len(others) - take, axis=1)[:, len(others) - take]
-            qi, ri = np.nonzero(score >= floor[:, None])
+            qi, ri = np.nonzero((score >= floor[:, None]) & (ids[:, None] != others))
             parts.append(pd.DataFrame({"query_id": ids[qi], "vec_id": others[ri], "score": score[qi, ri].astype(np.int64)}))
-        found = pd.concat(parts)
-        found = found[found.query_id != found.vec_id].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        found = pd.concat(parts).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
         yield found.groupby("query_id", sort=False).head(k)
 
 

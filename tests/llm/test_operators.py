@@ -209,6 +209,20 @@ def test_top_k_is_brute_force(spark):
     assert topk.top_k(vectors, vectors.where("false")).count() == 0
 
 
+def test_large_components_keep_their_scores(spark):
+    xs = {0: [2.0 ** 27, 2.0 ** 40, 1.0], 1: [2.0 ** 23 + 1, -3.0, 0.5], 2: [2.0 ** 40, -2.0 ** 27, 7.0], 3: [2.0 ** 23, 0.0, 0.5],
+          4: [-2.0 ** 50, 2.0 ** 37, 1.0]}
+    w = {i: [math.floor(64 * v) for v in x] for i, x in xs.items()}
+    vectors = topk.integer_vectors(spark.createDataFrame(list(xs.items()), "vec_id bigint, embedding array<double>"))
+    assert {r.vec_id: r.w for r in vectors.collect()} == w
+    score = sorted((-sum(a * b for a, b in zip(w[0], w[i])), i) for i in w if i)
+    found = topk.top_k(vectors.where("vec_id = 0"), vectors)
+    assert {tuple(r) for r in found.collect()} == {(0, n + 1, i, -s) for n, (s, i) in enumerate(score)}
+    far = spark.createDataFrame([(0, [1e300])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="63 bits"):
+        topk.integer_vectors(far).collect()
+
+
 # --- personal data ---------------------------------------------------------
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
