@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,21 +193,27 @@ def _places(pages: DataFrame) -> DataFrame:
     return rows.join(last, "sha", "left").select("page_id", "url", "html", revisit.alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, package_bytes: int = PACKAGE_BYTES, zip64: bool = False) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str | None = None, package_bytes: int = PACKAGE_BYTES,
+                   zip64: bool | None = False) -> DataFrame:
     """Write every page as a record; the manifest (path, length, records) is
-    stored before it is returned, so files are written once."""
+    stored before it is returned, so files are written once.  With ``zip64``
+    None a task's packages take the ZIP64 form and the small one in turn."""
     folder = folder or file_uri(run_dir(pages.sparkSession, "warc"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = 0
+
         def package(records: list[bytes], index: list[bytes]) -> pa.RecordBatch:
+            nonlocal written
             files, root = fs.FileSystem.from_uri(folder)
             files.create_dir(root, recursive=True)
             path = f"{root}/{uuid.uuid4().hex}.zip"
             with files.open_output_stream(path) as out:
-                packed = ZipWriter(out, zip64)
+                packed = ZipWriter(out, (TaskContext.get().partitionId() + written) % 2 == 0 if zip64 is None else zip64)
                 packed.add(DATA, records)
                 packed.add(INDEX, index)
                 packed.close()
+            written += 1
             return pa.RecordBatch.from_pylist([{"path": path, "length": packed.at, "records": len(index)}])
 
         records, index, at = [], [], 0
@@ -276,6 +283,7 @@ _RECORD_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payl
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` to packages under the shared folder and read them back."""
+    """Write ``pages`` to packages under the shared folder, in the ZIP64 form
+    and the small one in turn, and read them back."""
     folder = file_uri(run_dir(pages.sparkSession, "warc"))
-    return read_archives(write_archives(pages, folder), folder, payloads=False).drop("payload", "url")
+    return read_archives(write_archives(pages, folder, zip64=None), folder, payloads=False).drop("payload", "url")

@@ -359,6 +359,16 @@ def test_payloads_come_back_and_packages_split(spark, tmp_path):
     assert got == set(rows)
 
 
+def test_round_trip_reads_both_directories(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "run_dir", lambda _, label: f"{tmp_path}/{label}")
+    table = spark.createDataFrame([(k, "u", f"<p>{k}</p>") for k in range(9)], "page_id bigint, url string, html string")
+    assert warc.round_trip(table).count() == 9
+    assert any(warc.LOCATOR64 in f.read_bytes() for f in (tmp_path / "warc").iterdir())
+    manifest = warc.write_archives(table, f"file://{tmp_path}/small", package_bytes=1, zip64=None)
+    assert {warc.LOCATOR64 in f.read_bytes() for f in (tmp_path / "small").iterdir()} == {False, True}
+    assert {r.page_id for r in warc.read_archives(manifest, f"file://{tmp_path}/small").collect()} == set(range(9))
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_own_zip_reads_like_the_library(zip64):
     import zipfile
