@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrlake.llm import chat, decontam, merkle, mixing, pii, quality, sharding, simhash, topk, toxicity, warc
+from attrlake.llm import chat, decontam, merkle, mixing, pii, quality, ranked, sharding, simhash, topk, toxicity, warc
 from attrlake.llm.common import stored, table
 
 
@@ -53,13 +53,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(ranked.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op4_pii, op5_chat, op6_mixing, op7_sharding,
-                                   op8_warc, op9_toxicity, op10_quality, op13_merkle)}
+                                   op8_warc, op9_toxicity, op10_quality, op12_ranked, op13_merkle)}
 
 
 #: DuckDB twins where SQL can express the operator on whole tables.
@@ -116,4 +120,4 @@ from t group by conv_id, chunk, n_turns, n_equal""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLES | {"op13_merkle": merkle.oracle()}
+    return ORACLES | {"op12_ranked": ranked.ORACLE, "op13_merkle": merkle.oracle()}
