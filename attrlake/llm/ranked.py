@@ -39,6 +39,8 @@ from attrlake.llm.common import Sent, alnum_words, doc_rows, id_and_text, stored
 
 K = 50
 SHARD_POSTINGS = 1 << 17
+#: Terms, with repeats, of one range of m on average.
+RANGE_TERMS = 1 << 20
 BLOCK_PAIRS = 1 << 19
 #: Distinct query terms that may be broadcast to the dictionaries.
 BROADCAST_TERMS = 1 << 19
@@ -123,22 +125,29 @@ _INDEX_ARROW = pa.schema([("doc_ids", pa.list_(pa.int64())), ("strata", pa.list_
 
 def build_index(docs: DataFrame, shard_postings: int = SHARD_POSTINGS) -> Index:
     """The index of all documents, stored in the shared folder.  Ranges of m
-    are split by a row number too, so that many documents of one length are
-    not one task."""
+    hold about equally many terms, not documents; a document draws its place
+    among those of its m, so many of one length are spread over ranges."""
     vectors = stored(term_vectors(docs), "term-vectors")
     n_docs, n_terms = vectors.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    m = F.expr(f"50 + (50 * n * {n_docs}L) div {max(n_terms, 1)}L")
-    laid = (vectors.select(m.alias("m"), "doc_id", "terms", "tfs", F.monotonically_increasing_id().alias("row"))
-            .repartitionByRange("m", "row").sortWithinPartitions("m", "row"))
+    m = F.expr(f"50 + (50 * n * {n_docs}L) div {max(n_terms, 1)}L").alias("m")
+    # One row per m, of which there are no more than different lengths.
+    sizes = vectors.select(m, "n").groupBy("m").agg(F.sum("n").alias("size"))
+    before = stored(sizes.withColumn("before", F.sum("size").over(Window.orderBy("m")) - F.col("size")), "lengths")
+    draw = F.pmod(F.xxhash64("row"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    part = F.floor((F.col("before") + F.col("size") * draw) / F.lit(RANGE_TERMS)).alias("part")
+    laid = (vectors.select(m, "doc_id", "terms", "tfs", F.monotonically_increasing_id().alias("row"))
+            .join(before, "m").select(part, "m", "doc_id", "terms", "tfs")
+            .repartition("part").sortWithinPartitions("part", "m"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _Shard()
+        shard, part = _Shard(), None
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 for r in batch.slice(k, 64).to_pylist():
-                    if shard.ids and len(shard.codes) + len(r["tfs"]) // 4 > shard_postings:
+                    if shard.ids and (r["part"] != part or len(shard.codes) + len(r["tfs"]) // 4 > shard_postings):
                         yield pa.RecordBatch.from_pylist([shard.row()], schema=_INDEX_ARROW)
                         shard = _Shard()
+                    part = r["part"]
                     shard.add(r["doc_id"], r["m"], r["terms"], r["tfs"])
         if shard.ids:
             yield pa.RecordBatch.from_pylist([shard.row()], schema=_INDEX_ARROW)
