@@ -46,7 +46,7 @@ BLOCK_PAIRS = 1 << 19
 BROADCAST_TERMS = 1 << 19
 
 VECTORS = "doc_id bigint, n bigint, terms binary, tfs binary"
-INDEX = ("doc_ids array<bigint>, strata array<bigint>, terms array<binary>, dfs array<int>, cell_starts binary, "
+INDEX = ("doc_ids array<bigint>, strata array<bigint>, terms binary, dfs array<int>, cell_starts binary, "
          "cell_strata binary, cell_tfs binary, cell_sizes binary, docs binary")
 HITS = "item int, doc_id bigint, score bigint"
 
@@ -60,6 +60,16 @@ class Index:
     n_terms: int
 
 
+def packed_ints(values: np.ndarray) -> bytes:
+    """Non-negative integers in the narrowest type that holds them, its code first."""
+    narrow = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    return narrow.dtype.char.encode() + narrow.tobytes()
+
+
+def unpacked_ints(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, blob[:1].decode(), offset=1).astype(np.int64)
+
+
 def term_vectors(docs: DataFrame) -> DataFrame:
     """(doc_id, n, terms, tfs) of documents with a term: its terms, joined by a
     space, and how often each occurs."""
@@ -71,7 +81,7 @@ def term_vectors(docs: DataFrame) -> DataFrame:
                 words = alnum_words(text)
                 if words:
                     tf = Counter(words)
-                    rows.append((doc_id, len(words), b" ".join(tf), np.fromiter(tf.values(), np.int32, len(tf)).tobytes()))
+                    rows.append((doc_id, len(words), b" ".join(tf), packed_ints(np.fromiter(tf.values(), np.int64, len(tf)))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
                 names=["doc_id", "n", "terms", "tfs"])
@@ -93,7 +103,7 @@ class _Shard:
         code = self.code
         words = terms.split(b" ")
         self.codes.extend([code.setdefault(w, len(code)) for w in words])
-        self.tfs.append(tfs)
+        self.tfs.append(unpacked_ints(tfs).astype(np.int32))
         self.sizes.append(len(words))
         self.stratum.append(len(self.strata) - 1)
         self.ids.append(doc_id)
@@ -104,23 +114,22 @@ class _Shard:
         place[[self.code[t] for t in terms]] = np.arange(len(terms))
         sizes = np.array(self.sizes)
         doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        tf = np.frombuffer(b"".join(self.tfs), np.int32)
+        tf = np.concatenate(self.tfs)
         segment = place[np.array(self.codes)] * len(self.strata) + np.repeat(np.array(self.stratum, np.int64), sizes)
         order = np.lexsort((tf, segment))
         segment, tf = segment[order], tf[order]
         first = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (tf[1:] != tf[:-1])]))
         term = segment[first] // len(self.strata)
-        ints = lambda a: a.astype(np.int32).tobytes()
-        return {"doc_ids": self.ids, "strata": self.strata, "terms": terms,
+        ints = packed_ints
+        return {"doc_ids": self.ids, "strata": self.strata, "terms": b" ".join(terms),
                 "dfs": np.bincount(place[np.array(self.codes)], minlength=len(terms)).tolist(),
                 "cell_starts": ints(np.searchsorted(term, np.arange(len(terms) + 1))),
                 "cell_strata": ints(segment[first] % len(self.strata)), "cell_tfs": ints(tf[first]),
                 "cell_sizes": ints(np.diff(np.append(first, len(segment)))), "docs": ints(doc[order])}
 
 
-_INDEX_ARROW = pa.schema([("doc_ids", pa.list_(pa.int64())), ("strata", pa.list_(pa.int64())), ("terms", pa.list_(pa.binary())),
-                          ("dfs", pa.list_(pa.int32()))] + [(c, pa.binary()) for c in (
-                              "cell_starts", "cell_strata", "cell_tfs", "cell_sizes", "docs")])
+_INDEX_ARROW = pa.schema([("doc_ids", pa.list_(pa.int64())), ("strata", pa.list_(pa.int64())), ("terms", pa.binary()), ("dfs", pa.list_(pa.int32()))]
+                         + [(c, pa.binary()) for c in ("cell_starts", "cell_strata", "cell_tfs", "cell_sizes", "docs")])
 
 
 def build_index(docs: DataFrame, shard_postings: int = SHARD_POSTINGS) -> Index:
@@ -144,7 +153,7 @@ def build_index(docs: DataFrame, shard_postings: int = SHARD_POSTINGS) -> Index:
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 for r in batch.slice(k, 64).to_pylist():
-                    if shard.ids and (r["part"] != part or len(shard.codes) + len(r["tfs"]) // 4 > shard_postings):
+                    if shard.ids and (r["part"] != part or len(shard.codes) + r["terms"].count(b" ") >= shard_postings):
                         yield pa.RecordBatch.from_pylist([shard.row()], schema=_INDEX_ARROW)
                         shard = _Shard()
                     part = r["part"]
@@ -169,7 +178,8 @@ def weighted_terms(index: Index, items: DataFrame) -> DataFrame:
     terms = asked.select("term").distinct()
     if terms.count() <= BROADCAST_TERMS:
         terms = F.broadcast(terms)
-    held = index.shards.select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")).select(F.col("x.terms").alias("term"), "x.dfs")
+    held = index.shards.select(F.explode(F.arrays_zip(F.split(F.col("terms").cast("string"), " ").alias("term"), "dfs")).alias("x"))
+    held = held.select(F.col("x.term").cast("binary").alias("term"), "x.dfs")
     df = held.join(terms, "term", "left_semi").groupBy("term").agg(F.sum("dfs").alias("df"))
     ratio = F.lit(2.0 * index.n_docs + 2) / (2 * F.col("df") + 1).cast("double")
     return asked.join(df, "term").select("item_id", "term", F.floor(1000 * F.log(ratio)).cast("long").alias("w"))
@@ -201,8 +211,8 @@ class _Postings:
     one stratum."""
 
     def __init__(self, row: pa.RecordBatch, items: Items):
-        ints = lambda name: np.frombuffer(row.column(name)[0].as_buffer(), np.int32).astype(np.int64)
-        found = pc.index_in(row.column("terms")[0].values, value_set=pa.array(items.terms, pa.binary()))
+        ints = lambda name: unpacked_ints(row.column(name)[0].as_py())
+        found = pc.index_in(pa.array(row.column("terms")[0].as_py().split(b" "), pa.binary()), value_set=pa.array(items.terms, pa.binary()))
         here = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
         asked = found.take(pa.array(here)).to_numpy(zero_copy_only=False).astype(np.int64)
         start = ints("cell_starts")

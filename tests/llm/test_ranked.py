@@ -96,9 +96,9 @@ def test_the_index_holds_every_row_by_stratum_and_tf(docs):
     assert sum(len(r.doc_ids) for r in rows) == len(bags) == index.n_docs
     df = Counter()
     for r in rows:
-        df.update(dict(zip(map(bytes, r.terms), r.dfs)))
+        df.update(dict(zip(bytes(r.terms).split(b" "), r.dfs)))
         assert r.strata == sorted(set(r.strata))
-        start, stratum, tf = (np.frombuffer(c, np.int32) for c in (r.cell_starts, r.cell_strata, r.cell_tfs))
+        start, stratum, tf = (ranked.unpacked_ints(bytes(c)) for c in (r.cell_starts, r.cell_strata, r.cell_tfs))
         for a, b in zip(start, start[1:]):
             cells = list(zip(stratum[a:b], tf[a:b]))
             assert cells == sorted(set(cells))
@@ -109,7 +109,7 @@ def test_strata_below_the_bound_are_not_visited(monkeypatch):
     """Ten short documents fill the ranks; long ones of the same tf can't beat them."""
     shard = ranked._Shard()
     for k in range(400):
-        shard.add(k, 50 + k, b"t", np.array([1], np.int32).tobytes())
+        shard.add(k, 50 + k, b"t", ranked.packed_ints(np.array([1])))
     import pyarrow as pa
     row = pa.RecordBatch.from_pylist([shard.row()], schema=ranked._INDEX_ARROW)
     asked = ranked.Items([(1, b"t", 1000)])
