@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrlake.llm import chat, decontam, merkle, mixing, pii, quality, ranked, sharding, simhash, topk, toxicity, warc
+from attrlake.llm import chat, decontam, langid, merkle, mixing, pii, quality, ranked, sharding, simhash, topk, toxicity, warc
 from attrlake.llm.common import stored, table
 
 
@@ -53,6 +53,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.judged(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(ranked.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
@@ -63,7 +67,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_decontamination, op2_simhash, op3_topk, op4_pii, op5_chat, op6_mixing, op7_sharding,
-                                   op8_warc, op9_toxicity, op10_quality, op12_ranked, op13_merkle)}
+                                   op8_warc, op9_toxicity, op10_quality, op11_langid, op12_ranked, op13_merkle)}
 
 
 #: DuckDB twins where SQL can express the operator on whole tables.
