@@ -44,7 +44,7 @@ ORDER = 4
 #: Characters whose n-grams are made at once.
 CHUNK = 1 << 19
 BLOCK_ENTRIES = 1 << 20
-#: Documents that the calibration is fitted on, the lowest by a hash of the id.
+#: Documents that the calibration is fitted on, about, drawn by a hash.
 CALIBRATION_ROWS = 20_000
 REJECT = 0.5
 UNKNOWN = "und"
@@ -331,7 +331,10 @@ def learn(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Identifi
     # The calibration's documents are unknown to the models that it looks at.
     seen = stored(seen, "seen-counts")
     names = _languages(seen)
-    apart = (rows.where(_part(F.col("doc_id")) == 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows))
+    apart = rows.where(_part(F.col("doc_id")) == 1)
+    share = min(1.0, calibration_rows / max(1, apart.count()))
+    draw = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(1 << 30))
+    apart = apart.where(draw < int(share * (1 << 30)))
     weights = np.zeros(3)
     if names:
         scored = cross_entropies(stored(apart, "calibration"), kneser_ney(seen), names).where("n > 0").select("lang", "n", "sums").toArrow().to_pydict()
