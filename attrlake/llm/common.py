@@ -49,7 +49,7 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     ids = stored(ids, "gone-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(F.col("gone")), "left_anti")
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["gone"]), "left_anti")
 
 
 def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:

@@ -41,9 +41,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local_phone": r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "access_key": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|xox[abp]-[A-Za-z0-9-]{10,64})(?![A-Za-z0-9])",
-    "secret": r"(?i)(?<![a-z0-9_])(?:api_?key|secret|password|passwd|token)\x20?[=:]\x20?[\"']?[a-z0-9+/_-]{12,128}(?![a-z0-9])",
-    "name": r"(?:[Mm]y name is|[Cc]ontact|[Ss]igned,?|Mr\.|Mrs\.|Ms\.|Dr\.)\x20[A-Z][a-z]{1,20}\x20[A-Z][a-z]{1,20}",
+    "access_key": r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+|xox[abp]-[A-Za-z0-9-]{10,}+)",
+    "secret": r"(?i)(?<![a-z0-9_])(?:api_?key|secret|password|passwd|token)\x20?[=:]\x20?[\"']?[a-z0-9+/_-]{12,}+(?:\.[a-z0-9+/_-]{12,}+)*+",
+    "name": r"(?:[Mm]y name is|[Cc]ontact|[Ss]igned,?|Mr\.|Mrs\.|Ms\.|Dr\.)\x20\p{Lu}\p{Ll}++\x20\p{Lu}\p{Ll}++",
 }
 
 # What a text must hold for a pattern to be tried at all.

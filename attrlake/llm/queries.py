@@ -95,18 +95,17 @@ select d.id as doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as
 from words d left join covered using (k) left join named using (k) where kind = 'd'""",
     "op3_topk": """
 with v as (
-  select vec_id, min(w) as w from (
-    select cast(vec_id as bigint) as vec_id,
-           list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as w
-    from embeddings
-    where vec_id is not null and embedding is not null
-      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0) group by vec_id),
+  select row_number() over () as r, cast(vec_id as bigint) as vec_id,
+         list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as w
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (
-  select q.vec_id as query_id, c.vec_id,
+  select q.r, q.vec_id as query_id, c.vec_id,
          cast(list_sum(list_transform(list_zip(q.w, c.w), lambda p: coalesce(p[1] * p[2], 0))) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
-select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20""",
+  from v q join v c on q.r <> c.r where q.vec_id % 20 = 0),
+ranks as (select *, row_number() over (partition by r order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranks where rank <= 20""",
     "op5_chat": """
 with d as (select distinct conv_id, turn, role, text from conversations where conv_id is not null),
 g as (select conv_id, list({'turn': turn, 'role': role, 'text': text} order by turn nulls first, role, text) as turns

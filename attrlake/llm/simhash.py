@@ -205,7 +205,7 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     again = ids.where("keep and n > 1").select(F.col("doc_id").alias("again"))
     if again.isEmpty():
         return kept
-    match = kept["doc_id"].cast("long").eqNullSafe(F.col("again"))
+    match = kept["doc_id"].cast("long").eqNullSafe(again["again"])
 
     def each(column: pa.Array) -> pa.Array:
         batch = pa.record_batch([column], ["text"])

@@ -194,21 +194,35 @@ def test_top_k_is_brute_force(spark):
     draw = random.Random(3)
     rows = [(k, [draw.choice([0.0, draw.uniform(-1, 1)]) for _ in range(8)]) for k in range(120)]
     rows += [(200, None), (201, [1.0, None]), (202, [float("nan")]), (203, [float("inf")]), (None, [1.0]), (220, []), (240, [0.5] * 11),
-             (5, rows[5][1]), (260, rows[0][1]), (261, rows[0][1])]
+             (5, rows[5][1]), (260, rows[0][1]), (261, rows[0][1]), (20, rows[3][1]), (7, rows[2][1])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").selectExpr("*", "vec_id as rank", "embedding as w")
     vectors = topk.integer_vectors(table)
-    ints = {i: [math.floor(64 * float(np.float32(x))) for x in v] for i, v in rows
-            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
-    want = set()
-    for q in (i for i in ints if i % 20 == 0):
-        score = sorted((-sum(a * b for a, b in zip(ints[q], ints[c])), c) for c in ints if c != q)
-        want |= {(q, n + 1, c, -s) for n, (s, c) in enumerate(score[:20])}
+    ints = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = collections.Counter()
+    for q, (i, w) in enumerate(ints):
+        if i % 20 == 0:
+            score = sorted((-sum(a * b for a, b in zip(w, v)), c) for r, (c, v) in enumerate(ints) if r != q)
+            want.update((i, n + 1, c, -s) for n, (s, c) in enumerate(score[:20]))
     found = topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, row_block=17, query_block=3)
-    assert {tuple(r) for r in found.collect()} == want
+    assert counted(found) == want
     assert topk.top_k(vectors.where("false"), vectors).count() == 0
     assert topk.top_k(vectors, vectors.where("false")).count() == 0
 
 
+def test_every_row_of_an_id_is_a_candidate_and_the_sql_twin_agrees(spark):
+    import duckdb
+    from attrlake.llm.queries import ORACLES
+    rows = [(20, [1.0]), (1, [2.0]), (1, [3.0]), (2, [1.0]), (20, [5.0])]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    found = counted(topk.top_k(vectors.where("vec_id % 20 = 0"), vectors))
+    assert sum(found.values()) == 8 and found[20, 1, 20, 20480] == found[20, 4, 20, 20480] == 1
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding double[])")
+    con.executemany("insert into embeddings values (?, ?)", rows)
+    assert collections.Counter(con.execute(ORACLES["op3_topk"]).fetchall()) == found
+
+
 def test_large_components_keep_their_scores(spark):
     xs = {0: [2.0 ** 27, 2.0 ** 40, 1.0], 1: [2.0 ** 23 + 1, -3.0, 0.5], 2: [2.0 ** 40, -2.0 ** 27, 7.0], 3: [2.0 ** 23, 0.0, 0.5],
           4: [-2.0 ** 50, 2.0 ** 37, 1.0]}
@@ -458,3 +472,22 @@ def test_isotonic_is_monotone():
     s = np.sort(draw.normal(size=300))
     knots, levels = quality.isotonic(s, (draw.random(300) < 1 / (1 + np.exp(-s))).astype(float), np.ones(300))
     assert (np.diff(levels) > 0).all() and (np.diff(knots) > 0).all()
+
+
+def test_near_dedup_stage_takes_any_column_names(spark):
+    rows = [(1, prose(1, 60), "x", 1), (1, prose(2, 60), "y", 2), (2, prose(1, 60), "z", 3), (None, prose(3, 60), "w", 4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, gone string, again int")
+    docs = docs.selectExpr("*", "1 as keep", "2 as fp", "3 as component", "4 as component_id", "5 as n", "6 as row")
+    out = simhash.deduplicate(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.again) for r in out.collect()) == [(0, 4), (1, 1), (1, 2)]
+
+
+def test_long_and_foreign_personal_data_is_found_whole(spark):
+    texts = ["token=" + "a1B2" * 50, "sk-" + "x9" * 45, "my key sk-proj-" + "Ab3_" * 9, "hello, my name is Jürgen Müller ok",
+             "password: " + ".".join(["eyJhbGciOi" + "Jx" * 40] * 3), "Dr. Élodie " + "Q" + "é" * 40 + "."]
+    got = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    spans = {r.doc_id: [(s.kind, s.span) for s in r.spans] for r in got}
+    assert spans[0] == [("secret", texts[0])] and spans[1] == [("access_key", texts[1])]
+    assert spans[2] == [("access_key", texts[2][7:])] and spans[3] == [("name", "my name is Jürgen Müller")]
+    assert spans[4] == [("secret", texts[4])] and spans[5] == [("name", texts[5][:-1])]
