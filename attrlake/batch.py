@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
 from attrlake.streaming import pipeline as P
+from attrlake.streaming.deltas import DeltaTable
 from attrlake.streaming.runner import Lake
 
 
@@ -47,8 +48,19 @@ def rebuild_dimensions(lake: Lake) -> None:
     """Recompute both dimensions from the whole of silver (latest wins)."""
     silver = lake.silver.read()
     for name, (key, attributes) in D.DIMENSIONS.items():
-        table = lake.dim(name)
-        table.replace_partitions(P.bucketed(D.latest_attributes(silver, key, attributes), key, table.buckets))
+        table, rows = lake.dim(name), D.latest_attributes(silver, key, attributes)
+        if isinstance(table, DeltaTable):
+            table.rebuild(rows)
+        else:
+            table.replace_partitions(P.bucketed(rows, key, table.buckets))
+
+
+def compact_keyed(lake: Lake) -> None:
+    """Fold the deltas of every keyed table into its base (nothing to do for
+    bucketed tables)."""
+    for table in (lake.current, *[lake.dim(name) for name in D.DIMENSIONS]):
+        if isinstance(table, DeltaTable):
+            table.compact()
 
 
 def compact_gold(lake: Lake, name: str, days: list[str]) -> None:

@@ -48,10 +48,15 @@ def merge_dimension(current: DataFrame, update: DataFrame, key: str, attributes:
 
     Out-of-order batches cannot roll a key back, and folding the same batch
     twice changes nothing."""
-    both = current.select(update.columns).unionByName(update)
+    return fold_dimension(current.select(update.columns).unionByName(update), key, attributes)
+
+
+def fold_dimension(rows: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """Dimension rows, any number per key, to one row per key (see
+    ``merge_dimension``)."""
     order = F.struct(F.col("last_seen"), F.col("last_id"))
     return (
-        both.groupBy(key)
+        rows.groupBy(key)
         .agg(
             F.max_by(F.struct(*[F.col(a) for a in attributes]), order).alias("_a"),
             F.min("first_seen").alias("first_seen"),

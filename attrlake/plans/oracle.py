@@ -342,6 +342,9 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
                                  "select coalesce(reason, 'good') as reason, count(*) as messages from r group by 1",
         "stream_silver": batch["silver_dedupe"],
         "stream_silver_current": batch["silver_current"],
+        "stream_silver_current_delta": batch["silver_current"],
+        "stream_dim_app_delta": batch["dim_app"],
+        "stream_dim_campaign_delta": batch["dim_campaign"],
         "stream_dim_app_upsert": batch["dim_app"],
         "stream_dim_campaign_upsert": batch["dim_campaign"],
         "stream_fact_revenue_upsert": batch["fact_revenue_daily"],

@@ -26,6 +26,7 @@ from attrlake.operators import silver as S
 from attrlake.session import run_dir
 from attrlake.sources import fixtures as X
 from attrlake.store import LakeTable
+from attrlake.streaming import deltas as K
 from attrlake.streaming import pipeline as P
 from attrlake.streaming.runner import Lake, run_jobs
 
@@ -414,6 +415,28 @@ def stream_silver_current(spark, sf_dir):
     return P.current_rows(table)
 
 
+def stream_silver_current_delta(spark, sf_dir):
+    """ST4b/ST8 (appended deltas): change topic -> current state per id; a batch adds files and rewrites none,
+    every third one compacts."""
+    root, lake, ckpt = _stream_run(spark, "stream-current-delta")
+    path = f"{root}/changes"
+    X.write_in_slices(X.change_envelopes(spark, sf_dir), path, F.col("offset"), SLICES)
+    table = K.current_state_table(spark, lake.current.location, compact_every=3)
+    _await([P.start_current_state(spark, P.file_topic(spark, path, 4), CHANGE_ROW, table, _settings(ckpt, 4))])
+    return P.current_rows(table)
+
+
+def _stream_dim_delta(name: str) -> Query:
+    def run(spark, sf_dir):
+        """K3/K4 (appended deltas): the dimension job on a delta table, compacted every fourth batch."""
+        root, lake, ckpt = _stream_run(spark, f"stream-{name}-delta")
+        _silver_files(spark, sf_dir, lake)
+        lake = Lake(spark, lake.root, keyed="deltas", compact_every=4)
+        _await([P.start_dimension(spark, lake.silver, lake.dim(name), name, _settings(ckpt, SILVER_FILES))])
+        return lake.dim(name).read()
+    return run
+
+
 def stream_bronze_to_gold(spark, sf_dir):
     """Combined job: bronze -> silver + dims + facts in one micro-batch."""
     root, lake, ckpt = _stream_run(spark, "stream-bronze-gold")
@@ -442,6 +465,9 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_message_counts": stream_message_counts,
     "stream_silver": stream_silver,
     "stream_silver_current": stream_silver_current,
+    "stream_silver_current_delta": stream_silver_current_delta,
+    "stream_dim_app_delta": _stream_dim_delta("dim_app"),
+    "stream_dim_campaign_delta": _stream_dim_delta("dim_campaign"),
     "stream_dim_app_upsert": _stream_dim("dim_app"),
     "stream_dim_campaign_upsert": _stream_dim("dim_campaign"),
     "stream_fact_revenue_upsert": stream_fact_revenue_upsert,

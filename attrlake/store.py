@@ -74,11 +74,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    """Remove one folder that this module wrote (no-op without a JVM)."""
+    """Remove one folder of a table.  Data that ought to go must not stay
+    unseen, so this raises where the file system can't be reached."""
+    if not _has_jvm(spark):
+        raise RuntimeError(f"{path} can't be removed without a JVM in this process")
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.delete(p, True) and fs.exists(p):
+        raise RuntimeError(f"{path} could not be removed")
+
+
+def _discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged copy; one that stays costs only room (a TTL on
+    ``staging/`` clears it)."""
     if _has_jvm(spark):
-        jvm = spark.sparkContext._jvm  # noqa: SLF001
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
+        _delete(spark, path)
 
 
 @dataclass
@@ -307,7 +318,7 @@ class LakeTable:
         values = self.touched_values(updates) if self.partition_by else [()]
         if values == []:  # every key is new: nothing to rewrite
             self.append(fresh)
-            _delete(self.spark, split)
+            _discard(self.spark, split)
             return
         current = self.touched(updates, values, batch.schema)
         if merge is None:
@@ -322,8 +333,8 @@ class LakeTable:
         # 3. Keys the table did not hold: plain append, nothing rewritten.
         self.append(fresh.select(*columns))
         # 4. Both staged copies have done their work.
-        _delete(self.spark, copy)
-        _delete(self.spark, split)
+        _discard(self.spark, copy)
+        _discard(self.spark, split)
 
     def compact(self, values: list) -> None:
         """Rewrite the partitions ``values`` into few, large files."""
@@ -332,7 +343,7 @@ class LakeTable:
         held = self.read().limit(0)
         staged, copy = self._staged(self.touched(held, values, held.schema))
         self.replace_partitions(staged)
-        _delete(self.spark, copy)
+        _discard(self.spark, copy)
 
     def _staged(self, df: DataFrame) -> tuple[DataFrame, str]:
         """Write ``df`` under the shared folder and read it back: a lineage

@@ -38,6 +38,7 @@ from attrlake.operators import facts as A
 from attrlake.operators import silver as S
 from attrlake.schemas import bronze_schema, silver_schema
 from attrlake.store import LakeTable
+from attrlake.streaming.deltas import DeltaTable
 
 # Schema of a topic read (Kafka source columns; the file form of the topic
 # has the same columns).
@@ -202,12 +203,16 @@ def bucketed(dim: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     return dim.withColumn("bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int"))
 
 
-def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
-    """K3/K4: fold the batch's newest attributes per key into the dimension.
-    Keys the dimension does not hold yet are appended; only hash buckets
-    holding a key it already has are rewritten (newest ``(last_seen,
-    last_id)`` wins, so an out-of-order batch cannot roll a key back)."""
+def upsert_dimension(batch: DataFrame, table: LakeTable | DeltaTable, name: str, batch_id: int = 0) -> None:
+    """K3/K4: fold the batch's newest attributes per key into the dimension:
+    newest ``(last_seen, last_id)`` wins, so an out-of-order batch cannot roll
+    a key back.  A delta table takes the batch's rows as they are.  In a
+    bucketed one, new keys are appended and hash buckets that hold a key of
+    the batch rewritten."""
     key, attributes = D.DIMENSIONS[name]
+    if isinstance(table, DeltaTable):
+        table.append(D.latest_attributes(batch, key, attributes), batch_id)
+        return
     update = bucketed(D.latest_attributes(batch, key, attributes), key, table.buckets).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
@@ -220,11 +225,11 @@ def upsert_dimension(batch: DataFrame, table: LakeTable, name: str) -> None:
         update.unpersist()
 
 
-def start_dimension(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
+def start_dimension(spark: SparkSession, silver: LakeTable, table: LakeTable | DeltaTable, name: str,
                     settings: StreamSettings) -> StreamingQuery:
     src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
     return (_writer(src, name, settings)
-            .foreachBatch(lambda df, _bid: upsert_dimension(df, table, name)).start())
+            .foreachBatch(lambda df, bid: upsert_dimension(df, table, name, bid)).start())
 
 
 # -- gold: facts ------------------------------------------------------------------
@@ -308,8 +313,8 @@ def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable,
 
 # -- silver and gold in one micro-batch ------------------------------------------------
 
-def silver_and_gold(batch: DataFrame, silver: LakeTable, dims: dict[str, LakeTable],
-                    facts: dict[str, LakeTable]) -> None:
+def silver_and_gold(batch: DataFrame, silver: LakeTable, dims: dict[str, LakeTable | DeltaTable],
+                    facts: dict[str, LakeTable], batch_id: int = 0) -> None:
     """Silver append plus every dimension and fact, from one micro-batch of
     bronze.
 
@@ -330,7 +335,7 @@ def silver_and_gold(batch: DataFrame, silver: LakeTable, dims: dict[str, LakeTab
         on = [stored["event_date"].eqNullSafe(mine["_d"]), stored["id"].eqNullSafe(mine["_i"])]
         held = stored.join(mine, on, "left_semi").persist()
         for name, table in dims.items():
-            upsert_dimension(held, table, name)
+            upsert_dimension(held, table, name, batch_id)
         held.unpersist()
         for name, table in facts.items():
             replace_days(stored, table, name, days)
@@ -339,23 +344,28 @@ def silver_and_gold(batch: DataFrame, silver: LakeTable, dims: dict[str, LakeTab
 
 
 def start_silver_and_gold(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
-                          dims: dict[str, LakeTable], facts: dict[str, LakeTable],
+                          dims: dict[str, LakeTable | DeltaTable], facts: dict[str, LakeTable],
                           settings: StreamSettings) -> StreamingQuery:
     src = bronze.read_stream(BRONZE_TABLE_SCHEMA, settings.max_files_per_trigger)
     return (_writer(src, "silver_and_gold", settings)
-            .foreachBatch(lambda df, _bid: silver_and_gold(df, silver, dims, facts)).start())
+            .foreachBatch(lambda df, bid: silver_and_gold(df, silver, dims, facts, bid)).start())
 
 
 # -- silver: current state per id (ST4b, streaming) --------------------------------
 
-def upsert_current_state(batch: DataFrame, table: LakeTable, key: str = "id", order: str = "lsn") -> None:
+def upsert_current_state(batch: DataFrame, table: LakeTable | DeltaTable, key: str = "id", order: str = "lsn",
+                         batch_id: int = 0) -> None:
     """Fold a batch of unwrapped changes into the current-state table.
 
     Latest change per key wins by log position; delete markers stay in the
     table (read through ``current_rows``) so that an older change arriving
-    after a delete is ignored.  Bucketed by key: a batch rewrites only the
-    buckets holding keys it changes; new keys are appended.
+    after a delete is ignored.  A delta table takes the batch's changes as one
+    more delta.  Bucketed by key: a batch rewrites only the buckets holding
+    keys it changes; new keys are appended.
     """
+    if isinstance(table, DeltaTable):
+        table.append(batch, batch_id)
+        return
     update = bucketed(S.latest_changes(batch, key, order), key, table.buckets).persist()
 
     def merge(current: DataFrame, new: DataFrame) -> DataFrame:
@@ -368,13 +378,13 @@ def upsert_current_state(batch: DataFrame, table: LakeTable, key: str = "id", or
         update.unpersist()
 
 
-def current_rows(table: LakeTable, op_col: str = "op") -> DataFrame:
+def current_rows(table: LakeTable | DeltaTable, op_col: str = "op") -> DataFrame:
     """The current-state table without delete markers."""
     return table.read().where(F.col(op_col) != "d").drop("bucket")
 
 
-def start_current_state(spark: SparkSession, topic: DataFrame, row: T.StructType, table: LakeTable,
+def start_current_state(spark: SparkSession, topic: DataFrame, row: T.StructType, table: LakeTable | DeltaTable,
                         settings: StreamSettings) -> StreamingQuery:
     changes = B.unwrap_changes(topic, row)
     return (_writer(changes, "silver_current", settings)
-            .foreachBatch(lambda df, _bid: upsert_current_state(df, table)).start())
+            .foreachBatch(lambda df, bid: upsert_current_state(df, table, batch_id=bid)).start())

@@ -22,6 +22,7 @@ from attrlake.operators import dims as D
 from attrlake.operators import facts as A
 from attrlake.schemas import COLUMN_NAMES
 from attrlake.store import LakeTable
+from attrlake.streaming import deltas as K
 from attrlake.streaming import pipeline as P
 
 
@@ -35,6 +36,11 @@ class Lake:
     fmt: str = "parquet"
     files_per_partition: int | None = None  # see LakeTable.files_per_partition
     dim_buckets: int = P.DIM_BUCKETS        # hash buckets of dimensions and current state
+    # How dimensions and current state take their upserts: "buckets" (updated
+    # hash buckets are rewritten) or "deltas" (appended, folded on read).  A
+    # property of the tables: change it only by rebuilding them.
+    keyed: str = "buckets"
+    compact_every: int | None = 64          # deltas of a keyed table until it is compacted
 
     def _t(self, layer: str, name: str, partition_by: list[str]) -> LakeTable:
         if self.fmt == "iceberg":
@@ -63,12 +69,21 @@ class Lake:
     def silver(self) -> LakeTable:
         return self._t("silver", "events", ["event_date"])
 
+    def _deltas(self) -> bool:
+        if self.keyed not in ("buckets", "deltas"):
+            raise ValueError(f"no keyed table form {self.keyed!r}")
+        return self.keyed == "deltas" and self.fmt == "parquet"
+
     @property
-    def current(self) -> LakeTable:
-        """Current state per id (ST4b), bucketed by id, delete markers kept."""
+    def current(self) -> LakeTable | K.DeltaTable:
+        """Current state per id (ST4b), delete markers kept."""
+        if self._deltas():
+            return K.current_state_table(self.spark, f"{self.root.rstrip('/')}/silver/current", compact_every=self.compact_every)
         return replace(self._t("silver", "current", ["bucket"]), buckets=self.dim_buckets)
 
-    def dim(self, name: str) -> LakeTable:
+    def dim(self, name: str) -> LakeTable | K.DeltaTable:
+        if self._deltas():
+            return K.dimension_table(self.spark, f"{self.root.rstrip('/')}/gold/{name}", name, self.compact_every)
         return replace(self._t("gold", name, ["bucket"]), buckets=self.dim_buckets)
 
     def fact(self, name: str) -> LakeTable:
@@ -237,6 +252,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--config", help="YAML: {job: {trigger_interval, max_files_per_trigger, ...}}")
     ap.add_argument("--jobs", nargs="*", help=f"subset of {sorted(JOBS)}")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    ap.add_argument("--keyed", default="deltas", choices=["deltas", "buckets"],
+                    help="dimensions and current state: appended deltas folded on read, or rewritten hash buckets")
+    ap.add_argument("--compact-every", type=int, default=64, help="deltas of a keyed table until it is compacted")
     ap.add_argument("--files-per-partition", type=int,
                     help="files per day and micro-batch in streaming writes (default: one per task)")
     args = ap.parse_args(argv)
@@ -259,7 +277,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.topic_path:
         topic = P.file_topic(spark, args.topic_path, bronze_cfg.get("max_files_per_trigger"))
     checkpoints = args.checkpoints or f"{shared_dir(spark).rstrip('/')}/streams"
-    run_jobs(spark, Lake(spark, args.lake, args.format, args.files_per_partition), checkpoints,
+    lake = Lake(spark, args.lake, args.format, args.files_per_partition, keyed=args.keyed, compact_every=args.compact_every)
+    run_jobs(spark, lake, checkpoints,
              names=args.jobs, topic=topic,
              available_now=args.available_now, config=config)
 
