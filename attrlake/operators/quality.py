@@ -153,6 +153,43 @@ def quality_report(silver: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+ID_BUCKETS = 256
+
+
+def id_digests(rows: DataFrame, buckets: int, sign: int) -> DataFrame:
+    """Order-free digest of the ids per ``event_date`` and hash bucket: count,
+    sum and xor of id hashes, the first two times ``sign``."""
+    h = F.xxhash64("id")
+    return rows.select("event_date", h.alias("h")).groupBy("event_date", F.pmod("h", F.lit(buckets)).alias("bucket")).agg(
+        (F.count(F.lit(1)) * sign).alias("n"), (F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))) * sign).alias("total"),
+        F.bit_xor("h").alias("mix"))
+
+
+def reconcile_ids(source: DataFrame, target: DataFrame, buckets: int = ID_BUCKETS) -> DataFrame:
+    """Q12 by id: which ids of ``source`` (id, event_date) ``target`` lacks,
+    has too often, or has without a source row.
+
+    Each side is digested per day and bucket first (one row each, combined
+    map-side); ids are compared one by one only inside buckets whose digests
+    differ.  ``kind`` is lost, alien, repeated or fewer; an id that lies on
+    another day than in the source is lost on one and alien on the other.
+    """
+    digests = id_digests(source, buckets, 1).unionByName(id_digests(target, buckets, -1))
+    differ = (digests.groupBy("event_date", "bucket").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.bit_xor("mix").alias("mix"))
+              .where("n <> 0 or total <> 0 or mix <> 0").select(F.col("event_date").alias("_day"), F.col("bucket").alias("_bucket")))
+
+    def counted(rows: DataFrame, mine: str, other: str) -> DataFrame:
+        at = rows.select("event_date", "id", F.pmod(F.xxhash64("id"), F.lit(buckets)).alias("bucket"))
+        at = at.join(differ, at["event_date"].eqNullSafe(differ["_day"]) & (at["bucket"] == differ["_bucket"]), "left_semi")
+        return at.groupBy("event_date", "id").agg(F.count(F.lit(1)).alias(mine)).withColumn(other, F.lit(0).cast("bigint"))
+
+    both = counted(source, "source_rows", "target_rows").unionByName(counted(target, "target_rows", "source_rows"))
+    s, t = F.col("source_rows"), F.col("target_rows")
+    kind = F.when(t == 0, "lost").when(s == 0, "alien").when(t > s, "repeated").otherwise("fewer")
+    return (both.groupBy("event_date", "id").agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows"))
+            .where(s != t).select("event_date", "id", kind.alias("kind"), "source_rows", "target_rows"))
+
+
 def _per_day(df: DataFrame, prefix: str) -> DataFrame:
     return df.groupBy("event_date").agg(
         F.count(F.lit(1)).cast("bigint").alias(f"{prefix}_rows"),

@@ -40,15 +40,13 @@ def conform(bronze: DataFrame, with_errors: bool = False) -> DataFrame:
     """
     types = {f.name: f.dataType for f in bronze.schema.fields}
     target = silver_schema()
-    cols, errors = [], []
+    cols = []
     for f in target.fields:
         if f.name == "event_date":
             continue
         if f.name in types:
             src = F.col(f.name)
             out = _conform_column(src, types[f.name], f.dataType)
-            if with_errors and types[f.name] != f.dataType:
-                errors.append((src.isNotNull() & out.isNull()).cast("int"))
         else:
             out = F.lit(None).cast(f.dataType)
         cols.append(out.alias(f.name))
@@ -57,11 +55,18 @@ def conform(bronze: DataFrame, with_errors: bool = False) -> DataFrame:
     else:
         cols.append(event_date_from_micros(F.col("created_at")).alias("event_date"))
     if with_errors:
-        total = sum(errors[1:], errors[0]) if errors else F.lit(0)
-        cols.append(total.cast("int").alias("cast_errors"))
+        cols.append(cast_errors(bronze).cast("int").alias("cast_errors"))
     return bronze.select(*cols)
 
 
+def cast_errors(bronze: DataFrame) -> Column:
+    """Per bronze row, how many set values ``conform`` would lose."""
+    types = {f.name: f.dataType for f in bronze.schema.fields}
+    lost = [(F.col(f.name).isNotNull() & _conform_column(F.col(f.name), types[f.name], f.dataType).isNull()).cast("int")
+            for f in silver_schema().fields if f.name in types and f.name != "event_date" and types[f.name] != f.dataType]
+    return sum(lost[1:], lost[0]) if lost else F.lit(0)
+
+
 ARRIVAL = ["source_partition", "source_offset"]
 
 

@@ -326,10 +326,33 @@ from (select coalesce(s.event_date, b.event_date, v.event_date) as event_date,
             from (select distinct id, event_date from good) g group by event_date) v
         on coalesce(s.event_date, b.event_date) = v.event_date) r""",
         MESSAGES, "good as (select * from messages where id % 101 not between 1 and 9)")
+    out["layer_reconcile_ids"] = _with([CHANGE_LOG, BRONZE, MESSAGES, f"live as ({CURRENT})"],
+        """select coalesce(s.event_date, t.event_date) as event_date, coalesce(s.id, t.id) as id,
+  case when t.id is null then 'lost' else 'alien' end as kind,
+  cast(count(s.id) as bigint) as source_rows, cast(count(t.id) as bigint) as target_rows
+from (select id, cast(ts as date) as event_date from live) s
+full outer join (select distinct id, event_date from messages where id % 101 not between 1 and 9) t
+  on s.id = t.id and s.event_date = t.event_date
+where s.id is null or t.id is null group by s.id, t.id, s.event_date, t.event_date""")
+    out["bronze_offset_gaps"] = """with held as (
+  select cast(event_id % 4 as integer) as source_partition, event_id // 4 as o from events
+  where event_id % 211 not between 5 and 9 and event_id not between 300 and 699),
+runs as (select *, lag(o) over (partition by source_partition order by o) as earlier from held)
+select source_partition, earlier + 1 as gap_first, o - 1 as gap_last, o - earlier - 1 as missing
+from runs where o > earlier + 1"""
     out.update(_stream_sql(out))
     return out
 
 
+# Silver in four slices by time, newest first; the split's mark after the first.
+LATE = """o as (select *, -epoch_us(created_at) as o from silver),
+edges as (select min(o) as lo, max(o) as hi from o),
+mark as (select max(created_at) as m from o, edges where o <= lo + (hi - lo) // 4 and activity_kind in ('ad_revenue', 'subscription')),
+late as (select id, event_date, activity_kind, 'late' as reason from o, edges, mark
+  where activity_kind in ('ad_revenue', 'subscription') and o > lo + (hi - lo) // 4
+    and event_date + interval 1 day <= m - interval 2 day)"""
+
+
 def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
     """Streaming queries equal their batch form over the same input."""
     return {
@@ -359,6 +382,10 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_fact_day_emptied": f"with f as ({batch['fact_installs_daily']}) "
                                    "select * from f where event_date > (select min(event_date) from f)",
         "stream_fact_revenue_late": batch["fact_revenue_daily"],
+        "stream_late_rows": with_silver("select * from late", LATE),
+        "stream_fact_revenue_timely": with_silver(
+            f"select * from ({FACT_SQL['fact_revenue_daily'].replace('from silver', 'from timely')}) f",
+            LATE, "timely as (select * from silver where id not in (select id from late))"),
         "stream_bronze_to_gold": batch["fact_events_daily"],
         "stream_all_layers": batch["layer_reconcile"],
     }

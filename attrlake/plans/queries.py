@@ -20,6 +20,7 @@ from attrlake.functions.time import ntz_to_micros
 from attrlake.operators import bronze as B
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
+from attrlake.operators import offsets as O
 from attrlake.operators import quality as Q
 from attrlake.operators import reports as R
 from attrlake.operators import silver as S
@@ -27,6 +28,7 @@ from attrlake.session import run_dir
 from attrlake.sources import fixtures as X
 from attrlake.store import LakeTable
 from attrlake.streaming import deltas as K
+from attrlake.streaming import losses as L
 from attrlake.streaming import pipeline as P
 from attrlake.streaming.runner import Lake, run_jobs
 
@@ -203,6 +205,15 @@ def layer_reconcile(spark, sf_dir):
     return Q.layer_reconcile(source, bronze, silver)
 
 
+def layer_reconcile_ids(spark, sf_dir):
+    """Q12 by id: the change log's current state (deletes applied) against the silver that the damaged topic gives:
+    lost and alien ids."""
+    current = S.current_state(unwrapped_changes(spark, sf_dir))
+    source = current.select("id", F.col("ts").cast("date").alias("event_date"))
+    silver = S.dedupe_first(delivered_bronze(spark, sf_dir).select("id", "event_date", *S.ARRIVAL))
+    return Q.reconcile_ids(source, silver)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "bronze_event_date": bronze_event_date,
@@ -229,6 +240,7 @@ def queries() -> dict[str, Query]:
         "table_row_count": table_row_count,
         "quality_report": quality_report,
         "layer_reconcile": layer_reconcile,
+        "layer_reconcile_ids": layer_reconcile_ids,
     })
     return q
 
@@ -274,6 +286,20 @@ def _await(queries) -> None:
             raise RuntimeError(f"{q.name}: {q.exception()}")
 
 
+def _numbered_topic(spark, sf_dir, root: str, lossy: bool) -> str:
+    path = f"{root}/topic"
+    X.write_in_slices(X.numbered_messages(spark, sf_dir, lossy), path, F.col("offset"), SLICES)
+    return path
+
+
+def bronze_offset_gaps(spark, sf_dir):
+    """A topic that lost messages, streamed to bronze: the offsets that the stored messages lack."""
+    root, lake, ckpt = _stream_run(spark, "offset-gaps")
+    topic = P.file_topic(spark, _numbered_topic(spark, sf_dir, root, True), TOPIC_FILES)
+    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
+    return O.offset_gaps(lake.messages.read())
+
+
 def _bronze_run(spark, sf_dir, label: str) -> Lake:
     root, lake, ckpt = _stream_run(spark, label)
     topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
@@ -398,6 +424,32 @@ def stream_fact_revenue_late(spark, sf_dir):
     return lake.fact("fact_revenue_daily").read()
 
 
+def _newest_first(spark, sf_dir, label: str, name: str):
+    """Silver arrives newest slice first, each slice one micro-batch: the split and the windowed fact after each."""
+    _root, lake, ckpt = _stream_run(spark, label)
+    split = L.Split(spark, f"{lake.root}/gold/{name}_split")
+
+    def after_slice() -> None:
+        _await([L.start_late_split(spark, lake.silver, split, name, _settings(ckpt, None))])
+        _await([L.start_fact_of_timely(spark, split, lake.fact(name), name, _settings(ckpt, None))])
+
+    X.write_in_slices(silver_rows(spark, sf_dir), lake.silver.location, -ntz_to_micros(F.col("created_at")), SLICES,
+                      partition_by=["event_date"], after=after_slice)
+    return lake, split
+
+
+def stream_late_rows(spark, sf_dir):
+    """ST6: every row that the windowed revenue fact would drop behind its watermark, kept in a table."""
+    _lake, split = _newest_first(spark, sf_dir, "stream-late", "fact_revenue_daily")
+    return split.late.read().select("id", "event_date", "activity_kind", "reason")
+
+
+def stream_fact_revenue_timely(spark, sf_dir):
+    """ST5/ST6: the windowed fact over the rows in time; with the late rows it makes the whole."""
+    lake, _split = _newest_first(spark, sf_dir, "stream-timely", "fact_revenue_daily")
+    return lake.fact("fact_revenue_daily").read()
+
+
 def stream_fact_events_refresh(spark, sf_dir):
     """ST9: touched-day recompute of fact_events_daily from silver."""
     _root, lake, ckpt = _stream_run(spark, "stream-fact-events")
@@ -461,6 +513,7 @@ def stream_all_layers(spark, sf_dir):
 
 STREAM_QUERIES: dict[str, Query] = {
     "stream_bronze_append": stream_bronze_append,
+    "bronze_offset_gaps": bronze_offset_gaps,
     "stream_quarantine": stream_quarantine,
     "stream_message_counts": stream_message_counts,
     "stream_silver": stream_silver,
@@ -481,6 +534,8 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_gold_after_backfill": stream_gold_after_backfill,
     "stream_fact_day_emptied": stream_fact_day_emptied,
     "stream_fact_revenue_late": stream_fact_revenue_late,
+    "stream_late_rows": stream_late_rows,
+    "stream_fact_revenue_timely": stream_fact_revenue_timely,
     "stream_bronze_to_gold": stream_bronze_to_gold,
     "stream_all_layers": stream_all_layers,
 }

@@ -10,6 +10,8 @@ the tables and are partitioned by Spark like any other scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,6 +190,17 @@ def kafka_messages(
     )
 
 
+def numbered_messages(spark: SparkSession, sf_dir: str, lossy: bool = False) -> DataFrame:
+    """The topic with gapless offsets: partition ``id mod 4``, offset ``id div 4``
+    (event ids run from 0 without a hole), damage included.  With ``lossy``
+    the broker has lost ids 5 to 9 of every 211 and ids 300 to 699."""
+    msgs = kafka_messages(spark, sf_dir, corrupt=True).withColumn("_id", F.col("key").cast("bigint"))
+    if lossy:
+        msgs = msgs.where(~(F.col("_id") % 211).between(5, 9) & ~F.col("_id").between(300, 699))
+    return msgs.withColumns({"partition": (F.col("_id") % TOPIC_PARTITIONS).cast("int"),
+                             "offset": F.expr(f"_id div {TOPIC_PARTITIONS}")}).drop("_id")
+
+
 def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log as JSON change envelopes ``{before, after, op, ts_ms, source{lsn}}``
     framed like the topic: creates carry ``after``, updates both images,
@@ -216,11 +229,11 @@ def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_in_slices(df: DataFrame, path: str, order: Column, slices: int,
-                    partition_by: list[str] | None = None) -> None:
+                    partition_by: list[str] | None = None, after: Callable[[], None] | None = None) -> None:
     """Write ``df`` as ``slices`` successive appends, each a range of the
     integral ``order`` expression, so a file stream source (which takes the
     oldest files first) sees the data in that order.  Only the two bounds of
-    ``order`` reach the driver."""
+    ``order`` reach the driver.  ``after`` runs after each append."""
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     edges = [None] + [lo + (hi - lo) * i // slices for i in range(1, slices)] + [None]
     if lo is None:
@@ -235,3 +248,5 @@ def write_in_slices(df: DataFrame, path: str, order: Column, slices: int,
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
+        if after:
+            after()

@@ -76,6 +76,7 @@ class StreamSettings:
     shuffle_partitions: int | None = None
     watermark: str = "2 days"
     fact_mode: str = "refresh"  # gold facts: "refresh" (touched days, exact) or "window" (state + watermark)
+    offset_patience: int | None = None  # bronze: batches a hole in the offsets may stay open; None: no guard
     codec: str = "json"                # bronze: "json" or "avro"
     reader_schema: str | None = None   # bronze: Avro schema text (codec "avro")
 
@@ -183,9 +184,17 @@ def append_new_to_silver(batch: DataFrame, silver: LakeTable) -> None:
         rows.unpersist()
 
 
+def with_cast_errors(bronze: DataFrame) -> DataFrame:
+    """The same rows; their number and that of the values ``conform`` will
+    lose are observed per micro-batch (``losses.LossRecords``)."""
+    return bronze.observe("conform", F.count(F.lit(1)).alias("rows"), F.sum(S.cast_errors(bronze)).alias("cast_errors"))
+
+
 def start_silver(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
-                 settings: StreamSettings) -> StreamingQuery:
-    src = bronze.read_stream(BRONZE_TABLE_SCHEMA, settings.max_files_per_trigger)
+                 settings: StreamSettings, bronze_columns: T.StructType | None = None) -> StreamingQuery:
+    """``bronze_columns``: the stored bronze types, where they aren't the
+    default ones (a registry's doubles, say)."""
+    src = with_cast_errors(bronze.read_stream(bronze_columns or BRONZE_TABLE_SCHEMA, settings.max_files_per_trigger))
     return (_writer(src, "silver", settings)
             .foreachBatch(lambda df, _bid: append_new_to_silver(df, silver)).start())
 

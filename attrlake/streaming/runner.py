@@ -10,9 +10,12 @@ getting its own checkpoint folder below one root.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,8 +26,11 @@ from attrlake.operators import facts as A
 from attrlake.schemas import COLUMN_NAMES
 from attrlake.store import LakeTable
 from attrlake.streaming import deltas as K
+from attrlake.streaming import losses as L
 from attrlake.streaming import pipeline as P
 
+log = logging.getLogger("attrlake.runner")
+
 
 @dataclass
 class Lake:
@@ -96,7 +102,14 @@ Start = Callable[[SparkSession, Lake, P.StreamSettings, "DataFrame | None"], lis
 def _bronze(spark, lake, settings, topic):
     if topic is None:
         raise ValueError("the bronze job needs a topic source")
-    return P.start_bronze(topic, lake.bronze, settings)
+    started = P.start_bronze(topic, lake.bronze, settings)
+    if settings.offset_patience is not None:
+        started.append(L.start_offset_guard(topic, _offset_state(settings), settings, settings.offset_patience))
+    return started
+
+
+def _offset_state(settings: P.StreamSettings) -> str:
+    return f"{settings.checkpoint.rstrip('/')}/offset_runs"
 
 
 def _silver(spark, lake, settings, _topic):
@@ -159,7 +172,7 @@ EXCLUSIVE = [
 LAYER_ORDER = ["bronze", "silver", "gold"]
 
 
-CONFIG_KEYS = {"trigger_interval", "max_files_per_trigger", "max_offsets_per_trigger", "min_partitions",
+CONFIG_KEYS = {"offset_patience", "trigger_interval", "max_files_per_trigger", "max_offsets_per_trigger", "min_partitions",
                "shuffle_partitions", "watermark", "mode", "codec", "schema_registry_url", "schema_subject"}
 
 
@@ -188,6 +201,32 @@ def _wait(queries: list[StreamingQuery]) -> None:
             raise RuntimeError(f"streaming query {q.name!r} failed: {q.exception()}")
 
 
+def supervise(spark: SparkSession, queries: list[StreamingQuery], on_failure: str = "stop",
+              records: L.LossRecords | None = None, every_seconds: int = 60) -> None:
+    """Block until the queries have ended.  A failed one is named at once
+    (log) and in the error; with ``stop`` it takes the others with it, with
+    ``continue`` they go on alone."""
+    failed: dict[str, str] = {}
+    while any(q.isActive for q in queries):
+        try:
+            spark.streams.awaitAnyTermination(every_seconds)
+        except StreamingQueryException:
+            pass  # looked up below, by query
+        spark.streams.resetTerminated()
+        for q in queries:
+            if not q.isActive and q.name not in failed and q.exception() is not None:
+                failed[q.name] = str(q.exception()).split("\n")[0]
+                log.error("streaming query %s failed: %s", q.name, failed[q.name])
+        if records:
+            records.flush()
+        if failed and on_failure == "stop":
+            for q in queries:
+                if q.isActive:
+                    q.stop()
+    if failed:
+        raise RuntimeError("failed: " + "; ".join(f"{n!r}: {e}" for n, e in failed.items()))
+
+
 def run_jobs(
     spark: SparkSession,
     lake: Lake,
@@ -196,8 +235,24 @@ def run_jobs(
     topic: DataFrame | None = None,
     available_now: bool = False,
     config: dict | None = None,
+    on_failure: str = "stop",
+    losses: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start the named jobs (all by default); see the module doc for waiting."""
+    """Start the named jobs (all by default); see the module doc for waiting.
+    ``losses``: folder of the table that late drops and cast errors per
+    micro-batch are recorded in."""
+    records = L.LossRecords(LakeTable(spark, losses)) if losses else None
+    if records:
+        spark.streams.addListener(records)
+    try:
+        return _run(spark, lake, checkpoint_root, names, topic, available_now, config, on_failure, records)
+    finally:
+        if records:
+            spark.streams.removeListener(records)
+            records.flush()
+
+
+def _run(spark, lake, checkpoint_root, names, topic, available_now, config, on_failure, records) -> list[StreamingQuery]:
     names = names or DEFAULT_JOBS
     for left, right in EXCLUSIVE:
         if left & set(names) and right & set(names):
@@ -218,20 +273,37 @@ def run_jobs(
                 shuffle_partitions=cfg.get("shuffle_partitions"),
                 watermark=cfg.get("watermark", "2 days"),
                 fact_mode=cfg.get("mode", "refresh"),
+                offset_patience=cfg.get("offset_patience"),
                 codec=cfg.get("codec", "json"),
                 reader_schema=_reader_schema(cfg),
             )
             if available_now:
                 settings = settings.available_now()
             layer_queries += JOBS[name](spark, lake, settings, topic)
+            if available_now and settings.offset_patience is not None and layer == "bronze":
+                _wait(layer_queries)
+                L.check_offsets(spark, _offset_state(settings))
         if available_now:
             _wait(layer_queries)
+            _reported(spark, records, layer_queries)
         started += layer_queries
     if not available_now and started:
-        spark.streams.awaitAnyTermination()
+        supervise(spark, started, on_failure, records)
     return started
 
 
+def _reported(spark: SparkSession, records: L.LossRecords | None, queries: list[StreamingQuery], seconds: float = 10) -> None:
+    """Wait until the listener has seen the last progress of each query (the
+    reports arrive a moment after it), then store them."""
+    if not records:
+        return
+    last = {(str(q.runId), q.lastProgress["batchId"]) for q in queries if q.lastProgress}
+    until = time.monotonic() + seconds
+    while time.monotonic() < until and not last <= {(r[1], r[2]) for r in records.pending}:
+        time.sleep(0.1)
+    records.flush()
+
+
 def main(argv: list[str] | None = None) -> None:
     """``python -m attrlake.streaming.runner --lake ROOT (--topic-path P | --kafka-servers S --kafka-topic T)``"""
     import argparse
@@ -252,6 +324,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--config", help="YAML: {job: {trigger_interval, max_files_per_trigger, ...}}")
     ap.add_argument("--jobs", nargs="*", help=f"subset of {sorted(JOBS)}")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    ap.add_argument("--on-failure", default="stop", choices=["stop", "continue"], help="what a failed query does to the others")
+    ap.add_argument("--losses", help="folder of the table of late drops and cast errors per micro-batch")
     ap.add_argument("--keyed", default="deltas", choices=["deltas", "buckets"],
                     help="dimensions and current state: appended deltas folded on read, or rewritten hash buckets")
     ap.add_argument("--compact-every", type=int, default=64, help="deltas of a keyed table until it is compacted")
@@ -280,7 +354,7 @@ def main(argv: list[str] | None = None) -> None:
     lake = Lake(spark, args.lake, args.format, args.files_per_partition, keyed=args.keyed, compact_every=args.compact_every)
     run_jobs(spark, lake, checkpoints,
              names=args.jobs, topic=topic,
-             available_now=args.available_now, config=config)
+             available_now=args.available_now, config=config, on_failure=args.on_failure, losses=args.losses)
 
 
 if __name__ == "__main__":
