@@ -10,9 +10,10 @@ required value is missing).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from attrlake import schemas as M
@@ -142,6 +143,75 @@ def functional_dependency(silver: DataFrame, rule: str, key: str, attributes: li
     )
 
 
+ID_RULE = "Q1_id_not_null_unique"
+#: Key rules: the key and what it must determine (Q1: that it occurs once).
+KEY_RULES = {
+    ID_RULE: ("id", []),
+    "Q4_one_app_name_per_store": ("store_id", ["app_name"]),
+    "Q11_one_attribute_set_per_adid": ("adid", M.JOURNEY_ATTRIBUTES),
+}
+
+
+def key_states(silver: DataFrame) -> DataFrame:
+    """(rule, key, n, least, most): per key its rows and the smallest and
+    largest hash of what it must determine; equal hashes, one attribute set.
+    Mergeable (sum, min, max), so no ``distinct``, and one exploded scan for
+    all key rules, combined map-side."""
+    def attributes(names: list[str]) -> Column:
+        # A null must not hash like a value that is missing before or after it.
+        return F.xxhash64(*[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in names] or [F.lit(0)])
+
+    entries = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), attributes(names).alias("h"))
+                        for rule, (key, names) in KEY_RULES.items()])
+    rows = silver.select(F.explode(entries).alias("e")).select("e.*").where(F.col("key").isNotNull() | (F.col("rule") == ID_RULE))
+    return rows.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least"), F.max("h").alias("most"))
+
+
+def key_report(states: DataFrame) -> DataFrame:
+    """(rule, checked, violations) of the key rules from (merged) states; Q1
+    counts rows, the others keys."""
+    ids = F.col("rule") == ID_RULE
+    beyond = F.when(F.col("key").isNull(), F.col("n")).otherwise(F.col("n") - 1)
+    return states.groupBy("rule").agg(
+        F.sum(F.when(ids, F.col("n")).otherwise(1)).cast("bigint").alias("checked"),
+        F.sum(F.when(ids, beyond).otherwise((F.col("least") != F.col("most")).cast("int"))).cast("bigint").alias("violations"))
+
+
+@dataclass
+class QualityState:
+    """The quality report in parts: per batch the states of its keys and the
+    counters of its row rules, both from one scan.  Each batch has its own
+    folders, replaced on a replay, so nothing counts twice."""
+
+    spark: SparkSession
+    location: str
+
+    def take(self, silver: DataFrame, batch_id: int) -> None:
+        """Add one batch of silver: its keys' states are written, the row
+        rules' counters observed while its rows pass."""
+        rules = row_rules()
+        watch = Observation()
+        counters = [c for i, (_, applies, ok) in enumerate(rules) for c in (
+            F.count_if(applies).alias(f"c{i}"), F.count_if(applies & ~F.coalesce(ok, F.lit(False))).alias(f"v{i}"))]
+        key_states(silver.observe(watch, *counters)).write.mode("overwrite").parquet(f"{self.location}/keys/batch={batch_id}")
+        # Without a row the plan is empty and nothing is observed.
+        seen = {} if silver.isEmpty() else watch.get
+        rows = [(name, seen.get(f"c{i}", 0), seen.get(f"v{i}", 0)) for i, (name, _, _) in enumerate(rules)]
+        (self.spark.createDataFrame(rows, "rule string, checked bigint, violations bigint").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.location}/counters/batch={batch_id}"))
+
+    def report(self) -> DataFrame:
+        """Q1-Q11 over all batches (rule, checked, violations)."""
+        keys = self.spark.read.parquet(f"{self.location}/keys").groupBy("rule", "key").agg(
+            F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+        counters = self.spark.read.parquet(f"{self.location}/counters").groupBy("rule").agg(
+            F.sum("checked").alias("checked"), F.sum("violations").alias("violations"))
+        found = key_report(keys)
+        none = self.spark.createDataFrame([(r, 0, 0) for r in KEY_RULES], found.schema)
+        keyed = found.unionByName(none).groupBy("rule").agg(F.sum("checked").alias("checked"), F.sum("violations").alias("violations"))
+        return keyed.unionByName(counters)
+
+
 def quality_report(silver: DataFrame) -> DataFrame:
     """Q1-Q11 as one frame ``(rule, checked, violations)``."""
     parts = [

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrlake.operators.facts import SUM_TYPE
+from attrlake.store import LakeTable
 
 
 def star_join(fact: DataFrame, dim: DataFrame, key: str, attributes: list[str]) -> DataFrame:
@@ -90,6 +91,38 @@ def latest_events(table: DataFrame, n: int = 20) -> DataFrame:
     return table.orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(n)
 
 
+def latest_of_table(table: LakeTable, n: int = 20) -> DataFrame:
+    """T1 over a table partitioned by ``event_date``: the same rows, read from
+    the newest days only.  Days are event-time days, so once the days taken
+    hold ``n`` rows no older day can have a newer one.  One listing, then 1,
+    2, 4, ... day folders; rows without a day come last."""
+    days = sorted(table.days(), key=lambda d: (d is not None, d), reverse=True)
+    take = 1
+    while True:
+        found = latest_events(table.touched(None, [(d,) for d in days[:take]]) if days else table.read(), n)
+        if take >= len(days) or found.count() >= n:
+            return found
+        take *= 2
+
+
+def report_devices_approx(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """A5 over any days and keys, from the sketch fact alone: events and the
+    estimated number of different devices."""
+    return sketches.groupBy(*by).agg(
+        F.sum("events").cast("bigint").alias("events"),
+        F.hll_sketch_estimate(F.hll_union_agg("devices_sketch")).alias("devices_approx"),
+    )
+
+
+def table_row_count_from_footers(table: LakeTable) -> DataFrame:
+    """A6 from Parquet footers: the count is pushed into the V2 source, which
+    reads no data pages.  The setting is that of a session of its own."""
+    session = table.spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(table.location).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def table_row_count(table: DataFrame) -> DataFrame:
     """Row count of a table as a one-row frame."""
     return table.agg(F.count(F.lit(1)).cast("bigint").alias("rows"))

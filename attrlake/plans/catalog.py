@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+from attrlake.store import LakeTable
 from attrlake.streaming.pipeline import STREAM_FACTS
 from attrlake.streaming.runner import Lake
 
@@ -50,7 +51,12 @@ from p left join dim_campaign d on p.tracker = d.tracker""",
 
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     """Create temp views for every table of ``lake`` that exists, then the
-    reporting views whose inputs exist.  Returns the registered names."""
+    reporting views whose inputs exist.  Returns the registered names.
+
+    Folder tables and reports are views of SQL text, analysed anew by each
+    query, so a query sees what was written before it.  Keyed delta tables and
+    the quality report are views of a plan: register them again after a write.
+    """
     tables = {"bronze_events": lake.bronze, "silver_events": lake.silver,
               "bronze_quarantine": lake.quarantine}
     for dim in ("dim_app", "dim_campaign"):
@@ -60,7 +66,12 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     names = []
     for name, table in tables.items():
         if table.exists():
-            table.read().createOrReplaceTempView(name)
+            if isinstance(table, LakeTable) and table.fmt == "parquet":
+                columns = ", ".join(table.columns or ["*"])
+                where = f" where {table.rows}" if table.rows else ""
+                spark.sql(f"create or replace temporary view {name} as select {columns} from parquet.`{table.location}`{where}")
+            else:
+                table.read().createOrReplaceTempView(name)
             names.append(name)
     if lake.silver.exists():
         from attrlake.operators.quality import quality_report
@@ -69,7 +80,7 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
         names.append("quality_report")
     for name, sql in REPORT_VIEWS.items():
         try:
-            spark.sql(sql).createOrReplaceTempView(name)
+            spark.sql(f"create or replace temporary view {name} as {sql}")
             names.append(name)
         except AnalysisException as error:
             if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":  # an input table is not there yet

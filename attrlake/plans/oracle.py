@@ -1,14 +1,17 @@
 """DuckDB twins of the registered queries (the correctness oracle).
 
-Written independently of the Spark code: the driver tables are mapped to the
-attribution event with plain SQL (``BRONZE``/``SILVER`` CTEs below) and each
-query is restated in SQL.  Sums are DECIMAL(38,6), counts BIGINT on both
+The driver tables are mapped to the attribution event with plain SQL
+(``BRONZE``/``SILVER`` CTEs below) and each query is restated in SQL.  Shared
+with the Spark side are the data model's fixed values (columns, domains,
+bounds) and the expressions that put faults into the input of
+``quality_report_faults``.  Sums are DECIMAL(38,6), counts BIGINT on both
 sides.
 """
 
 from __future__ import annotations
 
 from attrlake.schemas import EVENT_COLUMNS
+from attrlake.sources.fixtures import FAULTS, FAULTY_TWICE
 
 # events -> attribution event with wire types (timestamps = epoch micros)
 _ADAPTER = """
@@ -230,6 +233,11 @@ from (select adid, count(*) as n from (select distinct adid, {attrs} from silver
     return "\nunion all\n".join(rows)
 
 
+_REPLACED = ", ".join(f"{sql} as {c}" for c, sql in FAULTS.items())
+FAULTY = (f"faulty as (select * replace ({_REPLACED}) from silver union all "
+          f"select * replace ({_REPLACED}) from silver where {FAULTY_TWICE})")
+
+
 def _fact_cte(name: str) -> str:
     return f"{name} as ({FACT_SQL[name]})"
 
@@ -310,7 +318,20 @@ from (select event_date, ad_revenue_network, cast(sum(revenue) as decimal(38,6))
         "select id, activity_kind, created_at, app_token, tracker, event_date from silver "
         "order by created_at desc, id desc limit 20")
     out["table_row_count"] = with_bronze("select cast(count(*) as bigint) as rows from bronze")
-    out["quality_report"] = with_silver(_quality_sql())
+    out["quality_report_faults"] = with_silver(_quality_sql().replace("from silver", "from faulty"), FAULTY)
+    out["silver_dedupe_differing"] = out["silver_dedupe"]
+    out["silver_conform_errors"] = with_silver(
+        """select id, case when id % 50 > 0 then reporting_revenue end as reporting_revenue,
+  cast(case when id % 50 = 0 and reporting_revenue is not null then 1 else 0 end as integer) as cast_errors from silver""")
+    out["sql_views"] = (f"with p as ({out['report_campaign_performance']}), c as ({out['report_star_campaign']}) "
+                        "select p.event_date, p.tracker, p.installs, p.revenue, p.cost, c.installs as star_installs, "
+                        "(select count(*) from events) as silver_rows from p left join c using (event_date, tracker)")
+    out["latest_events_walk"] = out["latest_events"]
+    out["table_row_count_footers"] = out["table_row_count"]
+    out["report_devices_approx"] = with_silver(
+        """select app_token, activity_kind, cast(count(*) as bigint) as events, cast(count(distinct adid) as bigint) as devices,
+  true as within_3_percent from silver group by app_token, activity_kind""")
+    out["quality_report"] = out["quality_report_one_scan"] = with_silver(_quality_sql())
     out["layer_reconcile"] = with_bronze(
         """select event_date, source_rows, source_ids, bronze_rows, bronze_ids, silver_rows, silver_ids,
   source_ids - silver_ids as missing_ids, bronze_rows - bronze_ids as extra_rows
@@ -382,6 +403,8 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_fact_day_emptied": f"with f as ({batch['fact_installs_daily']}) "
                                    "select * from f where event_date > (select min(event_date) from f)",
         "stream_fact_revenue_late": batch["fact_revenue_daily"],
+        "stream_fact_device_sketches_upsert": f"with f as ({batch['fact_events_daily']}) select *, true as within_3_percent from f",
+        "stream_quality_report": batch["quality_report"],
         "stream_late_rows": with_silver("select * from late", LATE),
         "stream_fact_revenue_timely": with_silver(
             f"select * from ({FACT_SQL['fact_revenue_daily'].replace('from silver', 'from timely')}) f",

@@ -130,6 +130,20 @@ def silver_dedupe(spark, sf_dir):
     return S.conform(S.dedupe_first(B.decode_messages(msgs)))
 
 
+def silver_conform_errors(spark, sf_dir):
+    """Amounts of every 50th id do not fit the silver type; they become NULL and are counted."""
+    decoded = B.decode_messages(X.kafka_messages(spark, sf_dir), M.registry_schema())
+    amount = F.col("reporting_revenue")
+    far = decoded.withColumn("reporting_revenue", F.when(F.col("id") % 50 == 0, amount + F.lit(1e15)).otherwise(amount))
+    return S.conform(far, with_errors=True).select("id", "reporting_revenue", "cast_errors")
+
+
+def silver_dedupe_differing(spark, sf_dir):
+    """ST4a: redelivered copies that differ from the first; the first arrival wins."""
+    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, differing=True)
+    return S.conform(S.dedupe_first(B.good_records(B.route_messages(msgs))).drop(*S.ARRIVAL))
+
+
 def silver_current(spark, sf_dir):
     """ST4b (batch): last state per id of the change log, deletes applied."""
     return S.current_state(unwrapped_changes(spark, sf_dir))
@@ -190,11 +204,77 @@ def table_row_count(spark, sf_dir):
     return R.table_row_count(bronze_rows(spark, sf_dir))
 
 
+def _stored_silver(spark, sf_dir, label: str) -> LakeTable:
+    table = LakeTable(spark, run_dir(spark, label), ["event_date"])
+    table.append(silver_rows(spark, sf_dir))
+    return table
+
+
+def latest_events_walk(spark, sf_dir):
+    """T1 from the newest days only: stored silver, read back day folder by day folder."""
+    return R.latest_of_table(_stored_silver(spark, sf_dir, "newest")).select(
+        "id", "activity_kind", "created_at", "app_token", "tracker", "event_date"
+    )
+
+
+def table_row_count_footers(spark, sf_dir):
+    """A6 from Parquet footers: stored silver counted without reading its pages."""
+    return R.table_row_count_from_footers(_stored_silver(spark, sf_dir, "footers"))
+
+
+def _devices_beside(approx: DataFrame, silver: DataFrame, by: list[str]) -> DataFrame:
+    """The estimate held against the exact count: both are facts of the same rows."""
+    exact = silver.groupBy(*by).agg(F.countDistinct("adid").alias("devices"))
+    on = [approx[c].eqNullSafe(exact[c]) for c in by]
+    near = F.abs(F.col("devices_approx") - F.col("devices")) <= F.col("devices") * 0.03
+    return approx.join(exact, on).select(*[approx[c] for c in by], "events", "devices", near.alias("within_3_percent"))
+
+
+def report_devices_approx(spark, sf_dir):
+    """A5: devices per app and kind over all days from the sketch fact alone, held against the exact count."""
+    silver = silver_rows(spark, sf_dir)
+    by = ["app_token", "activity_kind"]
+    return _devices_beside(R.report_devices_approx(A.fact_device_sketches_daily(silver), by), silver, by)
+
+
+def quality_report_one_scan(spark, sf_dir):
+    """Q1-Q11 from one scan of stored silver: counters observed while the key states are written."""
+    table = _stored_silver(spark, sf_dir, "quality-silver")
+    state = Q.QualityState(spark, run_dir(spark, "quality-state"))
+    state.take(table.read(), 0)
+    return state.report()
+
+
 def quality_report(spark, sf_dir):
     """Q1-Q11 over silver."""
     return Q.quality_report(silver_rows(spark, sf_dir))
 
 
+def quality_report_faults(spark, sf_dir):
+    """Q1-Q11 over silver rows with faults: every rule holds for some rows and fails for others."""
+    return Q.quality_report(X.faulty_silver(silver_rows(spark, sf_dir)))
+
+
+def sql_views(spark, sf_dir):
+    """B1: the reporting views in SQL over stored gold, read again after half of silver was written later."""
+    from attrlake.batch import rebuild_dimensions, rebuild_facts
+    from attrlake.plans.catalog import register_views
+
+    _root, lake, _ckpt = _stream_run(spark, "sql-views")
+    session = spark.newSession()  # the views' names are its own
+    shown = Lake(session, lake.root)
+    for part in _halves(spark, sf_dir):
+        lake.silver.append(part)
+        rebuild_facts(lake)
+        rebuild_dimensions(lake)
+        if not session.catalog.tableExists("report_campaign_performance"):
+            register_views(session, shown)
+            session.sql("select count(*) from report_campaign_performance").collect()
+    return session.sql("""select p.event_date, p.tracker, p.installs, p.revenue, p.cost, c.installs as star_installs,
+        (select count(*) from silver_events) as silver_rows
+      from report_campaign_performance p left join report_star_campaign c using (event_date, tracker)""")
+
+
 def layer_reconcile(spark, sf_dir):
     """Rows and ids per day in source, bronze and silver."""
     source = bronze_rows(spark, sf_dir)
@@ -225,6 +305,8 @@ def queries() -> dict[str, Query]:
         "quarantine_split": quarantine_split,
         "silver_conform": silver_conform,
         "silver_dedupe": silver_dedupe,
+        "silver_dedupe_differing": silver_dedupe_differing,
+        "silver_conform_errors": silver_conform_errors,
         "silver_current": silver_current,
         "dim_app": dim_app,
         "dim_campaign": dim_campaign,
@@ -239,8 +321,14 @@ def queries() -> dict[str, Query]:
         "latest_events": latest_events,
         "table_row_count": table_row_count,
         "quality_report": quality_report,
+        "quality_report_faults": quality_report_faults,
+        "sql_views": sql_views,
         "layer_reconcile": layer_reconcile,
         "layer_reconcile_ids": layer_reconcile_ids,
+        "latest_events_walk": latest_events_walk,
+        "table_row_count_footers": table_row_count_footers,
+        "report_devices_approx": report_devices_approx,
+        "quality_report_one_scan": quality_report_one_scan,
     })
     return q
 
@@ -424,6 +512,25 @@ def stream_fact_revenue_late(spark, sf_dir):
     return lake.fact("fact_revenue_daily").read()
 
 
+def stream_fact_device_sketches_upsert(spark, sf_dir):
+    """A5 as a windowed stream of device sketches, each held against the exact count of its key."""
+    _root, lake, ckpt = _stream_run(spark, "stream-sketches")
+    _silver_files(spark, sf_dir, lake)
+    name = "fact_device_sketches_daily"
+    _await([P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, _settings(ckpt, SILVER_FILES))])
+    fact = lake.fact(name).read()
+    return _devices_beside(R.report_devices_approx(fact, A.EVENTS_KEYS), silver_rows(spark, sf_dir), A.EVENTS_KEYS)
+
+
+def stream_quality_report(spark, sf_dir):
+    """Q1-Q11 incrementally: each micro-batch of silver adds its key states and counters; the report folds them."""
+    root, lake, ckpt = _stream_run(spark, "stream-quality")
+    _silver_files(spark, sf_dir, lake)
+    state = Q.QualityState(spark, f"{root}/quality")
+    _await([P.start_quality(spark, lake.silver, state, _settings(ckpt, 4 * SILVER_FILES))])
+    return state.report()
+
+
 def _newest_first(spark, sf_dir, label: str, name: str):
     """Silver arrives newest slice first, each slice one micro-batch: the split and the windowed fact after each."""
     _root, lake, ckpt = _stream_run(spark, label)
@@ -534,6 +641,8 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_gold_after_backfill": stream_gold_after_backfill,
     "stream_fact_day_emptied": stream_fact_day_emptied,
     "stream_fact_revenue_late": stream_fact_revenue_late,
+    "stream_fact_device_sketches_upsert": stream_fact_device_sketches_upsert,
+    "stream_quality_report": stream_quality_report,
     "stream_late_rows": stream_late_rows,
     "stream_fact_revenue_timely": stream_fact_revenue_timely,
     "stream_bronze_to_gold": stream_bronze_to_gold,

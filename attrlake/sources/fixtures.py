@@ -139,6 +139,58 @@ def change_log(spark: SparkSession, sf_dir: str, updates_and_deletes: bool = Tru
     return out
 
 
+# Silver rows with faults --------------------------------------------------------
+
+#: Columns of ``faulty_silver`` by SQL expressions over the silver row, so that
+#: every quality rule holds for some rows and fails for others.
+FAULTS = {
+    "os_version": "case when id % 4 = 0 then null when (platform = 'ios') = (id % 3 > 0) then '17.1' else '14' end",
+    "device_model": "case when id % 5 = 0 then null when (platform = 'ios') = (id % 3 > 0) then 'iPad13,1' else 'Pixel 8' end",
+    "os_name": "case when id % 17 = 3 then 'windows' else os_name end",
+    "platform": "case when id % 23 = 5 then 'web' else platform end",
+    "store_id": "concat('com.example.example', cast(1 + id % 4 as string))",
+    "app_name": "case when id % 28 = 0 then 'Wrong' when id % 4 = 0 then 'Example One' when id % 4 = 1 then 'Example Two' "
+                "when id % 4 = 2 then 'Example Three' else 'Example Four' end",
+    "app_version": "case when id % 3 = 0 then '9.9.9' else '1.1.0' end",
+    "network_name": "case when id % 3 = 0 then 'Facebook' else network_name end",
+    "campaign_name": "case when id % 3 = 1 then 'campaign_a' else campaign_name end",
+    "adgroup_name": "case when id % 3 = 2 then 'adgroup_a' else adgroup_name end",
+    "creative_name": "case when id % 3 = 2 then 'creative_z' else 'creative_a' end",
+    "country": "case when id % 7 = 0 then 'XX' else 'VN' end",
+    "currency": "case when id % 7 = 1 then 'EUR' else 'USD' end",
+    "language": "case when id % 43 = 0 then 'a-very-long-language' else 'en' end",
+    "reporting_currency": "case when reporting_currency is not null and id % 13 = 0 then 'EUR' else reporting_currency end",
+    "ad_revenue_network": "case when ad_revenue_network is not null and id % 3 = 0 then 'AdMob' else ad_revenue_network end",
+    "ad_revenue_placement": "case when ad_revenue_placement is not null and id % 3 = 0 then 'banner' else ad_revenue_placement end",
+    "ad_revenue_unit": "case when activity_kind = 'ad_revenue' and id % 3 = 0 then 'unit_z' when activity_kind = 'ad_revenue' then 'unit_a' end",
+    "subscription_event_type": "case when subscription_event_type is not null and id % 19 = 0 then 'paused' else subscription_event_type end",
+    "subscription_product_id": "case when subscription_product_id is not null and id % 3 = 0 then 'sub_monthly' else subscription_product_id end",
+    "subscription_sales_region": "case when activity_kind = 'subscription' and id % 3 = 0 then 'ZZ' when activity_kind = 'subscription' then 'US' end",
+    "subscription_transaction_id": "case when activity_kind = 'subscription' then concat(case when id % 5 = 0 then 'bad_' else 'txn_' end, cast(id as string)) end",
+    "subscription_original_transaction_id":
+        "case when activity_kind = 'subscription' then concat(case when id % 6 = 0 then 'bad_' else 'otxn_' end, cast(id as string)) end",
+    "adid": "case when id % 2 = 0 then concat('solo_', cast(id as string)) else adid end",
+    "gps_adid": "case when id % 29 = 0 then 'other' when id % 2 = 0 then concat('solo_', cast(id as string)) else gps_adid end",
+    "tracker_name": "case when id % 31 = 0 then 'other' else tracker_name end",
+    "installed_at": "case when id % 37 = 0 then null else installed_at end",
+    "click_time": "case when id % 11 = 0 then click_time - interval 30 day else click_time end",
+    "impression_time": "case when activity_kind = 'install' and id % 3 = 0 then created_at + interval 1 day "
+                       "when activity_kind = 'install' then created_at - interval 1 day end",
+    "idfa": "case when id % 3 = 0 then 'idfa' end",
+    "revenue_float": "case when id % 41 = 0 then cast(revenue_float + 1 as decimal(18,6)) else revenue_float end",
+    "subscription_expiration_time": "case when id % 7 = 0 then subscription_expiration_time + interval 1 day else subscription_expiration_time end",
+    "subscription_cancelled_at": "case when id % 9 = 0 then null else subscription_cancelled_at end",
+    "reporting_cost": "case when id % 6 = 0 then cast(reporting_cost * 10 as decimal(18,6)) else reporting_cost end",
+}
+#: Ids that lie in ``faulty_silver`` twice.
+FAULTY_TWICE = "id % 97 = 0"
+
+
+def faulty_silver(silver: DataFrame) -> DataFrame:
+    rows = silver.selectExpr(*[f"{FAULTS[c]} as {c}" if c in FAULTS else c for c in silver.columns])
+    return rows.unionByName(rows.where(FAULTY_TWICE))
+
+
 # Kafka-shaped fixture ---------------------------------------------------------
 
 TOPIC = "attribution.events"
@@ -158,26 +210,28 @@ def kafka_messages(
     sf_dir: str,
     redeliver_every: int = 0,
     corrupt: bool = False,
+    differing: bool = False,
 ) -> DataFrame:
     """Framed Kafka-shaped rows ``key, value, topic, partition, offset, timestamp``.
 
     ``value`` = magic byte 0 + 4-byte schema id + JSON payload of the event.
     ``redeliver_every=n`` adds a second, identical copy of every n-th id
-    (at-least-once delivery).  ``corrupt=True`` damages a rule-chosen share
+    (at-least-once delivery); with ``differing`` the second copy carries
+    other values.  ``corrupt=True`` damages a rule-chosen share
     of the messages the ways a real topic can (see ``framing.damage``).
     """
     events = attribution_events(spark, sf_dir)
-    msgs = events.select(
-        F.col("id"),
-        F.col("created_at"),
-        framing.encode_json_frame(
-            F.struct(*[F.col(c) for c in COLUMN_NAMES]), schema_id_of(F.col("created_at"))
-        ).alias("value"),
-        F.lit(0).alias("copy"),
-    )
+
+    def framed(rows: DataFrame, copy: int) -> DataFrame:
+        return rows.select("id", "created_at", framing.encode_json_frame(
+            F.struct(*[F.col(c) for c in COLUMN_NAMES]), schema_id_of(F.col("created_at"))).alias("value"), F.lit(copy).alias("copy"))
+
+    msgs = framed(events, 0)
     if redeliver_every:
-        again = msgs.where(F.col("id") % redeliver_every == 0).withColumn("copy", F.lit(1))
-        msgs = msgs.unionByName(again)
+        again = events.where(F.col("id") % redeliver_every == 0)
+        if differing:
+            again = again.withColumns({"adgroup_name": F.lit("second copy"), "reporting_revenue": F.lit(0).cast(MONEY)})
+        msgs = msgs.unionByName(framed(again, 1))
     if corrupt:
         msgs = msgs.withColumn("value", framing.damage(F.col("value"), F.col("id")))
     return msgs.select(

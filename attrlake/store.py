@@ -213,6 +213,14 @@ class LakeTable:
                 return None
         return "/".join(parts)
 
+    def days(self) -> list[dt.date | None]:
+        """The day partitions of a table partitioned by one date column, from
+        one listing (a catalog table: from its partition values)."""
+        if self.fmt == "iceberg":
+            return [r[0] for r in self.touched_values(self.read())]
+        names = [c.split("=", 1)[1] for c in _children(self.spark, self.location) if c.startswith(f"{self.partition_by[0]}=")]
+        return [None if n == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(n) for n in names]
+
     def _empty(self, schema: T.StructType | None = None) -> DataFrame:
         """No rows, with ``schema`` or else the table's, read from one
         partition folder only."""

@@ -36,6 +36,7 @@ from attrlake.operators import bronze as B
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
 from attrlake.operators import silver as S
+from attrlake.operators.quality import QualityState
 from attrlake.schemas import bronze_schema, silver_schema
 from attrlake.store import LakeTable
 from attrlake.streaming.deltas import DeltaTable
@@ -248,6 +249,7 @@ STREAM_FACTS = {
     "fact_revenue_daily": (["ad_revenue", "subscription"], A.REVENUE_KEYS, A.revenue_measures),
     "fact_ad_revenue_daily": ("ad_revenue", A.AD_REVENUE_KEYS, A.ad_revenue_measures),
     "fact_subscription_daily": ("subscription", A.SUBSCRIPTION_KEYS, A.subscription_measures),
+    "fact_device_sketches_daily": (None, A.EVENTS_KEYS, A.device_sketch_measures),  # all kinds
 }
 
 
@@ -255,9 +257,8 @@ def windowed_fact(silver_stream: DataFrame, name: str, watermark: str) -> DataFr
     """ST5/ST6: the fact as a daily event-time window with a watermark, so
     the state of a day is dropped once the watermark passes it."""
     kinds, keys, measures = STREAM_FACTS[name]
-    kinds = [kinds] if isinstance(kinds, str) else kinds
-    rows = (silver_stream.where(F.col("activity_kind").isin(*kinds))
-            .withColumn("event_ts", event_time("created_at"))
+    rows = silver_stream if kinds is None else B.route_family(silver_stream, kinds)
+    rows = (rows.withColumn("event_ts", event_time("created_at"))
             .withWatermark("event_ts", watermark))
     other = [k for k in keys if k != "event_date"]
     agg = rows.groupBy(F.window("event_ts", "1 day"), *other).agg(*measures())
@@ -286,8 +287,9 @@ def start_fact_upsert(spark: SparkSession, silver: LakeTable, table: LakeTable,
 
 
 def _of_family(rows: DataFrame, name: str) -> DataFrame:
-    """The rows a fact counts (``fact_events_daily`` counts all)."""
-    return B.route_family(rows, STREAM_FACTS[name][0]) if name in STREAM_FACTS else rows
+    """The rows a fact counts (the events and device facts count all)."""
+    kinds = STREAM_FACTS[name][0] if name in STREAM_FACTS else None
+    return rows if kinds is None else B.route_family(rows, kinds)
 
 
 def replace_days(silver_rows: DataFrame, table: LakeTable, name: str, days: list) -> None:
@@ -360,6 +362,15 @@ def start_silver_and_gold(spark: SparkSession, bronze: LakeTable, silver: LakeTa
             .foreachBatch(lambda df, bid: silver_and_gold(df, silver, dims, facts, bid)).start())
 
 
+# -- silver: quality, incrementally (Q1-Q11) ---------------------------------------
+
+def start_quality(spark: SparkSession, silver: LakeTable, state: QualityState, settings: StreamSettings) -> StreamingQuery:
+    """Each micro-batch of silver adds its part to the quality report."""
+    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
+    return (_writer(src, "quality", settings)
+            .foreachBatch(lambda df, bid: state.take(df, bid)).start())
+
+
 # -- silver: current state per id (ST4b, streaming) --------------------------------
 
 def upsert_current_state(batch: DataFrame, table: LakeTable | DeltaTable, key: str = "id", order: str = "lsn",

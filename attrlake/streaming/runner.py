@@ -24,7 +24,7 @@ from attrlake.operators import bronze as B
 from attrlake.operators import dims as D
 from attrlake.operators import facts as A
 from attrlake.schemas import COLUMN_NAMES
-from attrlake.store import LakeTable
+from attrlake.store import LakeTable, _children
 from attrlake.streaming import deltas as K
 from attrlake.streaming import losses as L
 from attrlake.streaming import pipeline as P
@@ -42,9 +42,9 @@ class Lake:
     fmt: str = "parquet"
     files_per_partition: int | None = None  # see LakeTable.files_per_partition
     dim_buckets: int = P.DIM_BUCKETS        # hash buckets of dimensions and current state
-    # How dimensions and current state take their upserts: "buckets" (updated
-    # hash buckets are rewritten) or "deltas" (appended, folded on read).  A
-    # property of the tables: change it only by rebuilding them.
+    # How new dimensions and current-state tables take their upserts: "buckets"
+    # (updated hash buckets are rewritten) or "deltas" (appended, folded on
+    # read).  A table that is there keeps its form.
     keyed: str = "buckets"
     compact_every: int | None = 64          # deltas of a keyed table until it is compacted
 
@@ -75,21 +75,28 @@ class Lake:
     def silver(self) -> LakeTable:
         return self._t("silver", "events", ["event_date"])
 
-    def _deltas(self) -> bool:
+    def _deltas(self, location: str) -> bool:
         if self.keyed not in ("buckets", "deltas"):
             raise ValueError(f"no keyed table form {self.keyed!r}")
-        return self.keyed == "deltas" and self.fmt == "parquet"
+        if self.fmt != "parquet":
+            return False
+        held = _children(self.spark, location)
+        if any(c.startswith("bucket=") for c in held):
+            return False
+        return self.keyed == "deltas" or "delta" in held or "base" in held
 
     @property
     def current(self) -> LakeTable | K.DeltaTable:
         """Current state per id (ST4b), delete markers kept."""
-        if self._deltas():
-            return K.current_state_table(self.spark, f"{self.root.rstrip('/')}/silver/current", compact_every=self.compact_every)
+        location = f"{self.root.rstrip('/')}/silver/current"
+        if self._deltas(location):
+            return K.current_state_table(self.spark, location, compact_every=self.compact_every)
         return replace(self._t("silver", "current", ["bucket"]), buckets=self.dim_buckets)
 
     def dim(self, name: str) -> LakeTable | K.DeltaTable:
-        if self._deltas():
-            return K.dimension_table(self.spark, f"{self.root.rstrip('/')}/gold/{name}", name, self.compact_every)
+        location = f"{self.root.rstrip('/')}/gold/{name}"
+        if self._deltas(location):
+            return K.dimension_table(self.spark, location, name, self.compact_every)
         return replace(self._t("gold", name, ["bucket"]), buckets=self.dim_buckets)
 
     def fact(self, name: str) -> LakeTable:

@@ -137,3 +137,13 @@ def test_null_keys_and_an_empty_table(spark):
     assert state(table) == sorted([(None, "u", 2.0, 2), (1, "c", 1.0, 1)], key=str)
     with pytest.raises(ValueError):
         Lake(spark, "x", keyed="piles").dim("dim_app")
+
+
+def test_a_table_keeps_the_form_it_has(spark):
+    root = run_dir(spark, "t-form")
+    silver = Qy.silver_rows(spark, SF_SMALL)
+    for form in ("buckets", "deltas"):
+        P.upsert_dimension(silver, Lake(spark, f"{root}/{form}", keyed=form).dim("dim_app"), "dim_app")
+        for other in ("buckets", "deltas"):
+            table = Lake(spark, f"{root}/{form}", keyed=other).dim("dim_app")
+            assert isinstance(table, K.DeltaTable) == (form == "deltas") and table.read().count() == 3
