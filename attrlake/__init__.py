@@ -4,8 +4,8 @@ Entry points::
 
     from attrlake import create_session, Lake, run_jobs, register_views
     spark = create_session("jobs")
-    lake = Lake(spark, "s3a://lake/dev")            # or Lake(spark, "catalog", "iceberg")
-    run_jobs(spark, lake, "s3a://data/checkpoints/dev", topic=kafka_topic(spark, servers, topic))
+    lake = Lake(spark, "s3a://<bucket>/lake")       # or Lake(spark, "catalog", "iceberg")
+    run_jobs(spark, lake, "s3a://<bucket>/checkpoints", topic=kafka_topic(spark, servers, topic))
     register_views(spark, lake)                     # bronze/silver/gold + reporting views for SQL
 """
 
