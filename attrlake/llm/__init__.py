@@ -1,5 +1,6 @@
 """Training-data operators: decontamination, near-duplicates, exact search,
-PII, chat formatting, mixing, sharding, WARC, toxicity and quality.
+PII, chat formatting, mixing, sharding, WARC, toxicity, quality, language
+identification, ranked search and Merkle manifests.
 
 Nothing outside this folder imports it; ``__spark_entry__`` adds its queries
 when the folder is present.
