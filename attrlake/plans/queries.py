@@ -420,6 +420,27 @@ def stream_silver(spark, sf_dir):
     return lake.silver.read().select(*M.COLUMN_NAMES, "event_date")
 
 
+def _silver_with_state(spark, sf_dir, label: str) -> tuple[Lake, str]:
+    """Topic files with redeliveries -> bronze -> silver through the stateful job."""
+    root, lake, ckpt = _stream_run(spark, label)
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
+    run_jobs(spark, lake, ckpt, names=["bronze.topic_to_bronze", "silver.bronze_to_silver"], topic=topic, available_now=True,
+             config={"silver.bronze_to_silver": {"mode": "state", "max_files_per_trigger": 16, "shuffle_partitions": 8}})
+    return lake, ckpt
+
+
+def stream_silver_watermark(spark, sf_dir):
+    """S3/ST4a: silver by ``dropDuplicatesWithinWatermark`` into the file sink."""
+    lake, _ckpt = _silver_with_state(spark, sf_dir, "stream-silver-state")
+    return lake.silver.read().select(*M.COLUMN_NAMES, "event_date")
+
+
+def stream_fact_events_logged(spark, sf_dir):
+    """S3/ST9: the touched-day fact over silver read through its sink log."""
+    lake, ckpt = _silver_with_state(spark, sf_dir, "stream-fact-logged")
+    return _refreshed(spark, lake, "fact_events_daily", ckpt)
+
+
 def _stream_dim(name: str) -> Query:
     def run(spark, sf_dir):
         _root, lake, ckpt = _stream_run(spark, f"stream-{name}")
@@ -624,6 +645,8 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_message_counts": stream_message_counts,
     "stream_silver": stream_silver,
+    "stream_silver_watermark": stream_silver_watermark,
+    "stream_fact_events_logged": stream_fact_events_logged,
     "stream_silver_current": stream_silver_current,
     "stream_silver_current_delta": stream_silver_current_delta,
     "stream_dim_app_delta": _stream_dim_delta("dim_app"),

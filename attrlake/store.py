@@ -159,6 +159,8 @@ class LakeTable:
         if self.fmt == "iceberg":
             df.writeTo(self.location).append() if self.exists() else self._create(df)
             return
+        if self.logged():
+            raise ValueError(f"{self.location} is written by a file sink: rows beside its log would not be read")
         self._writer(df).mode("append").parquet(self.location)
 
     def _create(self, df: DataFrame) -> None:
@@ -189,6 +191,11 @@ class LakeTable:
         for d in gone:
             _delete(self.spark, f"{self.location.rstrip('/')}/{d}")
 
+    def logged(self) -> bool:
+        """Whether a streaming file sink writes the folder: its commit log
+        then says which files are rows, not a listing."""
+        return self.fmt == "parquet" and _exists(self.spark, f"{self.location.rstrip('/')}/_spark_metadata")
+
     def _among(self, values: list):
         """Null-safe condition: the row lies in a partition of ``values``."""
         return reduce(lambda a, b: a | b, [
@@ -239,9 +246,10 @@ class LakeTable:
 
         Only the touched partition folders are read (``basePath`` keeps the
         partition columns), whatever their number and with null values; which
-        of them exist comes from one listing.  Partition values that need
-        escaping, deeper partitioning and Iceberg use a null-safe filter,
-        pruned from the table's partition metadata.
+        of them exist comes from one listing per touched parent folder.
+        Partition values that need escaping, folders of a file sink and
+        Iceberg use a null-safe filter, pruned from the table's partition
+        metadata.
         """
         if not self.partition_by:
             return self.read()
@@ -249,17 +257,29 @@ class LakeTable:
             values = self.touched_values(batch)
         if not values:
             return self._empty(schema) if self.fmt == "parquet" else self.read().limit(0)
-        flat = self.fmt == "parquet" and len(self.partition_by) == 1
-        dirs = [self._partition_dir(r) for r in values] if flat else [None]
+        folders = self.fmt == "parquet" and not self.logged()
+        dirs = [self._partition_dir(r) for r in values] if folders else [None]
         if any(d is None for d in dirs):
-            return self.read().where(self._among(values))
-        held = set(_children(self.spark, self.location))
-        paths = [f"{self.location.rstrip('/')}/{d}" for d in dirs if d in held]
+            return self.read(schema).where(self._among(values))
+        paths = self._held(dirs)
         if not paths:
             return self._empty(schema)
         reader = self.spark.read.option("basePath", self.location)
         return (reader.schema(schema) if schema is not None else reader).parquet(*paths)
 
+    def _held(self, dirs: list[str]) -> list[str]:
+        """Paths of those partition folders that exist."""
+        root = self.location.rstrip("/")
+        parents = {d.rpartition("/")[0] for d in dirs}
+        known = set(_children(self.spark, root)) if parents != {""} else None
+        held: set[str] = set()
+        for p in parents:
+            if known is None:
+                held |= set(_children(self.spark, root))
+            elif p.split("/")[0] in known:
+                held |= {f"{p}/{c}" for c in _children(self.spark, f"{root}/{p}")}
+        return [f"{root}/{d}" for d in dirs if d in held]
+
     def _only(self, batch: DataFrame, keys: list[str]) -> T.StructType:
         """The schema of the keys and partition columns."""
         return batch.select(*dict.fromkeys([*keys, *self.partition_by])).schema

@@ -76,6 +76,7 @@ class StreamSettings:
     max_offsets_per_trigger: int | None = None
     shuffle_partitions: int | None = None
     watermark: str = "2 days"
+    silver_mode: str = "batch"  # silver: "batch" (anti-join, no state) or "state" (watermark, file sink, sink log)
     fact_mode: str = "refresh"  # gold facts: "refresh" (touched days, exact) or "window" (state + watermark)
     offset_patience: int | None = None  # bronze: batches a hole in the offsets may stay open; None: no guard
     codec: str = "json"                # bronze: "json" or "avro"
@@ -200,6 +201,27 @@ def start_silver(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
             .foreachBatch(lambda df, _bid: append_new_to_silver(df, silver)).start())
 
 
+def start_silver_with_state(spark: SparkSession, bronze: LakeTable, silver: LakeTable,
+                            settings: StreamSettings, bronze_columns: T.StructType | None = None) -> StreamingQuery:
+    """ST4a/S3 for a topic in event-time order: the ids of the last
+    ``watermark`` are state, and the file sink appends each first arrival
+    exactly once.  Silver isn't read back, and whoever streams from it reads
+    the sink's commit log instead of listing the folder.
+
+    Copies share ``created_at``, so a copy finds its id in the state or comes
+    after the watermark and is dropped as late: none gets through.  A *first*
+    arrival behind the watermark is dropped too (``LossRecords`` counts both
+    kinds together); for such input use the form without state.  Of copies in one
+    micro-batch any one stays.
+    """
+    src = with_cast_errors(bronze.read_stream(bronze_columns or BRONZE_TABLE_SCHEMA, settings.max_files_per_trigger))
+    rows = (S.conform(src).withColumn("_event_ts", event_time("created_at"))
+            .withWatermark("_event_ts", settings.watermark)
+            .dropDuplicatesWithinWatermark(["id"]).drop("_event_ts"))
+    with _started(spark, settings):
+        return _append_sink(rows, "silver_state", silver, settings)
+
+
 # -- gold: dimensions -------------------------------------------------------------
 
 def dim_table(spark: SparkSession, location: str, buckets: int = DIM_BUCKETS) -> LakeTable:

@@ -120,7 +120,10 @@ def _offset_state(settings: P.StreamSettings) -> str:
 
 
 def _silver(spark, lake, settings, _topic):
-    return [P.start_silver(spark, lake.bronze, lake.silver, settings)]
+    if settings.silver_mode not in ("batch", "state"):
+        raise ValueError(f"the silver job has no mode {settings.silver_mode!r}")
+    start = P.start_silver_with_state if settings.silver_mode == "state" else P.start_silver
+    return [start(spark, lake.bronze, lake.silver, settings)]
 
 
 def _dim(name: str) -> Start:
@@ -279,6 +282,7 @@ def _run(spark, lake, checkpoint_root, names, topic, available_now, config, on_f
                 max_offsets_per_trigger=cfg.get("max_offsets_per_trigger"),
                 shuffle_partitions=cfg.get("shuffle_partitions"),
                 watermark=cfg.get("watermark", "2 days"),
+                silver_mode=cfg.get("mode", "batch"),
                 fact_mode=cfg.get("mode", "refresh"),
                 offset_patience=cfg.get("offset_patience"),
                 codec=cfg.get("codec", "json"),
