@@ -37,7 +37,11 @@ def rebuild_facts(lake: Lake, days: list[str] | None = None) -> None:
     if values == []:
         return
     for name, (fn, _keys) in A.FACTS.items():
-        table = lake.fact(name)
+        table, parts = lake.fact(name), lake.parts(name)
+        if parts is not None:
+            # The parts first: a day that the fact holds has complete ones.
+            stale = [v for d in parts.days() if values is None or (d,) in values for v in parts.below((d,))]
+            parts.replace_partitions(A.fact_parts(silver, name), stale)
         every = values
         if every is None and table.exists():
             every = table.touched_values(table.read())

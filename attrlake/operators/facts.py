@@ -113,16 +113,17 @@ def fact_subscription_daily(silver: DataFrame) -> DataFrame:
 EVENTS_KEYS = STAR_KEYS + ["activity_kind", "event_name"]
 
 
+def events_measures() -> list[Column]:
+    return [count_rows().alias("events"), F.countDistinct("adid").cast("bigint").alias("devices")]
+
+
 def fact_events_daily(silver: DataFrame) -> DataFrame:
     """A5: events and distinct devices per day, app, tracker, kind and name.
 
     Exact distinct: Catalyst expands it into an aggregate on
     (keys, adid) first, which spreads a hot key over all adids.
     """
-    return silver.groupBy(*EVENTS_KEYS).agg(
-        count_rows().alias("events"),
-        F.countDistinct("adid").cast("bigint").alias("devices"),
-    )
+    return silver.groupBy(*EVENTS_KEYS).agg(*events_measures())
 
 
 #: Size of a device sketch (log2 of its registers): 16,384 give a standard
@@ -148,3 +149,35 @@ FACTS = {
     "fact_subscription_daily": (fact_subscription_daily, SUBSCRIPTION_KEYS),
     "fact_events_daily": (fact_events_daily, EVENTS_KEYS),
 }
+
+# -- below the day: a fact from its parts by device bucket ----------------------------
+
+#: The rows (None: all), keys and measures of each fact.
+MEASURED = {
+    "fact_installs_daily": ("install", INSTALL_KEYS, installs_measures),
+    "fact_revenue_daily": (["ad_revenue", "subscription"], REVENUE_KEYS, revenue_measures),
+    "fact_ad_revenue_daily": ("ad_revenue", AD_REVENUE_KEYS, ad_revenue_measures),
+    "fact_subscription_daily": ("subscription", SUBSCRIPTION_KEYS, subscription_measures),
+    "fact_events_daily": (None, EVENTS_KEYS, events_measures),
+}
+
+
+def device_bucket(buckets: int) -> Column:
+    """The bucket of a silver row.  All rows of a device share it; rows without
+    a device, which no distinct count sees, spread by their id."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col("adid"), F.col("id").cast("string"))), F.lit(buckets)).cast("int")
+
+
+def fact_parts(silver: DataFrame, name: str) -> DataFrame:
+    """A fact within each ``bucket`` of its days."""
+    family, keys, measures = MEASURED[name]
+    rows = silver if family is None else _family(silver, family)
+    return rows.groupBy(*keys, "bucket").agg(*measures())
+
+
+def fold_parts(parts: DataFrame, name: str) -> DataFrame:
+    """The fact from its parts: every measure adds up over the buckets,
+    distinct devices too, since a device lies in one bucket of a day."""
+    _family, keys, _measures = MEASURED[name]
+    types = {c.name: c.dataType for c in parts.schema.fields if c.name not in (*keys, "bucket")}
+    return parts.groupBy(*keys).agg(*[F.sum(c).cast(t).alias(c) for c, t in types.items()])

@@ -385,6 +385,8 @@ def _stream_sql(batch: dict[str, str]) -> dict[str, str]:
         "stream_message_counts": f"with r as ({batch['quarantine_split']}) "
                                  "select coalesce(reason, 'good') as reason, count(*) as messages from r group by 1",
         "stream_silver": batch["silver_dedupe"],
+        "stream_fact_events_buckets": batch["fact_events_daily"],
+        "stream_fact_revenue_buckets": batch["fact_revenue_daily"],
         "stream_silver_watermark": batch["silver_dedupe"],
         "stream_fact_events_logged": batch["fact_events_daily"],
         "stream_silver_current": batch["silver_current"],

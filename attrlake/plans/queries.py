@@ -10,6 +10,7 @@ return the table they wrote.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -341,6 +342,7 @@ TOPIC_FILES = 2
 # Files per micro-batch when streaming from silver (one file per day and
 # slice): several batches per run, each a later range of days.
 SILVER_FILES = 8
+DAY_BUCKETS = 4
 
 
 def _stream_run(spark: SparkSession, label: str):
@@ -464,7 +466,7 @@ stream_fact_revenue_upsert = _stream_fact_upsert("fact_revenue_daily")
 
 def _refreshed(spark, lake: Lake, name: str, ckpt: str, files: int = SILVER_FILES):
     """Run the default fact job over what silver holds; the stored fact."""
-    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, files))])
+    _await([P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, _settings(ckpt, files), lake.parts(name))])
     return lake.fact(name).read()
 
 
@@ -585,6 +587,18 @@ def stream_fact_events_refresh(spark, sf_dir):
     return _refreshed(spark, lake, "fact_events_daily", ckpt)
 
 
+def _stream_fact_buckets(name: str) -> Query:
+    def run(spark, sf_dir):
+        """ST9 below the day: the fact from its device-bucket parts, silver growing in the same days between two runs."""
+        root, lake, ckpt = _stream_run(spark, f"stream-{name}-buckets")
+        lake = replace(lake, day_buckets=DAY_BUCKETS)
+        for part in _halves(spark, sf_dir):
+            lake.silver.append(P.placed_in(part, lake.silver))
+            fact = _refreshed(spark, lake, name, ckpt, 100_000)
+        return fact
+    return run
+
+
 def stream_silver_current(spark, sf_dir):
     """ST4b (stream): change-envelope topic -> current state per id."""
     root, lake, ckpt = _stream_run(spark, "stream-current")
@@ -645,6 +659,8 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "stream_message_counts": stream_message_counts,
     "stream_silver": stream_silver,
+    "stream_fact_events_buckets": _stream_fact_buckets("fact_events_daily"),
+    "stream_fact_revenue_buckets": _stream_fact_buckets("fact_revenue_daily"),
     "stream_silver_watermark": stream_silver_watermark,
     "stream_fact_events_logged": stream_fact_events_logged,
     "stream_silver_current": stream_silver_current,

@@ -22,7 +22,7 @@ import os
 import uuid
 from collections.abc import Callable
 from functools import reduce
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,6 +228,14 @@ class LakeTable:
         names = [c.split("=", 1)[1] for c in _children(self.spark, self.location) if c.startswith(f"{self.partition_by[0]}=")]
         return [None if n == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(n) for n in names]
 
+    def below(self, value) -> list[tuple]:
+        """The (value, bucket) partitions held under one value of the first
+        partition column, from one listing."""
+        top = replace(self, partition_by=self.partition_by[:1])._partition_dir(value)
+        column = f"{self.partition_by[1]}="
+        return [(*value, int(c[len(column):])) for c in _children(self.spark, f"{self.location.rstrip('/')}/{top}")
+                if c.startswith(column)]
+
     def _empty(self, schema: T.StructType | None = None) -> DataFrame:
         """No rows, with ``schema`` or else the table's, read from one
         partition folder only."""

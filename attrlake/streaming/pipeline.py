@@ -175,11 +175,23 @@ def _append_sink(df: DataFrame, name: str, table: LakeTable, settings: StreamSet
 
 # -- silver -----------------------------------------------------------------------
 
+def silver_columns(silver: LakeTable) -> T.StructType:
+    """The stored columns of silver: with ``bucket`` where days are split."""
+    extra = [T.StructField("bucket", T.IntegerType())] if "bucket" in silver.partition_by else []
+    return T.StructType(silver_schema().fields + extra)
+
+
+def placed_in(rows: DataFrame, silver: LakeTable) -> DataFrame:
+    """Silver rows with the partition columns of the table."""
+    return rows.withColumn("bucket", A.device_bucket(silver.buckets)) if "bucket" in silver.partition_by else rows
+
+
 def append_new_to_silver(batch: DataFrame, silver: LakeTable) -> None:
     """ST4a in one micro-batch: dedupe the batch, drop ids silver already
     holds in the days the batch touches (copies of an id share
-    ``event_date``), append the rest."""
-    rows = S.conform(S.dedupe_first(batch)).persist()
+    ``event_date``, and ``adid`` where days are split into device buckets),
+    append the rest."""
+    rows = placed_in(S.conform(S.dedupe_first(batch)), silver).persist()
     try:
         silver.insert_new(rows, ["event_date", "id"])
     finally:
@@ -219,7 +231,7 @@ def start_silver_with_state(spark: SparkSession, bronze: LakeTable, silver: Lake
             .withWatermark("_event_ts", settings.watermark)
             .dropDuplicatesWithinWatermark(["id"]).drop("_event_ts"))
     with _started(spark, settings):
-        return _append_sink(rows, "silver_state", silver, settings)
+        return _append_sink(placed_in(rows, silver), "silver_state", silver, settings)
 
 
 # -- gold: dimensions -------------------------------------------------------------
@@ -259,7 +271,7 @@ def upsert_dimension(batch: DataFrame, table: LakeTable | DeltaTable, name: str,
 
 def start_dimension(spark: SparkSession, silver: LakeTable, table: LakeTable | DeltaTable, name: str,
                     settings: StreamSettings) -> StreamingQuery:
-    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
+    src = silver.read_stream(silver_columns(silver), settings.max_files_per_trigger)
     return (_writer(src, name, settings)
             .foreachBatch(lambda df, bid: upsert_dimension(df, table, name, bid)).start())
 
@@ -301,7 +313,7 @@ def upsert_fact(batch: DataFrame, table: LakeTable, name: str) -> None:
 
 def start_fact_upsert(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
                       settings: StreamSettings, watermark: str = "2 days") -> StreamingQuery:
-    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
+    src = silver.read_stream(silver_columns(silver), settings.max_files_per_trigger)
     with _started(spark, settings):
         return (_writer(windowed_fact(src, name, watermark), name, settings)
                 .outputMode("update")
@@ -334,14 +346,57 @@ def refresh_touched_days(batch: DataFrame, silver: LakeTable, table: LakeTable,
     all end at the same fact."""
     days = silver.touched_values(_of_family(batch, name))
     if days:
-        replace_days(silver.touched(batch, days, silver_schema()), table, name, days)
+        replace_days(silver.touched(batch, days, silver_columns(silver)), table, name, days)
+
+
+def refresh_touched_buckets(batch: DataFrame, silver: LakeTable, parts: LakeTable, table: LakeTable, name: str) -> None:
+    """ST9 below the day: only the (day, device bucket) partitions that the
+    batch touches are read from silver; ``parts`` keeps the fact within each,
+    and the fact of a touched day is the sum of its parts.
+
+    A day that ``parts`` or the fact doesn't hold yet is read whole, so that its
+    parts are complete before any sum is taken; the fact is written last, which
+    makes a run that dies in between repeat that.  Absolute values throughout,
+    as in ``refresh_touched_days``.
+    """
+    replace_buckets(silver, parts, table, name, silver.touched_values(_of_family(batch, name)))
+
+
+def replace_buckets(silver: LakeTable, parts: LakeTable, table: LakeTable, name: str, touched: list) -> None:
+    values = {tuple(v) for v in touched}
+    days = {(v[0],) for v in values}
+    if not days:
+        return
+    known = set(parts.days()) & set(table.days())
+    for day in days:
+        if day[0] not in known:
+            values |= set(silver.below(day))
+    part = A.fact_parts(silver.touched(None, list(values), silver_columns(silver)), name).persist()
+    try:
+        parts.replace_partitions(part, list(values))
+        columns = part.schema
+    finally:
+        part.unpersist()
+    by_day = replace(parts, partition_by=parts.partition_by[:1])
+    fact = A.fold_parts(by_day.touched(None, list(days), columns), name).persist()
+    try:
+        table.replace_partitions(fact, list(days))
+    finally:
+        fact.unpersist()
 
 
 def start_fact_refresh(spark: SparkSession, silver: LakeTable, table: LakeTable, name: str,
-                       settings: StreamSettings) -> StreamingQuery:
-    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
-    return (_writer(src, f"{name}_refresh", settings)
-            .foreachBatch(lambda df, _bid: refresh_touched_days(df, silver, table, name)).start())
+                       settings: StreamSettings, parts: LakeTable | None = None) -> StreamingQuery:
+    """With ``parts`` (silver's days split into device buckets) below the day."""
+    src = silver.read_stream(silver_columns(silver), settings.max_files_per_trigger)
+
+    def refresh(df: DataFrame, _bid: int) -> None:
+        if parts is None:
+            refresh_touched_days(df, silver, table, name)
+        else:
+            refresh_touched_buckets(df, silver, parts, table, name)
+
+    return _writer(src, f"{name}_refresh", settings).foreachBatch(refresh).start()
 
 
 # -- silver and gold in one micro-batch ------------------------------------------------
@@ -363,7 +418,7 @@ def silver_and_gold(batch: DataFrame, silver: LakeTable, dims: dict[str, LakeTab
         if not days:
             return
         silver.insert_new(rows, ["event_date", "id"], days)
-        stored = silver.touched(rows, days, silver_schema())
+        stored = silver.touched(rows, days, silver_columns(silver))
         mine = rows.select(F.col("event_date").alias("_d"), F.col("id").alias("_i"))
         on = [stored["event_date"].eqNullSafe(mine["_d"]), stored["id"].eqNullSafe(mine["_i"])]
         held = stored.join(mine, on, "left_semi").persist()
@@ -388,7 +443,7 @@ def start_silver_and_gold(spark: SparkSession, bronze: LakeTable, silver: LakeTa
 
 def start_quality(spark: SparkSession, silver: LakeTable, state: QualityState, settings: StreamSettings) -> StreamingQuery:
     """Each micro-batch of silver adds its part to the quality report."""
-    src = silver.read_stream(silver_schema(), settings.max_files_per_trigger)
+    src = silver.read_stream(silver_columns(silver), settings.max_files_per_trigger)
     return (_writer(src, "quality", settings)
             .foreachBatch(lambda df, bid: state.take(df, bid)).start())
 

@@ -46,6 +46,9 @@ class Lake:
     # (updated hash buckets are rewritten) or "deltas" (appended, folded on
     # read).  A table that is there keeps its form.
     keyed: str = "buckets"
+    # Silver's days split into this many device buckets, so that refreshed
+    # facts read the touched buckets only.  Fixed once silver holds rows.
+    day_buckets: int | None = None
     compact_every: int | None = 64          # deltas of a keyed table until it is compacted
 
     def _t(self, layer: str, name: str, partition_by: list[str]) -> LakeTable:
@@ -73,6 +76,10 @@ class Lake:
 
     @property
     def silver(self) -> LakeTable:
+        if self.day_buckets:
+            if self.fmt != "parquet":
+                raise ValueError("device buckets below the day are for parquet lakes")
+            return replace(self._t("silver", "events", ["event_date", "bucket"]), buckets=self.day_buckets)
         return self._t("silver", "events", ["event_date"])
 
     def _deltas(self, location: str) -> bool:
@@ -102,6 +109,10 @@ class Lake:
     def fact(self, name: str) -> LakeTable:
         return self._t("gold", name, ["event_date"])
 
+    def parts(self, name: str) -> LakeTable | None:
+        """A fact within each device bucket of its days (with ``day_buckets``)."""
+        return self._t("gold", f"{name}_parts", ["event_date", "bucket"]) if self.day_buckets else None
+
 
 Start = Callable[[SparkSession, Lake, P.StreamSettings, "DataFrame | None"], list[StreamingQuery]]
 
@@ -134,7 +145,7 @@ def _dim(name: str) -> Start:
 def _fact(name: str) -> Start:
     def start(spark, lake, settings, _t):
         if settings.fact_mode == "refresh":
-            return [P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, settings)]
+            return [P.start_fact_refresh(spark, lake.silver, lake.fact(name), name, settings, lake.parts(name))]
         if settings.fact_mode == "window" and name in P.STREAM_FACTS:
             return [P.start_fact_upsert(spark, lake.silver, lake.fact(name), name, settings, settings.watermark)]
         raise ValueError(f"gold.{name} has no mode {settings.fact_mode!r}")
@@ -155,6 +166,8 @@ def gold_targets(lake: Lake):
 
 
 def _silver_and_gold(spark, lake, settings, _topic):
+    if lake.day_buckets:
+        raise ValueError("the combined job refreshes whole days; with day_buckets run the silver and gold jobs")
     dims, facts = gold_targets(lake)
     return [P.start_silver_and_gold(spark, lake.bronze, lake.silver, dims, facts, settings)]
 
@@ -339,6 +352,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--losses", help="folder of the table of late drops and cast errors per micro-batch")
     ap.add_argument("--keyed", default="deltas", choices=["deltas", "buckets"],
                     help="dimensions and current state: appended deltas folded on read, or rewritten hash buckets")
+    ap.add_argument("--day-buckets", type=int, help="split silver's days into device buckets (fixed once silver holds rows)")
     ap.add_argument("--compact-every", type=int, default=64, help="deltas of a keyed table until it is compacted")
     ap.add_argument("--files-per-partition", type=int,
                     help="files per day and micro-batch in streaming writes (default: one per task)")
@@ -362,7 +376,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.topic_path:
         topic = P.file_topic(spark, args.topic_path, bronze_cfg.get("max_files_per_trigger"))
     checkpoints = args.checkpoints or f"{shared_dir(spark).rstrip('/')}/streams"
-    lake = Lake(spark, args.lake, args.format, args.files_per_partition, keyed=args.keyed, compact_every=args.compact_every)
+    lake = Lake(spark, args.lake, args.format, args.files_per_partition, keyed=args.keyed,
+                day_buckets=args.day_buckets, compact_every=args.compact_every)
     run_jobs(spark, lake, checkpoints,
              names=args.jobs, topic=topic,
              available_now=args.available_now, config=config, on_failure=args.on_failure, losses=args.losses)
