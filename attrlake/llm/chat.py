@@ -7,12 +7,14 @@ of equal conversations the smallest id stays.  The rest is rendered.
 
 A rolling hash is the xor, in two seeds of 64 bits, of the hashes of the
 turns so far (each with its turn number), so it is added up over segments of
-``SEGMENT`` turn numbers and a conversation of any length is never gathered in
-one place.  Rendering makes one row per segment for the same reason.
+``SEGMENT`` turn numbers.  Rendering numbers the turns of a conversation by
+range partitions and makes one row per ``SEGMENT`` turns in order, so no task
+gathers more of them, whatever their numbers are.
 
 Edge cases: rows without conv_id are left out; rows that repeat (conv_id,
-turn, role, text) count once; turns that share a number are ordered by role
-and text and stand or fall together; a null turn comes first; null role or
+turn, role, text) count once; turns that share a number (or have none) are
+ordered by role and text and stand or fall together, but may be rendered in
+several chunks; a null turn comes first; null role or
 text is rendered empty but hashes apart from the empty string; extra columns
 are ignored.
 """
@@ -75,15 +77,30 @@ def maximal(rows: DataFrame) -> DataFrame:
             .select("conv_id", F.col("n").alias("n_turns"), "n_equal"))
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with the position ``pos`` of a turn in its conversation.  The
+    whole order is cut into ranges (long texts by their first characters); a
+    range counts its own rows only."""
+    rows = rows.select("conv_id", F.coalesce("turn", F.lit(-2 ** 63)).alias("turn"), F.coalesce("role", F.lit("")).alias("role"),
+                       F.coalesce("text", F.lit("")).alias("text"))
+    dealt = stored(rows.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 64))
+                   .withColumn("part", F.spark_partition_id()), "turn-ranges")
+    counts = stored(dealt.groupBy("part", "conv_id").agg(F.count("*").alias("m")), "turn-counts")
+    before = F.sum("m").over(Window.partitionBy("conv_id").orderBy("part")) - F.col("m")
+    within = Window.partitionBy("part", "conv_id").orderBy("turn", "role", "text")
+    return (dealt.join(counts.select("part", "conv_id", before.alias("before")), ["part", "conv_id"])
+            .withColumn("pos", F.col("before") + F.row_number().over(within) - 1).drop("part", "before"))
+
+
 def collapse_and_render(conversations: DataFrame) -> DataFrame:
     """(conv_id, chunk, n_turns, n_equal, text): every maximal conversation,
-    rendered in chunks of a segment's turns each, in order."""
+    rendered in chunks of ``SEGMENT`` turns each, in order."""
     rows = turns(conversations)
-    kept = maximal(rows)
-    line = F.concat(F.lit(START), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(END + "\n"))
-    parts = rows.join(kept, "conv_id").groupBy("conv_id", F.col("segment").alias("chunk"), "n_turns", "n_equal").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-2 ** 63)).alias("turn"),
-                                             F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("t"),
-                                             line.alias("line")))).alias("lines"))
+    chunk = F.expr(f"pos div {SEGMENT}")
+    kept = maximal(rows).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.expr(f"(n_turns - 1) div {SEGMENT}"))))
+    line = F.concat(F.lit(START), "role", F.lit("\n"), "text", F.lit(END + "\n")).alias("line")
+    lines = in_order(rows).select("conv_id", chunk.alias("chunk"), "pos", line)
+    parts = lines.join(kept, ["conv_id", "chunk"]).groupBy("conv_id", "chunk", "n_turns", "n_equal").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines"))
     return parts.select("conv_id", "chunk", "n_turns", "n_equal",
                         F.array_join(F.transform("lines", lambda x: x["line"]), "").alias("text"))

@@ -116,7 +116,7 @@ p as (select distinct turns[1:k] as head from (
 w as (select turns, min(conv_id) as conv_id, count(*) as n_equal from g group by turns),
 m as (select w.conv_id, w.n_equal, w.turns from w anti join p on w.turns = p.head),
 t as (select conv_id, n_equal, len(turns) as n_turns, unnest(turns) as x, unnest(range(len(turns))) as k from m)
-select conv_id, cast(floor(coalesce(x.turn, -1) / 256.0) as bigint) as chunk, cast(n_turns as bigint) as n_turns, n_equal,
+select conv_id, k // 256 as chunk, cast(n_turns as bigint) as n_turns, n_equal,
        string_agg('<|im_start|>' || coalesce(x.role, '') || chr(10) || coalesce(x.text, '') || '<|im_end|>' || chr(10), '' order by k) as text
 from t group by conv_id, chunk, n_turns, n_equal""",
 }

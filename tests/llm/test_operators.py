@@ -294,6 +294,32 @@ def test_snapshots_collapse(spark):
     assert chat.collapse_and_render(table.where("false")).count() == 0
 
 
+def test_turns_without_a_number_fill_bounded_chunks(spark, tmp_path):
+    """One conversation of 2000 turns without or with one number, held against
+    plain sorting and against the SQL twin."""
+    rows = [(1, None, "user" if k % 2 else None, f"{'long head ' * 20}{k:04d}") for k in range(1500)]
+    rows += [(1, 7, "user", f"text {k:03d}") for k in range(500)] + [(2, k, "user", f"turn {k}") for k in range(300)]
+    rows += [(3, k, "user", f"turn {k}") for k in range(256)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(7)
+    out = chat.collapse_and_render(table).collect()
+    assert {(r.conv_id, r.n_turns) for r in out} == {(1, 2000), (2, 300)}
+    assert max(r.text.count(chat.START) for r in out) == 256
+    for conv in (1, 2):
+        parts = {r.chunk: r.text for r in out if r.conv_id == conv}
+        want = sorted((-1 if t is None else t, r or "", x) for c, t, r, x in rows if c == conv)
+        assert sorted(parts) == list(range(len(parts)))
+        assert "".join(parts[k] for k in sorted(parts)) == "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for _, r, x in want)
+    import duckdb
+    from attrlake.llm.queries import ORACLES
+    plain = table.where("role is not null")
+    plain.coalesce(1).write.parquet(str(tmp_path / "c"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/c/*.parquet'")
+    names = ["conv_id", "chunk", "n_turns", "n_equal", "text"]
+    sql = con.execute(f"select {', '.join(names)} from ({ORACLES['op5_chat']})").fetchall()
+    assert sorted(sql) == sorted(tuple(r) for r in chat.collapse_and_render(plain).select(names).collect())
+
+
 # --- mixing ----------------------------------------------------------------
 
 def test_poisson_steps_invert_the_distribution():
