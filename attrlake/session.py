@@ -26,6 +26,7 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.scheduler.mode": "FAIR",  # the streaming queries of one session share its cores evenly
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

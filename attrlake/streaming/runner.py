@@ -11,9 +11,11 @@ getting its own checkpoint folder below one root.
 from __future__ import annotations
 
 import logging
+import math
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -224,22 +226,68 @@ def _wait(queries: list[StreamingQuery]) -> None:
             raise RuntimeError(f"streaming query {q.name!r} failed: {q.exception()}")
 
 
+@dataclass
+class Restarts:
+    """How failed queries start again: ``starters`` by query name, each from
+    its own checkpoint; at most ``limit`` times within ``window`` seconds,
+    after ``delay`` seconds that double with each of these."""
+
+    starters: dict[str, Callable[[], StreamingQuery]] = field(default_factory=dict)
+    limit: int = 3
+    delay: float = 10.0
+    window: float = 3600.0
+    _failures: dict[str, list[float]] = field(default_factory=dict)
+    _due: dict[str, float] = field(default_factory=dict)
+
+    def planned(self, name: str) -> bool:
+        """Plan a start of the query that just failed, if it may have one."""
+        now = time.monotonic()
+        recent = [t for t in self._failures.get(name, []) if now - t < self.window]
+        if name not in self.starters or len(recent) >= self.limit:
+            return False
+        self._failures[name] = [*recent, now]
+        self._due[name] = now + self.delay * 2 ** len(recent)
+        return True
+
+    def start_due(self) -> list[StreamingQuery]:
+        due = [n for n, at in self._due.items() if at <= time.monotonic()]
+        for n in due:
+            del self._due[n]
+            log.warning("streaming query %s starts again", n)
+        return [self.starters[n]() for n in due]
+
+    def next_in(self, most: float) -> float:
+        """Seconds until a start is due (``most`` if none is sooner)."""
+        return max(0.1, min([most, *[at - time.monotonic() for at in self._due.values()]]))
+
+
 def supervise(spark: SparkSession, queries: list[StreamingQuery], on_failure: str = "stop",
-              records: L.LossRecords | None = None, every_seconds: int = 60) -> None:
+              records: L.LossRecords | None = None, every_seconds: int = 60, restarts: Restarts | None = None) -> None:
     """Block until the queries have ended.  A failed one is named at once
     (log) and in the error; with ``stop`` it takes the others with it, with
-    ``continue`` they go on alone."""
+    ``continue`` they go on alone.  With ``restart`` it starts again as
+    ``restarts`` allow while the others go on, and is given up (named in the
+    error) beyond that."""
     failed: dict[str, str] = {}
-    while any(q.isActive for q in queries):
+    queries = list(queries)
+    restarts = restarts if on_failure == "restart" and restarts else Restarts()
+    while any(q.isActive for q in queries) or restarts._due:
         try:
-            spark.streams.awaitAnyTermination(every_seconds)
+            if any(q.isActive for q in queries):
+                spark.streams.awaitAnyTermination(math.ceil(restarts.next_in(every_seconds)))
+            else:
+                time.sleep(restarts.next_in(every_seconds))
         except StreamingQueryException:
             pass  # looked up below, by query
         spark.streams.resetTerminated()
-        for q in queries:
-            if not q.isActive and q.name not in failed and q.exception() is not None:
-                failed[q.name] = str(q.exception()).split("\n")[0]
-                log.error("streaming query %s failed: %s", q.name, failed[q.name])
+        for q in [q for q in queries if not q.isActive and q.exception() is not None and q.name not in failed]:
+            why = str(q.exception()).split("\n")[0]
+            log.error("streaming query %s failed: %s", q.name, why)
+            if restarts.planned(q.name):
+                queries.remove(q)
+            else:
+                failed[q.name] = why
+        queries += restarts.start_due()
         if records:
             records.flush()
         if failed and on_failure == "stop":
@@ -281,6 +329,7 @@ def _run(spark, lake, checkpoint_root, names, topic, available_now, config, on_f
         if left & set(names) and right & set(names):
             raise ValueError(f"jobs {sorted(left & set(names))} and {sorted(right & set(names))} write the same tables")
     config = config or {}
+    restarts = Restarts()
     started: list[StreamingQuery] = []
     for layer in LAYER_ORDER:
         layer_queries: list[StreamingQuery] = []
@@ -303,7 +352,11 @@ def _run(spark, lake, checkpoint_root, names, topic, available_now, config, on_f
             )
             if available_now:
                 settings = settings.available_now()
-            layer_queries += JOBS[name](spark, lake, settings, topic)
+            start = partial(_in_pool, spark, name, partial(JOBS[name], spark, lake, settings, topic))
+            queries = start()
+            layer_queries += queries
+            if len(queries) == 1:  # a bronze job with an offset guard stays stopped: lost offsets don't come back
+                restarts.starters[queries[0].name] = lambda start=start: start()[0]
             if available_now and settings.offset_patience is not None and layer == "bronze":
                 _wait(layer_queries)
                 L.check_offsets(spark, _offset_state(settings))
@@ -312,10 +365,22 @@ def _run(spark, lake, checkpoint_root, names, topic, available_now, config, on_f
             _reported(spark, records, layer_queries)
         started += layer_queries
     if not available_now and started:
-        supervise(spark, started, on_failure, records)
+        supervise(spark, started, on_failure, records, restarts=restarts)
     return started
 
 
+def _in_pool(spark: SparkSession, pool: str, start: Callable[[], list[StreamingQuery]]) -> list[StreamingQuery]:
+    """Start queries whose jobs run in the scheduler pool ``pool`` (a share of
+    the cores of its own where ``spark.scheduler.mode`` is FAIR)."""
+    sc = spark.sparkContext
+    before = sc.getLocalProperty("spark.scheduler.pool")
+    sc.setLocalProperty("spark.scheduler.pool", pool)
+    try:
+        return start()
+    finally:
+        sc.setLocalProperty("spark.scheduler.pool", before)
+
+
 def _reported(spark: SparkSession, records: L.LossRecords | None, queries: list[StreamingQuery], seconds: float = 10) -> None:
     """Wait until the listener has seen the last progress of each query (the
     reports arrive a moment after it), then store them."""
@@ -348,7 +413,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--config", help="YAML: {job: {trigger_interval, max_files_per_trigger, ...}}")
     ap.add_argument("--jobs", nargs="*", help=f"subset of {sorted(JOBS)}")
     ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
-    ap.add_argument("--on-failure", default="stop", choices=["stop", "continue"], help="what a failed query does to the others")
+    ap.add_argument("--on-failure", default="stop", choices=["stop", "continue", "restart"],
+                    help="a failed query stops the others, leaves them running, or starts again (at most 3 times an hour)")
     ap.add_argument("--losses", help="folder of the table of late drops and cast errors per micro-batch")
     ap.add_argument("--keyed", default="deltas", choices=["deltas", "buckets"],
                     help="dimensions and current state: appended deltas folded on read, or rewritten hash buckets")

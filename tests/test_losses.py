@@ -205,3 +205,42 @@ def test_ids_are_reconciled_one_by_one_only_where_digests_differ(spark):
     assert got == {(0, day, "lost"), (777, day, "alien"), (600, day, "lost"), (600, other, "alien"), (3, day, "repeated")}
     assert Q.reconcile_ids(frames[0], frames[0]).collect() == []
     assert [r.kind for r in Q.reconcile_ids(frames[0], frames[0].where("false")).select("kind").distinct().collect()] == ["lost"]
+
+
+def test_a_failed_query_starts_again_alone_and_is_given_up_at_last(spark):
+    """``flaky`` fails twice and then works; ``hopeless`` never does."""
+    root = run_dir(spark, "t-restart-query")
+    spark.range(3).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("id bigint").parquet(f"{root}/in")
+    tries, counted, pools = {"flaky": 0, "hopeless": 0}, [], set()
+
+    def batch(name, fails):
+        def run(df, _):
+            tries[name] += 1
+            pools.add(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+            if tries[name] <= fails:
+                raise ValueError("no luck")
+            counted.append(df.count())
+        return run
+
+    def starter(name, fails):
+        def start():
+            return (stream.writeStream.queryName(name).option("checkpointLocation", f"{root}/{name}")
+                    .trigger(availableNow=True).foreachBatch(batch(name, fails)).start())
+        return lambda: R._in_pool(spark, f"pool-{name}", lambda: [start()])[0]
+
+    starters = {"flaky": starter("flaky", 2), "hopeless": starter("hopeless", 99)}
+    again = R.Restarts(starters, limit=3, delay=0.1)
+    with pytest.raises(RuntimeError, match="'hopeless'") as failed:
+        R.supervise(spark, [s() for s in starters.values()], "restart", every_seconds=1, restarts=again)
+    assert "flaky" not in str(failed.value)
+    assert tries == {"flaky": 3, "hopeless": 4} and counted == [3]
+    assert pools == {"pool-flaky", "pool-hopeless"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_restarts_are_counted_within_a_window():
+    again = R.Restarts({"q": lambda: None}, limit=2, delay=0, window=0.2)
+    assert again.planned("q") and again.planned("q") and not again.planned("q") and not again.planned("other")
+    R.time.sleep(0.25)
+    assert again.planned("q")
