@@ -64,6 +64,28 @@ def without_rows(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return docs.join(rows, same, "left_anti")
 
 
+#: Rows of a key that meet in one task of ``looked_up``: at most this many
+#: salts on each of its two levels.
+SALTS = 64
+
+
+def looked_up(rows: DataFrame, found: DataFrame, key: str, salt: Column, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``found`` (one row per ``key``), however many rows
+    bear one key.
+
+    The key's rows are dealt to SALTS * SALTS salts.  The salts that occur
+    (combined map-side: a rare key has one) find their row of ``found`` in two
+    steps, so a key meets at most SALTS salts in a task, and its own rows meet
+    it salt by salt.
+    """
+    fine = F.pmod(F.xxhash64(salt), F.lit(SALTS * SALTS)).cast("int")
+    rows = rows.withColumn("salt_fine", fine)
+    near = rows.select(key, "salt_fine").distinct().withColumn("salt_coarse", F.expr(f"salt_fine div {SALTS}"))
+    far = near.select(key, "salt_coarse").distinct().join(found, key)
+    near = near.join(far, [key, "salt_coarse"]).drop("salt_coarse")
+    return rows.join(near, [key, "salt_fine"], how).drop("salt_fine")
+
+
 class Sent:
     """A broadcast object, pickled by value and loaded once per task."""
 

@@ -1,8 +1,8 @@
 """Connected components of an edge table, without collecting it.
 
 Alternating large-star and small-star contraction: each step needs only a
-per-node minimum (combined map-side) and a join back to the edges, so a node
-with very many links is never gathered in one place.
+per-node minimum (combined map-side) and a salted join back to the edges, so
+the links of a node that has very many are spread over tasks.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import stored
+from attrlake.llm.common import looked_up, stored
 
 MAX_ROUNDS = 60
 
@@ -18,13 +18,13 @@ MAX_ROUNDS = 60
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return looked_up(both.where("b > a"), least, "a", F.col("b")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """``edges`` have a > b."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = looked_up(edges, least, "a", F.col("b")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 

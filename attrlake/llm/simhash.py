@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import doc_rows, id_and_text, packed, stored, texts, unpacked, without_ids
+from attrlake.llm.common import doc_rows, id_and_text, looked_up, packed, stored, texts, unpacked, without_ids
 from attrlake.llm.components import connected_components
 
 SHINGLE = 4
@@ -34,8 +34,6 @@ MAX_BITS = 4
 REFINE = 4096
 #: Links that a task holds before it passes on their spanning forest.
 HELD_LINKS = 1 << 19
-#: Tasks that a component's members are spread over.
-SALTS = 32
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -72,6 +70,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return id_and_text(docs).mapInArrow(each, "doc_id bigint, fp bigint")
 
 
+def _salted(docs: DataFrame, shingle: int) -> DataFrame:
+    """``fingerprints`` stored with a row number as salt: rows without an id,
+    or with equal ones, spread as well, and a task that runs again reads the
+    same salts."""
+    rows = fingerprints(docs, shingle)
+    return stored(rows.withColumn("salt", F.monotonically_increasing_id()), "fingerprints")
+
+
 def segments(max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """(lowest bit, width) of each segment; never wider than 32 bits."""
     n = max(2, max_bits // 2 + 1)
@@ -148,18 +154,23 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = _Forest()
-        key, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        keys, fps = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        held = 0
         for batch in batches:
-            key = np.concatenate([key, batch.column("variant").to_numpy(zero_copy_only=False)])
-            fp = np.concatenate([fp, batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)])
-            whole = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last group may go on
-            if whole >= 1 << 16:
+            if not batch.num_rows:
+                continue
+            keys.append(batch.column("variant").to_numpy(zero_copy_only=False))
+            fps.append(batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64))
+            held += batch.num_rows
+            first = next(k[0] for k in keys if len(k))
+            if held >= 1 << 16 and keys[-1][-1] != first:  # else one group only, which may go on
+                key, fp = np.concatenate(keys), np.concatenate(fps)
+                whole = int(np.searchsorted(key, key[-1]))
                 forest.add(_close_pairs(key[:whole], fp[:whole], max_bits))
-                key, fp = key[whole:], fp[whole:]
+                keys, fps, held = [key[whole:]], [fp[whole:]], len(key) - whole
             if len(forest.parent) > HELD_LINKS:
                 yield forest.edges()
-        if len(key):
-            forest.add(_close_pairs(key, fp, max_bits))
+        forest.add(_close_pairs(np.concatenate(keys), np.concatenate(fps), max_bits))
         yield forest.edges()
 
     dealt = variants(fps, max_bits).repartition("variant").sortWithinPartitions("variant")
@@ -171,14 +182,13 @@ def classes(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     (doc_id, fp): its component's smallest fingerprint and smallest doc_id.
 
     Only linked fingerprints go through the components; the way from a
-    component back to its members is salted, since one may hold very many.
+    component back to its members is salted, since one may hold very many, as
+    is the way from a fingerprint back to its documents.
     """
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = connected_components(links(nodes.select("fp"), max_bits))
     least = linked.join(nodes, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("least").alias("component_id"))
-    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    members = (linked.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-               .join(salted, ["component", "salt"]).select("node", "component", "component_id"))
+    members = looked_up(linked, least, "component", F.col("node")).select("node", "component", "component_id")
     return (nodes.join(members, nodes["fp"] == members["node"], "left")
             .select("fp", F.coalesce("component", "fp").alias("component"),
                     F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")))
@@ -187,8 +197,8 @@ def classes(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id) per document row; the component is
     the smallest doc_id that links of at most ``max_bits`` bits reach."""
-    rows = stored(fingerprints(docs, shingle), "fingerprints")
-    return (rows.join(classes(rows, max_bits), "fp")
+    rows = _salted(docs, shingle)
+    return (looked_up(rows, classes(rows, max_bits), "fp", F.col("salt"))
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
@@ -196,9 +206,9 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     """One document row of each near-duplicate group stays: one whose doc_id
     is the component's, or any if all ids of the group are null.  Rows that
     repeat a doc_id, or have none, stay one for each group they stand for."""
-    rows = stored(fingerprints(docs, shingle), "fingerprints")
+    rows = _salted(docs, shingle)
     named = stored(classes(rows, max_bits), "classes")
-    found = rows.join(named, "fp")
+    found = looked_up(rows, named, "fp", F.col("salt"))
     ids = stored(found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("keep"),
                                              F.count("*").alias("n")), "kept")
     kept = without_ids(docs, ids.where("not keep").select(F.col("doc_id").alias("gone")))

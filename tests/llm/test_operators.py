@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from attrlake.llm import chat, decontam, mixing, pii, quality, sharding, simhash, topk, toxicity, warc
+from attrlake.llm import chat, common, decontam, mixing, pii, quality, sharding, simhash, topk, toxicity, warc
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -162,6 +162,16 @@ def test_rows_without_their_own_id_stay_once_per_group(spark):
     assert counted(alone.select("doc_id", "text")) == collections.Counter([(None, one), (None, two)])
 
 
+def test_hot_keys_meet_their_rows_in_many_salts(spark):
+    F = mixing.F
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("salt_of"))
+    found = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice")).unionByName(
+        spark.createDataFrame([(7, 14)], "k bigint, twice bigint"))
+    for how in ("inner", "left"):
+        assert counted(common.looked_up(rows, found, "k", F.col("salt_of"), how)) == counted(rows.join(found, "k", how))
+    assert common.looked_up(rows, found, "k", F.col("salt_of")).columns == ["k", "salt_of", "twice"]
+
+
 def test_links_lose_no_component():
     """All fingerprints within reach of each other, random ones, and one
     tight cluster beyond the refinement bound."""
@@ -363,6 +373,36 @@ def test_every_shard_holds_the_mixture(spark, range_rows):
     assert max(hot) - min(hot) <= 4
 
 
+def test_copies_of_a_row_lie_in_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPY_RUN", 64)
+    rows = [(1, "copied", "en", "s", 0)] * 400 + [(None, None, None, "s", None)] * 100 + [(k, f"t{k}", "en", "s", 0) for k in range(2, 302)]
+    table = spark.createDataFrame(rows, DOCS).selectExpr("*", "array(text) as run", "map('k', text) as h1")
+    out = sharding.interleave(table, shards=40)
+    assert counted(out.select(*DOCS.replace(" bigint", "").replace(" string", "").split(", "))) == collections.Counter(rows)
+    held = collections.Counter(r.shard for r in out.where("doc_id = 1").collect())
+    assert len(held) == 40 and 4 <= min(held.values()) and max(held.values()) <= 18
+    assert {r.h1["k"] for r in out.where("doc_id = 7").collect()} == {"t7"}
+
+
+@pytest.mark.parametrize("range_rows", [4096, 16])
+def test_places_are_brute_force(spark, range_rows):
+    """Plain ranks of the same draws, no ranges."""
+    draw = random.Random(4)
+    rows = [(draw.choice([1, 1, 1, 2, 3, -5]), draw.getrandbits(64) - 2 ** 63) for _ in range(700)] + [(k, 9) for k in range(40, 70)]
+    unit = {r.stratum: r.u for r in spark.createDataFrame(rows, "stratum bigint, draw bigint").select(
+        "stratum", sharding._unit(sharding.F.xxhash64(sharding.F.lit(sharding.SEED + 1), "stratum")).alias("u")).distinct().collect()}
+    groups = collections.defaultdict(list)
+    for s, d in rows:
+        groups[s].append(d)
+    order = []
+    for s, draws in groups.items():
+        draws.sort(key=lambda d: ((d % 2 ** 64) >> 11, d))
+        order += [((k + 1 - unit[s]) / len(draws), s, d) for k, d in enumerate(draws)]
+    want = {(s, d): k for k, (_, s, d) in enumerate(sorted(order))}
+    got, total = sharding.places(spark.createDataFrame(rows, "stratum bigint, draw bigint"), range_rows=range_rows)
+    assert total == len(rows) and {(r.stratum, r.draw): r.place for r in got.collect()} == want
+
+
 def test_few_rows_and_none(docs, none):
     out = sharding.shard_manifest(docs).collect()
     assert len(out) == len(documents()) and {r.law for r in out} == {"rows"}
