@@ -3,6 +3,7 @@ long texts, ties, repeated rows, no rows at all and clashing column names."""
 
 import base64
 import collections
+import gzip
 import hashlib
 import io
 import math
@@ -467,6 +468,64 @@ def test_own_zip_reads_like_the_library(zip64):
         warc.directory(io.BytesIO(data[:-30]), len(data) - 30)
 
 
+def foreign_record(kind, url, block, extra=""):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nContent-Type: application/http; msgtype=response\r\n{extra}"
+    return f"{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bytes], ids=["gz", "plain"])
+@pytest.mark.parametrize("indexed", [True, False])
+def test_packages_of_other_writers(spark, tmp_path, monkeypatch, pack, indexed):
+    """Written by zipfile: another member name, CDXJ or no index, a comment
+    that holds an end signature, types that carry no page, a chunked body."""
+    import json
+    import zipfile
+
+    monkeypatch.setattr(warc, "STEP", 7)
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
+    body = b"<p>one</p>" * 300
+    records = [foreign_record("warcinfo", "", b"software: x"),
+               foreign_record("response", "http://a/", http + b"\r\n" + body, f"WARC-Payload-Digest: sha1:{warc.digest(body)}\r\n"),
+               foreign_record("request", "http://a/", b"GET / HTTP/1.1\r\n\r\n"),
+               foreign_record("response", "http://b/", http + b"Transfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n2;x=1\r\nde\r\n0\r\n\r\n"),
+               foreign_record("revisit", "http://c/", http + b"\r\n", f"WARC-Payload-Digest: sha1:{warc.digest(body)}\r\n")]
+    parts, lines, at = [pack(r) for r in records], ["!meta {}"], 0
+    name = "rec-0.warc.gz" if pack is gzip.compress else "rec-0.warc"
+    for p in parts:
+        lines.append("com,a)/ 20240101000000 " + json.dumps({"offset": str(at), "length": len(p), "filename": name}))
+        at += len(p)
+    with zipfile.ZipFile(tmp_path / "x.wacz.zip", "w") as z:
+        z.writestr("datapackage.json", "{}" * 500, zipfile.ZIP_DEFLATED)
+        z.writestr(f"archive/{name}", b"".join(parts))
+        if indexed:
+            z.writestr("indexes/index.cdxj", "\n".join(lines))
+        z.comment = b"see PK\x05\x06 and more than twenty two bytes of it"
+    manifest = warc.packages(spark, f"file://{tmp_path}")
+    got = {(r.page_id, r.url, r.payload_bytes, r.payload_digest, r.record_type, r.payload and bytes(r.payload))
+           for r in warc.read_archives(manifest, f"file://{tmp_path}").collect()}
+    assert got == {(None, "http://a/", len(body), warc.digest(body), "response", body),
+                   (None, "http://b/", 5, warc.digest(b"abcde"), "response", b"abcde"),
+                   (None, "http://c/", None, warc.digest(body), "revisit", None)}
+
+
+def test_compressed_archives_and_damage_are_refused():
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("archive/a.warc", "WARC/1.0" * 50)
+    with pytest.raises(ValueError, match="not a stored member"):
+        list(warc._records(out, len(out.getvalue())))
+    wrong = foreign_record("response", "u", b"HTTP/1.1 200 OK\r\n\r\nabc", f"WARC-Payload-Digest: sha1:{warc.digest(b'x')}\r\n")
+    with pytest.raises(ValueError, match="another digest"):
+        warc._page(wrong)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("archive/a.warc.gz", gzip.compress(wrong)[:-9])
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc._records(out, len(out.getvalue())))
+
+
 # --- toxicity --------------------------------------------------------------
 
 def test_composed_machine_weighs_clauses():
