@@ -41,5 +41,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = now
     else:
         raise RuntimeError("components did not settle")
-    roots = edges.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    # Each edge gives its node and its root, dealt anew: a file of many edges
+    # is not one task's share.
+    ends = F.array(*[F.struct(F.col(c).alias("node"), F.col("b").alias("component")) for c in ("a", "b")])
+    return edges.select(F.explode(ends).alias("end")).select("end.*").distinct()
