@@ -342,6 +342,8 @@ TOPIC_FILES = 2
 # Files per micro-batch when streaming from silver (one file per day and
 # slice): several batches per run, each a later range of days.
 SILVER_FILES = 8
+# Bounds for larger tables, whose slices are more files (conf/jobs.yaml's values).
+MOST_TOPIC_FILES, MOST_BRONZE_FILES = 64, 256
 DAY_BUCKETS = 4
 
 
@@ -350,12 +352,19 @@ def _stream_run(spark: SparkSession, label: str):
     return root, Lake(spark, f"{root}/lake"), f"{root}/checkpoints"
 
 
-def _topic_files(spark, sf_dir, root, corrupt: bool) -> str:
-    """The topic as files, written oldest offsets first (``SLICES`` appends)."""
-    path = f"{root}/topic"
-    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, corrupt=corrupt)
+def _files(least: int, pieces: int, most: int) -> int:
+    """Files per micro-batch: ``least`` while a slice is one piece, in
+    proportion above, so that a batch stays wide and its number of rows
+    bounded (``most``, as in conf/jobs.yaml)."""
+    return max(least, min(least * pieces, most))
+
+
+def _topic_files(spark, sf_dir, root, corrupt: bool) -> tuple[str, int]:
+    """The topic as files, written oldest offsets first (``SLICES`` appends); its pieces per slice."""
+    path, n = f"{root}/topic", X.pieces(spark, sf_dir, SLICES)
+    msgs = X.kafka_messages(spark, sf_dir, redeliver_every=REDELIVER_EVERY, corrupt=corrupt, spread=n)
     X.write_in_slices(msgs, path, F.col("offset"), SLICES)
-    return path
+    return path, n
 
 
 def _silver_files(spark, sf_dir, lake: Lake) -> None:
@@ -376,24 +385,26 @@ def _await(queries) -> None:
             raise RuntimeError(f"{q.name}: {q.exception()}")
 
 
-def _numbered_topic(spark, sf_dir, root: str, lossy: bool) -> str:
-    path = f"{root}/topic"
-    X.write_in_slices(X.numbered_messages(spark, sf_dir, lossy), path, F.col("offset"), SLICES)
-    return path
+def _numbered_topic(spark, sf_dir, root: str, lossy: bool) -> tuple[str, int]:
+    path, n = f"{root}/topic", X.pieces(spark, sf_dir, SLICES)
+    X.write_in_slices(X.numbered_messages(spark, sf_dir, lossy, n), path, F.col("offset"), SLICES)
+    return path, n
 
 
 def bronze_offset_gaps(spark, sf_dir):
     """A topic that lost messages, streamed to bronze: the offsets that the stored messages lack."""
     root, lake, ckpt = _stream_run(spark, "offset-gaps")
-    topic = P.file_topic(spark, _numbered_topic(spark, sf_dir, root, True), TOPIC_FILES)
-    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
+    path, n = _numbered_topic(spark, sf_dir, root, True)
+    files = _files(TOPIC_FILES, n, MOST_TOPIC_FILES)
+    _await(P.start_bronze(P.file_topic(spark, path, files), lake.bronze, _settings(ckpt, files)))
     return O.offset_gaps(lake.messages.read())
 
 
 def _bronze_run(spark, sf_dir, label: str) -> Lake:
     root, lake, ckpt = _stream_run(spark, label)
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
-    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
+    path, n = _topic_files(spark, sf_dir, root, corrupt=True)
+    files = _files(TOPIC_FILES, n, MOST_TOPIC_FILES)
+    _await(P.start_bronze(P.file_topic(spark, path, files), lake.bronze, _settings(ckpt, files)))
     return lake
 
 
@@ -416,16 +427,17 @@ def stream_message_counts(spark, sf_dir):
 def stream_silver(spark, sf_dir):
     """S3/ST4a/K2: bronze stream -> silver (dedupe + anti-join per batch)."""
     root, lake, ckpt = _stream_run(spark, "stream-silver")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
-    _await(P.start_bronze(topic, lake.bronze, _settings(ckpt, TOPIC_FILES)))
-    _await([P.start_silver(spark, lake.bronze, lake.silver, _settings(ckpt, 16))])
+    path, n = _topic_files(spark, sf_dir, root, corrupt=False)
+    files = _files(TOPIC_FILES, n, MOST_TOPIC_FILES)
+    _await(P.start_bronze(P.file_topic(spark, path, files), lake.bronze, _settings(ckpt, files)))
+    _await([P.start_silver(spark, lake.bronze, lake.silver, _settings(ckpt, _files(16, n, MOST_BRONZE_FILES)))])
     return lake.silver.read().select(*M.COLUMN_NAMES, "event_date")
 
 
 def _silver_with_state(spark, sf_dir, label: str) -> tuple[Lake, str]:
     """Topic files with redeliveries -> bronze -> silver through the stateful job."""
     root, lake, ckpt = _stream_run(spark, label)
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
+    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False)[0], TOPIC_FILES)
     run_jobs(spark, lake, ckpt, names=["bronze.topic_to_bronze", "silver.bronze_to_silver"], topic=topic, available_now=True,
              config={"silver.bronze_to_silver": {"mode": "state", "max_files_per_trigger": 16, "shuffle_partitions": 8}})
     return lake, ckpt
@@ -603,9 +615,11 @@ def stream_silver_current(spark, sf_dir):
     """ST4b (stream): change-envelope topic -> current state per id."""
     root, lake, ckpt = _stream_run(spark, "stream-current")
     path = f"{root}/changes"
-    X.write_in_slices(X.change_envelopes(spark, sf_dir), path, F.col("offset"), SLICES)
+    n = X.pieces(spark, sf_dir, SLICES)
+    X.write_in_slices(X.change_envelopes(spark, sf_dir, n), path, F.col("offset"), SLICES)
+    files = _files(4, n, MOST_TOPIC_FILES)
     table = P.dim_table(spark, f"{root}/lake/silver/current")
-    _await([P.start_current_state(spark, P.file_topic(spark, path, 4), CHANGE_ROW, table, _settings(ckpt, 4))])
+    _await([P.start_current_state(spark, P.file_topic(spark, path, files), CHANGE_ROW, table, _settings(ckpt, files))])
     return P.current_rows(table)
 
 
@@ -614,9 +628,11 @@ def stream_silver_current_delta(spark, sf_dir):
     every third one compacts."""
     root, lake, ckpt = _stream_run(spark, "stream-current-delta")
     path = f"{root}/changes"
-    X.write_in_slices(X.change_envelopes(spark, sf_dir), path, F.col("offset"), SLICES)
+    n = X.pieces(spark, sf_dir, SLICES)
+    X.write_in_slices(X.change_envelopes(spark, sf_dir, n), path, F.col("offset"), SLICES)
+    files = _files(4, n, MOST_TOPIC_FILES)
     table = K.current_state_table(spark, lake.current.location, compact_every=3)
-    _await([P.start_current_state(spark, P.file_topic(spark, path, 4), CHANGE_ROW, table, _settings(ckpt, 4))])
+    _await([P.start_current_state(spark, P.file_topic(spark, path, files), CHANGE_ROW, table, _settings(ckpt, files))])
     return P.current_rows(table)
 
 
@@ -634,20 +650,24 @@ def _stream_dim_delta(name: str) -> Query:
 def stream_bronze_to_gold(spark, sf_dir):
     """Combined job: bronze -> silver + dims + facts in one micro-batch."""
     root, lake, ckpt = _stream_run(spark, "stream-bronze-gold")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=False), TOPIC_FILES)
+    path, n = _topic_files(spark, sf_dir, root, corrupt=False)
+    files = _files(TOPIC_FILES, n, MOST_TOPIC_FILES)
+    topic = P.file_topic(spark, path, files)
     run_jobs(spark, lake, ckpt, names=["bronze.topic_to_bronze", "silver.bronze_to_silver_and_gold"],
              topic=topic, available_now=True,
-             config={"bronze.topic_to_bronze": {"max_files_per_trigger": TOPIC_FILES},
-                     "silver.bronze_to_silver_and_gold": {"max_files_per_trigger": 48}})
+             config={"bronze.topic_to_bronze": {"max_files_per_trigger": files},
+                     "silver.bronze_to_silver_and_gold": {"max_files_per_trigger": _files(48, n, MOST_BRONZE_FILES)}})
     return lake.fact("fact_events_daily").read()
 
 
 def stream_all_layers(spark, sf_dir):
     """ST10: every default job, layer by layer; the stored layers reconciled."""
     root, lake, ckpt = _stream_run(spark, "stream-all")
-    topic = P.file_topic(spark, _topic_files(spark, sf_dir, root, corrupt=True), TOPIC_FILES)
-    config = {"bronze.topic_to_bronze": {"max_files_per_trigger": TOPIC_FILES},
-              "silver.bronze_to_silver": {"max_files_per_trigger": 16}}
+    path, n = _topic_files(spark, sf_dir, root, corrupt=True)
+    files = _files(TOPIC_FILES, n, MOST_TOPIC_FILES)
+    topic = P.file_topic(spark, path, files)
+    config = {"bronze.topic_to_bronze": {"max_files_per_trigger": files},
+              "silver.bronze_to_silver": {"max_files_per_trigger": _files(16, n, MOST_BRONZE_FILES)}}
     run_jobs(spark, lake, ckpt, topic=topic, available_now=True, config=config)
     bronze = lake.bronze.read()
     return Q.layer_reconcile(bronze_rows(spark, sf_dir), bronze, lake.silver.read())

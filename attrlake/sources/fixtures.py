@@ -29,18 +29,38 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Rows of ``events`` that one task of a slice takes (and one topic file holds).
+ROWS_PER_PIECE = 50_000
+
+
+def pieces(spark: SparkSession, sf_dir: str, slices: int) -> int:
+    """Tasks per slice of ``events`` (one for small tables), from the row count in the footers."""
+    return max(1, -(-read_table(spark, sf_dir, "events").count() // (slices * ROWS_PER_PIECE)))
+
+
+def _events(spark: SparkSession, sf_dir: str, spread: int) -> DataFrame:
+    """``events``, in ``spread`` (> 1) ranges of ids.
+
+    A slice reads few row groups, so few tasks would encode it; the narrow
+    source rows are dealt instead, and a filter on the id (a slice's bounds)
+    goes below the exchange.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    return ev.repartitionByRange(spread, "event_id") if spread > 1 else ev
+
+
 def _when(kind: Column, value: Column) -> Column:
     return F.when(kind, value)
 
 
-def attribution_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def attribution_events(spark: SparkSession, sf_dir: str, spread: int = 1) -> DataFrame:
     """Driver ``events`` -> 55-column attribution event (bronze wire types).
 
     Timestamps are epoch micros (BIGINT), money is DECIMAL(18,6); columns the
     mapping does not fill stay NULL.  ``event_date`` is not added here: that
-    is the bronze operator's job.
+    is the bronze operator's job.  ``spread``: see ``_events``.
     """
-    ev = read_table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir, spread)
     user = F.col("user_id")
     base = ev.select(
         F.col("event_id").alias("id"),
@@ -113,7 +133,7 @@ def _bronze_fields():
     return bronze_schema().fields
 
 
-def change_log(spark: SparkSession, sf_dir: str, updates_and_deletes: bool = True) -> DataFrame:
+def change_log(spark: SparkSession, sf_dir: str, updates_and_deletes: bool = True, spread: int = 1) -> DataFrame:
     """Change log of the driver ``events`` table.
 
     Inserts of every row, an update of every 10th, a delete of every 50th and
@@ -121,7 +141,7 @@ def change_log(spark: SparkSession, sf_dir: str, updates_and_deletes: bool = Tru
     With ``updates_and_deletes=False`` only inserts and redeliveries remain,
     so every copy of an id is identical.
     """
-    ev = read_table(spark, sf_dir, "events").select(
+    ev = _events(spark, sf_dir, spread).select(
         F.col("event_id").alias("id"), "ts", "user_id", "event_type", "value"
     )
     lsn = F.col("id") * 4
@@ -211,6 +231,7 @@ def kafka_messages(
     redeliver_every: int = 0,
     corrupt: bool = False,
     differing: bool = False,
+    spread: int = 1,
 ) -> DataFrame:
     """Framed Kafka-shaped rows ``key, value, topic, partition, offset, timestamp``.
 
@@ -220,7 +241,7 @@ def kafka_messages(
     other values.  ``corrupt=True`` damages a rule-chosen share
     of the messages the ways a real topic can (see ``framing.damage``).
     """
-    events = attribution_events(spark, sf_dir)
+    events = attribution_events(spark, sf_dir, spread)
 
     def framed(rows: DataFrame, copy: int) -> DataFrame:
         return rows.select("id", "created_at", framing.encode_json_frame(
@@ -244,22 +265,22 @@ def kafka_messages(
     )
 
 
-def numbered_messages(spark: SparkSession, sf_dir: str, lossy: bool = False) -> DataFrame:
+def numbered_messages(spark: SparkSession, sf_dir: str, lossy: bool = False, spread: int = 1) -> DataFrame:
     """The topic with gapless offsets: partition ``id mod 4``, offset ``id div 4``
     (event ids run from 0 without a hole), damage included.  With ``lossy``
     the broker has lost ids 5 to 9 of every 211 and ids 300 to 699."""
-    msgs = kafka_messages(spark, sf_dir, corrupt=True).withColumn("_id", F.col("key").cast("bigint"))
+    msgs = kafka_messages(spark, sf_dir, corrupt=True, spread=spread).withColumn("_id", F.col("key").cast("bigint"))
     if lossy:
         msgs = msgs.where(~(F.col("_id") % 211).between(5, 9) & ~F.col("_id").between(300, 699))
     return msgs.withColumns({"partition": (F.col("_id") % TOPIC_PARTITIONS).cast("int"),
                              "offset": F.expr(f"_id div {TOPIC_PARTITIONS}")}).drop("_id")
 
 
-def change_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_envelopes(spark: SparkSession, sf_dir: str, spread: int = 1) -> DataFrame:
     """The change log as JSON change envelopes ``{before, after, op, ts_ms, source{lsn}}``
     framed like the topic: creates carry ``after``, updates both images,
     deletes only ``before``."""
-    log = change_log(spark, sf_dir)
+    log = change_log(spark, sf_dir, spread=spread)
     row = F.struct("id", "ts", "user_id", "event_type", "value")
     prev = F.struct(
         "id", "ts", "user_id", "event_type", (F.col("value") - 1).alias("value")
