@@ -308,7 +308,10 @@ def write_in_slices(df: DataFrame, path: str, order: Column, slices: int,
     """Write ``df`` as ``slices`` successive appends, each a range of the
     integral ``order`` expression, so a file stream source (which takes the
     oldest files first) sees the data in that order.  Only the two bounds of
-    ``order`` reach the driver.  ``after`` runs after each append."""
+    ``order`` reach the driver.  ``after`` runs after each append.  With
+    ``partition_by`` a slice's rows are rebalanced on it under AQE, as
+    ``LakeTable`` does: a day is a file or a few, not one per task."""
+    aqe = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true"
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     edges = [None] + [lo + (hi - lo) * i // slices for i in range(1, slices)] + [None]
     if lo is None:
@@ -319,6 +322,8 @@ def write_in_slices(df: DataFrame, path: str, order: Column, slices: int,
             part = part.where(order > F.lit(a))
         if b is not None:
             part = part.where(order <= F.lit(b))
+        if partition_by and aqe:
+            part = part.hint("rebalance", *partition_by)
         writer = part.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

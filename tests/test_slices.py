@@ -30,6 +30,13 @@ def test_slice_is_written_in_pieces_and_read_in_as_many_files(spark, tmp_path, l
     assert Qy._files(Qy.TOPIC_FILES, 1000, Qy.MOST_TOPIC_FILES) == Qy.MOST_TOPIC_FILES
 
 
+def test_day_of_a_slice_is_one_file_however_many_tasks(spark, tmp_path):
+    rows = Qy.silver_rows(spark, SF_SMALL).repartition(8)
+    X.write_in_slices(rows, str(tmp_path / "s"), F.col("id"), 2, partition_by=["event_date"])
+    days = rows.select("event_date").distinct().count()
+    assert _files(spark, str(tmp_path / "s")) <= days + 2
+
+
 @pytest.mark.parametrize("name,same_as", [
     ("stream_quarantine", "quarantine_split"), ("stream_silver_current_delta", "silver_current")
 ])
