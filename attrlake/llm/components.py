@@ -1,8 +1,9 @@
 """Connected components of an edge table, without collecting it.
 
-Alternating large-star and small-star contraction: each step needs only a
-per-node minimum (combined map-side) and a salted join back to the edges, so
-the links of a node that has very many are spread over tasks.
+Alternating large-star and small-star contraction.  Each step is a per-node
+minimum (combined map-side), stored, and one plain join of the edges to it:
+Spark broadcasts a small table of minima and, as both sides come straight from
+files, splits the partitions of a node that has very many links.
 """
 
 from __future__ import annotations
@@ -10,21 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrlake.llm.common import looked_up, stored
+from attrlake.llm.common import stored
 
 MAX_ROUNDS = 60
+#: Links that a task writes, on average, before there are more than FILES files.
+FILE_LINKS = 1 << 17
+FILES = 16
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return looked_up(both.where("b > a"), least, "a", F.col("b")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+def _least(edges: DataFrame, files: int) -> DataFrame:
+    """(node, m, n): the smallest of a node and its neighbours, and their
+    number; ``edges`` are distinct, with a > b."""
+    ends = F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")),
+                   F.struct(F.col("b").alias("node"), F.col("a").alias("other")))
+    ends = edges.select(F.explode(ends).alias("end")).select("end.*")
+    least = ends.groupBy("node").agg(F.least("node", F.min("other")).alias("m"), F.count("*").alias("n"))
+    return stored(least.coalesce(files), "least")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    return edges.join(least, F.col("b") == F.col("node")).select("a", F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame, files: int) -> DataFrame:
     """``edges`` have a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = looked_up(edges, least, "a", F.col("b")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")).coalesce(files), "least")
+    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
@@ -32,13 +44,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is
     its smallest node.  Nulls and loops are ignored; no edges, no rows."""
     edges = (edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    edges, before = stored(edges, "edges"), None
+    edges = stored(edges, "edges")
+    files = max(FILES, edges.count() // FILE_LINKS)
     for _ in range(MAX_ROUNDS):
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == before:
+        least = _least(edges, files)
+        # Stars: a node with a smaller neighbour has no other.
+        if least.where("m < node and n > 1").isEmpty():
             break
-        before = now
+        edges = stored(_large_star(edges, least).distinct().coalesce(files), "edges")
+        edges = stored(_small_star(edges, files).distinct().coalesce(files), "edges")
     else:
         raise RuntimeError("components did not settle")
     # Each edge gives its node and its root, dealt anew: a file of many edges
